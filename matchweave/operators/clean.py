@@ -29,18 +29,21 @@ def clean_matches(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_matches(raw: DataFrame, key: Sequence[str] = KEY, played_only: bool = False) -> DataFrame:
-    """One row per (key, round, home, away), the latest feed entry winning.
+def silver_matches(
+    raw: DataFrame,
+    key: Sequence[str] = KEY,
+    played_only: bool = False,
+    order: Sequence[str] = ("data_partida", "partida_id"),
+) -> DataFrame:
+    """One row per (key, round, home, away), the latest feed entry by ``order`` winning.
 
     Upcoming matches stay unless ``played_only``, which drops them before the dedupe.
     """
     clean = clean_matches(raw)
     clean = played(clean) if played_only else clean
-    columns = [
-        *key, "partida_id", *MATCH_KEY, "placar_casa", "placar_vis", "data_partida", "resultado",
-    ]
-    order = ["data_partida", "partida_id"]
-    return latest_per_key(clean.select(*columns), [*key, *MATCH_KEY], order)
+    columns = [*key, "partida_id", *MATCH_KEY, "placar_casa", "placar_vis", "data_partida", "resultado"]
+    extra = [c for c in order if c not in columns]
+    return latest_per_key(clean.select(*columns, *extra), [*key, *MATCH_KEY], order).select(*columns)
 
 
 def one_match_per_round(matches: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

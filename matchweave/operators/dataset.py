@@ -44,18 +44,15 @@ def _value_at(rows: DataFrame, value: Column, position: int, width: int = 1024)
     goes on inside the slice that holds the position. The driver sees the slice counts
     only; no task sorts anything, so one hot value does no harm.
     """
-    low, high = rows.agg(F.min(value), F.max(value)).first()
+    numbers = rows.select(value.alias("v"))
+    low, high = numbers.agg(F.min("v"), F.max("v")).first()
     below = 0
     while low < high:
         size = (high - low) // width + 1
-        slice_no = F.floor((value - low).cast("decimal(38,0)") / size)
-        slices = (
-            rows.filter(value.between(low, high))
-            .groupBy(slice_no.cast("bigint").alias("slice"))
-            .count()
-            .orderBy("slice")
-            .collect()
-        )
+        wide = "bigint" if high - low < 2**63 else "decimal(38,0)"  # hashed ids span all of bigint
+        slice_no = F.expr(f"(CAST(v AS {wide}) - CAST('{low}' AS {wide})) div CAST('{size}' AS {wide})")
+        within = numbers.filter(F.col("v").between(low, high))
+        slices = within.groupBy(slice_no.cast("bigint").alias("slice")).count().orderBy("slice").collect()
         for s in slices:
             if below + s["count"] >= position:
                 low, high = low + s["slice"] * size, min(high, low + (s["slice"] + 1) * size - 1)

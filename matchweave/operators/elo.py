@@ -21,7 +21,7 @@ from matchweave.functions.numeric import half_up
 from matchweave.functions.scoring import AWAY, DRAW, HOME
 from matchweave.operators.clean import played
 from matchweave.operators.clubrows import START, by_club
-from matchweave.operators.latest import KEY
+from matchweave.operators.latest import KEY, MATCH_KEY
 from matchweave.session import shared_folder, stage
 
 K_FACTOR = 32
@@ -55,9 +55,11 @@ def elo(
     return small_part.unionByName(large_part)
 
 
-def _grouped(matches: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
-    schema = T.StructType(matches.schema.fields + [T.StructField(c, T.DoubleType()) for c in PRE])
+def _rated_schema(matches: DataFrame) -> T.StructType:
+    return T.StructType(matches.schema.fields + [T.StructField(c, T.DoubleType()) for c in PRE])
+
 
+def _grouped(matches: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
     def rate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["data_partida", "partida_id"], ignore_index=True)
         ratings: dict[int, float] = {}
@@ -72,7 +74,7 @@ def _grouped(matches: DataFrame, key: Sequence[str], k: float, start: float) ->
         pdf[list(PRE)] = before
         return pdf
 
-    return matches.groupBy(*key).applyInPandas(rate, schema)
+    return matches.groupBy(*key).applyInPandas(rate, _rated_schema(matches))
 
 
 def levels(matches: DataFrame, key: Sequence[str] = KEY, days: int = 7) -> DataFrame:
@@ -85,15 +87,16 @@ def levels(matches: DataFrame, key: Sequence[str] = KEY, days: int = 7) -> DataF
     batch = F.floor(F.datediff("data_partida", F.lit("1970-01-01")) / days).cast("int")
     current = matches.withColumns({"_batch": batch, "_depth": F.lit(1)})
     order = Window.partitionBy(*key, "_batch", "_clube").orderBy("data_partida", "partida_id")
+    match = [*key, *MATCH_KEY]
     while True:
         current = stage(current, "elo_levels")
         sides = current.select(
-            *key, "_batch", "partida_id", "data_partida", "_depth",
+            *match, "_batch", "partida_id", "data_partida", "_depth",
             F.explode(F.array("clube_casa_id", "clube_vis_id")).alias("_clube"),
         )
         previous = sides.withColumn("_previous", F.lag("_depth").over(order))
-        needed = previous.groupBy("partida_id").agg(F.max("_previous").alias("_previous"))
-        raised = current.join(needed, "partida_id").withColumn(
+        needed = previous.groupBy(*match).agg(F.max("_previous").alias("_previous"))
+        raised = current.join(needed, match).withColumn(
             "_new", F.greatest("_depth", F.coalesce(F.col("_previous") + 1, F.lit(1)))
         )
         if raised.filter("_new > _depth").isEmpty():
@@ -113,13 +116,14 @@ def _by_level(matches: DataFrame, key: Sequence[str], k: float, start: float) ->
     clubs = numbered.select(*key, F.explode(F.array("clube_casa_id", "clube_vis_id")).alias("clube_id")).distinct()
     ratings = stage(clubs.withColumn("elo", F.lit(float(start))), "elo_ratings")
     out = f"{shared_folder(spark)}/{uuid.uuid4().hex}/elo_rated"
-    for batch, depth in steps:
+    schema = _rated_schema(matches)
+    for number, (batch, depth) in enumerate(steps):
         todo = numbered.filter((F.col("_batch") == batch) & (F.col("_depth") == depth)).select(*columns)
-        rated = stage(_with_ratings(todo, ratings, key), "elo_step")
-        rated.write.mode("append").parquet(out)
+        step = f"{out}/_step={number}"
+        _with_ratings(todo, ratings, key).write.parquet(step)
+        rated = spark.read.schema(schema).parquet(step)
         ratings = stage(_updated(ratings, rated, key, k), "elo_ratings")
-    schema = T.StructType(matches.schema.fields + [T.StructField(c, T.DoubleType()) for c in PRE])
-    return spark.read.schema(schema).parquet(out)
+    return spark.read.schema(schema).parquet(*[f"{out}/_step={n}" for n in range(len(steps))])
 
 
 def _with_ratings(matches: DataFrame, ratings: DataFrame, key: Sequence[str]) -> DataFrame:

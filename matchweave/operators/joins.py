@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from matchweave.operators.clubrows import START, by_club
-from matchweave.operators.latest import KEY
+from matchweave.operators.latest import KEY, MATCH_KEY
 
 SIDES = ("casa", "vis")
 
@@ -96,13 +96,13 @@ def features_asof(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = KE
     same round. A club's group is bounded by the calendar. The two probes meet again in
     an aggregation on the fixture.
     """
-    ids = [*key, "partida_id"]
+    ids = [*key, *MATCH_KEY]
     home = F.struct(F.col(club_id("casa")).alias("clube_id"), F.lit(True).alias("_casa"))
     away = F.struct(F.col(club_id("vis")).alias("clube_id"), F.lit(False).alias("_casa"))
-    probes = fixtures.select(*ids, "rodada", F.inline(F.array(home, away)), F.lit(0).alias("_tag"))
+    probes = fixtures.select(*ids, F.inline(F.array(home, away)), F.lit(0).alias("_tag"))
     states = state.select(*key, "clube_id", "rodada", F.lit(1).alias("_tag"), F.struct(*STATE).alias("_state"))
     both = probes.unionByName(states, allowMissingColumns=True)
-    seen = F.last("_state", ignorenulls=True).over(by_club(key, ("rodada", "_tag", "partida_id")).rowsBetween(START, 0))
+    seen = F.last("_state", ignorenulls=True).over(by_club(key, ("rodada", "_tag")).rowsBetween(START, 0))
     matched = both.withColumn("_state", seen).filter("_tag = 0")
 
     def of_side(side: str) -> list[Column]:

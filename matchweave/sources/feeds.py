@@ -56,13 +56,19 @@ def _keys(feed: DataFrame) -> list[str]:
 
 
 def ingest_matches(feed: DataFrame) -> DataFrame:
-    """Matches of ``{"partidas": [...]}``. Missing ids become 0, missing scores stay null."""
+    """Matches of ``{"partidas": [...]}``. Missing ids become 0, missing scores stay null.
+
+    A feed without ``partida_id`` gets one derived from round and clubs, the same on every
+    ingest of the match.
+    """
     date = F.try_to_timestamp(_field("$.partida_data"), F.lit("yyyy-MM-dd HH:mm:ss"))
-    columns = {
-        "partida_id": _number("$.partida_id", "bigint", None),
+    natural = {
         "rodada": _number("$.rodada"),
         "clube_casa_id": _number("$.clube_casa_id", "bigint"),
         "clube_vis_id": _number("$.clube_visitante_id", "bigint"),
+    }
+    columns = natural | {
+        "partida_id": F.coalesce(_number("$.partida_id", "bigint", None), F.xxhash64(*natural.values())),
         "placar_casa": _number("$.placar_oficial_mandante", default=None),
         "placar_vis": _number("$.placar_oficial_visitante", default=None),
         "data_partida": date,

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from matchweave.session import stage
+
 # Strings reach a JSON column only if the server may cast them.
 JDBC_DEFAULTS = {"driver": "org.postgresql.Driver", "stringtype": "unspecified"}
 
@@ -64,13 +66,13 @@ def write_table(
 
 
 def write_if_nonempty(df: DataFrame, name: str, **options) -> int:
-    """Leave the target as it is when the batch has no row."""
-    return 0 if df.isEmpty() else write_table(df, name, **options)
-
+    """Leave the target as it is when the batch has no row.
 
-def keep_if_empty(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """The table after a guarded replace: ``batch``, or ``current`` if that is empty."""
-    return current if batch.isEmpty() else batch
+    The batch is staged first, so finding out costs no second run of its plan, and a
+    batch that was read from the target itself may replace it.
+    """
+    batch = stage(df, "batch")
+    return 0 if batch.isEmpty() else write_table(batch, name, **options)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
