@@ -316,8 +316,11 @@ _BODIES = {
         SELECT stage, status, records_processed, started_at FROM runlog UNION ALL SELECT 'gold', 'success', 7, TIMESTAMP '2026-03-27 20:00:00'
         UNION ALL SELECT 'gold', 'failed', 0, TIMESTAMP '2026-03-27 20:00:00') GROUP BY stage, status""",
     "check_log": all_of(*match_checks("silver"), counted("gold_feature_store_count", "gold.feature_store", "store")),
-    "published_views": """SELECT competicao, clube_id, posicao, jogos_em_casa FROM viewtable LEFT JOIN (SELECT competicao, clube_casa_id AS clube_id, count(*) AS jogos_em_casa
-        FROM ahead GROUP BY ALL) USING (competicao, clube_id)""",
+    "published_views": all_of(
+        "SELECT competicao, 'vw_classificacao' AS visao, clube_id, posicao AS valor FROM viewtable",
+        "SELECT competicao, 'vw_elo_ranking', clube_id, ranking FROM viewrank",
+        *[f"SELECT competicao, '{v}', NULL, CAST(count(*) AS INTEGER) FROM {t} GROUP BY competicao" for v, t in (
+            ("vw_previsoes", "ahead"), ("vw_desempenho_modelo", "byround"), ("previsoes_proximas_partidas", "ahead"))]),
     "match_result": f"SELECT competicao, partida_id, {RESULT} AS resultado FROM raw",
     "played": f"SELECT {MATCH}, resultado FROM silver WHERE resultado IS NOT NULL",
     "upcoming": f"SELECT {MATCH}, resultado FROM silver WHERE resultado IS NULL",
@@ -432,8 +435,13 @@ _BODIES = {
         SELECT *, CAST(row_number() OVER (PARTITION BY competicao ORDER BY rodada DESC) AS INTEGER) AS ordem, max(CASE WHEN coalesce(acuracia_casa_pct, acuracia_empate_pct, acuracia_visitante_pct)
         IS NOT NULL THEN rodada END) OVER (PARTITION BY competicao) AS tipo FROM perf) WHERE ordem <= 10""",
     "confidence_gap": f"SELECT competicao, rodada, {pct('conf_media_acerto - conf_media_erro', 1)} AS diferenca FROM conf WHERE (competicao, rodada) IN (SELECT competicao, max(rodada) FROM conf GROUP BY competicao)",
-    "bi_table": """SELECT * FROM (SELECT competicao, clube_id, posicao, 'classificacao' AS grafico FROM viewtable ORDER BY posicao, competicao LIMIT 20)
-        UNION ALL SELECT * FROM (SELECT competicao, clube_id, posicao, 'rebaixamento' FROM risk ORDER BY prob_rebaixamento DESC, competicao, clube_id LIMIT 25)""",
+    "bi_table": all_of(*[
+        f"SELECT * FROM (SELECT '{g}' AS grafico, competicao, CAST({r} AS BIGINT) AS rotulo, CAST({v} AS DOUBLE) AS valor FROM {t} ORDER BY {o} LIMIT {n})"
+        for g, r, v, t, o, n in (
+            ("classificacao", "clube_id", "posicao", "viewtable", "posicao, competicao", 20),
+            ("rebaixamento", "clube_id", "prob_rebaixamento", "risk", "prob_rebaixamento DESC, competicao, clube_id", 25),
+            ("previsoes", "id", "confianca", "ahead", "confianca DESC, id", 10),
+            ("acuracia", "rodada", "acuracia_pct", "byround", "rodada, competicao", 50))]),
     "feature_store": "SELECT * FROM store",
     "feature_store_job": "SELECT * FROM storejob",
     "features_job": "SELECT * REPLACE (round(elo_rating, 6) AS elo_rating) FROM featjob",

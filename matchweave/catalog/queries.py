@@ -56,7 +56,7 @@ def write_read_roundtrip(s, d):
 
 @query
 def ingest_matches(s, d):
-    rows = feeds.ingest_matches(L.match_feed(s, d))
+    rows = feeds.ingest_matches(L.match_feed(T.raw(s, d)))
     return rows.select(*MATCH, "status", (F.length("raw_payload") > 0).alias("com_payload"))
 
 
@@ -158,13 +158,22 @@ def model_roundtrip(s, d):
 
 @query
 def published_views(s, d):
-    views.register_views(
-        {"vw_classificacao": ST.view_standings(T.store(s, d), L.clubs(s, d)),
-         "previsoes_proximas_partidas": T.predictions(s, d).filter("resultado IS NULL").drop("resultado")}
+    standard = marts.standard_views(T.store(s, d), L.clubs(s, d), _ahead(s, d), _validated(s, d))
+    views.register_views(standard | {"previsoes_proximas_partidas": _ahead(s, d)})
+    table, ranking, ahead, hits, alias = (
+        views.read_view(s, v)
+        for v in ("gold_vw_classificacao", "gold_vw_elo_ranking", "gold_vw_previsoes", "gold_vw_desempenho_modelo", "diamond_previsoes_proximas_partidas")
     )
-    table, ahead = views.read_view(s, "gold_vw_classificacao"), views.read_view(s, "diamond_previsoes_proximas_partidas")
-    home = ahead.groupBy("competicao", F.col("clube_casa_id").alias("clube_id")).agg(F.count("*").alias("jogos_em_casa"))
-    return table.join(home, ["competicao", "clube_id"], "left").select("competicao", "clube_id", "posicao", "jogos_em_casa")
+    rows = [
+        table.select("competicao", F.lit("vw_classificacao").alias("visao"), "clube_id", F.col("posicao").alias("valor")),
+        ranking.select("competicao", F.lit("vw_elo_ranking").alias("visao"), "clube_id", F.col("ranking").alias("valor")),
+        *[
+            v.groupBy("competicao").agg(F.count("*").cast("int").alias("valor"))
+            .select("competicao", F.lit(n).alias("visao"), F.lit(None).cast("bigint").alias("clube_id"), "valor")
+            for n, v in (("vw_previsoes", ahead), ("vw_desempenho_modelo", hits), ("previsoes_proximas_partidas", alias))
+        ],
+    ]
+    return Q.union_reports(*rows)
 
 
 # ---- projections, filters, labels
@@ -598,11 +607,17 @@ def confidence_gap(s, d):
 def bi_table(s, d):
     table = ST.view_standings(T.store(s, d), L.clubs(s, d))
     risk = ST.relegation_risk(T.store(s, d), L.clubs(s, d))
+    perf = A.mart_performance(_validated(s, d))
     charts = {
-        "classificacao": R.bi_table(table, ["competicao", "clube_id", "posicao"], ["posicao", "competicao"], 20),
-        "rebaixamento": R.bi_table(risk, ["competicao", "clube_id", "posicao"], [F.desc("prob_rebaixamento"), "competicao", "clube_id"], 25),
+        "classificacao": R.bi_table(table.withColumnsRenamed({"clube_id": "rotulo", "posicao": "valor"}), ["competicao", "rotulo", "valor"], ["valor", "competicao"], 20),
+        "rebaixamento": R.bi_table(risk.withColumnsRenamed({"clube_id": "rotulo", "prob_rebaixamento": "valor"}), ["competicao", "rotulo", "valor"], [F.desc("valor"), "competicao", "rotulo"], 25),
+        "previsoes": R.bi_table(_ahead(s, d).withColumnsRenamed({"id": "rotulo", "confianca": "valor"}), ["competicao", "rotulo", "valor"], [F.desc("valor"), "rotulo"], 10),
+        "acuracia": R.bi_table(perf.withColumnsRenamed({"rodada": "rotulo", "acuracia_pct": "valor"}), ["competicao", "rotulo", "valor"], ["rotulo", "competicao"], 50),
     }
-    return Q.union_reports(*[c.withColumn("grafico", F.lit(n)) for n, c in charts.items()])
+    return Q.union_reports(*[
+        c.select(F.lit(n).alias("grafico"), "competicao", F.col("rotulo").cast("bigint"), F.col("valor").cast("double"))
+        for n, c in charts.items()
+    ])
 
 
 # ---- feature stores and marts

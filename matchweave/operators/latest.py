@@ -59,13 +59,21 @@ def rank_within(
     leads = sizes.groupBy(*key, lead).agg(F.sum("_size").alias("_size"))
     leads = leads.select(*key, lead, before(by_lead).alias("_ahead"))
     within = sizes.select(*bucket, before(in_lead).alias("_inside"))
-    offsets = within.join(leads, [*key, lead]).select(
-        *[F.col(c).alias(f"_o_{c}") for c in bucket], (F.col("_ahead") + F.col("_inside")).alias("_offset")
-    )
+    offsets = _same(within, leads, [*key, lead]).select(*bucket, (F.col("_ahead") + F.col("_inside")).alias("_offset"))
 
     place = F.row_number().over(Window.partitionBy(*bucket).orderBy(tiebreak))
     numbered = chunked.withColumn("_place", place)
-    same_bucket = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in bucket]
-    return numbered.join(offsets, same_bucket).select(
+    return _same(numbered, offsets, bucket).select(
         *df.columns, (F.col("_offset") + F.col("_place")).cast("int").alias(name)
     )
+
+
+def _same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on equal or both null columns, keeping ``left``'s.
+
+    Besides keeping rows with nulls, it adds no null filter below either side, so the
+    branches of ``rank_within`` stay the same plan and read their input's exchange once.
+    """
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    joined = left.join(renamed, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return joined.drop(*[f"_r_{c}" for c in on])

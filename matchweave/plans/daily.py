@@ -44,12 +44,23 @@ class Lake:
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name))
 
-    def write(self, name: str, df: DataFrame, mode: str = "overwrite") -> int:
-        return write_table(df, self.path(name), mode=mode)
+    def write(self, name: str, df: DataFrame) -> int:
+        return write_table(self._clustered(df), self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Overwrite unless ``df`` is empty; ``df`` may read the table itself."""
-        return write_if_nonempty(df, self.path(name))
+        return write_if_nonempty(self._clustered(df), self.path(name))
+
+    def _clustered(self, df: DataFrame) -> DataFrame:
+        """Rows of a competition together, so that a read of one skips the other files.
+
+        A rebalance, not a repartition: AQE cuts a competition that outgrows a task into
+        several and merges the small ones, where a directory per competition would give
+        either one huge file or many tiny ones.
+        """
+        if not set(self.key) <= set(df.columns):
+            return df
+        return df.hint("rebalance", *self.key).sortWithinPartitions(*self.key)
 
     @property
     def model_path(self) -> str:

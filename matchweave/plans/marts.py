@@ -1,4 +1,4 @@
-"""Published prediction mart."""
+"""Published prediction mart and the standard views."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from matchweave.functions.numeric import half_up, pct
+from matchweave.operators.accuracy import accuracy_view
 from matchweave.operators.joins import join_latest_six
 from matchweave.operators.latest import KEY, latest_per_key
-from matchweave.operators.standings import latest_state
+from matchweave.operators.reads import predictions_view
+from matchweave.operators.standings import latest_state, view_ranking, view_standings
 
 
 def mart_predictions(
@@ -32,3 +34,15 @@ def mart_predictions(
         F.col("aproveitamento_pct_casa").alias("aprov_casa_pct"), F.col("aproveitamento_pct_vis").alias("aprov_vis_pct"),
         "processed_at",
     )
+
+
+def standard_views(
+    store: DataFrame, clubs: DataFrame, predictions: DataFrame, validated: DataFrame, key: Sequence[str] = KEY
+) -> dict[str, DataFrame]:
+    """The four views, by the name they are published under."""
+    return {
+        "vw_classificacao": view_standings(store, clubs, key),
+        "vw_elo_ranking": view_ranking(store, clubs, key),
+        "vw_previsoes": predictions_view(predictions, key),
+        "vw_desempenho_modelo": accuracy_view(validated, key),
+    }

@@ -14,26 +14,24 @@ from matchweave.schemas import RAW_ATHLETES, RAW_CLUBS, RAW_MATCHES, RAW_SCORES
 PAYLOAD = "payload"
 
 
-def _field(path: str) -> Column:
-    """A member of the element, null if absent. ``raw_payload`` is the element's own text."""
-    return F.get_json_object("raw_payload", path)
-
-
-def _number(path: str, kind: str = "int", default: object = 0) -> Column:
-    value = F.expr(f"try_cast(get_json_object(raw_payload, '{path}') AS {kind})")
+def _number(name: str, kind: str = "int", default: object = 0) -> Column:
+    value = F.col(f"_e.{name}").try_cast(kind)
     return value if default is None else F.coalesce(value, F.lit(default).cast(kind))
 
 
-def _text(path: str) -> Column:
-    return F.coalesce(_field(path), F.lit(""))
+def _text(name: str) -> Column:
+    return F.coalesce(F.col(f"_e.{name}"), F.lit(""))
 
 
-def _elements(feed: DataFrame, member: str | None, as_map: bool) -> DataFrame:
-    """One row per array element or map entry, its JSON text kept whole.
+def _elements(feed: DataFrame, member: str | None, as_map: bool, fields: str) -> DataFrame:
+    """One row per array element or map entry: its JSON text whole, and ``fields`` as ``_e``.
 
     Typing the elements as strings makes the parser hand over their source text, so
-    unknown members survive in ``raw_payload``.
+    unknown members survive in ``raw_payload``. The fields are read as strings in one
+    further parse and cast by the caller, since feeds quote numbers at will.
     """
+    if ":" not in fields:
+        fields = ", ".join(f"{name}: string" for name in fields.split())
     container = "map<string,string>" if as_map else "array<string>"
     keys = [c for c in feed.columns if c != PAYLOAD]
     if member:
@@ -41,7 +39,8 @@ def _elements(feed: DataFrame, member: str | None, as_map: bool) -> DataFrame:
     else:
         parsed = F.from_json(PAYLOAD, container)
     out = ("_id", "raw_payload") if as_map else ("raw_payload",)
-    return feed.select(*keys, F.explode(parsed).alias(*out)).filter("raw_payload IS NOT NULL")
+    rows = feed.select(*keys, F.explode(parsed).alias(*out)).filter("raw_payload IS NOT NULL")
+    return rows.withColumn("_e", F.from_json("raw_payload", f"struct<{fields}>"))
 
 
 def _select(rows: DataFrame, schema, columns: dict[str, Column], keys: list[str]) -> DataFrame:
@@ -61,46 +60,51 @@ def ingest_matches(feed: DataFrame) -> DataFrame:
     A feed without ``partida_id`` gets one derived from round and clubs, the same on every
     ingest of the match.
     """
-    date = F.try_to_timestamp(_field("$.partida_data"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    date = F.try_to_timestamp(F.col("_e.partida_data"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    fields = (
+        "partida_id rodada clube_casa_id clube_visitante_id placar_oficial_mandante placar_oficial_visitante "
+        "partida_data partida_status"
+    )
     natural = {
-        "rodada": _number("$.rodada"),
-        "clube_casa_id": _number("$.clube_casa_id", "bigint"),
-        "clube_vis_id": _number("$.clube_visitante_id", "bigint"),
+        "rodada": _number("rodada"),
+        "clube_casa_id": _number("clube_casa_id", "bigint"),
+        "clube_vis_id": _number("clube_visitante_id", "bigint"),
     }
     columns = natural | {
-        "partida_id": F.coalesce(_number("$.partida_id", "bigint", None), F.xxhash64(*natural.values())),
-        "placar_casa": _number("$.placar_oficial_mandante", default=None),
-        "placar_vis": _number("$.placar_oficial_visitante", default=None),
+        "partida_id": F.coalesce(_number("partida_id", "bigint", None), F.xxhash64(*natural.values())),
+        "placar_casa": _number("placar_oficial_mandante", default=None),
+        "placar_vis": _number("placar_oficial_visitante", default=None),
         "data_partida": date,
-        "status": _text("$.partida_status"),
+        "status": _text("partida_status"),
         "raw_payload": F.col("raw_payload"),
     }
-    return _select(_elements(feed, "partidas", as_map=False), RAW_MATCHES, columns, _keys(feed))
+    return _select(_elements(feed, "partidas", False, fields), RAW_MATCHES, columns, _keys(feed))
 
 
 def ingest_clubs(feed: DataFrame) -> DataFrame:
     """Clubs of a map keyed by club id; the crest sits in a nested object."""
     columns = {
         "clube_id": F.col("_id"),
-        "nome": _text("$.nome"),
-        "abreviacao": _text("$.abreviacao"),
-        "escudo_url": _text("$.escudos.60x60"),
+        "nome": _text("nome"),
+        "abreviacao": _text("abreviacao"),
+        "escudo_url": _text("escudos.60x60"),
         "raw_payload": F.col("raw_payload"),
     }
-    rows = _elements(feed, None, as_map=True).withColumn("_id", F.expr("try_cast(_id AS bigint)"))
+    fields = "nome: string, abreviacao: string, escudos: struct<`60x60`: string>"
+    rows = _elements(feed, None, True, fields).withColumn("_id", F.expr("try_cast(_id AS bigint)"))
     return _select(rows.filter("_id IS NOT NULL"), RAW_CLUBS, columns, _keys(feed))
 
 
 def ingest_athletes(feed: DataFrame) -> DataFrame:
     columns = {
-        "atleta_id": _number("$.atleta_id", "bigint"),
-        "nome": _text("$.apelido"),
-        "clube_id": _number("$.clube_id", "bigint"),
-        "posicao_id": _number("$.posicao_id"),
-        "status_id": _number("$.status_id"),
+        "atleta_id": _number("atleta_id", "bigint"),
+        "nome": _text("apelido"),
+        "clube_id": _number("clube_id", "bigint"),
+        "posicao_id": _number("posicao_id"),
+        "status_id": _number("status_id"),
         "raw_payload": F.col("raw_payload"),
     }
-    return _select(_elements(feed, "atletas", as_map=False), RAW_ATHLETES, columns, _keys(feed))
+    return _select(_elements(feed, "atletas", False, "atleta_id apelido clube_id posicao_id status_id"), RAW_ATHLETES, columns, _keys(feed))
 
 
 def ingest_scores(feed: DataFrame, rodada: int | None = None) -> DataFrame:
@@ -108,11 +112,11 @@ def ingest_scores(feed: DataFrame, rodada: int | None = None) -> DataFrame:
     columns = {
         "rodada": F.col("rodada") if rodada is None else F.lit(rodada),
         "atleta_id": F.col("_id"),
-        "clube_id": _number("$.clube_id", "bigint"),
-        "pontos": _number("$.pontuacao", "double", 0.0),
+        "clube_id": _number("clube_id", "bigint"),
+        "pontos": _number("pontuacao", "double", 0.0),
         "raw_payload": F.col("raw_payload"),
     }
-    rows = _elements(feed, "atletas", as_map=True).withColumn("_id", F.expr("try_cast(_id AS bigint)"))
+    rows = _elements(feed, "atletas", True, "clube_id pontuacao").withColumn("_id", F.expr("try_cast(_id AS bigint)"))
     return _select(rows.filter("_id IS NOT NULL"), RAW_SCORES, columns, _keys(feed))
 
 

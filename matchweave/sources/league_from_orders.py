@@ -196,7 +196,7 @@ def _paged(df: DataFrame, group: list[str], id_column: str, element: Column, as_
     return docs.select(*group, body.alias("payload"))
 
 
-def match_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def match_feed(raw: DataFrame) -> DataFrame:
     """F-4: every seventh match lacks its round, every fifth its date."""
     key = F.col("partida_id")
     element = F.struct(
@@ -209,7 +209,7 @@ def match_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 5 != 0, F.date_format("data_partida", "yyyy-MM-dd HH:mm:ss")).alias("partida_data"),
         F.when(F.col("placar_casa").isNotNull(), "Encerrada").alias("partida_status"),
     )
-    return _paged(raw_matches(spark, sf_dir), ["competicao"], "partida_id", element, False, "partidas")
+    return _paged(raw, ["competicao"], "partida_id", element, False, "partidas")
 
 
 def club_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
