@@ -39,7 +39,7 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
 
 def _window_query(name: str, values: Callable[[], dict]) -> None:
     def build(spark: SparkSession, d: str) -> DataFrame:
-        return _rows(spark, d).select(*ROW, *[c.alias(n) for n, c in values().items()])
+        return C.over_clubs(_rows(spark, d), values(), ROW)
 
     build.__name__ = name
     query(build)
@@ -369,7 +369,7 @@ def join_standings(s, d):
 @query
 def join_venue_rates(s, d):
     rows = _rows(s, d)
-    rates = rows.select("competicao", "clube_id", "rodada", "eh_casa", *[c.alias(n) for n, c in C.venue_rate_incl(default=None).items()])
+    rates = C.over_clubs(rows, C.venue_rate_incl(default=None), ["competicao", "clube_id", "rodada", "eh_casa"])
     form = rows.select("competicao", "clube_id", "rodada", "pontos")
     return J.join_venue_rates(form, rates.filter("eh_casa"), rates.filter("NOT eh_casa"))
 
@@ -470,6 +470,7 @@ def club_rows(s, d):
 for _name, _values in {
     "cum_stats": C.cum_stats,
     "goal_diff": C.goal_diff,
+    "goal_diff_double": C.goal_diff_double,
     "games": C.games,
     "success_rate": lambda: {"taxa": C.success_rate()["aproveitamento_pct"], "taxa_2": C.success_rate(digits=2)["aproveitamento_pct"]},
     "form5_prior": C.form5_prior,
@@ -484,11 +485,6 @@ for _name, _values in {
     _window_query(_name, _values)
 
 
-@query
-def goal_diff_double(s, d):
-    return C.goal_diff_double(_rows(s, d)).select(*ROW, "saldo_gols_double")
-
-
 @query
 def elo(s, d):
     rated = E.elo(T.matches(s, d))
@@ -497,14 +493,14 @@ def elo(s, d):
 
 @query
 def elo_additive(s, d):
-    return E.elo_additive(_rows(s, d), L.base_ratings(s, d)).select(*ROW, "elo_rating")
+    return E.elo_additive(_rows(s, d), L.base_ratings(s, d), ROW)
 
 
 @query
 def elo_simplified(s, d):
     form, rates = C.form_incl(), C.venue_rate_incl(default=None)
     rating = E.elo_simplified(rates["aproveitamento_casa"], rates["aproveitamento_fora"], form["media_pontos_5j"])
-    return _rows(s, d).select(*ROW, rating.alias("elo_rating"))
+    return C.over_clubs(_rows(s, d), {"elo_rating": rating}, ROW)
 
 
 @query

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from matchweave.functions.numeric import half_up
 from matchweave.functions.scoring import AWAY, DRAW, HOME
 from matchweave.operators.clean import played
-from matchweave.operators.clubrows import START, by_club
+from matchweave.operators.clubrows import BLOCK, START, in_block, over_clubs
 from matchweave.operators.latest import KEY, MATCH_KEY
 from matchweave.session import shared_folder, stage
 
@@ -157,15 +157,24 @@ def additive_delta(k: float = 30) -> Column:
     return F.when(F.col("vitoria") == 1, k * WIN_SHARE).when(F.col("derrota") == 1, -k * WIN_SHARE).otherwise(draw)
 
 
-def elo_additive(rows: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30) -> DataFrame:
+def additive_total(key: Sequence[str] = KEY) -> Column:
+    """All changes so far; needs ``_delta`` among the measures."""
+    return F.sum("_delta").over(in_block(key).rowsBetween(START, 0))
+
+
+def elo_additive(
+    rows: DataFrame, base: DataFrame, keep: Sequence[str], key: Sequence[str] = KEY, k: float = 30, limit: int = BLOCK
+) -> DataFrame:
     """Post-match rating: the club's base plus all its changes so far. A plain window.
 
     ``base`` has (clube_id, elo_base); a club without one starts at ``START_RATING``.
     """
-    total = F.sum(additive_delta(k)).over(by_club(key).rowsBetween(START, 0))
-    summed = rows.withColumn("_moved", total).join(base.select("clube_id", "elo_base"), "clube_id", "left")
+    moved = over_clubs(
+        rows.withColumn("_delta", additive_delta(k)), {"_moved": additive_total(key)}, keep, key, ["_delta"], limit
+    )
     start = F.coalesce("elo_base", F.lit(START_RATING))
-    return summed.withColumn("elo_rating", half_up(start + F.col("_moved"), 2)).drop("_moved", "elo_base")
+    based = moved.join(base.select("clube_id", "elo_base"), "clube_id", "left")
+    return based.select(*keep, half_up(start + F.col("_moved"), 2).alias("elo_rating"))
 
 
 # Weights and defaults of the simplified rating.

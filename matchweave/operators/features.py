@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from matchweave.functions.numeric import half_up
 from matchweave.operators import clubrows as C
-from matchweave.operators.elo import PRE, additive_delta, elo, elo_simplified, START_RATING
+from matchweave.operators.elo import PRE, START_RATING, additive_delta, additive_total, elo, elo_simplified
 from matchweave.operators.grid import carry_forward
-from matchweave.operators.latest import KEY
+from matchweave.operators.latest import KEY, latest_per_key
 
 STORE = [name for name, _ in C.CUMULATIVE] + ["saldo_gols", "aproveitamento_pct"]
 ENHANCED = [
@@ -19,41 +19,53 @@ ENHANCED = [
 ]
 
 
-def feature_store(matches: DataFrame, key: Sequence[str] = KEY, variant: str = "sql") -> DataFrame:
-    """State of each club after each of its rounds.
+ROW = ("rodada", "clube_id")
+
+
+def _after_round(rows: DataFrame, key: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The row of a club's last match in each round, for tables keyed by (round, club)."""
+    return latest_per_key(rows, [*key, *ROW], ["data_partida", "partida_id"]).select(*key, *ROW, *keep)
+
+
+def _store(rows: DataFrame, values: dict[str, Column], key: Sequence[str], per_round: bool, limit: int, **options) -> DataFrame:
+    """One row per match of a club, or with ``per_round`` per round."""
+    order = ["data_partida", "partida_id"] if per_round else []
+    out = C.over_clubs(rows, values, [*key, *ROW, *order], key, limit=limit, **options)
+    return _after_round(out, key, list(values)) if per_round else out
+
+
+def feature_store(
+    matches: DataFrame, key: Sequence[str] = KEY, variant: str = "sql", per_round: bool = False, limit: int = C.BLOCK
+) -> DataFrame:
+    """State of each club after each of its matches.
 
     ``sql`` rounds the rate to 2 digits; ``job`` leaves it unrounded and carries the
     doubly accumulated goal difference the model trains on.
     """
-    rows = C.club_rows(matches, key)
     if variant == "job":
-        rows = C.goal_diff_double(rows, key)
-        rows = rows.withColumns({"_" + n: c for n, c in (C.cum_stats(key) | C.success_rate(key)).items()})
-        renamed = [F.col("_" + n).alias(n) for n, _ in C.CUMULATIVE]
-        return rows.select(
-            *key, "rodada", "clube_id", *renamed,
-            F.col("saldo_gols_double").alias("saldo_gols"), F.col("_aproveitamento_pct").alias("aproveitamento_pct"),
-        )
-    values = C.cum_stats(key) | C.goal_diff(key) | C.success_rate(key, digits=2)
-    return rows.select(*key, "rodada", "clube_id", *[values[n].alias(n) for n in STORE])
-
-
-def features_job(matches: DataFrame, key: Sequence[str] = KEY, **elo_options) -> DataFrame:
+        goals, rate = C.goal_diff_double(key)["saldo_gols_double"], C.success_rate(key)
+        values = C.cum_stats(key) | {"saldo_gols": goals} | rate
+    else:
+        values = C.cum_stats(key) | C.goal_diff(key) | C.success_rate(key, digits=2)
+    return _store(C.club_rows(matches, key), values, key, per_round, limit)
+
+
+def features_job(
+    matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, limit: int = C.BLOCK, **elo_options
+) -> DataFrame:
     """Sequential Elo and form before each match."""
     rows = C.club_rows(elo(matches, key, **elo_options), key, carry={"elo_rating": PRE})
-    values = C.form5_prior(key) | C.venue_rate_prior(key) | C.momentum_sum3(key)
-    return rows.select(
-        *key, "rodada", "clube_id", "elo_rating",
-        *[values[n].cast("double").alias(n) for n in ENHANCED if n != "elo_rating"],
-    )
+    before = C.form5_prior(key) | C.venue_rate_prior(key) | C.momentum_sum3(key)
+    values = {"elo_rating": F.col("elo_rating")} | {n: c.cast("double") for n, c in before.items()}
+    return _store(rows, {n: values[n] for n in ENHANCED}, key, per_round, limit)
 
 
-def features_sql(matches: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+def features_sql(
+    matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, limit: int = C.BLOCK
+) -> DataFrame:
     """Simplified rating and form with the match included; venue rates in the same pass."""
-    rows = C.club_rows(matches, key)
-    form, rates = C.form_incl(key), C.venue_rate_incl(key, default=None)
-    raw = rows.select(*key, "rodada", "clube_id", *[c.alias(n) for n, c in (form | rates).items()])
-    return combine_sql(raw, key)
+    values = C.form_incl(key) | C.venue_rate_incl(key, default=None)
+    return combine_sql(_store(C.club_rows(matches, key), values, key, per_round, limit), key)
 
 
 def combine_sql(raw: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -70,29 +82,28 @@ def combine_sql(raw: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     )
 
 
-def features_seed(matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30) -> DataFrame:
+def features_seed(
+    matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30, limit: int = C.BLOCK
+) -> DataFrame:
     """Additive rating and venue points on the grid of all clubs and rounds."""
-    rows = C.club_rows(matches, key)
     form = {n: half_up(c, 4) for n, c in C.form_incl(key, points_over=()).items()}
-    moved = F.sum(additive_delta(k)).over(C.by_club(key).rowsBetween(C.START, 0))
-    values = form | C.venue_points_pct(key) | C.momentum_weighted(key) | {"_moved": moved}
-    states = rows.select(*key, "clube_id", *C.MATCH_ORDER, *[c.alias(n) for n, c in values.items()])
+    moved = {"_moved": additive_total(key)}
+    values = form | C.venue_points_pct(key) | C.momentum_weighted(key) | moved
+    rows = C.club_rows(matches, key).withColumn("_delta", additive_delta(k))
+    states = _store(rows, values, key, True, limit, measures=["_delta"])
     before = {n: 0.0 for n in values} | {"momentum": 0.5}
     grid = carry_forward(states, before, key).join(base.select("clube_id", "elo_base"), "clube_id", "left")
     rating = half_up(F.coalesce("elo_base", F.lit(START_RATING)) + F.col("_moved"), 2)
-    return grid.withColumn("elo_rating", rating).select(*key, "rodada", "clube_id", *ENHANCED)
+    return grid.withColumn("elo_rating", rating).select(*key, *ROW, *ENHANCED)
 
 
-def round_club_grid(matches: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+def round_club_grid(matches: DataFrame, key: Sequence[str] = KEY, limit: int = C.BLOCK) -> DataFrame:
     """Cumulative statistics of every club in every round."""
     values = C.cum_stats(key) | C.games(key)
-    states = C.club_rows(matches, key).select(
-        *key, "clube_id", *C.MATCH_ORDER,
-        *[c.alias("_" + n) for n, c in values.items()],
-    )
-    grid = carry_forward(states, {"_" + n: 0 for n in values}, key)
+    states = _store(C.club_rows(matches, key), values, key, True, limit)
+    grid = carry_forward(states, dict.fromkeys(values, 0), key)
     return grid.select(
-        *key, "rodada", "clube_id", *[F.col("_" + n).alias(n) for n, _ in C.CUMULATIVE],
-        (F.col("_gols_marcados") - F.col("_gols_sofridos")).alias("saldo_gols"),
-        C.points_rate_zero("_pontos_acumulados", F.col("_jogos")).alias("aproveitamento_pct"),
+        *key, *ROW, *[n for n, _ in C.CUMULATIVE],
+        (F.col("gols_marcados") - F.col("gols_sofridos")).alias("saldo_gols"),
+        C.points_rate_zero("pontos_acumulados", F.col("jogos")).alias("aproveitamento_pct"),
     )

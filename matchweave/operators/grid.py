@@ -11,17 +11,19 @@ from matchweave.operators.latest import KEY
 
 
 def carry_forward(states: DataFrame, values: dict[str, object], key: Sequence[str] = KEY) -> DataFrame:
-    """Expand per-match ``states`` to rounds 1..last of the competition.
+    """Expand ``states`` to rounds 1..last of the competition.
 
-    ``values`` maps each state column to its value before the club's first match. A
+    ``states`` has one row per club and round, so a club's window is as long as the
+    calendar. ``values`` maps each state column to its value before the club's first match. A
     state holds from its own round up to the round before the club's next match, so
     each row explodes into that span: no rounds x clubs product, no join per cell. The
     output still has one row per cell, which is what the operator is for.
     """
     columns = list(values)
+    by_round = by_club(key, ["rodada"])
     last_round = states.groupBy(*key).agg(F.max("rodada").alias("_last"))
     spans = states.withColumns(
-        {"_next": F.lead("rodada").over(by_club(key)), "_first": F.row_number().over(by_club(key)) == 1}
+        {"_next": F.lead("rodada").over(by_round), "_first": F.row_number().over(by_round) == 1}
     ).join(last_round, list(key))
 
     def span(start: Column, end: Column, state: list[Column]) -> Column:

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from matchweave.operators.clubrows import START, by_club
-from matchweave.operators.latest import KEY, MATCH_KEY
+from matchweave.operators.latest import KEY
 
 SIDES = ("casa", "vis")
 
@@ -91,26 +91,19 @@ def features_exact(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = K
 def features_asof(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Features of each club's latest round strictly before the fixture; 0 without one.
 
-    Equi-join only: both sides of a fixture become probe rows, are put in one order with
-    the club's states, and take the last state seen. Probes sort ahead of states of the
-    same round. A club's group is bounded by the calendar. The two probes meet again in
-    an aggregation on the fixture.
+    Equi-joins only. The (round, club) pairs the fixtures ask for are put in one order
+    with the club's states and take the last state seen; a pair sorts ahead of the state
+    of its own round. Both have one row per club and round, so a club's group is bounded
+    by the calendar. The answers then join like states of the fixture's own round.
     """
-    ids = [*key, *MATCH_KEY]
-    home = F.struct(F.col(club_id("casa")).alias("clube_id"), F.lit(True).alias("_casa"))
-    away = F.struct(F.col(club_id("vis")).alias("clube_id"), F.lit(False).alias("_casa"))
-    probes = fixtures.select(*ids, F.inline(F.array(home, away)), F.lit(0).alias("_tag"))
-    states = state.select(*key, "clube_id", "rodada", F.lit(1).alias("_tag"), F.struct(*STATE).alias("_state"))
-    both = probes.unionByName(states, allowMissingColumns=True)
+    on = [*key, "rodada", "clube_id"]
+    clubs = F.explode(F.array(*map(club_id, SIDES))).alias("clube_id")
+    asked = fixtures.select(*key, "rodada", clubs).distinct().withColumn("_tag", F.lit(0))
+    states = state.select(*on, F.lit(1).alias("_tag"), F.struct(*STATE).alias("_state"))
+    both = asked.unionByName(states, allowMissingColumns=True)
     seen = F.last("_state", ignorenulls=True).over(by_club(key, ("rodada", "_tag")).rowsBetween(START, 0))
-    matched = both.withColumn("_state", seen).filter("_tag = 0")
-
-    def of_side(side: str) -> list[Column]:
-        here = F.col("_casa") if side == "casa" else ~F.col("_casa")
-        return [F.max(F.when(here, F.col("_state")[column])).alias(name) for name, column in side_features(side).items()]
-
-    found = matched.groupBy(*ids).agg(*of_side("casa"), *of_side("vis"))
-    return fixtures.join(found, ids, "left").select(*fixtures.columns, *FEATURES).fillna(0.0, subset=FEATURES)
+    found = both.withColumn("_state", seen).filter("_tag = 0").select(*on, "_state.*")
+    return features_exact(fixtures, found, key)
 
 
 def match_features(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = KEY, mode: str = "asof") -> DataFrame:

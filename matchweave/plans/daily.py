@@ -146,16 +146,18 @@ def gold(lake: Lake) -> tuple[str, int, str | None]:
     """Feature stores: the published one, the model's, and the enhanced one."""
     if not lake.exists("silver.partidas"):
         return "skipped", 0, "silver.partidas vazia"
-    matches = staged(clean.one_match_per_round(lake.read("silver.partidas"), lake.key), "partidas")
+    matches = lake.read("silver.partidas")
     tables = {
-        "gold.feature_store": features.feature_store(matches, lake.key),
-        "gold.feature_store_model": features.feature_store(matches, lake.key, variant="job"),
-        "gold.feature_store_enhanced": features.features_job(matches, lake.key),
+        "gold.feature_store": features.feature_store(matches, lake.key, per_round=True),
+        "gold.feature_store_model": features.feature_store(matches, lake.key, variant="job", per_round=True),
+        "gold.feature_store_enhanced": features.features_job(matches, lake.key, per_round=True),
     }
     total = 0
     for name, df in tables.items():
         count = lake.replace(name, df)
         lake.check_count(f"{name.replace('.', '_')}_count", name, count)
+        if count:
+            lake.check(quality.dq_feature_keys(lake.read(name), name, lake.key))
         total += count
     return "success", total, None
 
@@ -167,8 +169,8 @@ def _model_state(lake: Lake) -> DataFrame:
 def train(lake: Lake) -> tuple[str, int, str | None]:
     rows = staged(
         dataset.training_set(
-            clean.one_match_per_round(lake.read("silver.partidas"), lake.key),
-            lake.read("gold.feature_store_enhanced"), lake.read("gold.feature_store_model"), lake.key,
+            lake.read("silver.partidas"), lake.read("gold.feature_store_enhanced"),
+            lake.read("gold.feature_store_model"), lake.key,
         ),
         "treino",
     )

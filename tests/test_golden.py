@@ -92,7 +92,7 @@ def test_a_club_missing_the_last_round_stays_in_the_mart_only(season, clubs):
 
 def test_doubly_accumulated_goal_difference(spark):
     rows = [(i, i, 1, 10 + i, goals, 0, golden.games()[0][-1]) for i, goals in enumerate((2, 3, 4), start=1)]
-    doubled = C.goal_diff_double(C.club_rows(golden.matches(spark, rows))).filter("clube_id = 1")
+    doubled = C.over_clubs(C.club_rows(golden.matches(spark, rows)), C.goal_diff_double(), ["clube_id", "rodada"]).filter("clube_id = 1")
     assert [r.saldo_gols_double for r in doubled.orderBy("rodada").collect()] == [2, 7, 16]
 
 

@@ -45,15 +45,15 @@ def mean(values):
     return sum(values) / len(values) if values else 0.0
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_form_and_momentum(spark, seed):
+@pytest.mark.parametrize("seed, limit", [(0, 10**6), (1, 10**6), (1, 6), (2, 7)])
+def test_form_and_momentum(spark, seed, limit):
     rows = league(seed)
     matches = golden.matches(spark, rows)
     values = C.form5_prior() | {f"prior_{n}": c for n, c in C.venue_rate_prior().items()} | {
         "m3": C.momentum_sum3()["momentum"], "mw": C.momentum_weighted()["momentum"], "md": C.momentum_diff()["momentum"],
         "vp": C.venue_points_pct()["aproveitamento_casa"], "vi": C.venue_rate_incl()["aproveitamento_fora"],
     }
-    found = C.club_rows(matches).select("clube_id", "rodada", *[c.alias(n) for n, c in values.items()]).collect()
+    found = C.over_clubs(C.club_rows(matches), values, ["clube_id", "rodada"], limit=limit).collect()
     history = by_club(rows)
     for r in found:
         games = history[r.clube_id]
@@ -74,6 +74,36 @@ def test_form_and_momentum(spark, seed):
         assert r.vi == pytest.approx(mean(g[2] == 3 for g in away) if not games[at][1] else 0)
 
 
+@pytest.mark.parametrize("limit", [6, 8, 60])
+def test_blocks_give_the_values_of_one_window(spark, limit):
+    """Clubs with several matches per round and day, cut into blocks or not."""
+    matches = golden.matches(spark, league(7, clubs=5, rounds=14, crowded=True))
+    base = spark.createDataFrame([(i, 1400.0 + i) for i in range(1, 5)], "clube_id bigint, elo_base double")
+    order = ["competicao", "clube_id", "rodada", "data_partida", "partida_id"]
+
+    def additive(limit):
+        return elo.elo_additive(C.club_rows(matches), base, order, limit=limit)
+
+    for build in (
+        lambda n: features.feature_store(matches, limit=n),
+        lambda n: features.feature_store(matches, variant="job", limit=n),
+        lambda n: features.features_sql(matches, limit=n),
+        lambda n: features.features_seed(matches, base, limit=n),
+        lambda n: features.round_club_grid(matches, limit=n),
+        additive,
+    ):
+        assert sorted(map(tuple, build(limit).collect())) == sorted(map(tuple, build(10**6).collect()))
+
+
+def test_one_row_per_round_holds_the_state_after_it(spark):
+    rows = league(7, clubs=5, rounds=6, crowded=True)
+    store = features.feature_store(golden.matches(spark, rows), per_round=True).collect()
+    history = by_club(rows)
+    assert len(store) == sum(len({g[0] for g in games}) for games in history.values())
+    for r in store:
+        assert r.pontos_acumulados == sum(g[2] for g in history[r.clube_id] if g[0] <= r.rodada)
+
+
 def test_grid_carries_every_club_through_every_round(spark):
     rows = league(5, clubs=7)
     matches = golden.matches(spark, rows)
