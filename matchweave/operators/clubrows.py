@@ -69,7 +69,8 @@ def over_clubs(
 
     Sums reach over ``MEASURES`` and the extra ``measures``. ``rows`` is counted first;
     only if it holds more than ``limit`` rows are the clubs counted too, and only clubs
-    above it take the blocked path. ``limit`` is at least ``LONGEST``.
+    above it take the blocked path. Pass rows of a written table, so that counting is a
+    scan. ``limit`` is at least ``LONGEST``.
     """
     columns = [c.alias(n) for n, c in values.items()]
     rows = rows.withColumn("_jogos", F.lit(1))
