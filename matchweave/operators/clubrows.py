@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from matchweave.functions.numeric import half_up
+from matchweave.functions.numeric import clock_micros, half_up
 from matchweave.functions.scoring import AWAY, HOME, outcome_flags, points
 from matchweave.operators.clean import played
 from matchweave.operators.latest import KEY, rank_within
@@ -107,7 +107,7 @@ def _blocks(rows: DataFrame, measures: Sequence[str], key: Sequence[str], size:
     before the block for the bounded frames.
     """
     clubs = [*key, "clube_id"]
-    descending = {"_rodada": -F.col("rodada"), "_quando": -F.unix_micros(F.col("data_partida").cast("timestamp"))}
+    descending = {"_rodada": -F.col("rodada"), "_quando": -clock_micros(F.col("data_partida"))}
     numbered = rank_within(rows.withColumns(descending), clubs, list(descending), "partida_id", "_n", size)
     numbered = _weighted(numbered.drop(*descending)).withColumns(
         {"_bloco": F.expr(f"(_n - 1) div {size}"), "_total": F.expr(f"(_n - 1 + {LONGEST}) div {size}")}

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from matchweave.functions.numeric import clock_micros
 from matchweave.operators.clean import played
 from matchweave.operators.clubrows import by_club
 from matchweave.operators.joins import FEATURES, join_features, join_match_features
@@ -34,7 +35,7 @@ def training_set(
 
 def _ordinals() -> list[Column]:
     """The order rows are split in, as integers."""
-    return [F.col("rodada").cast("bigint"), F.unix_micros(F.col("data_partida").cast("timestamp")), F.col("partida_id")]
+    return [F.col("rodada").cast("bigint"), clock_micros(F.col("data_partida")), F.col("partida_id")]
 
 
 def _value_at(rows: DataFrame, value: Column, position: int, width: int = 1024) -> tuple[int, int]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from matchweave.schemas import RAW_ATHLETES, RAW_CLUBS, RAW_MATCHES, RAW_SCORES
 
 PAYLOAD = "payload"
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def _number(name: str, kind: str = "int", default: object = 0) -> Column:
@@ -60,7 +61,8 @@ def ingest_matches(feed: DataFrame) -> DataFrame:
     A feed without ``partida_id`` gets one derived from round and clubs, the same on every
     ingest of the match.
     """
-    date = F.try_to_timestamp(F.col("_e.partida_data"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    text = F.col("_e.partida_data")
+    date = F.when(text.rlike(DATE_PATTERN), text.try_cast("timestamp_ntz"))
     fields = (
         "partida_id rodada clube_casa_id clube_visitante_id placar_oficial_mandante placar_oficial_visitante "
         "partida_data partida_status"

@@ -163,7 +163,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key % 30 + 8).cast("int").alias("rodada_teste"),
         F.to_json(F.struct(F.col("p_size").alias("max_depth"))).alias("parametros"),
         (key % 7 == 0).alias("ativo"),
-        (F.timestamp_seconds(F.lit(1767225600) + key * 60)).cast("timestamp_ntz").alias("processed_at"),
+        F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 0, cast(p_partkey as int))").alias("processed_at"),
     )
 
 
@@ -177,7 +177,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("stage"),
         status.alias("status"),
         F.col("ts").cast("timestamp_ntz").alias("started_at"),
-        F.expr("timestampadd(SECOND, cast(floor(value) as int), cast(ts as timestamp_ntz))").alias("finished_at"),
+        F.expr("cast(ts as timestamp_ntz) + make_dt_interval(0, 0, 0, cast(floor(value) as int))").alias("finished_at"),
         seconds.alias("duration_seconds"),
         F.get_json_object("props", "$.k").cast("bigint").alias("records_processed"),
         F.when(F.col("event_type") == "error", F.col("props")).alias("error_message"),
@@ -206,7 +206,7 @@ def match_feed(raw: DataFrame) -> DataFrame:
         F.col("clube_vis_id").alias("clube_visitante_id"),
         F.col("placar_casa").alias("placar_oficial_mandante"),
         F.col("placar_vis").alias("placar_oficial_visitante"),
-        F.when(key % 5 != 0, F.date_format("data_partida", "yyyy-MM-dd HH:mm:ss")).alias("partida_data"),
+        F.when(key % 5 != 0, F.col("data_partida").cast("timestamp_ntz").cast("string")).alias("partida_data"),
         F.when(F.col("placar_casa").isNotNull(), "Encerrada").alias("partida_status"),
     )
     return _paged(raw, ["competicao"], "partida_id", element, False, "partidas")

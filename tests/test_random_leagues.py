@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window, functions as F
 
-from matchweave.functions.numeric import half_up
+from matchweave.functions.numeric import clock_micros, half_up
 from matchweave.operators import clean, clubrows as C, dataset, elo, features, joins
 from matchweave.operators.latest import append_dedupe, latest_per_key, rank_within
 from tests import golden
@@ -74,7 +74,7 @@ def test_form_and_momentum(spark, seed, limit):
         assert r.vi == pytest.approx(mean(g[2] == 3 for g in away) if not games[at][1] else 0)
 
 
-@pytest.mark.parametrize("limit", [6, 8, 60])
+@pytest.mark.parametrize("limit", [6, 20])
 def test_blocks_give_the_values_of_one_window(spark, limit):
     """Clubs with several matches per round and day, cut into blocks or not."""
     matches = golden.matches(spark, league(7, clubs=5, rounds=14, crowded=True))
@@ -254,6 +254,18 @@ def test_class_weights(spark, season):
     assert weights == {"casa": 50 / (3 * 21), "visitante": 50 / (3 * 20), "empate": 50 / (3 * 9)}
 
 
+def test_clock_order_ignores_the_session_zone(spark):
+    """23:30 and 00:30 around a spring-forward gap keep their distance."""
+    texts = ["2018-11-03 23:30:00", "2018-11-04 00:30:00", "2018-11-04 01:30:00.25"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        a, b, c = (r[0] for r in df.select(clock_micros(F.col("t"))).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (b - a, c - b) == (3_600_000_000, 3_600_250_000)
+
+
 def test_half_up(spark):
     values = spark.createDataFrame([(2.675,), (-0.125,), (50.15,), (None,)], "x double")
     assert [r[0] for r in values.select(half_up(F.col("x"), 2)).collect()] == [2.68, -0.13, 50.15, None]
