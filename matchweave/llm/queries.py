@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchweave.llm import decontaminate, rules
+from matchweave.llm import decontaminate, rules, simhash, token_counts, toxicity
 from matchweave.llm.common import table
 
 
@@ -18,4 +18,16 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
 
 
+def op3_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("passages")
+
+
+def op10_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
+
+
 QUERIES = {name: make for name, make in globals().items() if name.startswith("op")}
