@@ -13,13 +13,18 @@ from pyspark.sql import types as T
 
 from matchweave.llm.common import arrow_columns, long
 from matchweave.llm.fitting import id_remainder, labelled_sample, logistic, probability
+from matchweave.session import stage
 
 #: Labelled rows of each class that the lexicon and the calibration are learned from, together.
 PER_CLASS = 8000
 #: Tokens the lexicon holds at most, those with the clearest log-odds first.
 LEXICON = 50_000
-#: Standard errors a token's log-odds must have; the strength of the prior, in tokens; what every other token costs.
-CLEAR, PRIOR, DRIFT = 4.0, 500.0, 0.05
+#: Standard errors a token's log-odds must have; what every other token costs.
+CLEAR, DRIFT = 4.0, 0.05
+#: A word without a score of its own takes that of its longest prefix of so many letters that has one.
+PREFIXES = (8, 7, 6, 5)
+#: Words whose scores a worker remembers before it starts anew.
+REMEMBERED = 500_000
 #: Expected chance segments in a text below which a segment counts as a passage.
 SIGNIFICANT = 0.01
 
@@ -68,11 +73,20 @@ class Lexicon:
     scale: float = 1.0
     weights: tuple = (0.0, 0.0, 0.0)
 
+    def of(self, word: str) -> float | None:
+        for key in (word, *(word[:k] + "^" for k in PREFIXES if len(word) > k)):
+            if (score := self.scores.get(key)) is not None:
+                return score
+        return None
+
     def passages(self, words: list[str]) -> list[tuple[int, int, float]]:
-        own = self.scores
-        if own.keys().isdisjoint(words):
-            return []
-        return segments([(i, own[w]) for i, w in enumerate(words) if w in own], self.gap)
+        memory = self.__dict__.setdefault("memory", {})
+        for word in set(words).difference(memory):
+            memory[word] = self.of(word)
+        found = segments([(i, s) for i, s in enumerate(map(memory.__getitem__, words)) if s is not None], self.gap)
+        if len(memory) > REMEMBERED:
+            memory.clear()
+        return found
 
     def expected(self, score: float, n: int) -> float:
         """Chance segments of at least this score in a clean text of ``n`` tokens."""
@@ -90,45 +104,67 @@ class Lexicon:
         return probability(self.weights[0] * math.log1p(best) + self.weights[1] * math.log1p(total) + self.weights[2])
 
 
-def learn(sample: DataFrame) -> Lexicon:
-    """Lexicon from one half of the sample (doc_id, text, y), its calibration from the other half.
+def _context_counts(sample: DataFrame) -> DataFrame:
+    """(w, toxic0, clean0, toxic1, clean1): contexts of each token in either half. Prefixes of words count as tokens, marked ^.
 
-    Tokens are counted by Spark; of the counts only the clearest ``LEXICON`` tokens come to the driver.
+    A token counts once for each pair of neighbours, so copies of a text count as one text.
     """
-    sample = sample.withColumn("half", F.xxhash64(F.lit("half"), "doc_id") % 2 == 0)
-    words = sample.where("half").select("y", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("w"))
-    counts = words.groupBy("w").agg(F.sum("y").cast("double").alias("toxic"), F.sum(1 - F.col("y")).cast("double").alias("clean"))
-    totals = counts.agg(F.sum("toxic"), F.sum("clean")).first()
-    n_toxic, n_clean = (totals[0] or 0.0), (totals[1] or 0.0)
+    words = sample.select("y", "half", F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0)).alias("w"))
+    seen = words.select("y", "half", F.explode(F.transform("w", lambda x, i: F.struct(x.alias("w"), F.get("w", i - 1).alias("l"), F.get("w", i + 1).alias("r")))).alias("t"))
+    seen = seen.select("half", "y", "t.*").distinct()
+    keys = F.array(F.col("w"), *[F.when(F.length("w") > k, F.concat(F.substring("w", 1, k), F.lit("^"))) for k in PREFIXES])
+    each = seen.select("half", "y", F.explode(keys).alias("w")).where(F.col("w").isNotNull())
+    count = lambda half, y: F.sum(((F.col("half") == half) & (F.col("y") == y)).cast("double")).alias(f"{('clean', 'toxic')[y]}{half}")
+    return each.groupBy("w").agg(*[count(h, y) for h in (0, 1) for y in (0, 1)])
+
+
+def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float) -> Lexicon:
+    """Tokens with clear log-odds; the prior is the token's share of all contexts, as strong as the smaller class."""
     if not n_toxic or not n_clean:
         return Lexicon({}, DRIFT, weights=(0.0, 0.0, -2.0))
-    share = PRIOR / (n_toxic + n_clean)
-    prior = (F.col("toxic") + F.col("clean")) * share
-    logit = lambda count, n: F.log((count + prior) / (F.lit(n + PRIOR) - count - prior))
-    odds = logit(F.col("toxic"), n_toxic) - logit(F.col("clean"), n_clean)
-    error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    clear = counts.select("w", odds.alias("s"), (odds / error).alias("z"), (F.col("clean") / n_clean).alias("p")).where(F.abs("z") >= CLEAR)
-    top = clear.orderBy(F.abs("z").desc(), "w").limit(LEXICON).collect()
+    strength = min(n_toxic, n_clean)
+    prior = (toxic + clean) * (strength / (n_toxic + n_clean))
+    logit = lambda count, n: F.log((count + prior) / (F.lit(n + strength) - count - prior))
+    odds = logit(toxic, n_toxic) - logit(clean, n_clean)
+    error = F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+    some = counts.where(toxic + clean > 0).select("w", odds.alias("s"), (odds / error).alias("z"), (clean / n_clean).alias("p"))
+    top = some.where(F.abs("z") >= CLEAR).orderBy(F.abs("z").desc(), "w").limit(LEXICON).collect()
     lexicon = Lexicon({r.w: float(r.s) for r in top}, DRIFT)
-    # the rate of chance scores: the mean of exp(rate * score) over clean tokens is one
-    p = np.array([r.p for r in top] + [max(0.0, 1 - sum(r.p for r in top))])
-    s = np.array([r.s for r in top] + [-DRIFT])
+    # the rate of chance scores: the mean of exp(rate * score) over the tokens of clean text is one
+    own = [r for r in top if not r.w.endswith("^")]
+    p = np.array([r.p for r in own] + [max(0.0, 1 - sum(r.p for r in own))])
+    s = np.array([r.s for r in own] + [-DRIFT])
     low, high = 1e-6, 50.0
     if (p[s > 0] > 0).any() and (p * s).sum() < 0:
         for _ in range(80):
             mid = (low + high) / 2
             low, high = (mid, high) if (p * np.exp(np.clip(mid * s, None, 500))).sum() < 1 else (low, mid)
-        lexicon.rate = low
-    rest = _raw(sample.where(~F.col("half")), lexicon).select("y", "n_words", "best").toPandas()
-    clean = rest[(rest.y == 0) & (rest.n_words > 0)]
-    if len(clean):  # the scale that makes the mean chance of the observed clean maxima fit
-        chance = np.exp(-lexicon.rate * clean.best.to_numpy()) * clean.n_words.to_numpy()
-        lexicon.scale = float(1 / max(np.median(chance), 1e-9))
-    raw = _evidence(sample.where(~F.col("half")), lexicon).select("y", "best", "total").toPandas()
-    lexicon.weights = tuple(float(x) for x in logistic(np.log1p(raw[["best", "total"]].to_numpy()), raw.y.to_numpy()))
+        lexicon.rate = min(max(low, 0.2), 2.0)
     return lexicon
 
 
+def learn(sample: DataFrame) -> Lexicon:
+    """Lexicon from the sample (doc_id, text, y); its calibration from texts that a lexicon of the other half scored.
+
+    Contexts are counted by Spark; of the counts only the clearest ``LEXICON`` tokens come to the driver.
+    """
+    sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int"))
+    counts = stage(_context_counts(sample), "counts")
+    n = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("clean0", "toxic0", "clean1", "toxic1")]).first()
+    half = _lexicon(counts, F.col("toxic0"), F.col("clean0"), n.toxic0, n.clean0)
+    whole = _lexicon(counts, F.col("toxic0") + F.col("toxic1"), F.col("clean0") + F.col("clean1"), n.toxic0 + n.toxic1, n.clean0 + n.clean1)
+    other = sample.where("half = 1")
+    rest = _raw(other, half).select("y", "n_words", "best").toPandas()
+    clean = rest[(rest.y == 0) & (rest.n_words > 0)]
+    if len(clean):  # the scale that makes the observed maxima of clean texts the expected ones
+        chance = np.exp(-half.rate * clean.best.to_numpy()) * clean.n_words.to_numpy()
+        half.scale = float(1 / max(np.median(chance), 1e-9))
+    raw = _evidence(other, half).select("y", "best", "total").toPandas()
+    whole.rate, whole.scale = half.rate, half.scale
+    whole.weights = tuple(float(x) for x in logistic(np.log1p(raw[["best", "total"]].to_numpy()), raw.y.to_numpy()))
+    return whole
+
+
 def _raw(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def make():
         def compute(texts):
