@@ -15,7 +15,7 @@ from matchweave.session import stage
 SPACES = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of an Arrow batch; with texts of a hundred kilobytes each a batch stays under a hundred megabytes.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

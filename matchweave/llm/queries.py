@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchweave.llm import decontaminate, rules, simhash, token_counts, toxicity
+from matchweave.llm import decontaminate, html_main, rules, simhash, suffix_dedup, token_counts, toxicity
 from matchweave.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op4_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
@@ -22,6 +26,10 @@ def op3_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("passages")
 
