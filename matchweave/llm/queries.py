@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchweave.llm import decontaminate, html_main, rules, simhash, suffix_dedup, token_counts, toxicity
+from matchweave.llm import crf, decontaminate, html_main, rules, simhash, suffix_dedup, token_counts, toxicity
 from matchweave.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
 
 
+def op2_line_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
