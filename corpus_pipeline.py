@@ -1,19 +1,75 @@
-"""The corpus pipeline: each stage keeps or rewrites the documents the one before it left."""
+"""The corpus pipeline: each stage keeps or rewrites the documents that the one before it left."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from matchweave.llm import crf, decontaminate, pieces, pii, simhash
+from matchweave.llm.common import arrow_columns, table
 from matchweave.session import stage
 
-STAGES = []
-#: A trained classifier and tokenizer libraries are among the stages, which SQL cannot express; see tests/llm.
+MODEL = "piece_bpe_32k.model"
+#: Documents whose chance of good quality is lower go.
+QUALITY = 0.7
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line chain does not reject. Rows keep all columns; null and empty texts are scored like any other."""
+    chain = crf.quality_chain(docs, table(spark, sf_dir, "labels"))
+
+    def make():
+        return lambda texts: [[chain.score(t or "") for t in texts]]
+
+    scored = arrow_columns(docs, "text", [T.StructField("_quality_score", T.DoubleType())], make, keep_text=True)
+    return scored.where(F.col("_quality_score") >= QUALITY).select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates. Of rows with one id one stays; of those without an id, one of each text."""
+    groups = simhash.near_duplicates(docs)
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
+    left = docs.join(stays, docs["doc_id"].eqNullSafe(stays["_stays"]), "left_semi")
+    other = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return left.withColumn("_other", other).dropDuplicates(["doc_id", "_other"]).select(*docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no ten words in a row (nor a whole shorter item) with the benchmark."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_hash"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind."""
+    return pii.scrubbed(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, scores, decoded): piece ids of each document's best segmentation and the scores of the best few."""
+    return pieces.segmented(docs, MODEL)
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", one_of_each),
+    ("decontamination", uncontaminated),
+    ("personal_data", without_personal_data),
+    ("encoding", encoded),
+]
+#: A trained chain and a tokenizer are among the stages, which SQL cannot express; tests/llm holds them against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's rows written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each one's rows written and read again by the next.
+
+    Null columns, empty texts and tables pass as each stage says; extra columns stay until the last stage.
+    """
+    docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
     return docs

@@ -102,7 +102,7 @@ def _short_hits(docs: DataFrame, items: DataFrame) -> DataFrame | None:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, search: str = "auto") -> DataFrame:
-    """Per document row: doc_id, n_words, n_hit, n_items, items (sorted item ids), contaminated.
+    """Per document row: doc_id, text_hash (xxhash64 of the text), n_words, n_hit, n_items, items (sorted item ids), contaminated.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not read. A word is
     hit if it lies in any occurrence of ten neighbouring words of an item (or of a whole shorter item).
@@ -130,4 +130,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, search: str = "auto") -
     counts = prints.select("doc_id", "text_hash", "n_words")
     joined = counts.join(per_doc, counts["doc_id"].eqNullSafe(per_doc["hit_id"]) & (counts["text_hash"] == per_doc["hit_hash"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.expr("array()").cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
+    return joined.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.expr("array()").cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchweave.llm import crf, decontaminate, html_main, rules, simhash, suffix_dedup, token_counts, toxicity
+from matchweave.llm import crf, decontaminate, html_main, pieces, pii, rules, simhash, suffix_dedup, token_counts, toxicity
 from matchweave.llm.common import table
 
 
@@ -17,9 +17,13 @@ def op4_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.main_text(table(spark, sf_dir, "pages"))
 
 
+def op5_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items", "text_hash")
 
 
 def op2_line_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +42,10 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("passages")
 
 
+def op9_bootstrapped_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op10_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
