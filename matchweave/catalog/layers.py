@@ -38,15 +38,13 @@ def _table(name: str, build: Callable[[SparkSession, str], DataFrame]) -> Callab
 
 
 raw = _table("partidas_raw", league.raw_matches)
-matches = _table("partidas", league.matches)
+matches = _table("partidas", lambda s, d: league.matches(raw(s, d)))
 predictions = _table("previsoes", lambda s, d: league.predictions_of(matches(s, d)))
 store = _table("feature_store", lambda s, d: features.feature_store(matches(s, d)))
 store_job = _table("feature_store_job", lambda s, d: features.feature_store(matches(s, d), variant="job"))
 enhanced_job = _table("feature_store_enhanced", lambda s, d: features.features_job(matches(s, d)))
 enhanced_sql = _table("feature_store_sql", lambda s, d: features.features_sql(matches(s, d)))
-training = _table(
-    "treino", lambda s, d: dataset.training_set(matches(s, d), enhanced_job(s, d), store_job(s, d))
-)
+training = _table("treino", lambda s, d: dataset.training_rows(matches(s, d), features.model_state(matches(s, d))))
 split = _table("treino_dividido", lambda s, d: dataset.time_split(training(s, d)))
 
 

@@ -25,6 +25,11 @@ def total(column: str, *frame: str) -> str:
     return f"CAST(sum({column}) {over(*frame)} AS BIGINT)"
 
 
+def by_date(text: str) -> str:
+    """The same windows in order of dates."""
+    return text.replace("ORDER BY rodada, data_partida, partida_id", "ORDER BY data_partida, partida_id")
+
+
 PRIOR = ("UNBOUNDED PRECEDING", "1 PRECEDING")
 
 
@@ -43,9 +48,9 @@ RATE = f"{total('pontos')} / ({total('1')} * 3) * 100"
 RATE2 = pct(RATE, 2)
 
 
-def venue_prior(home: str) -> str:
-    won = f"sum(CASE WHEN eh_casa = {home} THEN vitoria ELSE 0 END) {over(*PRIOR)}"
-    games = f"sum(CASE WHEN eh_casa = {home} THEN 1 ELSE 0 END) {over(*PRIOR)}"
+def venue_prior(home: str, frame: str = over(*PRIOR)) -> str:
+    won = f"sum(CASE WHEN eh_casa = {home} THEN vitoria ELSE 0 END) {frame}"
+    games = f"sum(CASE WHEN eh_casa = {home} THEN 1 ELSE 0 END) {frame}"
     return f"coalesce(CAST({won} AS BIGINT) / greatest(CAST({games} AS BIGINT), 1), 0.0)"
 
 
@@ -150,14 +155,14 @@ DERIVED = {
         FROM ratings s LEFT JOIN crows c ON c.competicao = s.competicao AND c.clube_id = s.clube_id AND c.rodada = s.rodada + 1
             LEFT JOIN ratings o ON o.competicao = s.competicao AND o.clube_id = c.adversario
         WHERE s.rodada < (SELECT max(rodada) FROM crows)""",
-    "featjob": f"""SELECT c.competicao, c.rodada, c.clube_id, r.r AS elo_rating,
+    "featjob": by_date(f"""SELECT c.competicao, c.rodada, c.clube_id, r.r AS elo_rating,
         coalesce(avg(pontos) {over('5 PRECEDING', '1 PRECEDING')}, 0) AS media_pontos_5j,
         coalesce(avg(gols_marcados) {over('5 PRECEDING', '1 PRECEDING')}, 0) AS media_gols_marc_5j,
         coalesce(avg(gols_sofridos) {over('5 PRECEDING', '1 PRECEDING')}, 0) AS media_gols_sofr_5j,
         {venue_prior('true')} AS aproveitamento_casa, {venue_prior('false')} AS aproveitamento_fora,
         CAST(coalesce({total('pontos', '3 PRECEDING', '1 PRECEDING')}, 0) AS DOUBLE) AS momentum
-        FROM crows c JOIN ratings r ON r.competicao = c.competicao AND r.clube_id = c.clube_id AND r.rodada = c.rodada - 1""".replace(
-        "PARTITION BY competicao, clube_id ORDER BY rodada", "PARTITION BY c.competicao, c.clube_id ORDER BY c.rodada"),
+        FROM crows c JOIN ratings r ON r.competicao = c.competicao AND r.clube_id = c.clube_id AND r.rodada = c.rodada - 1""").replace(
+        "PARTITION BY competicao, clube_id ORDER BY data_partida", "PARTITION BY c.competicao, c.clube_id ORDER BY c.data_partida"),
     "latestrow": "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY competicao, clube_id ORDER BY rodada DESC) n FROM store) WHERE n = 1",
     "ranked": f"SELECT *, {place(ORDER_TABLE)} FROM latestrow",
     "current": "SELECT store.* FROM store JOIN (SELECT competicao, max(rodada) AS rodada FROM store GROUP BY competicao) USING (competicao, rodada)",
@@ -211,6 +216,18 @@ DERIVED = {
     "statejob": "SELECT * FROM featjob JOIN (SELECT competicao, rodada, clube_id, saldo_gols FROM storejob) USING (competicao, rodada, clube_id)",
     "statelag": """SELECT * FROM featjob JOIN (SELECT competicao, rodada, clube_id, coalesce(lag(saldo_gols) OVER (PARTITION BY competicao, clube_id ORDER BY rodada), 0) AS saldo_gols
         FROM store) USING (competicao, rodada, clube_id)""",
+    "currentgap": "SELECT * REPLACE (CASE WHEN clube_id % 3 = 0 THEN clube_id + 1000000000000 ELSE clube_id END AS clube_id) FROM current",
+    "statebefore": """SELECT * FROM featjob JOIN (SELECT competicao, rodada, clube_id, coalesce(lag(saldo_gols) OVER (PARTITION BY competicao, clube_id ORDER BY rodada), 0) AS saldo_gols
+        FROM storejob) USING (competicao, rodada, clube_id)""",
+    "asked": """SELECT competicao, clube_casa_id AS clube_id FROM silver WHERE resultado IS NULL UNION SELECT competicao, clube_vis_id FROM silver WHERE resultado IS NULL""",
+    "statenext": by_date(f"""SELECT competicao, clube_id, r AS elo_rating, media_pontos_5j, media_gols_marc_5j, media_gols_sofr_5j, aproveitamento_casa, aproveitamento_fora, momentum, saldo_gols
+        FROM (SELECT competicao, clube_id, row_number() OVER (PARTITION BY competicao, clube_id ORDER BY data_partida DESC, partida_id DESC) AS n,
+            avg(pontos) {over(*last(5))} AS media_pontos_5j, avg(gols_marcados) {over(*last(5))} AS media_gols_marc_5j, avg(gols_sofridos) {over(*last(5))} AS media_gols_sofr_5j,
+            {venue_prior('true', over())} AS aproveitamento_casa, {venue_prior('false', over())} AS aproveitamento_fora,
+            CAST({total('pontos', '2 PRECEDING', 'CURRENT ROW')} AS DOUBLE) AS momentum FROM crows)
+        JOIN (SELECT competicao, clube_id, r FROM ratings WHERE rodada = (SELECT max(rodada) FROM crows)) USING (competicao, clube_id)
+        JOIN (SELECT competicao, clube_id, arg_max(saldo_gols, rodada) AS saldo_gols FROM storejob GROUP BY ALL) USING (competicao, clube_id) WHERE n = 1
+        UNION ALL SELECT competicao, clube_id, 1500.0::DOUBLE, 0, 0, 0, 0, 0, 0, 0 FROM asked ANTI JOIN crows USING (competicao, clube_id)"""),
     "score": f"SELECT CAST({DAY.format('2024-01-01', 'ts')} + 1 AS INTEGER) AS rodada, user_id AS atleta_id, user_id % 10 AS clube_id, value AS pontos FROM events",
     "athlete": "SELECT DISTINCT user_id AS atleta_id, CAST(user_id % 6 AS INTEGER) AS posicao_id, CAST(user_id % 8 AS INTEGER) AS status_id FROM events WHERE user_id % 10 <> 0",
     "models": """SELECT p_name AS modelo_nome, 'v' || p_partkey AS versao, p_brand AS algoritmo, p_partkey % 97 / 100 AS acuracia, p_partkey % 89 / 100 AS f1_score,
@@ -252,6 +269,10 @@ def training(state: str) -> str:
     return f"SELECT * REPLACE (round(elo_casa, 6) AS elo_casa, round(elo_vis, 6) AS elo_vis) FROM ({text}) WHERE elo_casa IS NOT NULL AND elo_vis IS NOT NULL"
 
 
+SPLIT = """SELECT competicao, partida_id, rodada, CASE WHEN row_number() OVER (ORDER BY rodada, data_partida, partida_id) <= floor(count(*) OVER () * 0.8) THEN 'treino' ELSE 'teste' END AS conjunto
+        FROM silver WHERE resultado IS NOT NULL"""
+
+
 def report(name: str, table: str, checked: str, failed: str, severity: str = "failed") -> str:
     return f"""SELECT '{name}' AS check_name, '{table}' AS tabela, CASE WHEN f = 0 THEN 'success' ELSE '{severity}' END AS status,
         n AS records_checked, f AS records_failed, f || ' de ' || n AS detalhe FROM (SELECT count(*) AS n, count(*) FILTER ({failed}) AS f FROM {checked})"""
@@ -306,7 +327,8 @@ _BODIES = {
         WHERE CASE WHEN json_valid(payload) THEN json_type(payload) <> 'OBJECT' ELSE true END""",
     "current_round": "SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN CAST(json_extract(props, '$.k') AS INTEGER) ELSE 1 END AS rodada_atual FROM events",
     "append_dedupe": f"""SELECT {MATCH} FROM (SELECT *, row_number() OVER (PARTITION BY competicao, rodada, clube_casa_id, clube_vis_id ORDER BY data_partida DESC, partida_id DESC, lote DESC) n
-        FROM (SELECT * REPLACE (CAST(9 AS INTEGER) AS placar_casa), 0 AS lote FROM raw WHERE partida_id % 3 <> 0 UNION ALL SELECT *, 1 FROM raw WHERE partida_id % 2 = 0)) WHERE n = 1""",
+        FROM (SELECT * REPLACE (CAST(9 AS INTEGER) AS placar_casa), 0 AS lote FROM raw
+        UNION ALL SELECT * REPLACE (CASE WHEN partida_id % 2 = 0 THEN data_partida ELSE data_partida - INTERVAL 1 DAY END AS data_partida), 1 FROM raw)) WHERE n = 1""",
     "upsert": f"""SELECT {MATCH} FROM silver WHERE rodada % 2 <> 0 UNION ALL SELECT {MATCH.replace('placar_casa', 'CAST(placar_casa + 1 AS INTEGER) AS placar_casa')} FROM silver WHERE rodada % 2 = 0
         UNION ALL SELECT {MATCH.replace('rodada', 'CAST(rodada + 1000 AS INTEGER) AS rodada')} FROM silver WHERE rodada % 50 = 0""",
     "model_register": """SELECT * REPLACE (false AS ativo) FROM models UNION ALL SELECT 'previsao_resultados', '20260327_2000', 'RandomForestClassifier', 0.512346, 0.498765, 1.012346,
@@ -316,11 +338,14 @@ _BODIES = {
         SELECT stage, status, records_processed, started_at FROM runlog UNION ALL SELECT 'gold', 'success', 7, TIMESTAMP '2026-03-27 20:00:00'
         UNION ALL SELECT 'gold', 'failed', 0, TIMESTAMP '2026-03-27 20:00:00') GROUP BY stage, status""",
     "check_log": all_of(*match_checks("silver"), counted("gold_feature_store_count", "gold.feature_store", "store")),
+    "materialize": "SELECT * FROM club",
+    "published_predictions": "SELECT competicao, rodada, nome_casa, nome_vis, prob_casa, prob_empate, prob_visitante, previsao, confianca, modelo_versao, processed_at FROM ahead",
+    "published_accuracy": "SELECT competicao, rodada, total_jogos AS partidas, acertos, acuracia_pct FROM byround",
+    "published_alias": "SELECT * FROM ahead",
     "published_views": all_of(
         "SELECT competicao, 'vw_classificacao' AS visao, clube_id, posicao AS valor FROM viewtable",
         "SELECT competicao, 'vw_elo_ranking', clube_id, ranking FROM viewrank",
-        *[f"SELECT competicao, '{v}', NULL, CAST(count(*) AS INTEGER) FROM {t} GROUP BY competicao" for v, t in (
-            ("vw_previsoes", "ahead"), ("vw_desempenho_modelo", "byround"), ("previsoes_proximas_partidas", "ahead"))]),
+        ),
     "match_result": f"SELECT competicao, partida_id, {RESULT} AS resultado FROM raw",
     "played": f"SELECT {MATCH}, resultado FROM silver WHERE resultado IS NOT NULL",
     "upcoming": f"SELECT {MATCH}, resultado FROM silver WHERE resultado IS NULL",
@@ -331,8 +356,9 @@ _BODIES = {
     "zone": f"SELECT competicao, clube_id, posicao, {ZONE} AS situacao FROM ranked",
     "zone_color": f"SELECT competicao, clube_id, posicao, {COLOR} AS cor_situacao FROM ranked",
     "pct_round": f"SELECT competicao, rodada, clube_id, {pct('aproveitamento_pct', 1)} AS aprov_1, {pct('aproveitamento_pct', 0)} AS aprov_0, {pct('saldo_gols / rodada', 2)} AS saldo_medio FROM store",
-    "display_name": """SELECT id, coalesce(nome_casa, c.nome, 'Clube ' || clube_casa_id) AS nome_casa, coalesce(nome_vis, v.nome, 'Clube ' || clube_vis_id) AS nome_vis FROM preds
-        LEFT JOIN club c ON c.clube_id = clube_casa_id AND clube_casa_id % 3 <> 0 LEFT JOIN club v ON v.clube_id = clube_vis_id AND clube_vis_id % 3 <> 0""",
+    "display_name": """SELECT id, coalesce(nome_casa, c.nome, 'Clube ' || clube_casa_id) AS nome_casa, coalesce(nome_vis, v.nome, 'Clube ' || clube_vis_id) AS nome_vis
+        FROM (SELECT * REPLACE (CASE WHEN clube_casa_id % 3 = 0 THEN clube_casa_id + 1000000000000 ELSE clube_casa_id END AS clube_casa_id) FROM preds)
+        LEFT JOIN club c ON c.clube_id = clube_casa_id LEFT JOIN club v ON v.clube_id = clube_vis_id""",
     "hit": "SELECT id, coalesce(previsao = resultado, false) AS acerto FROM preds",
     "confidence_band": "SELECT competicao, rodada, " + ", ".join(
         f"CASE WHEN coalesce({c}, 0) >= 70 THEN 'alta' WHEN coalesce({c}, 0) >= 50 THEN 'media' ELSE 'baixa' END AS {n}"
@@ -360,12 +386,13 @@ _BODIES = {
     "features_asof": f"""SELECT {FIXTURE}, {side_columns('c', 'casa', '0')}, {side_columns('v', 'vis', '0')} FROM silver m
         ASOF LEFT JOIN state c ON c.competicao = m.competicao AND c.clube_id = m.clube_casa_id AND m.rodada > c.rodada
         ASOF LEFT JOIN state v ON v.competicao = m.competicao AND v.clube_id = m.clube_vis_id AND m.rodada > v.rodada""",
-    "join_latest_six": "SELECT id, cnc AS clube_nome_casa, abv AS abreviacao_vis, ptc AS pontos_acumulados_casa, apv AS aproveitamento_pct_vis, elc AS elo_rating_casa, elv AS elo_rating_vis FROM six",
+    "join_latest_six": "SELECT id, cnc AS clube_nome_casa, cnv AS clube_nome_vis, abc AS abreviacao_casa, abv AS abreviacao_vis, esc AS escudo_url_casa, esv AS escudo_url_vis, "
+        "ptc AS pontos_acumulados_casa, ptv AS pontos_acumulados_vis, apc AS aproveitamento_pct_casa, apv AS aproveitamento_pct_vis, elc AS elo_rating_casa, elv AS elo_rating_vis FROM six",
     "join_standings": """SELECT competicao, clube_id, rodada, pontos_acumulados, nome, abreviacao, escudo_url, prob_rebaixamento, zona_rebaixamento FROM latestrow LEFT JOIN club USING (clube_id)
         LEFT JOIN (SELECT competicao, clube_id, prob_rebaixamento, zona_rebaixamento FROM risk) USING (competicao, clube_id)""",
     "join_venue_rates": "SELECT competicao, clube_id, rodada, pontos, aproveitamento_casa, aproveitamento_fora FROM venues",
-    "join_relegation_name": """SELECT competicao, clube_id, pontos_acumulados, nome AS nome_clube, 'left' AS tipo FROM current LEFT JOIN (SELECT * FROM club WHERE clube_id % 3 <> 0) USING (clube_id)
-        UNION ALL SELECT competicao, clube_id, pontos_acumulados, nome, 'inner' FROM current JOIN club USING (clube_id) WHERE clube_id % 3 <> 0""",
+    "join_relegation_name": """SELECT competicao, clube_id, pontos_acumulados, nome AS nome_clube, 'left' AS tipo FROM currentgap LEFT JOIN club USING (clube_id)
+        UNION ALL SELECT competicao, clube_id, pontos_acumulados, nome, 'inner' FROM currentgap JOIN club USING (clube_id)""",
     "last_round": "SELECT competicao, max(rodada) AS rodada FROM silver GROUP BY competicao",
     "accuracy_by_round": "SELECT * FROM byround",
     "accuracy_by_class": "SELECT * FROM byclass",
@@ -394,15 +421,15 @@ _BODIES = {
     "goal_diff_double": f"SELECT competicao, clube_id, rodada, partida_id, {total('gols_marcados')} - {total('gols_sofridos')} AS saldo_gols_double FROM running",
     "games": f"SELECT {ROW}, row_number() OVER {W.format('')} AS jogos FROM crows",
     "success_rate": f"SELECT {ROW}, {RATE} AS taxa, {RATE2} AS taxa_2 FROM crows",
-    "form5_prior": f"SELECT {ROW}, " + ", ".join(
+    "form5_prior": by_date(f"SELECT {ROW}, " + ", ".join(
         f"coalesce(avg({c}) {over('5 PRECEDING', '1 PRECEDING')}, 0) AS {n}"
         for n, c in (("media_pontos_5j", "pontos"), ("media_gols_marc_5j", "gols_marcados"), ("media_gols_sofr_5j", "gols_sofridos"))
-    ) + " FROM crows",
+    ) + " FROM crows"),
     "form_incl": f"SELECT {ROW}, {FORM_SQL} FROM crows",
-    "venue_rate_prior": f"SELECT {ROW}, {venue_prior('true')} AS aproveitamento_casa, {venue_prior('false')} AS aproveitamento_fora FROM crows",
+    "venue_rate_prior": by_date(f"SELECT {ROW}, {venue_prior('true')} AS aproveitamento_casa, {venue_prior('false')} AS aproveitamento_fora FROM crows"),
     "venue_rate_incl": f"SELECT {ROW}, coalesce({HOME_RATE}, 0) AS aproveitamento_casa, coalesce({AWAY_RATE}, 0) AS aproveitamento_fora FROM crows",
     "venue_points_pct": f"SELECT {ROW}, {venue_points('true')} AS aproveitamento_casa, {venue_points('false')} AS aproveitamento_fora FROM crows",
-    "momentum_sum3": f"SELECT {ROW}, coalesce({total('pontos', '3 PRECEDING', '1 PRECEDING')}, 0) AS momentum FROM crows",
+    "momentum_sum3": by_date(f"SELECT {ROW}, coalesce({total('pontos', '3 PRECEDING', '1 PRECEDING')}, 0) AS momentum FROM crows"),
     "momentum_diff": f"SELECT {ROW}, {mean('pontos', 3)} - {mean('pontos', 6)} AS momentum FROM crows",
     "momentum_weighted": f"SELECT {ROW}, {MOMENTUM} AS momentum FROM crows",
     "elo": """SELECT m.competicao, partida_id, round(h.r, 6) AS elo_casa, round(a.r, 6) AS elo_vis FROM silver m
@@ -459,8 +486,16 @@ _BODIES = {
     "mart_performance": "SELECT * FROM perf",
     "training_set": training("statejob"),
     "training_set_lagged": training("statelag"),
-    "time_split": """SELECT competicao, partida_id, rodada, CASE WHEN row_number() OVER (ORDER BY rodada, data_partida, partida_id) <= floor(count(*) OVER () * 0.8) THEN 'treino' ELSE 'teste' END AS conjunto
-        FROM silver WHERE resultado IS NOT NULL""",
+    "time_split": SPLIT,
+    "training_rows": training("statebefore"),
+    "features_ahead": f"""SELECT * REPLACE (round(elo_casa, 6) AS elo_casa, round(elo_vis, 6) AS elo_vis) FROM (SELECT {FIXTURE}, {side_columns('c', 'casa', '0')}, {side_columns('v', 'vis', '0')} FROM silver m
+        LEFT JOIN statenext c ON c.competicao = m.competicao AND c.clube_id = m.clube_casa_id LEFT JOIN statenext v ON v.competicao = m.competicao AND v.clube_id = m.clube_vis_id
+        WHERE m.resultado IS NULL)""",
+    "predict": """SELECT competicao, partida_id, rodada, clube_casa_id, clube_vis_id, coalesce(c.nome, CAST(clube_casa_id AS VARCHAR)) AS nome_casa, coalesce(v.nome, CAST(clube_vis_id AS VARCHAR)) AS nome_vis,
+        'v1' AS modelo_versao, true AS soma_um, true AS maior FROM silver LEFT JOIN club c ON c.clube_id = clube_casa_id LEFT JOIN club v ON v.clube_id = clube_vis_id WHERE resultado IS NULL""",
+    "train_forest": f"""SELECT 'RandomForestClassifier' AS algoritmo, true AS acuracia, true AS f1_score, true AS log_loss, max(rodada) FILTER (conjunto = 'treino') AS rodada_treino,
+        max(rodada) FILTER (conjunto = 'teste') AS rodada_teste, count(*) FILTER (conjunto = 'treino') AS linhas_treino, count(*) FILTER (conjunto = 'teste') AS linhas_teste FROM ({SPLIT})""",
+    "model_roundtrip": f"SELECT count(*) AS partidas, CAST(count(*) AS BIGINT) AS iguais FROM ({SPLIT}) WHERE conjunto = 'teste'",
     "model_metrics": METRICS,
     "validate_predictions": "SELECT competicao, rodada, clube_casa_id, clube_vis_id, nome_casa, nome_vis, previsao, resultado_real, acerto, prob_casa, prob_empate, prob_visitante FROM valid",
     "relegation_risk": "SELECT * FROM risk",

@@ -89,9 +89,10 @@ def current_round(s, d):
 
 @query
 def append_dedupe(s, d):
-    new = T.raw(s, d)
-    old = new.filter("partida_id % 3 <> 0").withColumn("placar_casa", F.lit(9))
-    return latest.append_dedupe(old, new.filter("partida_id % 2 = 0"), ["competicao", *latest.MATCH_KEY], ["data_partida", "partida_id"])
+    old = T.raw(s, d).withColumn("placar_casa", F.lit(9))
+    day_before = F.when(F.col("partida_id") % 2 == 0, F.col("data_partida")).otherwise(F.col("data_partida") - F.expr("INTERVAL 1 DAY"))
+    new = T.raw(s, d).withColumn("data_partida", day_before)
+    return latest.append_dedupe(old, new, ["competicao", *latest.MATCH_KEY], ["data_partida", "partida_id"])
 
 
 @query
@@ -151,27 +152,44 @@ def model_roundtrip(s, d):
     rows = T.split(s, d).filter("conjunto = 'teste'").select("partida_id", *J.FEATURES)
     first, second = (forest.score(m, rows).select("partida_id", "previsao", "confianca") for m in (trained, audit.load_model(path)))
     again = second.withColumnsRenamed({"previsao": "previsao_lida", "confianca": "confianca_lida"})
-    return first.join(again, "partida_id").groupBy("previsao").agg(
-        F.count("*").alias("partidas"), F.sum((F.col("previsao") == F.col("previsao_lida")).cast("int")).alias("iguais")
-    )
+    same = (F.col("previsao") == F.col("previsao_lida")) & (F.col("confianca") == F.col("confianca_lida"))
+    return first.join(again, "partida_id").agg(F.count("*").alias("partidas"), F.sum(same.cast("bigint")).alias("iguais"))
+
+
+@query
+def materialize(s, d):
+    return views.read_view(s, tables.materialize(L.clubs(s, d), "gold", "clubes_publicados", "view"))
+
+
+def _registered(s, d, name: str) -> DataFrame:
+    standard = marts.standard_views(T.store(s, d), L.clubs(s, d), _ahead(s, d), _validated(s, d))
+    views.register_views(standard | {"previsoes_proximas_partidas": _ahead(s, d)})
+    return views.read_view(s, name)
+
+
+@query
+def published_predictions(s, d):
+    return _registered(s, d, "gold_vw_previsoes")
+
+
+@query
+def published_accuracy(s, d):
+    return _registered(s, d, "gold_vw_desempenho_modelo")
+
+
+@query
+def published_alias(s, d):
+    return _registered(s, d, "diamond_previsoes_proximas_partidas")
 
 
 @query
 def published_views(s, d):
     standard = marts.standard_views(T.store(s, d), L.clubs(s, d), _ahead(s, d), _validated(s, d))
     views.register_views(standard | {"previsoes_proximas_partidas": _ahead(s, d)})
-    table, ranking, ahead, hits, alias = (
-        views.read_view(s, v)
-        for v in ("gold_vw_classificacao", "gold_vw_elo_ranking", "gold_vw_previsoes", "gold_vw_desempenho_modelo", "diamond_previsoes_proximas_partidas")
-    )
+    table, ranking = (views.read_view(s, v) for v in ("gold_vw_classificacao", "gold_vw_elo_ranking"))
     rows = [
         table.select("competicao", F.lit("vw_classificacao").alias("visao"), "clube_id", F.col("posicao").alias("valor")),
         ranking.select("competicao", F.lit("vw_elo_ranking").alias("visao"), "clube_id", F.col("ranking").alias("valor")),
-        *[
-            v.groupBy("competicao").agg(F.count("*").cast("int").alias("valor"))
-            .select("competicao", F.lit(n).alias("visao"), F.lit(None).cast("bigint").alias("clube_id"), "valor")
-            for n, v in (("vw_previsoes", ahead), ("vw_desempenho_modelo", hits), ("previsoes_proximas_partidas", alias))
-        ],
     ]
     return Q.union_reports(*rows)
 
@@ -227,9 +245,14 @@ def pct_round(s, d):
     return mean.select("competicao", "rodada", "clube_id", *[numeric.half_up(F.col(c), n).alias(a) for a, (c, n) in columns.items()])
 
 
+def _with_unknown(rows: DataFrame, club: str) -> DataFrame:
+    """Every third club under an id that no club has."""
+    return rows.withColumn(club, F.when(F.col(club) % 3 == 0, F.col(club) + 10**12).otherwise(F.col(club)))
+
+
 @query
 def display_name(s, d):
-    named = J.join_club_names(T.predictions(s, d), L.clubs(s, d).filter("clube_id % 3 <> 0").withColumnRenamed("nome", "clube"), ("clube",))
+    named = J.join_club_names(_with_unknown(T.predictions(s, d), "clube_casa_id"), L.clubs(s, d).withColumnRenamed("nome", "clube"), ("clube",))
     return named.select("id", *[labels.display_name(f"nome_{x}", f"clube_{x}", f"clube_{x}_id").alias(f"nome_{x}") for x in J.SIDES])
 
 
@@ -282,7 +305,7 @@ def silver_matches_played(s, d):
 
 @query
 def one_match_per_round(s, d):
-    return L.matches(s, d)
+    return L.matches(T.raw(s, d))
 
 
 @query
@@ -357,7 +380,8 @@ def join_latest_six(s, d):
     table = ST.latest_state(T.store(s, d))
     ratings = latest.latest_per_key(T.enhanced_sql(s, d), ["competicao", "clube_id"], ["rodada"])
     wide = J.join_latest_six(_ahead(s, d), L.clubs(s, d), table, ratings)
-    return wide.select("id", "clube_nome_casa", "abreviacao_vis", "pontos_acumulados_casa", "aproveitamento_pct_vis", "elo_rating_casa", "elo_rating_vis")
+    joined = ("clube_nome", "abreviacao", "escudo_url", "pontos_acumulados", "aproveitamento_pct", "elo_rating")
+    return wide.select("id", *[f"{column}_{side}" for column in joined for side in J.SIDES])
 
 
 @query
@@ -377,8 +401,8 @@ def join_venue_rates(s, d):
 @query
 def join_relegation_name(s, d):
     table = J.join_latest_round(T.store(s, d)).select("competicao", "clube_id", "pontos_acumulados")
-    some = L.clubs(s, d).filter("clube_id % 3 <> 0")
-    both = [J.join_relegation_name(table, some, how).withColumn("tipo", F.lit(how)) for how in ("left", "inner")]
+    table = _with_unknown(table, "clube_id")
+    both = [J.join_relegation_name(table, L.clubs(s, d), how).withColumn("tipo", F.lit(how)) for how in ("left", "inner")]
     return both[0].unionByName(both[1])
 
 
@@ -687,9 +711,8 @@ def time_split(s, d):
 @query
 def train_forest(s, d):
     metrics = forest.model_metrics(T.model(s, d), T.split(s, d).filter("conjunto = 'teste'"))
-    return forest.split_rounds(T.split(s, d)).select(
-        F.lit(forest.ALGORITHM).alias("algoritmo"), *[F.lit(v).alias(n) for n, v in metrics.items()], "rodada_treino", "rodada_teste"
-    )
+    inside = [F.lit(0 <= metrics[n] <= 1).alias(n) for n in ("acuracia", "f1_score")] + [F.lit(metrics["log_loss"] > 0).alias("log_loss")]
+    return forest.split_rounds(T.split(s, d)).select(F.lit(forest.ALGORITHM).alias("algoritmo"), *inside, "rodada_treino", "rodada_teste", "linhas_treino", "linhas_teste")
 
 
 @query
@@ -697,11 +720,28 @@ def model_metrics(s, d):
     return A.prediction_metrics(_validated(s, d))
 
 
+@query
+def features_ahead(s, d):
+    state = FE.model_state(T.matches(s, d), ahead=True)
+    return _rounded_elo(J.features_ahead(_fixtures(s, d), state))
+
+
+@query
+def training_rows(s, d):
+    return _rounded_elo(T.training(s, d))
+
+
 @query
 def predict(s, d):
-    state = J.join_features(T.enhanced_job(s, d), T.store_job(s, d))
-    fixtures = J.match_features(_fixtures(s, d), state, mode="asof")
-    return forest.predict(T.model(s, d), J.join_club_names(fixtures, L.clubs(s, d)), "v1")
+    fixtures = J.features_ahead(_fixtures(s, d), FE.model_state(T.matches(s, d), ahead=True))
+    ahead = forest.predict(T.model(s, d), J.join_club_names(fixtures, L.clubs(s, d)), "v1")
+    chances = {"casa": "prob_casa", "empate": "prob_empate", "visitante": "prob_visitante"}
+    own = F.coalesce(*[F.when(F.col("previsao") == label, F.col(column)) for label, column in chances.items()])
+    return ahead.select(
+        "competicao", "partida_id", "rodada", "clube_casa_id", "clube_vis_id", "nome_casa", "nome_vis", "modelo_versao",
+        (F.abs(F.col("prob_casa") + F.col("prob_empate") + F.col("prob_visitante") - 1) < 1e-9).alias("soma_um"),
+        ((own == F.col("confianca")) & (own == F.greatest(*chances.values()))).alias("maior"),
+    )
 
 
 @query

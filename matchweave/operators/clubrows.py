@@ -1,8 +1,7 @@
 """Match facts to one row per club, and the running statistics on them.
 
 Statistics are window columns over one partitioning and one order, so a feature table
-costs one exchange and one sort. ``over_clubs`` evaluates them. It cuts a club with more
-rows than one task should sort into blocks that give the same values.
+costs one exchange and one sort. ``over_clubs`` evaluates them.
 """
 
 from __future__ import annotations
@@ -11,12 +10,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from matchweave.functions.numeric import clock_micros, half_up
+from matchweave.functions.numeric import half_up
 from matchweave.functions.scoring import AWAY, HOME, outcome_flags, points
 from matchweave.operators.clean import played
-from matchweave.operators.latest import KEY, rank_within
+from matchweave.operators.latest import KEY
 
 MATCH_ORDER = ("rodada", "data_partida", "partida_id")
+#: What a club knew before a match follows the dates, not the rounds: a postponed match comes late.
+DATE_ORDER = ("data_partida", "partida_id")
 START = Window.unboundedPreceding
 
 
@@ -44,98 +45,29 @@ def club_rows(matches: DataFrame, key: Sequence[str] = KEY, carry: dict[str, tup
 
 
 def by_club(key: Sequence[str] = KEY, order: Sequence[str] = MATCH_ORDER) -> WindowSpec:
-    return Window.partitionBy(*key, "clube_id").orderBy(*order)
-
-
-def in_block(key: Sequence[str] = KEY) -> WindowSpec:
-    """The window of all statistics below; ``over_clubs`` supplies the block."""
-    return Window.partitionBy(*key, "clube_id", "_bloco").orderBy(*MATCH_ORDER)
-
-
-MEASURES = ("pontos", "vitoria", "empate", "derrota", "gols_marcados", "gols_sofridos", "_jogos")
-LONGEST = 6  # rows a bounded frame reaches back
-BLOCK = 1_000_000  # rows of one club that one task sorts
+    """A club's rows in order, what has no date or round yet at the end."""
+    return Window.partitionBy(*key, "clube_id").orderBy(*[F.asc_nulls_last(c) for c in order])
 
 
 def over_clubs(
-    rows: DataFrame,
-    values: dict[str, Column],
-    keep: Sequence[str],
-    key: Sequence[str] = KEY,
-    measures: Sequence[str] = (),
-    limit: int = BLOCK,
+    rows: DataFrame, values: dict[str, Column], keep: Sequence[str], key: Sequence[str] = KEY, order: Sequence[str] = MATCH_ORDER
 ) -> DataFrame:
-    """``keep`` and the window ``values`` of every club row.
+    """``keep`` and the window ``values`` of every club row, in one exchange and one sort.
 
-    Sums reach over ``MEASURES`` and the extra ``measures``. ``rows`` is counted first;
-    only if it holds more than ``limit`` rows are the clubs counted too, and only clubs
-    above it take the blocked path. Pass rows of a written table, so that counting is a
-    scan. ``limit`` is at least ``LONGEST``.
+    A club's group is as long as its calendar, whatever the number of clubs and competitions. ``order`` is
+    that of the values and of the row number that weighted sums use.
     """
-    columns = [c.alias(n) for n, c in values.items()]
     rows = rows.withColumn("_jogos", F.lit(1))
-    whole = rows.withColumn("_bloco", F.lit(0).cast("bigint"))
-    if rows.select("_jogos").count() <= limit:
-        return _numbered(whole, key).select(*keep, *columns)
-    clubs = [*key, "clube_id"]
-    hot = rows.groupBy(*clubs).count().filter(F.col("count") > limit).select(*clubs)
-    if hot.isEmpty():
-        return _numbered(whole, key).select(*keep, *columns)
-    short = _numbered(whole.join(hot, clubs, "left_anti"), key).withColumn("_apoio", F.lit(False))
-    blocks = _blocks(rows.join(hot, clubs, "left_semi"), [*MEASURES, *measures], key, limit)
-    both = short.unionByName(blocks, allowMissingColumns=True)
-    return both.select(*keep, *columns, "_apoio").filter("NOT _apoio").drop("_apoio")
+    numbered = rows.withColumn("_n", F.sum("_jogos").over(by_club(key, order).rowsBetween(START, 0)))
+    weighted = numbered.withColumns({name: F.col("_n") * F.col(column) for name, column in WEIGHTED.items()})
+    return weighted.select(*keep, *[c.alias(n) for n, c in values.items()])
 
 
 WEIGHTED = {"_n_marcados": "gols_marcados", "_n_sofridos": "gols_sofridos"}
 
 
-def _weighted(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({name: F.col("_n") * F.col(column) for name, column in WEIGHTED.items()})
-
-
-def _numbered(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows with their number within the club; pruned away where no value asks for it."""
-    return _weighted(rows.withColumn("_n", F.sum("_jogos").over(in_block(key).rowsBetween(START, 0))))
-
-
-def _blocks(rows: DataFrame, measures: Sequence[str], key: Sequence[str], size: int) -> DataFrame:
-    """Blocks of ``size`` rows that windows can treat alone.
-
-    A block starts with support rows (``_apoio``): the totals of all that is further back,
-    one row per venue, for the running sums, then copies of the last ``LONGEST`` rows
-    before the block for the bounded frames.
-    """
-    clubs = [*key, "clube_id"]
-    descending = {"_rodada": -F.col("rodada"), "_quando": -clock_micros(F.col("data_partida"))}
-    numbered = rank_within(rows.withColumns(descending), clubs, list(descending), "partida_id", "_n", size)
-    numbered = _weighted(numbered.drop(*descending)).withColumns(
-        {"_bloco": F.expr(f"(_n - 1) div {size}"), "_total": F.expr(f"(_n - 1 + {LONGEST}) div {size}")}
-    )
-    summed = [*measures, *WEIGHTED]
-    venues = {True: "casa", False: "fora"}
-    totals = numbered.groupBy(*clubs, "_total").agg(
-        *[
-            F.sum(F.when(F.col("eh_casa") == home, F.col(m)).otherwise(0)).alias(f"{m}_{venue}")
-            for home, venue in venues.items()
-            for m in summed
-        ]
-    )
-    so_far = Window.partitionBy(*clubs).orderBy("_total").rowsBetween(START, 0)
-    carried = [
-        F.struct(F.lit(home).alias("eh_casa"), *[F.sum(f"{m}_{venue}").over(so_far).alias(m) for m in summed])
-        for home, venue in venues.items()
-    ]
-    first = F.lit(-(2**31)).cast("int").alias("rodada")
-    before = totals.select(*clubs, (F.col("_total") + 1).alias("_bloco"), F.array(*carried).alias("_carried"))
-    before = before.select(*clubs, "_bloco", first, F.inline("_carried"))
-    copied = numbered.filter("_total > _bloco").withColumn("_bloco", F.col("_total"))
-    support = before.unionByName(copied.drop("_total"), allowMissingColumns=True).withColumn("_apoio", F.lit(True))
-    return numbered.drop("_total").withColumn("_apoio", F.lit(False)).unionByName(support, allowMissingColumns=True)
-
-
-def _running(column: str, key: Sequence[str], first: int = START, last: int = 0) -> Column:
-    return F.sum(column).over(in_block(key).rowsBetween(first, last))
+def _running(column: str, key: Sequence[str], first: int = START, last: int = 0, order: Sequence[str] = MATCH_ORDER) -> Column:
+    return F.sum(column).over(by_club(key, order).rowsBetween(first, last))
 
 
 # (published name, column summed) of the cumulative statistics
@@ -157,17 +89,18 @@ def goal_diff(key: Sequence[str] = KEY) -> dict[str, Column]:
     return {"saldo_gols": _running("gols_marcados", key) - _running("gols_sofridos", key)}
 
 
-def goal_diff_double(key: Sequence[str] = KEY) -> dict[str, Column]:
+def goal_diff_double(key: Sequence[str] = KEY, order: Sequence[str] = MATCH_ORDER, last: int = 0) -> dict[str, Column]:
     """Goal difference of running totals, summed once more: what the model trains on.
 
     The sum of n running totals is (n + 1) times the last one less the sum of each value
-    times its number, so it needs no second pass.
+    times its number, so it needs no second pass. ``last`` = -1 leaves this match out.
     """
     def doubled(goals: str, weighted: str) -> Column:
-        return (F.col("_n") + 1) * _running(goals, key) - _running(weighted, key)
+        count = F.col("_n") + 1 + last
+        return count * _running(goals, key, START, last, order) - _running(weighted, key, START, last, order)
 
     scored, conceded = (doubled(goals, name) for name, goals in WEIGHTED.items())
-    return {"saldo_gols_double": scored - conceded}
+    return {"saldo_gols_double": F.coalesce(scored - conceded, F.lit(0))}
 
 
 def games(key: Sequence[str] = KEY) -> dict[str, Column]:
@@ -180,9 +113,9 @@ def success_rate(key: Sequence[str] = KEY, digits: int | None = None) -> dict[st
     return {"aproveitamento_pct": rate if digits is None else half_up(rate, digits)}
 
 
-def form5_prior(key: Sequence[str] = KEY, n: int = 5) -> dict[str, Column]:
-    """Means over the ``n`` matches before this one; 0 without history."""
-    window = in_block(key).rowsBetween(-n, -1)
+def form5_prior(key: Sequence[str] = KEY, n: int = 5, last: int = -1) -> dict[str, Column]:
+    """Means over the ``n`` matches before this one by date; 0 without history. ``last`` = 0 ends with this one."""
+    window = by_club(key, DATE_ORDER).rowsBetween(last + 1 - n, last)
     return {
         name: F.coalesce(F.avg(column).over(window), F.lit(0.0))
         for name, column in _form_columns(n)
@@ -200,22 +133,22 @@ def _form_columns(n: int) -> list[tuple[str, str]]:
 def form_incl(key: Sequence[str] = KEY, n: int = 5, points_over: Sequence[int] = (3, 6)) -> dict[str, Column]:
     """Means over the last ``n`` matches with this one, and of the points over other sizes."""
     def mean(column: str, size: int) -> Column:
-        return F.avg(column).over(in_block(key).rowsBetween(1 - size, 0))
+        return F.avg(column).over(by_club(key).rowsBetween(1 - size, 0))
 
     form = {name: mean(column, n) for name, column in _form_columns(n)}
     return form | {f"media_pontos_{size}j": mean("pontos", size) for size in points_over}
 
 
-def _venue_sum(column: str, home: bool, key: Sequence[str], last: int) -> Column:
+def _venue_sum(column: str, home: bool, key: Sequence[str], last: int, order: Sequence[str] = MATCH_ORDER) -> Column:
     at_venue = F.when(F.col("eh_casa") == home, F.col(column)).otherwise(0)
-    return F.sum(at_venue).over(in_block(key).rowsBetween(START, last))
+    return F.sum(at_venue).over(by_club(key, order).rowsBetween(START, last))
 
 
-def venue_rate_prior(key: Sequence[str] = KEY) -> dict[str, Column]:
-    """Home (away) wins over home (away) games of all earlier matches; 0 for none."""
+def venue_rate_prior(key: Sequence[str] = KEY, last: int = -1) -> dict[str, Column]:
+    """Home (away) wins over home (away) games of all matches before this one by date; 0 for none."""
     def rate(home: bool) -> Column:
-        won = _venue_sum("vitoria", home, key, -1)
-        played_there = _venue_sum("_jogos", home, key, -1)
+        won = _venue_sum("vitoria", home, key, last, DATE_ORDER)
+        played_there = _venue_sum("_jogos", home, key, last, DATE_ORDER)
         return F.coalesce(won / F.greatest(played_there, F.lit(1)), F.lit(0.0))
 
     return {"aproveitamento_casa": rate(True), "aproveitamento_fora": rate(False)}
@@ -241,9 +174,9 @@ def venue_points_pct(key: Sequence[str] = KEY) -> dict[str, Column]:
     return {"aproveitamento_casa": rate(True), "aproveitamento_fora": rate(False)}
 
 
-def momentum_sum3(key: Sequence[str] = KEY, n: int = 3) -> dict[str, Column]:
-    """Points of the ``n`` matches before this one."""
-    return {"momentum": F.coalesce(_running("pontos", key, -n, -1), F.lit(0))}
+def momentum_sum3(key: Sequence[str] = KEY, n: int = 3, last: int = -1) -> dict[str, Column]:
+    """Points of the ``n`` matches before this one by date."""
+    return {"momentum": F.coalesce(_running("pontos", key, last + 1 - n, last, DATE_ORDER), F.lit(0))}
 
 
 def momentum_diff(key: Sequence[str] = KEY) -> dict[str, Column]:
@@ -255,7 +188,7 @@ def momentum_diff(key: Sequence[str] = KEY) -> dict[str, Column]:
 def momentum_weighted(key: Sequence[str] = KEY) -> dict[str, Column]:
     """Weighted outcome of the newest 3 matches, weights 3, 2, 1 from the newest."""
     value = F.when(F.col("vitoria") == 1, 1.0).when(F.col("empate") == 1, 0.5).otherwise(0.0)
-    terms = [(3, value)] + [(3 - back, F.lag(value, back).over(in_block(key))) for back in (1, 2)]
+    terms = [(3, value)] + [(3 - back, F.lag(value, back).over(by_club(key))) for back in (1, 2)]
     won = sum((F.coalesce(v * w, F.lit(0.0)) for w, v in terms), F.lit(0.0))
     weight = sum((F.when(v.isNotNull(), w).otherwise(0) for w, v in terms), F.lit(0))
     return {"momentum": half_up(won / weight, 4)}

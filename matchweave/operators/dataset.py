@@ -33,9 +33,18 @@ def training_set(
     return join_match_features(facts, state, key).dropna(subset=FEATURES)
 
 
+def training_rows(matches: DataFrame, state: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Played matches with the features of both clubs as they were before the match; ``state`` is one row per match and club."""
+    facts = played(matches).select(
+        *key, "partida_id", "rodada", "data_partida", "clube_casa_id", "clube_vis_id", "resultado"
+    )
+    return join_match_features(facts, state, key, on=("partida_id",)).dropna(subset=FEATURES)
+
+
 def _ordinals() -> list[Column]:
-    """The order rows are split in, as integers."""
-    return [F.col("rodada").cast("bigint"), clock_micros(F.col("data_partida")), F.col("partida_id")]
+    """The order rows are split in, as integers; what is missing comes first, as a value of its own."""
+    values = [F.col("rodada").cast("bigint"), clock_micros(F.col("data_partida")), F.col("partida_id").cast("bigint")]
+    return [part for v in values for part in (v.isNotNull().cast("bigint"), F.coalesce(v, F.lit(0)))]
 
 
 def _value_at(rows: DataFrame, value: Column, position: int, width: int = 1024) -> tuple[int, int]:

@@ -1,35 +1,37 @@
 """Elo ratings: sequential, additive and simplified.
 
 The sequential rating of a match needs both clubs' ratings after all their earlier
-matches, so it is no window. ``elo`` splits the work in two:
+matches, so it is no window. ``elo`` has two methods with the same results; the caller names one:
 
-* a competition of at most ``limit`` matches is one grouped-map group (a bounded one);
-* larger competitions run level by level. Matches of one level share no club, so a level
-  is a join of its matches with the ratings table, spread over the cluster. The number
-  of levels follows the calendar, the work per level follows the data.
+* ``grouped``: a competition is one grouped-map group of six slim columns. Its length is a calendar's;
+* ``levels``: for a competition that no task should hold. Matches of a level share no club, so a level
+  is a join of its matches with the ratings they wait for, spread over the cluster. The number
+  of levels follows the calendar, the work per level follows its matches.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matchweave.functions.numeric import half_up
 from matchweave.functions.scoring import AWAY, DRAW, HOME
 from matchweave.operators.clean import played
-from matchweave.operators.clubrows import BLOCK, START, in_block, over_clubs
-from matchweave.operators.latest import KEY, MATCH_KEY
-from matchweave.session import shared_folder, stage
+from matchweave.operators.clubrows import START, by_club, over_clubs
+from matchweave.operators.latest import KEY
+from matchweave.session import scratch_path, stage
 
 K_FACTOR = 32
 START_RATING = 1500.0
 SCALE = 400.0
-GROUP_LIMIT = 1_000_000
 
 PRE = ("elo_casa", "elo_vis")
+POST = ("elo_casa_depois", "elo_vis_depois")
+LINE = "_linha"
+#: Dates first, undated matches last; the line decides between rows that agree in everything.
+ORDER = ["data_partida", "partida_id", "clube_casa_id", "clube_vis_id", LINE]
 
 
 def elo(
@@ -37,31 +39,33 @@ def elo(
     key: Sequence[str] = KEY,
     k: float = K_FACTOR,
     start: float = START_RATING,
-    limit: int = GROUP_LIMIT,
+    method: str = "grouped",
+    after: bool = False,
 ) -> DataFrame:
-    """Played matches with both clubs' ratings before the match.
+    """Played matches with both clubs' ratings before the match, with ``after`` also after it.
 
-    Order: ``data_partida``, then ``partida_id``. The input is written once to the shared
-    folder, since the group sizes decide the path.
+    Order: ``data_partida`` (undated last), then ``partida_id``. The matches are written once to the shared
+    folder with a line number, which the ratings are joined back on; repeated ids and match keys do no harm.
     """
-    staged = stage(played(matches), "elo_input")
-    sizes = staged.groupBy(*key).count()
-    large = sizes.filter(F.col("count") > limit)
-    if large.isEmpty():
-        return _grouped(staged, key, k, start)
-    large = large.select(*key)
-    small_part = _grouped(staged.join(large, list(key), "left_anti"), key, k, start)
-    large_part = _by_level(staged.join(large, list(key), "left_semi"), key, k, start)
-    return small_part.unionByName(large_part)
+    lines = stage(played(matches).withColumn(LINE, F.monotonically_increasing_id()), "elo_input")
+    facts = lines.select(*key, LINE, "data_partida", "partida_id", "clube_casa_id", "clube_vis_id", "resultado")
+    rated = {"grouped": _grouped, "levels": _by_level}[method](facts, key, k, start)
+    joined = lines.join(stage(rated, "elo_rated"), LINE)
+    post = dict(zip(POST, _moved(k))) if after else {}
+    return joined.select(*matches.columns, *PRE, *[c.alias(name) for name, c in post.items()])
 
 
-def _rated_schema(matches: DataFrame) -> T.StructType:
-    return T.StructType(matches.schema.fields + [T.StructField(c, T.DoubleType()) for c in PRE])
+def _moved(k: float) -> tuple[Column, Column]:
+    """Both ratings after a match, from those before it and the result."""
+    home, away = (F.col(c) for c in PRE)
+    score = F.when(F.col("resultado") == HOME, 1.0).when(F.col("resultado") == DRAW, 0.5).otherwise(0.0)
+    expected = 1 / (1 + F.pow(F.lit(10.0), (away - home) / SCALE))
+    return home + k * (score - expected), away + k * ((1 - score) - (1 - expected))
 
 
-def _grouped(matches: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
+def _grouped(facts: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
     def rate(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["data_partida", "partida_id"], ignore_index=True)
+        pdf = pdf.sort_values(ORDER, ignore_index=True, na_position="last")
         ratings: dict[int, float] = {}
         before: list[tuple[float, float]] = []
         scores = pdf["resultado"].map({HOME: 1.0, DRAW: 0.5, AWAY: 0.0})
@@ -71,80 +75,74 @@ def _grouped(matches: DataFrame, key: Sequence[str], k: float, start: float) ->
             expected = 1 / (1 + 10 ** ((pair[1] - pair[0]) / SCALE))
             ratings[home] = pair[0] + k * (score - expected)
             ratings[away] = pair[1] + k * ((1 - score) - (1 - expected))
-        pdf[list(PRE)] = before
-        return pdf
+        return pd.DataFrame({LINE: pdf[LINE], PRE[0]: [p[0] for p in before], PRE[1]: [p[1] for p in before]})
 
-    return matches.groupBy(*key).applyInPandas(rate, _rated_schema(matches))
+    return facts.groupBy(*key).applyInPandas(rate, f"{LINE} bigint, {PRE[0]} double, {PRE[1]} double")
 
 
-def levels(matches: DataFrame, key: Sequence[str] = KEY, days: int = 7) -> DataFrame:
-    """Number matches so that a level holds no club twice and follows each club's order.
+def levels(facts: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """(line, level, and for each side the next line and its level): a level holds no club twice and follows each club's order.
 
-    A level is (batch of ``days`` days, depth inside the batch). The depth starts at 1 and
-    rises above that of each club's previous match in the batch until nothing changes;
-    all batches settle at once, in as many passes as a club has matches in a batch.
+    A match's level is one above the higher of its clubs' previous matches. It starts at the number of the match
+    in the longer of the two calendars, which is never too high, and rises until nothing changes. Previous
+    matches come strictly earlier in one order of all lines, so that ends, at the latest after as many passes as the last
+    level; calendars in step need very few.
     """
-    batch = F.floor(F.datediff("data_partida", F.lit("1970-01-01")) / days).cast("int")
-    current = matches.withColumns({"_batch": batch, "_depth": F.lit(1)})
-    order = Window.partitionBy(*key, "_batch", "_clube").orderBy("data_partida", "partida_id")
-    match = [*key, *MATCH_KEY]
+    order = Window.partitionBy(*key, "_clube").orderBy(*[F.asc_nulls_last(c) for c in ORDER])
+    sides = facts.select(*key, *ORDER, F.posexplode(F.array("clube_casa_id", "clube_vis_id")).alias("_lado", "_clube"))
+    placed = sides.withColumns({
+        "_n": F.row_number().over(order), "_antes": F.lag(LINE).over(order), "_depois": F.lead(LINE).over(order),
+    }).select(LINE, "_lado", "_n", "_antes", "_depois")
+    placed = stage(placed, "elo_sides")
+    level = stage(placed.groupBy(LINE).agg(F.max("_n").cast("int").alias("_nivel")), "elo_levels")
+    waits = placed.filter("_antes IS NOT NULL").select(LINE, "_antes")
     while True:
-        current = stage(current, "elo_levels")
-        sides = current.select(
-            *match, "_batch", "partida_id", "data_partida", "_depth",
-            F.explode(F.array("clube_casa_id", "clube_vis_id")).alias("_clube"),
-        )
-        previous = sides.withColumn("_previous", F.lag("_depth").over(order))
-        needed = previous.groupBy(*match).agg(F.max("_previous").alias("_previous"))
-        raised = current.join(needed, match).withColumn(
-            "_new", F.greatest("_depth", F.coalesce(F.col("_previous") + 1, F.lit(1)))
-        )
-        if raised.filter("_new > _depth").isEmpty():
-            return current
-        current = raised.withColumn("_depth", F.col("_new")).select(*current.columns)
-
-
-def _by_level(matches: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
-    spark = matches.sparkSession
-    columns = matches.columns
-    numbered = levels(matches, key)
-    steps = [tuple(r) for r in numbered.select("_batch", "_depth").distinct().orderBy("_batch", "_depth").toLocalIterator()]
-    by_step = f"{shared_folder(spark)}/{uuid.uuid4().hex}/elo_by_level"
-    numbered.repartition("_batch", "_depth", F.hash("partida_id") % 64).write.partitionBy("_batch", "_depth").parquet(by_step)
-    numbered = spark.read.schema(numbered.schema).parquet(by_step)
-
-    clubs = numbered.select(*key, F.explode(F.array("clube_casa_id", "clube_vis_id")).alias("clube_id")).distinct()
-    ratings = stage(clubs.withColumn("elo", F.lit(float(start))), "elo_ratings")
-    out = f"{shared_folder(spark)}/{uuid.uuid4().hex}/elo_rated"
-    schema = _rated_schema(matches)
-    for number, (batch, depth) in enumerate(steps):
-        todo = numbered.filter((F.col("_batch") == batch) & (F.col("_depth") == depth)).select(*columns)
-        step = f"{out}/_step={number}"
-        _with_ratings(todo, ratings, key).write.parquet(step)
-        rated = spark.read.schema(schema).parquet(step)
-        ratings = stage(_updated(ratings, rated, key, k), "elo_ratings")
-    return spark.read.schema(schema).parquet(*[f"{out}/_step={n}" for n in range(len(steps))])
-
-
-def _with_ratings(matches: DataFrame, ratings: DataFrame, key: Sequence[str]) -> DataFrame:
-    home = ratings.withColumnsRenamed({"clube_id": "clube_casa_id", "elo": PRE[0]})
-    away = ratings.withColumnsRenamed({"clube_id": "clube_vis_id", "elo": PRE[1]})
-    joined = matches.join(home, [*key, "clube_casa_id"]).join(away, [*key, "clube_vis_id"])
-    return joined.select(*matches.columns, *PRE)
-
-
-def _updated(ratings: DataFrame, rated: DataFrame, key: Sequence[str], k: float) -> DataFrame:
-    home, away = (F.col(c) for c in PRE)
-    score = F.when(F.col("resultado") == HOME, 1.0).when(F.col("resultado") == DRAW, 0.5).otherwise(0.0)
-    expected = 1 / (1 + F.pow(F.lit(10.0), (away - home) / SCALE))
-    sides = F.array(
-        F.struct(F.col("clube_casa_id").alias("clube_id"), (home + k * (score - expected)).alias("_elo")),
-        F.struct(F.col("clube_vis_id").alias("clube_id"), (away + k * ((1 - score) - (1 - expected))).alias("_elo")),
-    )
-    moved = rated.select(*key, F.inline(sides))
-    return ratings.join(moved, [*key, "clube_id"], "left").select(
-        *key, "clube_id", F.coalesce("_elo", "elo").alias("elo")
-    )
+        earlier = level.select(F.col(LINE).alias("_antes"), F.col("_nivel").alias("_anterior"))
+        needed = waits.join(earlier, "_antes").groupBy(LINE).agg((F.max("_anterior") + 1).alias("_minimo"))
+        raised = level.join(needed, LINE, "left")
+        if raised.filter("_minimo > _nivel").isEmpty():
+            break
+        level = stage(raised.select(LINE, F.greatest("_nivel", F.coalesce("_minimo", "_nivel")).alias("_nivel")), "elo_levels")
+    following = level.select(F.col(LINE).alias("_depois"), F.col("_nivel").alias("_nivel_depois"))
+    ahead = placed.join(following, "_depois", "left").groupBy(LINE).agg(*[
+        F.max(F.when(F.col("_lado") == side, F.col(column))).alias(f"{column}_{side}")
+        for side in (0, 1) for column in ("_depois", "_nivel_depois")
+    ])
+    return level.join(ahead, LINE)
+
+
+def _by_level(facts: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
+    """Each level reads the ratings that wait for it and hands the new ones on to the levels of the clubs' next matches."""
+    spark = facts.sparkSession
+    root = scratch_path(spark, "elo")
+    rated_schema = f"{LINE} bigint, {PRE[0]} double, {PRE[1]} double"
+    numbered = facts.select(LINE, "clube_casa_id", "clube_vis_id", "resultado").join(levels(facts, key), LINE)
+    numbered.repartition("_nivel", F.hash(LINE) % 64).write.partitionBy("_nivel").parquet(f"{root}/partidas")
+    numbered = spark.read.schema(numbered.schema).parquet(f"{root}/partidas")
+    last = numbered.agg(F.max("_nivel")).first()[0] or 0
+    waiting = f"{LINE} bigint, _clube bigint, _elo double"
+    paths = []
+    for level in range(1, last + 1):
+        todo = numbered.filter(F.col("_nivel") == level)
+        if level > 1:
+            ready = spark.read.schema(waiting).parquet(f"{root}/esperam/_para={level}")
+            for side, name in zip(("clube_casa_id", "clube_vis_id"), PRE):
+                own = ready.select(LINE, F.col("_clube").alias(side), F.col("_elo").alias(name))
+                todo = todo.join(own, [LINE, side], "left")
+        else:
+            todo = todo.withColumns({name: F.lit(None).cast("double") for name in PRE})
+        todo = stage(todo.withColumns({name: F.coalesce(name, F.lit(float(start))) for name in PRE}), "elo_level")
+        paths.append(f"{root}/prontas/nivel={level}")
+        todo.select(LINE, *PRE).write.parquet(paths[-1])
+        home, away = _moved(k)
+        handed = todo.select(F.inline(F.array(*[
+            F.struct(F.col(f"_depois_{side}").alias(LINE), F.col(club).cast("bigint").alias("_clube"), rating.alias("_elo"), F.col(f"_nivel_depois_{side}").alias("_para"))
+            for side, club, rating in ((0, "clube_casa_id", home), (1, "clube_vis_id", away))
+        ]))).filter(f"{LINE} IS NOT NULL")
+        handed.write.mode("append").partitionBy("_para").parquet(f"{root}/esperam")
+    if not paths:
+        return spark.createDataFrame([], rated_schema)
+    return spark.read.schema(rated_schema).parquet(*paths)
 
 
 # Rating change per match of the additive variant, as a share of its k.
@@ -158,20 +156,18 @@ def additive_delta(k: float = 30) -> Column:
 
 
 def additive_total(key: Sequence[str] = KEY) -> Column:
-    """All changes so far; needs ``_delta`` among the measures."""
-    return F.sum("_delta").over(in_block(key).rowsBetween(START, 0))
+    """All changes so far; needs the column ``_delta``."""
+    return F.sum("_delta").over(by_club(key).rowsBetween(START, 0))
 
 
 def elo_additive(
-    rows: DataFrame, base: DataFrame, keep: Sequence[str], key: Sequence[str] = KEY, k: float = 30, limit: int = BLOCK
+    rows: DataFrame, base: DataFrame, keep: Sequence[str], key: Sequence[str] = KEY, k: float = 30
 ) -> DataFrame:
     """Post-match rating: the club's base plus all its changes so far. A plain window.
 
     ``base`` has (clube_id, elo_base); a club without one starts at ``START_RATING``.
     """
-    moved = over_clubs(
-        rows.withColumn("_delta", additive_delta(k)), {"_moved": additive_total(key)}, keep, key, ["_delta"], limit
-    )
+    moved = over_clubs(rows.withColumn("_delta", additive_delta(k)), {"_moved": additive_total(key)}, keep, key)
     start = F.coalesce("elo_base", F.lit(START_RATING))
     based = moved.join(base.select("clube_id", "elo_base"), "clube_id", "left")
     return based.select(*keep, half_up(start + F.col("_moved"), 2).alias("elo_rating"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from matchweave.functions.numeric import half_up
 from matchweave.operators import clubrows as C
-from matchweave.operators.elo import PRE, START_RATING, additive_delta, additive_total, elo, elo_simplified
+from matchweave.operators.elo import POST, PRE, START_RATING, additive_delta, additive_total, elo, elo_simplified
 from matchweave.operators.grid import carry_forward
 from matchweave.operators.latest import KEY, latest_per_key
 
@@ -22,20 +22,21 @@ ENHANCED = [
 ROW = ("rodada", "clube_id")
 
 
-def _after_round(rows: DataFrame, key: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """The row of a club's last match in each round, for tables keyed by (round, club)."""
-    return latest_per_key(rows, [*key, *ROW], ["data_partida", "partida_id"]).select(*key, *ROW, *keep)
+def _newest(rows: DataFrame, keys: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The row of the last match by date per key; an undated match counts as the last."""
+    undated = rows.withColumn("_sem_data", F.col("data_partida").isNull())
+    return latest_per_key(undated, keys, ["_sem_data", "data_partida", "partida_id"]).select(*keys, *keep)
 
 
-def _store(rows: DataFrame, values: dict[str, Column], key: Sequence[str], per_round: bool, limit: int, **options) -> DataFrame:
-    """One row per match of a club, or with ``per_round`` per round."""
-    order = ["data_partida", "partida_id"] if per_round else []
-    out = C.over_clubs(rows, values, [*key, *ROW, *order], key, limit=limit, **options)
-    return _after_round(out, key, list(values)) if per_round else out
+def _store(rows: DataFrame, values: dict[str, Column], key: Sequence[str], per_round: bool, order: Sequence[str] = C.MATCH_ORDER) -> DataFrame:
+    """One row per match of a club, or with ``per_round`` one per round: its last match there."""
+    dates = ["data_partida", "partida_id"] if per_round else []
+    out = C.over_clubs(rows, values, [*key, *ROW, *dates], key, order)
+    return _newest(out, [*key, *ROW], list(values)) if per_round else out
 
 
 def feature_store(
-    matches: DataFrame, key: Sequence[str] = KEY, variant: str = "sql", per_round: bool = False, limit: int = C.BLOCK
+    matches: DataFrame, key: Sequence[str] = KEY, variant: str = "sql", per_round: bool = False
 ) -> DataFrame:
     """State of each club after each of its matches.
 
@@ -47,25 +48,43 @@ def feature_store(
         values = C.cum_stats(key) | {"saldo_gols": goals} | rate
     else:
         values = C.cum_stats(key) | C.goal_diff(key) | C.success_rate(key, digits=2)
-    return _store(C.club_rows(matches, key), values, key, per_round, limit)
+    return _store(C.club_rows(matches, key), values, key, per_round)
 
 
-def features_job(
-    matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, limit: int = C.BLOCK, **elo_options
-) -> DataFrame:
-    """Sequential Elo and form before each match."""
+def _known(key: Sequence[str], last: int) -> dict[str, Column]:
+    """Form by date up to the match before (``last`` = -1) or with this one (0)."""
+    form = C.form5_prior(key, last=last) | C.venue_rate_prior(key, last=last) | C.momentum_sum3(key, last=last)
+    return {n: c.cast("double") for n, c in form.items()}
+
+
+def features_job(matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, **elo_options) -> DataFrame:
+    """Sequential Elo and form before each match, both by date."""
     rows = C.club_rows(elo(matches, key, **elo_options), key, carry={"elo_rating": PRE})
-    before = C.form5_prior(key) | C.venue_rate_prior(key) | C.momentum_sum3(key)
-    values = {"elo_rating": F.col("elo_rating")} | {n: c.cast("double") for n, c in before.items()}
-    return _store(rows, {n: values[n] for n in ENHANCED}, key, per_round, limit)
+    values = {"elo_rating": F.col("elo_rating")} | _known(key, -1)
+    return _store(rows, {n: values[n] for n in ENHANCED}, key, per_round, C.DATE_ORDER)
+
+
+def model_state(matches: DataFrame, key: Sequence[str] = KEY, ahead: bool = False, **elo_options) -> DataFrame:
+    """What is known of a club by date: before each of its matches, or with ``ahead`` after its last, for the next one.
+
+    The same quantities both times, so that a model meets at prediction what it was trained on. Keyed by
+    (partida_id, club), or with ``ahead`` by club.
+    """
+    rated = elo(matches, key, after=ahead, **elo_options)
+    rows = C.club_rows(rated, key, carry={"elo_rating": POST if ahead else PRE})
+    last = 0 if ahead else -1
+    goals = C.goal_diff_double(key, C.DATE_ORDER, last)["saldo_gols_double"]
+    values = {"elo_rating": F.col("elo_rating")} | _known(key, last) | {"saldo_gols": goals}
+    out = C.over_clubs(rows, values, [*key, "partida_id", "clube_id", "data_partida"], key, C.DATE_ORDER)
+    return _newest(out, [*key, "clube_id"], list(values)) if ahead else out.drop("data_partida")
 
 
 def features_sql(
-    matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, limit: int = C.BLOCK
+    matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False
 ) -> DataFrame:
     """Simplified rating and form with the match included; venue rates in the same pass."""
     values = C.form_incl(key) | C.venue_rate_incl(key, default=None)
-    return combine_sql(_store(C.club_rows(matches, key), values, key, per_round, limit), key)
+    return combine_sql(_store(C.club_rows(matches, key), values, key, per_round), key)
 
 
 def combine_sql(raw: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -83,24 +102,24 @@ def combine_sql(raw: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 
 
 def features_seed(
-    matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30, limit: int = C.BLOCK
+    matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30
 ) -> DataFrame:
     """Additive rating and venue points on the grid of all clubs and rounds."""
     form = {n: half_up(c, 4) for n, c in C.form_incl(key, points_over=()).items()}
     moved = {"_moved": additive_total(key)}
     values = form | C.venue_points_pct(key) | C.momentum_weighted(key) | moved
     rows = C.club_rows(matches, key).withColumn("_delta", additive_delta(k))
-    states = _store(rows, values, key, True, limit, measures=["_delta"])
+    states = _store(rows, values, key, True)
     before = {n: 0.0 for n in values} | {"momentum": 0.5}
     grid = carry_forward(states, before, key).join(base.select("clube_id", "elo_base"), "clube_id", "left")
     rating = half_up(F.coalesce("elo_base", F.lit(START_RATING)) + F.col("_moved"), 2)
     return grid.withColumn("elo_rating", rating).select(*key, *ROW, *ENHANCED)
 
 
-def round_club_grid(matches: DataFrame, key: Sequence[str] = KEY, limit: int = C.BLOCK) -> DataFrame:
+def round_club_grid(matches: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Cumulative statistics of every club in every round."""
     values = C.cum_stats(key) | C.games(key)
-    states = _store(C.club_rows(matches, key), values, key, True, limit)
+    states = _store(C.club_rows(matches, key), values, key, True)
     grid = carry_forward(states, dict.fromkeys(values, 0), key)
     return grid.select(
         *key, *ROW, *[n for n, _ in C.CUMULATIVE],

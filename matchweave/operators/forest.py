@@ -72,9 +72,11 @@ def model_metrics(model: PipelineModel, test: DataFrame) -> dict[str, float]:
 
 
 def split_rounds(split: DataFrame) -> DataFrame:
-    """Last round of the training and of the test part, in one row."""
+    """Last round of the training and of the test part and their sizes, in one row."""
+    parts = ("treino", "teste")
     return split.agg(
-        *[F.max(F.when(F.col("conjunto") == part, F.col("rodada"))).alias(f"rodada_{part}") for part in ("treino", "teste")]
+        *[F.max(F.when(F.col("conjunto") == part, F.col("rodada"))).alias(f"rodada_{part}") for part in parts],
+        *[F.count(F.when(F.col("conjunto") == part, 1)).alias(f"linhas_{part}") for part in parts],
     )
 
 

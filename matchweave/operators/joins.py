@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from matchweave.operators.clubrows import START, by_club
+from matchweave.operators.elo import START_RATING
 from matchweave.operators.latest import KEY
 
 SIDES = ("casa", "vis")
@@ -48,13 +49,16 @@ FEATURES = [*side_features("casa"), *side_features("vis")]
 STATE = sorted(set(SHARED.values()) | set(VENUE.values()))
 
 
-def join_match_features(matches: DataFrame, state: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Matches with the 14 features of both clubs in the same round; null where absent."""
+def join_match_features(matches: DataFrame, state: DataFrame, key: Sequence[str] = KEY, on: Sequence[str] = ("rodada",)) -> DataFrame:
+    """Matches with the 14 features of both clubs in the same round; null where absent.
+
+    ``on`` names what a state belongs to besides its club: a round, a match, or nothing.
+    """
     joined = matches
     for side in SIDES:
         columns = [F.col(column).alias(name) for name, column in side_features(side).items()]
-        features = state.select(*key, "rodada", F.col("clube_id").alias(club_id(side)), *columns)
-        joined = joined.join(features, [*key, "rodada", club_id(side)], "left")
+        features = state.select(*key, *on, F.col("clube_id").alias(club_id(side)), *columns)
+        joined = joined.join(features, [*key, *on, club_id(side)], "left")
     return joined.select(*matches.columns, *FEATURES)
 
 
@@ -88,6 +92,12 @@ def features_exact(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = K
     return join_match_features(fixtures, state, key).fillna(0.0, subset=FEATURES)
 
 
+def features_ahead(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = KEY, start: float = START_RATING) -> DataFrame:
+    """Features of upcoming fixtures from each club's state after its last match; a new club has the start rating and no history."""
+    blank = {name: start if name.startswith("elo_") else 0.0 for name in FEATURES}
+    return join_match_features(fixtures, state, key, on=()).fillna(blank)
+
+
 def features_asof(fixtures: DataFrame, state: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Features of each club's latest round strictly before the fixture; 0 without one.
 

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchweave.operators import accuracy, clean, dataset, features, forest, joins, quality, standings
 from matchweave.operators.latest import KEY, MATCH_KEY, append_dedupe
-from matchweave.plans.marts import mart_predictions
+from matchweave import session
+from matchweave.plans.marts import mart_predictions, standard_views
 from matchweave.session import stage as staged
-from matchweave.sources import audit, feeds
+from matchweave.sources import audit, feeds, views
 from matchweave.sources.tables import read_table, write_if_nonempty, write_table
 
 log = logging.getLogger("matchweave")
@@ -38,8 +39,7 @@ class Lake:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return session.exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name))
@@ -47,6 +47,14 @@ class Lake:
     def write(self, name: str, df: DataFrame) -> int:
         return write_table(self._clustered(df), self.path(name))
 
+    def unread(self, name: str, reader: str) -> tuple[DataFrame, object]:
+        """Rows of an append log that ``reader`` has not seen, and the mark to leave once it has."""
+        rows = self.read(name)
+        mark = f"{reader}.lido"
+        if self.exists(mark):
+            rows = rows.filter(F.col("ingested_at") > self.read(mark).first()[0])
+        return rows, rows.agg(F.max("ingested_at").alias("lido")).filter("lido IS NOT NULL")
+
     def replace(self, name: str, df: DataFrame) -> int:
         """Overwrite unless ``df`` is empty; ``df`` may read the table itself."""
         return write_if_nonempty(self._clustered(df), self.path(name))
@@ -118,10 +126,11 @@ def silver(lake: Lake) -> tuple[str, int, str | None]:
     """Clean tables. Rows already there survive a feed that no longer carries them."""
     total = 0
     if lake.exists("bronze.partidas_raw"):
-        new = clean.silver_matches(
-            lake.read("bronze.partidas_raw"), lake.key, order=["ingested_at", "data_partida", "partida_id"]
-        )
+        rows, mark = lake.unread("bronze.partidas_raw", "silver.partidas")
+        new = clean.silver_matches(rows, lake.key, order=["ingested_at", "data_partida", "partida_id"])
+        mark = staged(mark, "lido")
         total += _merge(lake, "silver.partidas", new, [*lake.key, *MATCH_KEY])
+        lake.replace("silver.partidas.lido", mark)
     if lake.exists("bronze.clubes_info_raw"):
         clubs = clean.silver_clubs(lake.read("bronze.clubes_info_raw"), order=["ingested_at"])
         total += _merge(lake, "silver.clubes", clubs, ["clube_id"])
@@ -162,25 +171,16 @@ def gold(lake: Lake) -> tuple[str, int, str | None]:
     return "success", total, None
 
 
-def _model_state(lake: Lake) -> DataFrame:
-    return joins.join_features(lake.read("gold.feature_store_enhanced"), lake.read("gold.feature_store_model"), lake.key)
-
-
 def train(lake: Lake) -> tuple[str, int, str | None]:
-    rows = staged(
-        dataset.training_set(
-            lake.read("silver.partidas"), lake.read("gold.feature_store_enhanced"),
-            lake.read("gold.feature_store_model"), lake.key,
-        ),
-        "treino",
-    )
+    matches = lake.read("silver.partidas")
+    rows = staged(dataset.training_rows(matches, features.model_state(matches, lake.key), lake.key), "treino")
     if not dataset.enough_rows(rows):
         return "skipped", 0, "Dados insuficientes"
     split = staged(dataset.time_split(rows), "treino_dividido")
     model = forest.train_forest(split.filter("conjunto = 'treino'"), **lake.forest_options)
     metrics = forest.model_metrics(model, split.filter("conjunto = 'teste'"))
     audit.save_model(model, lake.model_path)
-    rounds = tuple(forest.split_rounds(split).first())
+    rounds = tuple(forest.split_rounds(split).first())[:2]
     params = forest.FOREST | lake.forest_options
     new = audit.new_model(lake.spark, "previsao_resultados", forest.ALGORITHM, metrics, rounds, params, _now())
     name = "gold.modelos_registry"
@@ -202,7 +202,7 @@ def infer(lake: Lake) -> tuple[str, int, str | None]:
         total += lake.replace("gold.previsoes_validadas", accuracy.validate_predictions(joined, lake.key))
     version = audit.active_version(lake.read("gold.modelos_registry")).first()[0]
     fixtures = clean.upcoming(matches).select(*lake.key, "partida_id", *MATCH_KEY)
-    with_state = joins.match_features(fixtures, _model_state(lake), lake.key)
+    with_state = joins.features_ahead(fixtures, features.model_state(matches, lake.key, ahead=True), lake.key)
     named = joins.join_club_names(with_state, clubs)
     predicted = forest.predict(audit.load_model(lake.model_path), named, version, lake.key)
     predicted = predicted.withColumnRenamed("partida_id", "id").withColumn("processed_at", F.lit(_now()))
@@ -224,13 +224,60 @@ def publish(lake: Lake) -> tuple[str, int, str | None]:
     if lake.exists("gold.previsoes_validadas"):
         performance = accuracy.mart_performance(lake.read("gold.previsoes_validadas"), lake.key)
         total += lake.write("gold.mart_desempenho_modelo", performance)
+    _views(lake, store, clubs)
+    for report in _checks(lake):
+        lake.check(report)
     return "success", total, None
 
 
+def _views(lake: Lake, store: DataFrame, clubs: DataFrame) -> None:
+    """The standard views, of those tables that there are."""
+    none = {
+        "gold.previsoes_proximas_partidas": "nome_casa string, nome_vis string, prob_casa double, prob_empate double, prob_visitante double, "
+        "previsao string, confianca double, modelo_versao string, processed_at timestamp_ntz",
+        "gold.previsoes_validadas": "acerto boolean",
+    }
+    keys = ", ".join([*(f"{c} {dict(store.dtypes)[c]}" for c in lake.key), "rodada int"])
+    tables = [lake.read(n) if lake.exists(n) else lake.spark.createDataFrame([], f"{keys}, {columns}") for n, columns in none.items()]
+    views.register_views(standard_views(store, clubs, *tables, lake.key))
+
+
+def _checks(lake: Lake) -> list[DataFrame]:
+    """The declared checks of the clean and published tables (D2 to D8)."""
+    Q, reports = quality, []
+    if lake.exists("silver.partidas"):
+        name = "silver.partidas"
+        matches = lake.read(name)
+        reports += [
+            Q.dq_not_null(matches, name, [*MATCH_KEY]),
+            Q.dq_unique(matches, name, ["partida_id"]),
+            Q.dq_accepted(matches, name, "resultado", ["casa", "empate", "visitante"], F.col("resultado").isNotNull()),
+        ]
+    name = "gold.feature_store"
+    store = lake.read(name)
+    reports += [Q.dq_range(store, name, "aproveitamento_pct", 0, 100), Q.dq_bounds(store, name, {"pontos_acumulados": (0, None)})]
+    name = "gold.feature_store_enhanced"
+    if lake.exists(name):
+        reports.append(Q.dq_elo_range(lake.read(name), name))
+    name = "gold.previsoes_proximas_partidas"
+    if lake.exists(name):
+        reports.append(Q.dq_prob_sum(lake.read(name), name))
+    name = "gold.analise_rebaixamento"
+    if lake.exists(name):
+        reports.append(Q.dq_bounds(lake.read(name), name, {"prob_rebaixamento": (0, 1)}))
+    places = Q.dq_positions(lake.spark.table("gold_vw_classificacao"), lake.key)
+    reports.append(Q.conditions(places, "gold.vw_classificacao", {"posicoes_sequenciais": F.col("status") == "failed"}))
+    return reports
+
+
 def run_day(lake: Lake, landed: dict[str, DataFrame]) -> dict[str, str]:
     """All stages in order; the status of each."""
     stages = {
         "bronze": lambda l: bronze(l, landed), "silver": silver, "gold": gold,
         "gold_ml_training": train, "gold_ml_inference": infer, "gold_marts": publish,
     }
-    return {name: run_stage(lake, name, work) for name, work in stages.items()}
+    mark = session.scratch_mark()
+    try:
+        return {name: run_stage(lake, name, work) for name, work in stages.items()}
+    finally:
+        session.clear_scratch(lake.spark, mark)

@@ -41,6 +41,58 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+_written: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate data, remembered so that ``clear_scratch`` can remove it."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _written.append(folder)
+    return f"{folder}/{name}"
+
+
+def scratch_mark() -> int:
+    return len(_written)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate data written after ``since``; nothing may read it any more."""
+    for folder in _written[since:]:
+        remove(spark, folder)
+    del _written[since:]
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, where = _file_system(spark, path)
+    system.delete(where, True)
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; the old one goes only when the new one stands."""
+    system, where = _file_system(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    old = make(f"{path}.old-{uuid.uuid4().hex}")
+    had = system.exists(where)
+    if had and not system.rename(where, old):
+        raise OSError(f"cannot move {path}")
+    if not system.rename(make(new), where):
+        if had:
+            system.rename(old, where)
+        raise OSError(f"cannot put {new} in the place of {path}")
+    if had:
+        system.delete(old, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -48,6 +100,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the files, so neither a second job nor a lost executor recomputes the input.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,8 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-1: one scan of lineitem, summed per (order, supplier) before it is shuffled."""
-    sold = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum("l_quantity").alias("q"))
+    """F-1: one scan and one exchange of lineitem, by order, which the join with orders uses again."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity").repartition("l_orderkey")
+    sold = items.groupBy("l_orderkey", "l_suppkey").agg(F.sum("l_quantity").alias("q"))
     sides = sold.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("lo"),
         F.max("l_suppkey").alias("hi"),
@@ -57,9 +58,9 @@ def week(date: Column) -> Column:
     return (F.floor(F.datediff(date, F.lit(EPOCH).cast("date")) / 7) + 1).cast("int")
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-1s: clean matches, one per club and round."""
-    return one_match_per_round(silver_matches(raw_matches(spark, sf_dir)))
+def matches(raw: DataFrame) -> DataFrame:
+    """F-1s: clean matches of the raw ones, one per club and round."""
+    return one_match_per_round(silver_matches(raw))
 
 
 def raw_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:

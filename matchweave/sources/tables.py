@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from matchweave.session import stage
+from matchweave.operators.latest import latest_per_key
+from matchweave.session import exists, remove, stage, swap
 
 # Strings reach a JSON column only if the server may cast them.
 JDBC_DEFAULTS = {"driver": "org.postgresql.Driver", "stringtype": "unspecified"}
@@ -65,19 +67,40 @@ def write_table(
     return seen.get["rows"]
 
 
-def write_if_nonempty(df: DataFrame, name: str, **options) -> int:
+FILES = ("parquet", "orc", "json", "csv")
+
+
+def write_if_nonempty(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", **options) -> int:
     """Leave the target as it is when the batch has no row.
 
-    The batch is staged first, so finding out costs no second run of its plan, and a
-    batch that was read from the target itself may replace it.
+    A new version of a file table is written once, beside the old one, counted meanwhile, and put in its place
+    only if it has rows; so a batch may read the table it replaces, and a failure leaves the old one. An
+    append is one write. Other connectors need to know before they truncate: the batch is written to the shared folder first.
     """
-    batch = stage(df, "batch")
-    return 0 if batch.isEmpty() else write_table(batch, name, **options)
+    spark = df.sparkSession
+    if fmt not in FILES or options.get("partition_by"):
+        batch = stage(df, "batch")
+        return 0 if batch.isEmpty() else write_table(batch, name, mode, fmt, **options)
+    if mode == "append":
+        there = exists(spark, name)
+        count = write_table(df, name, mode, fmt, **options)
+        if not count and not there:
+            remove(spark, name)
+        return count
+    beside = f"{name}.new-{uuid.uuid4().hex}"
+    try:
+        count = write_table(df, beside, mode, fmt, **options)
+        if count:
+            swap(spark, beside, name)
+    finally:
+        remove(spark, beside)
+    return count
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows replace target rows of the same key; the rest stays."""
-    return target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(source)
+    """Source rows replace target rows of the same key; the rest stays. Of source rows with one key the greatest stays."""
+    once = latest_per_key(source, keys, [])
+    return target.join(once.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(once)
 
 
 def materialize(df: DataFrame, schema: str, alias: str, kind: str = "table", partition_by: Sequence[str] = ()) -> str:

@@ -12,7 +12,7 @@ from tests import golden
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "8")
+    session = local_session("tests", os.environ.get("TEST_CPUS", "8"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

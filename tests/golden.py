@@ -1,46 +1,13 @@
-"""The golden season: 50 matches and the table after round 5. See FIXTURES.md part C."""
+"""The golden season: 20 clubs, five rounds drawn by a seeded generator, and its table worked out in plain Python."""
 
 import json
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 from matchweave.operators.clean import with_result
 
-GAMES = """
-1:275-2305 3x0 02-15; 1:263-287 2x1 02-15; 1:356-288 2x0 02-15; 1:285-276 1x1 02-15; 1:283-286 2x0 02-15;
-1:266-373 1x0 02-16; 1:293-265 0x1 02-16; 1:284-280 1x1 02-16; 1:267-264 0x2 02-16; 1:277-294 2x1 02-16;
-2:2305-356 0x3 02-22; 2:287-285 0x2 02-22; 2:288-283 0x1 02-22; 2:276-275 1x2 02-22; 2:286-263 0x2 02-22;
-2:373-266 0x1 02-23; 2:265-267 2x0 02-23; 2:280-293 1x0 02-23; 2:264-284 0x0 02-23; 2:294-277 1x2 02-23;
-3:356-275 1x1 03-01; 3:285-373 2x0 03-01; 3:263-286 3x0 03-01; 3:276-284 1x0 03-01; 3:265-264 2x1 03-01;
-3:267-294 1x0 03-02; 3:266-277 2x0 03-02; 3:283-280 1x1 03-02; 3:293-2305 2x1 03-02; 3:287-288 0x1 03-02;
-4:2305-263 0x2 03-08; 4:286-356 1x1 03-08; 4:373-285 0x1 03-08; 4:284-275 1x2 03-08; 4:264-276 0x1 03-08;
-4:294-265 0x0 03-09; 4:280-266 2x1 03-09; 4:277-267 1x1 03-09; 4:288-293 0x2 03-09; 4:283-287 2x0 03-09;
-5:263-276 2x0 03-15; 5:275-283 3x1 03-15; 5:356-285 2x1 03-15; 5:266-265 1x1 03-15; 5:267-280 0x1 03-15;
-5:284-293 0x1 03-16; 5:286-264 0x3 03-16; 5:2305-373 0x1 03-16; 5:288-277 0x2 03-16; 5:294-287 1x0 03-16
-"""
-
-# place, club, games, points, won, drawn, lost, for, against, difference, rate, rating after the last match
-TABLE = """
-1 263 5 15 5 0 0 11 1 10 100.00 1569.9238
-2 275 5 13 4 1 0 11 4 7 86.67 1560.9424
-3 356 5 11 3 2 0 9 3 6 73.33 1543.8669
-4 265 5 11 3 2 0 6 2 4 73.33 1541.0946
-5 280 5 11 3 2 0 6 3 3 73.33 1547.2385
-6 285 5 10 3 1 1 7 3 4 66.67 1525.1538
-7 283 5 10 3 1 1 7 4 3 66.67 1526.4621
-8 266 5 10 3 1 1 6 3 3 66.67 1529.7041
-9 277 5 10 3 1 1 7 5 2 66.67 1527.1893
-10 293 5 9 3 0 2 5 3 2 60.00 1515.3934
-11 264 5 7 2 1 2 6 3 3 46.67 1498.9133
-12 276 5 7 2 1 2 4 5 -1 46.67 1503.1588
-13 294 5 4 1 1 3 3 5 -2 26.67 1472.8264
-14 267 5 4 1 1 3 2 6 -4 26.67 1472.9364
-15 373 5 3 1 0 4 1 5 -4 20.00 1458.8413
-16 288 5 3 1 0 4 1 7 -6 20.00 1455.4111
-17 284 5 2 0 2 3 2 5 -3 13.33 1455.5691
-18 286 5 1 0 1 4 1 11 -10 6.67 1444.7461
-19 287 5 0 0 0 5 1 8 -7 0.00 1425.0606
-20 2305 5 0 0 0 5 1 11 -10 0.00 1425.5681
-"""
+FIRST, LAST, ROUNDS = 101, 120, 5
+START = datetime(2026, 4, 4)
 
 SCHEMA = (
     "competicao string, partida_id bigint, rodada int, clube_casa_id bigint, clube_vis_id bigint, "
@@ -49,20 +16,52 @@ SCHEMA = (
 
 
 def games():
-    """(id, round, home, away, home goals, away goals, date)"""
-    parsed = []
-    for number, text in enumerate(GAMES.replace("\n", " ").split(";"), start=1):
-        fixture, score, day = text.split()
-        rodada, pair = fixture.split(":")
-        home, away = map(int, pair.split("-"))
-        goals = tuple(map(int, score.split("x")))
-        month, day = map(int, day.split("-"))
-        parsed.append((number, int(rodada), home, away, *goals, datetime(2026, month, day)))
-    return parsed
+    """(id, round, home, away, home goals, away goals, date): everyone plays once a round, half of the matches a day later."""
+    dice, clubs, rows = random.Random(20), list(range(FIRST, LAST + 1)), []
+    for rodada in range(1, ROUNDS + 1):
+        half = len(clubs) // 2
+        for k in range(half):
+            home, away = sorted((clubs[k], clubs[-1 - k]), key=lambda c: (c + rodada) % 2)
+            goals = [dice.choice((0, 0, 1, 1, 1, 2, 3)) for _ in range(2)]
+            rows.append((len(rows) + 1, rodada, home, away, *goals, START + timedelta(days=7 * (rodada - 1) + (k >= half // 2))))
+        clubs = [clubs[0], clubs[-1], *clubs[1:-1]]
+    return rows
+
+
+def outcomes(rows=None):
+    """Home wins, away wins and draws."""
+    signs = [(r[4] > r[5]) - (r[4] < r[5]) for r in rows or games()]
+    return {"casa": signs.count(1), "visitante": signs.count(-1), "empate": signs.count(0)}
+
+
+def ratings(rows=None):
+    """Rating of each club after its last match, by date and id."""
+    now = {}
+    for _, _, home, away, scored, conceded, _ in sorted(rows or games(), key=lambda r: (r[6], r[0])):
+        a, b = now.get(home, 1500.0), now.get(away, 1500.0)
+        won = 0.5 + 0.5 * ((scored > conceded) - (scored < conceded))
+        gain = 32 * (won - 1 / (1 + 10 ** ((b - a) / 400)))
+        now[home], now[away] = a + gain, b - gain
+    return now
 
 
 def table():
-    return [tuple(float(v) if "." in v else int(v) for v in line.split()) for line in TABLE.strip().splitlines()]
+    """(place, club, games, points, won, drawn, lost, for, against, difference, rate, rating) of each club, best first."""
+    totals = {club: [0] * 6 for club in range(FIRST, LAST + 1)}  # games, won, drawn, lost, for, against
+    for _, _, home, away, scored, conceded, _ in games():
+        for club, mine, theirs in ((home, scored, conceded), (away, conceded, scored)):
+            now = totals[club]
+            now[0] += 1
+            now[1 if mine > theirs else 2 if mine == theirs else 3] += 1
+            now[4] += mine
+            now[5] += theirs
+    rated = ratings()
+    rows = []
+    for club, (n, won, drawn, lost, scored, conceded) in totals.items():
+        points = 3 * won + drawn
+        rows.append((club, n, points, won, drawn, lost, scored, conceded, scored - conceded, round(100 * points / (3 * n), 2), round(rated[club], 4)))
+    rows.sort(key=lambda r: (-r[2], -r[3], -r[8], -r[6], r[0]))
+    return [(place, *row) for place, row in enumerate(rows, start=1)]
 
 
 def matches(spark, rows=None, competition="A"):
@@ -86,5 +85,4 @@ def feed_document(rows, scored=lambda row: True):
 
 
 def club_document():
-    clubs = sorted({row[2] for row in games()} | {row[3] for row in games()})
-    return json.dumps({str(c): {"nome": f" Clube {c} ", "abreviacao": f"C{c}", "escudos": {"60x60": f"u{c}"}} for c in clubs})
+    return json.dumps({str(c): {"nome": f" Clube {c} ", "abreviacao": f"C{c}", "escudos": {"60x60": f"u{c}"}} for c in range(FIRST, LAST + 1)})

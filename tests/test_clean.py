@@ -17,23 +17,25 @@ def raw(spark, *rows):
     return spark.createDataFrame(full, RAW)
 
 
-@pytest.mark.parametrize(
-    "score, result", [((3, 0), "casa"), ((0, 2), "visitante"), ((1, 1), "empate"), ((0, 0), "empate"), ((None, 1), None), ((1, None), None)]
-)
-def test_result(spark, score, result):
-    assert clean.with_result(raw(spark, (1, 275, 263, *score))).first()["resultado"] == result
+@pytest.mark.parametrize("home", [None, 0, 2, 5])
+@pytest.mark.parametrize("away", [None, 0, 2, 4])
+def test_result(spark, home, away):
+    expected = None
+    if home is not None and away is not None:
+        expected = "empate" if home == away else "casa" if home > away else "visitante"
+    assert clean.with_result(raw(spark, (3, 11, 12, home, away))).first()["resultado"] == expected
 
 
 def test_unplayed_matches_stay_unless_asked(spark):
-    rows = raw(spark, (0, 263, 2305, None, None), (1, 1, 2, 1, 0))
-    assert clean.silver_matches(rows).count() == 2
-    assert clean.silver_matches(rows, played_only=True).count() == 1
+    rows = raw(spark, (4, 31, 32, 2, None), (4, 33, 34, None, 0), (4, 35, 36, 4, 4), (5, 31, 36, None, None))
+    assert {r.clube_casa_id for r in clean.silver_matches(rows, played_only=True).collect()} == {35}
+    assert clean.silver_matches(rows).count() == 4
 
 
-def test_repeated_match_is_kept_once(spark):
-    rows = raw(spark, (1, 275, 263, 3, 0), (1, 275, 263, 3, 1), (1, 285, 276, 1, 1))
-    silver = clean.silver_matches(rows)
-    assert {(r.clube_casa_id, r.placar_vis) for r in silver.collect()} == {(275, 1), (285, 1)}
+def test_of_a_repeated_match_the_last_row_stays(spark):
+    rows = raw(spark, (2, 21, 22, None, None), (2, 22, 21, 6, 0), (2, 21, 22, 0, 1), (2, 21, 22, 5, 5))
+    found = {(r.clube_casa_id, r.clube_vis_id): (r.partida_id, r.placar_casa, r.placar_vis) for r in clean.silver_matches(rows).collect()}
+    assert found == {(21, 22): (4, 5, 5), (22, 21): (2, 6, 0)}
 
 
 def test_matches_without_key_fields_are_dropped(spark):
@@ -43,15 +45,16 @@ def test_matches_without_key_fields_are_dropped(spark):
 
 def test_clubs(spark):
     schema = "id bigint, clube_id int, nome string, abreviacao string, escudo_url string, raw_payload string, ingested_at timestamp"
-    rows = [(1, 275, " Palmeiras", "PAL ", "u1", "{}", None), (2, 275, "Palmeiras ", "PAL", "u1", "{}", None),
-            (3, 263, "Botafogo", "BOT", "u2", "{}", None), (4, None, "x", "x", "x", "{}", None), (5, 9, None, "x", "x", "{}", None)]
+    names = [(51, "\tNorte  "), (51, "Norte"), (52, "Sul do Vale"), (None, "Sem id"), (53, None)]
+    rows = [(n, club, name, f" {name}"[:4], f"e{club}", "{}", None) for n, (club, name) in enumerate(names)]
     found = clean.silver_clubs(spark.createDataFrame(rows, schema))
     assert found.columns == ["clube_id", "nome", "abreviacao", "escudo_url"]
-    assert {(r.clube_id, r.nome, r.abreviacao) for r in found.collect()} == {(275, "Palmeiras", "PAL"), (263, "Botafogo", "BOT")}
+    assert {r.clube_id: r.nome.strip() for r in found.collect()} == {51: "Norte", 52: "Sul do Vale"}
+    assert found.count() == 2
 
 
 def test_player_scores(spark):
-    scores = spark.createDataFrame([(1, 7, 263, 2.5), (1, 7, 263, 4.0), (1, 8, 275, 1.0), (2, 7, 263, None)], "rodada int, atleta_id bigint, clube_id bigint, pontos double")
+    scores = spark.createDataFrame([(1, 7, 61, 2.5), (1, 7, 61, 4.0), (1, 8, 62, 1.0), (2, 7, 61, None)], "rodada int, atleta_id bigint, clube_id bigint, pontos double")
     status = spark.createDataFrame([(7, 3, 1), (7, 3, 2)], "atleta_id bigint, posicao_id int, status_id int")
     plain = clean.silver_player_scores(scores, status).collect()
     assert len(plain) == 5 and {r.posicao_id for r in plain if r.atleta_id == 8} == {None}
@@ -82,4 +85,4 @@ def test_unknown_club_shows_its_id_in_the_risk_table(spark, season):
     from matchweave.operators import features
 
     none = spark.createDataFrame([], "clube_id bigint, nome string")
-    assert {r.nome_clube for r in standings.relegation_risk(features.feature_store(season), none).collect()} >= {"263"}
+    assert {r.nome_clube for r in standings.relegation_risk(features.feature_store(season), none).collect()} >= {"101"}

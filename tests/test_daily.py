@@ -2,6 +2,8 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from matchweave.plans.daily import Lake, bronze, run_day, run_stage
 from matchweave.operators.features import feature_store
 from tests import golden
@@ -14,8 +16,8 @@ def feeds(spark, scored):
     return {
         "partidas": one(golden.feed_document(golden.games(), scored), competicao="A"),
         "clubes": one(golden.club_document()),
-        "atletas": one('{"atletas": [{"atleta_id": 7, "clube_id": 263, "posicao_id": 5, "status_id": 2}]}'),
-        "pontuacoes": one('{"atletas": {"7": {"clube_id": 263, "pontuacao": 4.5}, "8": {"clube_id": 275}}}'),
+        "atletas": one('{"atletas": [{"atleta_id": 7, "clube_id": 101, "posicao_id": 5, "status_id": 2}]}'),
+        "pontuacoes": one('{"atletas": {"7": {"clube_id": 101, "pontuacao": 4.5}, "8": {"clube_id": 102}}}'),
         "status": one('{"rodada": {"rodada_atual": 4}}'),
     }
 
@@ -39,7 +41,7 @@ def test_clean_tables(lake):
     matches = lake.read("silver.partidas")
     assert matches.count() == 50 and matches.filter("resultado IS NULL").count() == 0
     assert lake.read("bronze.partidas_raw").count() == 100
-    assert lake.read("silver.clubes").filter("clube_id = 263").first()["nome"] == "Clube 263"
+    assert lake.read("silver.clubes").filter("clube_id = 101").first()["nome"] == "Clube 101"
     scores = {r.atleta_id: (r.rodada, r.posicao_id) for r in lake.read("silver.estatisticas_jogador_partida").collect()}
     assert scores == {7: (4, 5), 8: (4, 0)}
 
@@ -64,9 +66,31 @@ def test_published_tables(lake, season):
 def test_checks_were_logged(lake):
     checks = lake.read("gold.data_quality_checks")
     assert checks.filter("status = 'failed'").count() == 0
+    names = {r.check_name for r in checks.collect()}
+    assert {"not_null_rodada", "unique_partida_id", "accepted_values_resultado", "accepted_range_aproveitamento_pct", "prob_soma_1", "limites_elo_rating"} <= names
     assert {"bronze_partidas_count", "silver_partidas_count", "modelo_acuracia_minima", "inferencia_previsoes"} <= {r.check_name for r in checks.collect()}
 
 
+def test_views_are_registered(spark, lake):
+    assert spark.table("gold_vw_classificacao").count() == 20
+    assert spark.table("gold_vw_elo_ranking").count() == 20
+    assert spark.table("gold_vw_desempenho_modelo").count() >= 1
+    assert spark.table("gold_vw_previsoes").columns[:2] == ["competicao", "rodada"]
+
+
+def test_features_at_prediction_are_those_of_training(spark, lake, season):
+    """Each round as it was ahead: the state after the rounds before gives the rows that training sees later."""
+    from matchweave.operators import features, joins
+    from matchweave.operators.dataset import training_rows
+
+    trained = {r.partida_id: [round(r[c], 9) for c in joins.FEATURES] for r in training_rows(season, features.model_state(season)).collect()}
+    for rodada in range(2, golden.ROUNDS + 1):
+        past, coming = season.filter(F.col("rodada") < rodada), season.filter(F.col("rodada") == rodada)
+        ahead = joins.features_ahead(coming, features.model_state(past, ahead=True))
+        for r in ahead.collect():
+            assert [round(r[c], 9) for c in joins.FEATURES] == trained[r.partida_id]
+
+
 def test_an_empty_day_changes_nothing(spark, lake):
     before = lake.read("silver.partidas").count()
     empty = spark.createDataFrame([("A", '{"partidas": []}')], "competicao string, payload string")

@@ -16,9 +16,10 @@ def test_matches(spark):
     feed = landed(spark, golden.feed_document(golden.games(), lambda r: r[1] < 5), competicao="A")
     rows = feeds.ingest_matches(feed)
     assert rows.columns[0] == "competicao" and rows.count() == 50
-    first = rows.filter("rodada = 1 AND clube_casa_id = 275").first()
-    assert (first.clube_vis_id, first.placar_casa, first.placar_vis) == (2305, 3, 0)
-    assert first.data_partida == datetime(2026, 2, 15)
+    _, _, home, away, *goals, date = golden.games()[0]
+    first = rows.filter(f"rodada = 1 AND clube_casa_id = {home}").first()
+    assert [first.clube_vis_id, first.placar_casa, first.placar_vis] == [away, *goals]
+    assert first.data_partida == date
     assert json.loads(first.raw_payload)["local"] == "São Paulo"
     assert rows.filter("placar_casa IS NULL").count() == 10
     assert rows.select("partida_id").distinct().count() == 50
@@ -42,24 +43,24 @@ def test_bad_payloads_give_no_rows(spark):
 
 
 def test_clubs(spark):
-    document = '{"263": {"nome": "Botafogo", "abreviacao": "BOT", "escudos": {"60x60": "u"}}, "275": {}, "x": {"nome": "?"}}'
+    document = '{"41": {"nome": "Serra", "abreviacao": "SER", "escudos": {"60x60": "u"}}, "42": {}, "x": {"nome": "?"}}'
     rows = {r.clube_id: r for r in feeds.ingest_clubs(landed(spark, document)).collect()}
-    assert set(rows) == {263, 275}
-    assert (rows[263].nome, rows[263].abreviacao, rows[263].escudo_url) == ("Botafogo", "BOT", "u")
-    assert (rows[275].nome, rows[275].escudo_url, rows[275].raw_payload) == ("", "", "{}")
+    assert set(rows) == {41, 42}
+    assert (rows[41].nome, rows[41].abreviacao, rows[41].escudo_url) == ("Serra", "SER", "u")
+    assert (rows[42].nome, rows[42].escudo_url, rows[42].raw_payload) == ("", "", "{}")
 
 
 def test_athletes(spark):
-    document = '{"atletas": [{"atleta_id": 7, "apelido": "Zé", "clube_id": 263, "posicao_id": 5, "status_id": 2}, {}]}'
+    document = '{"atletas": [{"atleta_id": 7, "apelido": "Zé", "clube_id": 41, "posicao_id": 5, "status_id": 2}, {}]}'
     rows = {r.atleta_id: r for r in feeds.ingest_athletes(landed(spark, document)).collect()}
-    assert (rows[7].nome, rows[7].clube_id, rows[7].posicao_id, rows[7].status_id) == ("Zé", 263, 5, 2)
+    assert (rows[7].nome, rows[7].clube_id, rows[7].posicao_id, rows[7].status_id) == ("Zé", 41, 5, 2)
     assert (rows[0].nome, rows[0].clube_id) == ("", 0)
 
 
 def test_scores(spark):
-    document = '{"atletas": {"7": {"clube_id": 263, "pontuacao": 4.5}, "8": {}}}'
+    document = '{"atletas": {"7": {"clube_id": 41, "pontuacao": 4.5}, "8": {}}}'
     rows = {r.atleta_id: r for r in feeds.ingest_scores(landed(spark, document), 3).collect()}
-    assert (rows[7].rodada, rows[7].clube_id, rows[7].pontos) == (3, 263, 4.5)
+    assert (rows[7].rodada, rows[7].clube_id, rows[7].pontos) == (3, 41, 4.5)
     assert (rows[8].clube_id, rows[8].pontos) == (0, 0.0)
 
 

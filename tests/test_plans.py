@@ -5,9 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from matchweave.catalog import layers
-from matchweave.operators import features, joins
+from matchweave.operators import clubrows as C, features, joins
+from matchweave.sources.league_from_orders import raw_matches
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,10 +27,21 @@ def test_a_feature_table_costs_one_exchange_and_one_sort(spark, build):
 
 
 def test_raw_matches_scan_only_what_they_need(spark):
-    text = plan(entry.queries()["one_match_per_round"](spark, SF_DIR))
+    text = plan(raw_matches(spark, SF_DIR))
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double>" in text
     assert text.count("lineitem.parquet") == 1
     assert "Window" not in text
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", text)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 2  # lineitem, and orders unless they are broadcast
+
+
+@pytest.mark.parametrize("build", [C.form5_prior, C.venue_rate_prior, C.momentum_sum3, C.cum_stats, C.goal_diff_double])
+def test_windows_run_no_job_before_the_query(spark, build):
+    rows = C.club_rows(layers.matches(spark, SF_DIR))
+    spark.sparkContext.setJobGroup("windows", "windows")
+    text = plan(C.over_clubs(rows, build(), ["clube_id", "partida_id"]))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("windows")
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
 
 
 def test_asof_has_no_range_join(spark):

@@ -1,4 +1,4 @@
-"""Random leagues against plain Python, and the large-data paths against the small ones."""
+"""Random leagues against plain Python, and methods that must agree against each other."""
 
 import random
 from datetime import datetime, timedelta
@@ -45,15 +45,15 @@ def mean(values):
     return sum(values) / len(values) if values else 0.0
 
 
-@pytest.mark.parametrize("seed, limit", [(0, 10**6), (1, 10**6), (1, 6), (2, 7)])
-def test_form_and_momentum(spark, seed, limit):
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_form_and_momentum(spark, seed):
     rows = league(seed)
     matches = golden.matches(spark, rows)
     values = C.form5_prior() | {f"prior_{n}": c for n, c in C.venue_rate_prior().items()} | {
         "m3": C.momentum_sum3()["momentum"], "mw": C.momentum_weighted()["momentum"], "md": C.momentum_diff()["momentum"],
         "vp": C.venue_points_pct()["aproveitamento_casa"], "vi": C.venue_rate_incl()["aproveitamento_fora"],
     }
-    found = C.over_clubs(C.club_rows(matches), values, ["clube_id", "rodada"], limit=limit).collect()
+    found = C.over_clubs(C.club_rows(matches), values, ["clube_id", "rodada"]).collect()
     history = by_club(rows)
     for r in found:
         games = history[r.clube_id]
@@ -74,25 +74,28 @@ def test_form_and_momentum(spark, seed, limit):
         assert r.vi == pytest.approx(mean(g[2] == 3 for g in away) if not games[at][1] else 0)
 
 
-@pytest.mark.parametrize("limit", [6, 20])
-def test_blocks_give_the_values_of_one_window(spark, limit):
-    """Clubs with several matches per round and day, cut into blocks or not."""
-    matches = golden.matches(spark, league(7, clubs=5, rounds=14, crowded=True))
-    base = spark.createDataFrame([(i, 1400.0 + i) for i in range(1, 5)], "clube_id bigint, elo_base double")
-    order = ["competicao", "clube_id", "rodada", "data_partida", "partida_id"]
+def undated(matches, *ids):
+    return matches.withColumn("data_partida", F.when(~F.col("partida_id").isin(*ids), F.col("data_partida")))
 
-    def additive(limit):
-        return elo.elo_additive(C.club_rows(matches), base, order, limit=limit)
 
-    for build in (
-        lambda n: features.feature_store(matches, limit=n),
-        lambda n: features.feature_store(matches, variant="job", limit=n),
-        lambda n: features.features_sql(matches, limit=n),
-        lambda n: features.features_seed(matches, base, limit=n),
-        lambda n: features.round_club_grid(matches, limit=n),
-        additive,
-    ):
-        assert sorted(map(tuple, build(limit).collect())) == sorted(map(tuple, build(10**6).collect()))
+def test_undated_matches_come_last_everywhere(spark):
+    rows = [(1, 1, 5, 6, 2, 0, START), (2, 1, 5, 7, 0, 1, START + timedelta(days=1)), (3, 1, 5, 8, 1, 1, START - timedelta(days=9))]
+    matches = undated(golden.matches(spark, rows), 3)
+    values = C.cum_stats() | C.momentum_sum3()
+    found = {r.partida_id: (r.pontos_acumulados, r.momentum) for r in C.over_clubs(C.club_rows(matches), values, ["clube_id", "partida_id"]).filter("clube_id = 5").collect()}
+    assert found == {1: (3, 0), 2: (3, 3), 3: (4, 3)}
+    state = features.feature_store(matches, per_round=True).filter("clube_id = 5").first()
+    assert state.pontos_acumulados == 4
+
+
+def test_a_postponed_round_counts_from_its_date(spark):
+    """Round 2 is played after round 3: round 3 must not know it, round 2 must know round 3."""
+    day = lambda n: START + timedelta(days=n)
+    rows = [(1, 1, 5, 6, 1, 0, day(0)), (2, 2, 5, 7, 0, 0, day(30)), (3, 3, 5, 8, 0, 2, day(14))]
+    form = {r.rodada: r for r in features.features_job(golden.matches(spark, rows)).filter("clube_id = 5").collect()}
+    assert (form[3].momentum, form[3].media_pontos_5j) == (3.0, 3.0)
+    assert (form[2].momentum, form[2].media_pontos_5j) == (3.0, 1.5)
+    assert form[3].elo_rating == pytest.approx(1516.0) and form[2].elo_rating < form[3].elo_rating
 
 
 def test_one_row_per_round_holds_the_state_after_it(spark):
@@ -117,42 +120,49 @@ def test_grid_carries_every_club_through_every_round(spark):
 
 
 def test_seed_store_before_the_first_match(spark):
-    matches = golden.matches(spark, [r for r in golden.games() if r[1] > 1 or 263 not in r[2:4]])
-    base = spark.createDataFrame([(263, 1640.0)], "clube_id bigint, elo_base double")
-    first = features.features_seed(matches, base).filter("clube_id = 263 AND rodada = 1").first()
+    matches = golden.matches(spark, [r for r in golden.games() if r[1] > 1 or 101 not in r[2:4]])
+    base = spark.createDataFrame([(101, 1640.0)], "clube_id bigint, elo_base double")
+    first = features.features_seed(matches, base).filter("clube_id = 101 AND rodada = 1").first()
     assert (first.elo_rating, first.momentum, first.media_pontos_5j, first.aproveitamento_casa) == (1640.0, 0.5, 0.0, 0.0)
 
 
+def same_ratings(matches):
+    both = [{(r.partida_id, r.clube_casa_id): (r.elo_casa, r.elo_vis) for r in elo.elo(matches, method=m).collect()} for m in ("grouped", "levels")]
+    assert set(both[0]) == set(both[1])
+    assert len(both[0]) == matches.filter("resultado IS NOT NULL").count()
+    for match, pair in both[0].items():
+        assert both[1][match] == pytest.approx(pair, abs=1e-9)
+
+
 @pytest.mark.parametrize("crowded", [False, True])
-def test_level_path_equals_grouped_path(spark, crowded):
-    rows = league(3, clubs=6, rounds=4, crowded=crowded)
-    matches = golden.matches(spark, rows)
-    grouped = {r.partida_id: (r.elo_casa, r.elo_vis) for r in elo.elo(matches).collect()}
-    levelled = {r.partida_id: (r.elo_casa, r.elo_vis) for r in elo.elo(matches, limit=0).collect()}
-    assert set(grouped) == set(levelled) == {r[0] for r in rows}
-    for match, pair in grouped.items():
-        assert levelled[match] == pytest.approx(pair, abs=1e-9)
+def test_both_methods_rate_alike(spark, crowded):
+    """Clubs once or several times a day, some matches undated."""
+    same_ratings(undated(golden.matches(spark, league(3, clubs=6, rounds=4, crowded=crowded)), 2, 7))
 
 
-def test_only_competitions_over_the_limit_take_the_level_path(spark):
-    small = golden.matches(spark, league(1, clubs=4, rounds=2), "pequena")
-    large = golden.matches(spark, league(2, clubs=8, rounds=3), "grande")
-    both = small.unionByName(large)
-    expected = sorted(map(tuple, elo.elo(both).collect()))
-    found = sorted(map(tuple, elo.elo(both, limit=small.count()).collect()))
-    assert [r[:-2] for r in found] == [r[:-2] for r in expected]
-    assert all(a[-2:] == pytest.approx(b[-2:], abs=1e-9) for a, b in zip(found, expected))
+def test_both_methods_rate_repeated_match_keys(spark):
+    rows = league(5, clubs=6, rounds=3)
+    rows += [(r[0] + 1000, *r[1:]) for r in rows[:4]]
+    same_ratings(golden.matches(spark, rows))
+
+
+def test_ratings_after_the_match_lead_to_those_before_the_next(spark, season):
+    rated = elo.elo(season, after=True).collect()
+    after = {}
+    for r in sorted(rated, key=lambda r: (r.data_partida, r.partida_id)):
+        for club, before, now in ((r.clube_casa_id, r.elo_casa, r.elo_casa_depois), (r.clube_vis_id, r.elo_vis, r.elo_vis_depois)):
+            assert before == pytest.approx(after.get(club, 1500.0), abs=1e-9)
+            after[club] = now
 
 
 def test_levels_hold_no_club_twice_and_keep_its_order(spark):
-    matches = golden.matches(spark, league(8, clubs=6, rounds=5, crowded=True))
-    rows = elo.levels(matches).collect()
+    matches = golden.matches(spark, league(8, clubs=6, rounds=5, crowded=True)).withColumn("_linha", F.col("partida_id"))
+    level = {r["_linha"]: r["_nivel"] for r in elo.levels(matches).collect()}
     seen = {}
-    for r in sorted(rows, key=lambda r: (r.data_partida, r.partida_id)):
-        level = (r._batch, r._depth)
+    for r in sorted(matches.collect(), key=lambda r: (r.data_partida, r.partida_id)):
         for club in (r.clube_casa_id, r.clube_vis_id):
-            assert seen.get(club, (-1, -1)) < level
-            seen[club] = level
+            assert seen.get(club, 0) < level[r.partida_id]
+            seen[club] = level[r.partida_id]
 
 
 @pytest.mark.parametrize("chunk", [1, 3, 1_000_000])
@@ -175,6 +185,16 @@ def test_split_equals_a_full_sort(spark, share):
     assert {r.partida_id for r in split.filter("conjunto = 'treino'").collect()} == first
 
 
+@pytest.mark.parametrize("missing", range(0, 11, 2))
+def test_split_with_undated_rows(spark, missing):
+    """Undated rows are the first of their round; the first part has its full size whatever their number."""
+    rows = [(i, 3, 2 * i, 2 * i + 1, 1, 0, START + timedelta(days=i % 3)) for i in range(1, 11)]
+    matches = undated(golden.matches(spark, rows), *range(1, missing + 1)) if missing else golden.matches(spark, rows)
+    ordered = sorted(rows, key=lambda r: (r[0] > missing, r[-1] if r[0] > missing else START, r[0]))
+    found = {r.partida_id for r in dataset.time_split(matches).filter("conjunto = 'treino'").collect()}
+    assert found == {r[0] for r in ordered[:8]}
+
+
 def test_split_with_one_round_holding_everything(spark):
     rows = [(i * 10**12 + 7, 3, 2 * i, 2 * i + 1, 1, 0, START) for i in range(1, 400)]
     split = dataset.time_split(golden.matches(spark, rows))
@@ -224,10 +244,11 @@ def test_asof_takes_the_round_before(spark, season):
 
 def test_asof_and_exact_on_future_rounds(spark, season):
     state = joins.join_features(features.features_sql(season), features.feature_store(season))
-    future = spark.createDataFrame([("A", 99, 9, 263, 275), ("A", 98, 9, 263, 999)], "competicao string, partida_id bigint, rodada int, clube_casa_id bigint, clube_vis_id bigint")
+    future = spark.createDataFrame([("A", 99, 9, 101, 102), ("A", 98, 9, 101, 999)], "competicao string, partida_id bigint, rodada int, clube_casa_id bigint, clube_vis_id bigint")
     asof = {r.partida_id: r for r in joins.match_features(future, state).collect()}
     exact = joins.match_features(future, state, mode="exact").collect()
-    assert asof[99].saldo_gols_casa == 10 and asof[99].saldo_gols_vis == 7 and asof[98].elo_vis == 0
+    goals = {row[1]: row[9] for row in golden.table()}
+    assert asof[99].saldo_gols_casa == goals[101] and asof[99].saldo_gols_vis == goals[102] and asof[98].elo_vis == 0
     assert all(r[name] == 0 for r in exact for name in joins.FEATURES)
 
 
@@ -251,7 +272,7 @@ def test_lagged_training_set_does_not_see_the_match(spark, season):
 
 def test_class_weights(spark, season):
     weights = {r.resultado: r.peso for r in dataset.class_weights(season).collect()}
-    assert weights == {"casa": 50 / (3 * 21), "visitante": 50 / (3 * 20), "empate": 50 / (3 * 9)}
+    assert weights == {result: 50 / (3 * n) for result, n in golden.outcomes().items()}
 
 
 def test_clock_order_ignores_the_session_zone(spark):

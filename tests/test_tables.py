@@ -88,7 +88,7 @@ def test_empty_batch_keeps_the_target(spark, tmp_path):
 
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    source = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
+    source = spark.createDataFrame([(2, "A"), (2, "B"), (3, "C")], "k int, v string")
     assert {tuple(r) for r in tables.upsert(target, source, ["k"]).collect()} == {(1, "a"), (2, "B"), (3, "C")}
 
 
