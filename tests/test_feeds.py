@@ -1,7 +1,6 @@
 """JSON feeds: typed rows, defaults, tolerance."""
 
 import json
-from datetime import datetime
 
 from matchweave.sources import feeds
 from tests import golden
