@@ -22,6 +22,8 @@ SPACE = "▁"
 BEST = 4
 #: Words that a worker remembers, each of at most so many letters; beyond it the memory starts anew.
 REMEMBERED, SHORT = 200_000, 40
+#: Scores are whole multiples of this part of one, so that sums are exact and equal paths are equal.
+UNIT = 1 << 32
 #: What a byte of a letter without a piece costs below the rarest piece.
 BYTE_COST = 10.0
 
@@ -50,12 +52,12 @@ class Lattice:
             ranked = sorted(plain, key=lambda i: (-scores[i], i))
             norm = math.log(sum(1 / (k + 1) for k in range(len(ranked))))
             scores = {i: -math.log(k + 1) - norm for k, i in enumerate(ranked)}
-        self.pieces = {self.texts[i]: (i, s) for i, s in scores.items()}
+        self.pieces = {self.texts[i]: (i, round(s * UNIT)) for i, s in scores.items()}
         self.longest = max(map(len, self.pieces), default=1)
-        self.byte_score = min(scores.values(), default=0.0) - BYTE_COST
+        self.byte_score = round((min(scores.values(), default=0.0) - BYTE_COST) * UNIT)
 
-    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For each place, the pieces that end there: start, ids (several for bytes) and score."""
+    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], int]]]:
+        """For each place, the pieces that end there: start, ids (several for bytes) and score in units."""
         out: list[list] = [[] for _ in range(len(word) + 1)]
         for start in range(len(word)):
             for end in range(start + 1, min(len(word), start + self.longest) + 1):
@@ -75,10 +77,10 @@ class Lattice:
         goes first, then the one found first.
         """
         edges = self.edges(word)
-        ahead = [0.0] + [-math.inf] * len(word)
-        for end in range(1, len(word) + 1):
-            ahead[end] = max((ahead[start] + s for start, _, s in edges[end]), default=-math.inf)
-        heap, out, made = [(-ahead[-1], len(word), 0, 0.0, None)], [], 0
+        ahead = [0]
+        for end in range(1, len(word) + 1):  # every letter has its piece or its bytes, so every place is reached
+            ahead.append(max(ahead[start] + s for start, _, s in edges[end]))
+        heap, out, made = [(-ahead[-1], len(word), 0, 0, None)], [], 0
         while heap and len(out) < n:
             _, at, _, behind, path = heapq.heappop(heap)
             if at == 0:
@@ -86,7 +88,7 @@ class Lattice:
                 while path is not None:
                     ids += path[0]
                     path = path[1]
-                out.append((behind, ids))
+                out.append((behind / UNIT, ids))
                 continue
             for start, ids_, s in edges[at]:
                 made += 1

@@ -51,10 +51,10 @@ def all_segmentations(lattice, word):
 
     def paths(end):
         if end == 0:
-            return [(0.0, ())]
+            return [(0, ())]
         return [(s + score, ids + more) for start, more, score in edges[end] for s, ids in paths(start)]
 
-    return sorted(paths(len(word)), key=lambda p: -p[0])
+    return [(s / pieces.UNIT, ids) for s, ids in sorted(paths(len(word)), key=lambda p: -p[0])]
 
 
 @pytest.mark.parametrize("word", ["▁the", "▁hello", "abab", "▁▁x", "漢é", "▁it's", "a"])
