@@ -188,7 +188,8 @@ def listed(spans: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     """The counts and digests of ``personal_data``."""
     base = F.filter("spans", lambda s: s["place"] < len(KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["place"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    places = F.transform("spans", lambda s: s["place"])
+    counts = [F.size(F.filter(places, lambda p: p == F.lit(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 

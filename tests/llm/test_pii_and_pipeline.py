@@ -96,7 +96,7 @@ def folder(spark, tmp_path_factory):
     item = prose(dice, 30, words)
     docs, labels = [], []
     for k in range(240):
-        body = "\n".join(prose(dice, 25, words) + "." for _ in range(4))
+        body = "\n".join(prose(dice, dice.randint(5, 45), words) + dice.choice([".", "", ", 12."]) for _ in range(dice.randint(3, 9)))
         if k % 8 == 3:
             body = body.upper().replace(" ", "!! ")
         labels.append((k, int(k % 8 != 3), 0))
