@@ -21,7 +21,7 @@ from matchweave.llm.common import arrow_columns, long
 SPACE = "▁"
 BEST = 4
 #: Words that a worker remembers, each of at most so many letters; beyond it the memory starts anew.
-REMEMBERED, SHORT = 200_000, 40
+REMEMBERED, SHORT = 400_000, 40
 #: Scores are whole multiples of this part of one, so that sums are exact and equal paths are equal.
 UNIT = 1 << 32
 #: What a byte of a letter without a piece costs below the rarest piece.
@@ -30,6 +30,17 @@ BYTE_COST = 10.0
 _words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
+BASE = 0x9E3779B97F4A7C15
+LOWEST = -(1 << 62)
+
+
+def _hash(text: str) -> int:
+    h = 0
+    for c in text:
+        h = (h * BASE + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+    return h
+
+
 class Lattice:
     """Pieces of a sentencepiece model with their log-probabilities.
 
@@ -54,23 +65,141 @@ class Lattice:
             scores = {i: -math.log(k + 1) - norm for k, i in enumerate(ranked)}
         self.pieces = {self.texts[i]: (i, round(s * UNIT)) for i, s in scores.items()}
         self.longest = max(map(len, self.pieces), default=1)
+        self.begun = {text[:k] for text in self.pieces for k in range(1, len(text) + 1)}
+        table = sorted((_hash(text), *self.pieces.get(text, (-1, 0))) for text in self.begun)
+        self.hashes = np.array([h for h, _, _ in table], np.uint64)
+        self.ids_at, self.scores_at = np.array([i for _, i, _ in table], np.int64), np.array([s for _, _, s in table], np.int64)
         self.byte_score = round((min(scores.values(), default=0.0) - BYTE_COST) * UNIT)
 
-    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], int]]]:
-        """For each place, the pieces that end there: start, ids (several for bytes) and score in units."""
-        out: list[list] = [[] for _ in range(len(word) + 1)]
+    def arcs(self, word: str) -> list[tuple[int, int, tuple[int, ...], int]]:
+        """The pieces in a word by start: start, end, ids (several for bytes) and score in units. Every letter has its piece or its bytes."""
+        out, pieces, begun = [], self.pieces, self.begun
         for start in range(len(word)):
-            for end in range(start + 1, min(len(word), start + self.longest) + 1):
-                if (found := self.pieces.get(word[start:end])) is not None:
-                    out[end].append((start, (found[0],), found[1]))
-            if word[start] not in self.pieces:
+            end = start + 1
+            while end <= len(word) and (part := word[start:end]) in begun:
+                if (found := pieces.get(part)) is not None:
+                    out.append((start, end, (found[0],), found[1]))
+                end += 1
+            if word[start] not in pieces:
                 raw = word[start].encode("utf-8", "surrogatepass")
-                ids = tuple(self.bytes.get(b, self.unknown) for b in raw)
-                out[start + 1].append((start, ids, self.byte_score * len(raw)))
+                out.append((start, start + 1, tuple(self.bytes.get(b, self.unknown) for b in raw), self.byte_score * len(raw)))
+        return out
+
+    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], int]]]:
+        """The same by end."""
+        out: list[list] = [[] for _ in range(len(word) + 1)]
+        for start, end, ids, score in self.arcs(word):
+            out[end].append((start, ids, score))
         return out
 
-    def search(self, word: str, n: int = BEST) -> list[tuple[float, list[int]]]:
-        """The ``n`` best segmentations (all, if there are fewer) with their scores, best first.
+    def best(self, word: str) -> tuple[int, list[int], int | None]:
+        """Best score in units, its ids, and what the second best loses (None without one).
+
+        The second best path has a piece that the best has not, and is the best one through that piece, so
+        the scores from both ends give it without a search.
+        """
+        arcs, n = self.arcs(word), len(word)
+        ahead: list = [0] + [None] * n
+        via: list = [None] * (n + 1)
+        for arc in arcs:
+            start, end, _, score = arc
+            total = ahead[start] + score
+            if ahead[end] is None or total > ahead[end]:
+                ahead[end], via[end] = total, arc
+        behind: list = [None] * n + [0]
+        for start, end, _, score in reversed(arcs):
+            total = behind[end] + score
+            if behind[start] is None or total > behind[start]:
+                behind[start] = total
+        path, at = [], n
+        while at:
+            path.append(via[at])
+            at = via[at][0]
+        own = {id(arc) for arc in path}
+        second = max((ahead[arc[0]] + arc[3] + behind[arc[1]] for arc in arcs if id(arc) not in own), default=None)
+        return ahead[n], [i for arc in reversed(path) for i in arc[2]], None if second is None else ahead[n] - second
+
+    def best_many(self, words: list[str]) -> list[tuple[int, bytes, int | None]]:
+        """``best`` of many words at once, ids as bytes: all their letters in one array, arcs by start in step.
+
+        Parts are looked up by hash; each path's pieces are held against the letters, and words that need bytes
+        (or were misled by a hash) are done alone.
+        """
+        sizes = np.array([len(w) for w in words], np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        first = np.cumsum(sizes) - sizes
+        offset = np.arange(len(letters)) - first[word]
+        left = sizes[word] - offset
+        # parts grow letter by letter while some piece begins with them
+        alive, h, found, lone = np.arange(len(letters)), np.zeros(len(letters), np.uint64), [], np.ones(len(letters), bool)
+        for size in range(1, self.longest + 1):
+            keep = left[alive] >= size
+            alive, h = alive[keep], h[keep]
+            h = h * np.uint64(BASE) + letters[alive + size - 1] + np.uint64(1)
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            keep = self.hashes[at] == h
+            alive, h, at = alive[keep], h[keep], at[keep]
+            piece = self.ids_at[at] >= 0
+            found.append((alive[piece], np.full(int(piece.sum()), size), at[piece]))
+            if size == 1:
+                lone[alive[piece]] = False
+            if not len(alive):
+                break
+        spare = np.flatnonzero(lone)  # letters without a piece
+        begin = np.concatenate([*(f[0] for f in found), spare])
+        size = np.concatenate([*(f[1] for f in found), np.ones(len(spare), np.int64)])
+        at = np.concatenate([*(f[2] for f in found), np.full(len(spare), -1)])
+        bytes_of = np.where(letters[spare] < 0x80, 1, np.where(letters[spare] < 0x800, 2, np.where(letters[spare] < 0x10000, 3, 4)))
+        score = self.scores_at[at]
+        score[len(at) - len(spare) :] = self.byte_score * bytes_of
+        order = np.lexsort((size, begin, offset[begin]))
+        begin, size, at, score = begin[order], size[order], at[order], score[order]
+        step = np.searchsorted(offset[begin], np.arange(int(sizes.max(initial=0)) + 1))
+        start = begin + word[begin]  # a node before each letter and one after each word
+        end = start + size
+        nodes = len(letters) + len(words)
+        ahead, behind, via = np.full(nodes, LOWEST), np.full(nodes, LOWEST), np.zeros(nodes, np.int64)
+        heads = first + np.arange(len(words))
+        tails = heads + sizes
+        ahead[heads], behind[tails] = 0, 0
+        for a, b in zip(step, step[1:]):
+            total = ahead[start[a:b]] + score[a:b]
+            better = np.flatnonzero(total > ahead[end[a:b]])
+            ahead[end[a:b][better]], via[end[a:b][better]] = total[better], a + better
+        for a, b in zip(step[-2::-1], step[:0:-1]):
+            if b > a:
+                own = start[a:b]
+                cut = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                behind[own[cut]] = np.maximum.reduceat(behind[end[a:b]] + score[a:b], cut)
+        on_path, now = np.zeros(len(begin), bool), tails[sizes > 0]
+        while len(now):
+            arc = via[now]
+            on_path[arc] = True
+            now = start[arc]
+            now = now[now > heads[word[begin[arc]]]]
+        second = np.full(len(words), LOWEST)
+        rest = ~on_path
+        np.maximum.at(second, word[begin[rest]], (ahead[start] + score + behind[end])[rest])
+        path = np.flatnonzero(on_path)
+        path = path[np.argsort(begin[path], kind="stable")]
+        ids = np.where(at[path] >= 0, self.ids_at[at[path]], -1)
+        text, texts = "".join(words), self.texts
+        bad = {w for w, i, a, n in zip(word[begin[path]].tolist(), ids.tolist(), begin[path].tolist(), size[path].tolist()) if i < 0 or texts[i] != text[a : a + n]}
+        raw = ids.astype(np.int32).tobytes()
+        stop = np.cumsum(np.bincount(word[begin[path]], minlength=len(words))) * 4
+        out, before = [], 0
+        for k, (total, other, until) in enumerate(zip(ahead[tails].tolist(), second.tolist(), stop.tolist())):
+            if k in bad:
+                total, own_ids, gap = self.best(words[k])
+                out.append((total, np.array(own_ids, np.int32).tobytes(), gap))
+            else:
+                out.append((total, raw[before:until], total - other if other > LOWEST // 2 else None))
+            before = until
+        return out
+
+    def search(self, word: str, n: int = BEST) -> list[tuple[int, list[int]]]:
+        """The ``n`` best segmentations (all, if there are fewer) with their scores in units, best first.
 
         The forward pass gives the best score from the start to each place, which is exactly what a path
         that was built backwards still gains, so paths come off the heap in order. Of equal paths the one further on
@@ -88,7 +217,7 @@ class Lattice:
                 while path is not None:
                     ids += path[0]
                     path = path[1]
-                out.append((behind / UNIT, ids))
+                out.append((behind, ids))
                 continue
             for start, ids_, s in edges[at]:
                 made += 1
@@ -117,10 +246,21 @@ class Segmenter:
     def __init__(self, lattice: Lattice, n: int = BEST):
         self.lattice, self.n, self.memory = lattice, n, {}
 
-    def _word(self, word: str) -> tuple[float, bytes, float, list]:
-        found = self.lattice.search(word, self.n)
-        gap = found[0][0] - found[1][0] if len(found) > 1 else math.inf
-        return found[0][0], np.array(found[0][1], np.int32).tobytes(), gap, found
+    def _found(self, words: list[str]) -> dict[str, tuple[int, bytes, int | None]]:
+        short = [w for w in words if len(w) <= SHORT]
+        out = dict(zip(short, self.lattice.best_many(short))) if short else {}
+        for w in words:
+            if len(w) > SHORT:
+                score, ids, gap = self.lattice.best(w)
+                out[w] = score, np.array(ids, np.int32).tobytes(), gap
+        return out
+
+    def prepare(self, texts: list[str]) -> None:
+        """Search the new words of many texts together."""
+        new = {w for t in texts if t for w in _words.findall((SPACE + t).replace(" ", SPACE)) if len(w) <= SHORT}.difference(self.memory)
+        if len(self.memory) + len(new) > REMEMBERED:
+            self.memory = {}
+        self.memory.update(self._found(list(new)))
 
     def best(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, list[int]]]]]:
         """Piece ids of the best segmentation, scores of the ``n`` best, and for each what it changes: (word, ids)."""
@@ -128,24 +268,19 @@ class Segmenter:
             return np.zeros(0, np.int32), [0.0], [[]]
         words = _words.findall((SPACE + text).replace(" ", SPACE))
         memory = self.memory
-        own = {w: self._word(w) for w in set(words).difference(memory)}
-        if own:
-            short = {w: x for w, x in own.items() if len(w) <= SHORT}
-            if len(memory) + len(short) > REMEMBERED:
-                own |= {w: memory[w] for w in set(words) if w in memory}
-                self.memory = memory = short
-            else:
-                memory.update(short)
+        own = self._found([w for w in dict.fromkeys(words) if w not in memory])
         found = [memory[w] if w in memory else own[w] for w in words]
-        total = math.fsum([x[0] for x in found])
-        near = heapq.nsmallest(self.n - 1, ((x[2], k) for k, x in enumerate(found) if x[2] < math.inf))
-        # a segmentation among the best changes only words among those that lose least
-        combos: list[tuple[float, list]] = [(0.0, [])]
+        total = sum([x[0] for x in found])
+        near = heapq.nsmallest(self.n - 1, [(x[2], k) for k, x in enumerate(found) if x[2] is not None])
+        # a segmentation among the best changes only words among those that lose least, and these are searched
+        combos: list[tuple[int, list]] = [(0, [])]
         for _, k in near:
-            options = [(found[k][0] - s, [] if j == 0 else [(k, ids)]) for j, (s, ids) in enumerate(found[k][3])]
+            own_ids = np.frombuffer(found[k][1], np.int32).tolist()
+            others = [(found[k][0] - s, [(k, ids)]) for s, ids in self.lattice.search(words[k], self.n) if ids != own_ids]
+            options = [(0, []), *others[: self.n - 1]]
             combos = heapq.nsmallest(self.n, [(loss + more, changes + change) for loss, changes in combos for more, change in options], key=lambda x: x[0])
         ids = np.frombuffer(b"".join([x[1] for x in found]), np.int32)
-        return ids, [total - loss for loss, _ in combos], [changes for _, changes in combos]
+        return ids, [(total - loss) / UNIT for loss, _ in combos], [changes for _, changes in combos]
 
 
 def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
@@ -162,6 +297,7 @@ def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
         segmenter = Segmenter(lattice, n)
 
         def compute(texts):
+            segmenter.prepare(texts)
             found = [segmenter.best(t or "") for t in texts]
             lists = [x[0].tolist() for x in found]
             return [lists, [x[1] for x in found], [lattice.decode(i) == (t or "") for i, t in zip(lists, texts)]]
@@ -182,6 +318,7 @@ def digests(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
 
         def compute(texts):
             out = []
+            segmenter.prepare(texts)
             for t in texts:
                 ids, scores, _ = segmenter.best(t or "")
                 out.append((len((t or "").encode()), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), scores[0], scores, lattice.decode(ids.tolist()) == (t or "")))

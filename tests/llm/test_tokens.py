@@ -1,7 +1,6 @@
 """Token counts against the tokenizers library, n-best segmentation against all segmentations."""
 
 import itertools
-import math
 import random
 
 import public_tokenizers
@@ -54,22 +53,33 @@ def all_segmentations(lattice, word):
             return [(0, ())]
         return [(s + score, ids + more) for start, more, score in edges[end] for s, ids in paths(start)]
 
-    return [(s / pieces.UNIT, ids) for s, ids in sorted(paths(len(word)), key=lambda p: -p[0])]
+    return sorted(paths(len(word)), key=lambda p: -p[0])
 
 
 @pytest.mark.parametrize("word", ["▁the", "▁hello", "abab", "▁▁x", "漢é", "▁it's", "a"])
 def test_the_best_of_a_word(lattice, word):
     every = all_segmentations(lattice, word)
     found = lattice.search(word, 6)
-    assert [s for s, _ in found] == pytest.approx([s for s, _ in every[:6]])
+    assert [s for s, _ in found] == [s for s, _ in every[:6]]
+    score, ids, gap = lattice.best(word)
+    assert (score, gap) == (every[0][0], every[0][0] - every[1][0] if len(every) > 1 else None) and (score, tuple(ids)) in every
     assert len({tuple(ids) for _, ids in found}) == len(found) == min(6, len(every))
     assert {tuple(ids) for _, ids in found} <= {ids for _, ids in every}
 
 
+def test_many_words_at_once(lattice):
+    words = sorted({w for t in strange(5) for w in pieces._words.findall((pieces.SPACE + t).replace(" ", pieces.SPACE)) if len(w) < 300})
+    assert len(words) > 100
+    for word, (score, ids, gap) in zip(words, lattice.best_many(words)):
+        alone = lattice.best(word)
+        assert (score, gap) == (alone[0], alone[2])
+        assert [i for i in memoryview(ids).cast("i")] == alone[1]
+
+
 @pytest.mark.parametrize("text", ["to be or", "the the the", "a b", " x", "it is it"])
 def test_the_best_of_a_text(lattice, text):
     words = pieces._words.findall((pieces.SPACE + text).replace(" ", pieces.SPACE))
-    sums = sorted((math.fsum(p[0] for p in c) for c in itertools.product(*[all_segmentations(lattice, w)[:6] for w in words])), reverse=True)
+    sums = sorted((sum(p[0] for p in c) / pieces.UNIT for c in itertools.product(*[all_segmentations(lattice, w)[:6] for w in words])), reverse=True)
     ids, scores, changes = pieces.Segmenter(lattice, 5).best(text)
     assert scores == pytest.approx(sums[:5]) and changes[0] == []
     assert lattice.decode(ids.tolist()) == text
