@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from matchweave.operators import dataset, features, forest
+from matchweave.operators import dataset, features, forest, joins, standings
 from matchweave.session import shared_folder, stage
 from matchweave.sources import audit, league_from_orders as league
 
@@ -44,6 +44,9 @@ store = _table("feature_store", lambda s, d: features.feature_store(matches(s, d
 store_job = _table("feature_store_job", lambda s, d: features.feature_store(matches(s, d), variant="job"))
 enhanced_job = _table("feature_store_enhanced", lambda s, d: features.features_job(matches(s, d)))
 enhanced_sql = _table("feature_store_sql", lambda s, d: features.features_sql(matches(s, d)))
+latest = _table("estado_atual", lambda s, d: standings.latest_state(store(s, d)))
+current = _table("ultima_rodada", lambda s, d: joins.join_latest_round(store(s, d)))
+risk = _table("analise_rebaixamento", lambda s, d: standings.relegation_risk(current(s, d), league.clubs(s, d)))
 training = _table("treino", lambda s, d: dataset.training_rows(matches(s, d), features.model_state(matches(s, d))))
 split = _table("treino_dividido", lambda s, d: dataset.time_split(training(s, d)))
 

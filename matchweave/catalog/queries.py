@@ -225,7 +225,7 @@ def outcome_flags(s, d):
 
 
 def _table_places(s, d):
-    return ST.standings_rank(ST.latest_state(T.store(s, d)))
+    return ST.standings_rank(T.latest(s, d))
 
 
 @query
@@ -377,7 +377,7 @@ def features_asof(s, d):
 
 @query
 def join_latest_six(s, d):
-    table = ST.latest_state(T.store(s, d))
+    table = T.latest(s, d)
     ratings = latest.latest_per_key(T.enhanced_sql(s, d), ["competicao", "clube_id"], ["rodada"])
     wide = J.join_latest_six(_ahead(s, d), L.clubs(s, d), table, ratings)
     joined = ("clube_nome", "abreviacao", "escudo_url", "pontos_acumulados", "aproveitamento_pct", "elo_rating")
@@ -386,8 +386,8 @@ def join_latest_six(s, d):
 
 @query
 def join_standings(s, d):
-    table = ST.latest_state(T.store(s, d)).select("competicao", "clube_id", "rodada", "pontos_acumulados")
-    return J.join_standings(table, L.clubs(s, d), ST.relegation_risk(T.store(s, d), L.clubs(s, d)))
+    table = T.latest(s, d).select("competicao", "clube_id", "rodada", "pontos_acumulados")
+    return J.join_standings(table, L.clubs(s, d), T.risk(s, d))
 
 
 @query
@@ -453,8 +453,8 @@ def kpi_summary(s, d):
 
 @query
 def bi_max_topn(s, d):
-    risk = ST.relegation_risk(T.store(s, d), L.clubs(s, d))
-    table = ST.view_standings(T.store(s, d), L.clubs(s, d))
+    risk = T.risk(s, d)
+    table = ST.view_standings(T.current(s, d), L.clubs(s, d))
     charts = {
         "rebaixamento": R.bi_max_topn(risk, ["nome_clube"], "prob_rebaixamento", 20),
         "pontos": R.bi_max_topn(table, ["nome"], F.col("pontos").cast("double"), 20),
@@ -539,12 +539,12 @@ def standings_rank(s, d):
 
 @query
 def points_rank(s, d):
-    return ST.points_rank(ST.latest_state(T.store(s, d)))
+    return ST.points_rank(T.latest(s, d))
 
 
 @query
 def relegation_rank(s, d):
-    return ST.relegation_rank(ST.latest_state(T.store(s, d)))
+    return ST.relegation_rank(T.latest(s, d))
 
 
 @query
@@ -565,7 +565,7 @@ def _mart_predictions(s, d):
 
 def _mart_standings(s, d):
     clubs = L.clubs(s, d)
-    return ST.mart_standings(T.store(s, d), clubs, ST.relegation_risk(T.store(s, d), clubs))
+    return ST.mart_standings(T.latest(s, d), clubs, T.risk(s, d))
 
 
 @query
@@ -580,7 +580,7 @@ def top_standings(s, d):
 
 @query
 def top_ranking(s, d):
-    return R.top_ranking(ST.view_ranking(T.store(s, d), L.clubs(s, d)))
+    return R.top_ranking(ST.view_ranking(T.current(s, d), L.clubs(s, d)))
 
 
 @query
@@ -625,8 +625,8 @@ def confidence_gap(s, d):
 
 @query
 def bi_table(s, d):
-    table = ST.view_standings(T.store(s, d), L.clubs(s, d))
-    risk = ST.relegation_risk(T.store(s, d), L.clubs(s, d))
+    table = ST.view_standings(T.current(s, d), L.clubs(s, d))
+    risk = T.risk(s, d)
     perf = A.mart_performance(_validated(s, d))
     charts = {
         "classificacao": R.bi_table(table.withColumnsRenamed({"clube_id": "rotulo", "posicao": "valor"}), ["competicao", "rotulo", "valor"], ["valor", "competicao"], 20),
@@ -674,7 +674,7 @@ def mart_standings(s, d):
 
 @query
 def view_standings(s, d):
-    return ST.view_standings(T.store(s, d), L.clubs(s, d))
+    return ST.view_standings(T.current(s, d), L.clubs(s, d))
 
 
 @query
@@ -752,12 +752,12 @@ def validate_predictions(s, d):
 
 @query
 def relegation_risk(s, d):
-    return ST.relegation_risk(T.store(s, d), L.clubs(s, d))
+    return ST.relegation_risk(T.current(s, d), L.clubs(s, d))
 
 
 @query
 def relegation_piecewise(s, d):
-    ranked = ST.relegation_rank(ST.latest_state(T.store(s, d)))
+    ranked = ST.relegation_rank(T.latest(s, d))
     return ST.relegation_piecewise(ranked).select("competicao", "clube_id", "posicao", "prob_rebaixamento", "zona_rebaixamento")
 
 
@@ -835,7 +835,7 @@ def dq_prob_sum(s, d):
 
 @query
 def dq_bounds(s, d):
-    risk = ST.relegation_risk(T.store(s, d), L.clubs(s, d))
+    risk = T.risk(s, d)
     return Q.union_reports(
         Q.dq_bounds(T.store(s, d), "gold.feature_store", {"pontos_acumulados": (0, None), "aproveitamento_pct": (0, 100), "gols_sofridos": (None, 50)}),
         Q.dq_bounds(risk, "gold.analise_rebaixamento", {"prob_rebaixamento": (0, 1)}),
@@ -845,7 +845,7 @@ def dq_bounds(s, d):
 
 @query
 def dq_positions(s, d):
-    return Q.dq_positions(ST.view_standings(T.store(s, d), L.clubs(s, d)))
+    return Q.dq_positions(ST.view_standings(T.current(s, d), L.clubs(s, d)))
 
 
 @query
@@ -867,7 +867,7 @@ def dq_predictions(s, d):
 
 @query
 def dq_feature_keys(s, d):
-    risk = ST.relegation_risk(T.store(s, d), L.clubs(s, d))
+    risk = T.risk(s, d)
     return Q.union_reports(
         Q.dq_feature_keys(T.store(s, d), "gold.feature_store"),
         Q.dq_feature_keys(T.enhanced_sql(s, d), "gold.feature_store_enhanced"),
