@@ -235,7 +235,7 @@ def _views(lake: Lake, store: DataFrame, clubs: DataFrame) -> None:
     none = {
         "gold.previsoes_proximas_partidas": "nome_casa string, nome_vis string, prob_casa double, prob_empate double, prob_visitante double, "
         "previsao string, confianca double, modelo_versao string, processed_at timestamp_ntz",
-        "gold.previsoes_validadas": "acerto boolean",
+        "gold.previsoes_validadas": "previsao string, resultado_real string, acerto boolean, prob_casa double, prob_empate double, prob_visitante double",
     }
     keys = ", ".join([*(f"{c} {dict(store.dtypes)[c]}" for c in lake.key), "rodada int"])
     tables = [lake.read(n) if lake.exists(n) else lake.spark.createDataFrame([], f"{keys}, {columns}") for n, columns in none.items()]
