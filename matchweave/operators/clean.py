@@ -51,7 +51,7 @@ def one_match_per_round(matches: DataFrame, key: Sequence[str] = KEY) -> DataFra
 
     This establishes the key (competition, round, club) of the feature tables. Every
     per-club window downstream relies on it: a club's group is never longer than the
-    calendar, however many raw rows name the club. Two hash aggregations, no window.
+    calendar, however many raw rows name the club. Two aggregations, reduced before their exchange, no window.
     """
     columns = matches.columns
     row = F.struct("data_partida", "partida_id", *[c for c in columns if c not in ("data_partida", "partida_id")])
