@@ -283,6 +283,18 @@ class Segmenter:
         return ids, [(total - loss) / UNIT for loss, _ in combos], [changes for _, changes in combos]
 
 
+_segmenters: dict[tuple[str, int], Segmenter] = {}
+
+
+def _segmenter(model: str, n: int) -> Segmenter:
+    """One for each worker process, so that the next task finds the words of the last."""
+    import public_tokenizers
+
+    if (model, n) not in _segmenters:
+        _segmenters[model, n] = Segmenter(Lattice(public_tokenizers.path(model)), n)
+    return _segmenters[model, n]
+
+
 def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
     """(doc_id, ids, scores, decoded) of each row: the best ids, the ``n`` best scores, and whether decoding gives the text back.
 
@@ -291,10 +303,8 @@ def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
     ``model`` is the name of a file of public_tokenizers, read on each executor.
     """
     def make():
-        import public_tokenizers
-
-        lattice = Lattice(public_tokenizers.path(model))
-        segmenter = Segmenter(lattice, n)
+        segmenter = _segmenter(model, n)
+        lattice = segmenter.lattice
 
         def compute(texts):
             segmenter.prepare(texts)
@@ -311,10 +321,8 @@ def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
 def digests(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
     """The same with the ids as their number and the sha256 of their 32-bit little-endian bytes."""
     def make():
-        import public_tokenizers
-
-        lattice = Lattice(public_tokenizers.path(model))
-        segmenter = Segmenter(lattice, n)
+        segmenter = _segmenter(model, n)
+        lattice = segmenter.lattice
 
         def compute(texts):
             out = []
