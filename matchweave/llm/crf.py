@@ -179,7 +179,7 @@ def fit_chain(documents: list[np.ndarray], bad: np.ndarray, steps: int = STEPS)
 
 
 def learn(sample: DataFrame) -> Chain:
-    """Chain from one half of the sample (doc_id, text, y), the final fit from the other half.
+    """Chain from one half of the sample (doc_id, text, y, weight), the final fit from the other half.
 
     Lines are measured on the executors; the driver gets at most ``FIT_LINES`` lines of each sampled text, and four numbers of it.
     """
@@ -195,8 +195,8 @@ def learn(sample: DataFrame) -> Chain:
     def make_documents():
         return lambda texts: [[chain.document(t or "") for t in texts]]
 
-    rest = arrow_columns(sample.where("half = 1").select("y", "text"), "text", [T.StructField("x", flat)], make_documents).toPandas()
-    chain.final = logistic(np.array(rest.x.tolist()).reshape(-1, 4), rest.y.to_numpy(float))
+    rest = arrow_columns(sample.where("half = 1").select("y", "weight", "text"), "text", [T.StructField("x", flat)], make_documents).toPandas()
+    chain.final = logistic(np.array(rest.x.tolist()).reshape(-1, 4), rest.y.to_numpy(float), weight=rest.weight.to_numpy(float))
     return chain
 
 

@@ -118,12 +118,12 @@ def _context_counts(sample: DataFrame) -> DataFrame:
     return each.groupBy("w").agg(*[count(h, y) for h in (0, 1) for y in (0, 1)])
 
 
-def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float) -> Lexicon:
-    """Tokens with clear log-odds; the prior is the token's share of all contexts, as strong as the smaller class."""
+def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float, weight: dict[int, float]) -> Lexicon:
+    """Tokens with clear log-odds; the prior is the token's share of all contexts by the weights of the classes, as strong as the smaller class."""
     if not n_toxic or not n_clean:
         return Lexicon({}, DRIFT, weights=(0.0, 0.0, -2.0))
     strength = min(n_toxic, n_clean)
-    prior = (toxic + clean) * (strength / (n_toxic + n_clean))
+    prior = (toxic * weight[1] + clean * weight[0]) * (strength / (n_toxic * weight[1] + n_clean * weight[0]))
     logit = lambda count, n: F.log((count + prior) / (F.lit(n + strength) - count - prior))
     odds = logit(toxic, n_toxic) - logit(clean, n_clean)
     error = F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
@@ -144,24 +144,25 @@ def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float) ->
 
 
 def learn(sample: DataFrame) -> Lexicon:
-    """Lexicon from the sample (doc_id, text, y); its calibration from texts that a lexicon of the other half scored.
+    """Lexicon from the sample (doc_id, text, y, weight); its calibration from texts that a lexicon of the other half scored.
 
     Contexts are counted by Spark; of the counts only the clearest ``LEXICON`` tokens come to the driver.
     """
     sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int"))
     counts = stage(_context_counts(sample), "counts")
     n = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("clean0", "toxic0", "clean1", "toxic1")]).first()
-    half = _lexicon(counts, F.col("toxic0"), F.col("clean0"), n.toxic0, n.clean0)
-    whole = _lexicon(counts, F.col("toxic0") + F.col("toxic1"), F.col("clean0") + F.col("clean1"), n.toxic0 + n.toxic1, n.clean0 + n.clean1)
+    weight = {0: 1.0, 1: 1.0, **{r.y: r.weight for r in sample.groupBy("y").agg(F.max("weight").alias("weight")).collect()}}
+    half = _lexicon(counts, F.col("toxic0"), F.col("clean0"), n.toxic0, n.clean0, weight)
+    whole = _lexicon(counts, F.col("toxic0") + F.col("toxic1"), F.col("clean0") + F.col("clean1"), n.toxic0 + n.toxic1, n.clean0 + n.clean1, weight)
     other = sample.where("half = 1")
     rest = _raw(other, half).select("y", "n_words", "best").toPandas()
     clean = rest[(rest.y == 0) & (rest.n_words > 0)]
     if len(clean):  # the scale that makes the observed maxima of clean texts the expected ones
         chance = np.exp(-half.rate * clean.best.to_numpy()) * clean.n_words.to_numpy()
         half.scale = float(1 / max(np.median(chance), 1e-9))
-    raw = _evidence(other, half).select("y", "best", "total").toPandas()
+    raw = _evidence(other, half).select("y", "weight", "best", "total").toPandas()
     whole.rate, whole.scale = half.rate, half.scale
-    whole.weights = tuple(float(x) for x in logistic(np.log1p(raw[["best", "total"]].to_numpy()), raw.y.to_numpy()))
+    whole.weights = tuple(float(x) for x in logistic(np.log1p(raw[["best", "total"]].to_numpy()), raw.y.to_numpy(), weight=raw.weight.to_numpy()))
     return whole
 
 
@@ -180,7 +181,7 @@ def _evidence(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def make():
         return lambda texts: [list(x) for x in zip(*[lexicon.evidence(tokens(t or "")) for t in texts])] if texts else [[], [], []]
 
-    return arrow_columns(docs.select("doc_id", "y", "text"), "text", [T.StructField("best", T.DoubleType()), T.StructField("total", T.DoubleType()), long("n")], make)
+    return arrow_columns(docs.select("doc_id", "y", "weight", "text"), "text", [T.StructField("best", T.DoubleType()), T.StructField("total", T.DoubleType()), long("n")], make)
 
 
 PASSAGE = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("expected", T.DoubleType())])

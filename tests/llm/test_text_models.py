@@ -135,3 +135,17 @@ def test_logistic_fit():
     y = dice.random(4000) < 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 1] + 0.5)))
     assert fitting.logistic(x, y.astype(float)) == pytest.approx([2, -1, 0.5], abs=0.25)
     assert fitting.logistic(np.zeros((0, 2)), np.zeros(0)).tolist() == [0, 0, 0]
+
+
+@pytest.mark.parametrize("module, run, share", [(crf, crf.quality, 0.85), (toxicity, toxicity.toxicity, 0.12)])
+def test_a_binding_cap_keeps_the_share_of_the_classes(spark, monkeypatch, module, run, share):
+    """Labels that no text explains: every score is near the share of label 1, however few rows are sampled."""
+    dice = random.Random(4)
+    words = ["".join(dice.choices("abcdefgh", k=5)) for _ in range(40)]
+    rows = [(k, " ".join(dice.choices(words, k=30)), int(dice.random() < share)) for k in range(900)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, y, y) for k, _, y in rows], LABELS)
+    whole = np.mean([r.score for r in run(docs, labels).collect()])
+    monkeypatch.setattr(module, "PER_CLASS", 60)
+    capped = np.mean([r.score for r in run(docs, labels).collect()])
+    assert whole == pytest.approx(share, abs=0.05) and capped == pytest.approx(whole, abs=0.1)
