@@ -49,7 +49,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, scores, decoded): piece ids of each document's best segmentation and the scores of the best few."""
+    """(doc_id, ids, scores, decoded, nbest): piece ids of each document's best segmentation, the scores of the best few and what each changes."""
     return pieces.segmented(docs, MODEL)
 
 

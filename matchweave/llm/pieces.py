@@ -1,8 +1,8 @@
 """N-best piece segmentation: forward Viterbi scores guide a backward A-star search through the lattice of pieces.
 
-Pieces never reach over the start of a run of spaces, so the lattice of a text is that of its words in a row. Each
-distinct word is searched once; the best segmentations of a whole text then differ from its best in the few words
-that lose least.
+Pieces never reach over the start of a run of spaces, so the lattice of a text is that of its words in a row. Arrays
+of Viterbi scores from both ends give each distinct word's best and what its second best loses; the best segmentations
+of a whole text differ from its best in the few words that lose least, and only these are searched.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import hashlib
 import heapq
 import math
 import re
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -264,8 +265,17 @@ class Segmenter:
 
     def best(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, list[int]]]]]:
         """Piece ids of the best segmentation, scores of the ``n`` best, and for each what it changes: (word, ids)."""
+        return self._best(text)[:3]
+
+    def nbest(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, int, list[int]]]]]:
+        """The same with changes as (first, n_old, ids): the ids that stand for ``n_old`` ids of the best from place ``first`` on, by place."""
+        ids, scores, changes, sizes = self._best(text)
+        ends = list(accumulate(sizes)) if any(changes) else []
+        return ids, scores, [[(ends[k] - sizes[k], sizes[k], new) for k, new in sorted(c)] for c in changes]
+
+    def _best(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, list[int]]]], list[int]]:
         if not text:
-            return np.zeros(0, np.int32), [0.0], [[]]
+            return np.zeros(0, np.int32), [0.0], [[]], []
         words = _words.findall((SPACE + text).replace(" ", SPACE))
         memory = self.memory
         own = self._found([w for w in dict.fromkeys(words) if w not in memory])
@@ -280,7 +290,16 @@ class Segmenter:
             options = [(0, []), *others[: self.n - 1]]
             combos = heapq.nsmallest(self.n, [(loss + more, changes + change) for loss, changes in combos for more, change in options], key=lambda x: x[0])
         ids = np.frombuffer(b"".join([x[1] for x in found]), np.int32)
-        return ids, [(total - loss) / UNIT for loss, _ in combos], [changes for _, changes in combos]
+        return ids, [(total - loss) / UNIT for loss, _ in combos], [changes for _, changes in combos], [len(x[1]) // 4 for x in found]
+
+
+def changed(ids: np.ndarray, changes: list[tuple[int, int, list[int]]]) -> np.ndarray:
+    """The ids of a segmentation from those of the best and its changes."""
+    parts, at = [], 0
+    for first, n_old, new in changes:
+        parts += [ids[at:first], np.array(new, np.int32)]
+        at = first + n_old
+    return np.concatenate([*parts, ids[at:]]) if parts else ids
 
 
 _segmenters: dict[tuple[str, int], Segmenter] = {}
@@ -295,9 +314,14 @@ def _segmenter(model: str, n: int) -> Segmenter:
     return _segmenters[model, n]
 
 
+CHANGE = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("n_old", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+
 def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
-    """(doc_id, ids, scores, decoded) of each row: the best ids, the ``n`` best scores, and whether decoding gives the text back.
+    """(doc_id, ids, scores, decoded, nbest) of each row: the best ids, the ``n`` best scores, whether decoding gives the text back, and the ``n`` best segmentations.
 
+    A segmentation is its changes against the best, by place: ``ids`` stand for ``n_old`` of the best's ids from ``first`` on
+    (from 0); the best itself has none.
     Null counts as empty: no ids, one score of zero. Every text comes back but one with space marks (U+2581) of its own,
     which read as spaces. Rows repeat as given; an empty table gives none; other columns are not read.
     ``model`` is the name of a file of public_tokenizers, read on each executor.
@@ -308,18 +332,19 @@ def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
 
         def compute(texts):
             segmenter.prepare(texts)
-            found = [segmenter.best(t or "") for t in texts]
+            found = [segmenter.nbest(t or "") for t in texts]
             lists = [x[0].tolist() for x in found]
-            return [lists, [x[1] for x in found], [lattice.decode(i) == (t or "") for i, t in zip(lists, texts)]]
+            nbest = [[[dict(zip(("first", "n_old", "ids"), c)) for c in changes] for changes in x[2]] for x in found]
+            return [lists, [x[1] for x in found], [lattice.decode(i) == (t or "") for i, t in zip(lists, texts)], nbest]
 
         return compute
 
-    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.DoubleType())), T.StructField("decoded", T.BooleanType())]
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.DoubleType())), T.StructField("decoded", T.BooleanType()), T.StructField("nbest", T.ArrayType(T.ArrayType(CHANGE)))]
     return arrow_columns(docs.select("doc_id", "text"), "text", fields, make)
 
 
 def digests(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
-    """The same with the ids as their number and the sha256 of their 32-bit little-endian bytes."""
+    """The same with the ids as their number and the sha256 of their 32-bit little-endian bytes, for the best and for each of the ``n`` best."""
     def make():
         segmenter = _segmenter(model, n)
         lattice = segmenter.lattice
@@ -328,11 +353,12 @@ def digests(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
             out = []
             segmenter.prepare(texts)
             for t in texts:
-                ids, scores, _ = segmenter.best(t or "")
-                out.append((len((t or "").encode()), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), scores[0], scores, lattice.decode(ids.tolist()) == (t or "")))
-            return [list(x) for x in zip(*out)] or [[]] * 6
+                ids, scores, changes = segmenter.nbest(t or "")
+                shas = [hashlib.sha256(changed(ids, c).astype("<i4").tobytes()).hexdigest() for c in changes]
+                out.append((len((t or "").encode()), len(ids), shas[0], scores[0], scores, lattice.decode(ids.tolist()) == (t or ""), shas))
+            return [list(x) for x in zip(*out)] or [[]] * 7
 
         return compute
 
-    fields = [long("n_bytes"), long("n_pieces"), T.StructField("ids_sha256", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("nbest_scores", T.ArrayType(T.DoubleType())), T.StructField("decoded", T.BooleanType())]
+    fields = [long("n_bytes"), long("n_pieces"), T.StructField("ids_sha256", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("nbest_scores", T.ArrayType(T.DoubleType())), T.StructField("decoded", T.BooleanType()), T.StructField("nbest_sha256", T.ArrayType(T.StringType()))]
     return arrow_columns(docs.select("doc_id", "text"), "text", fields, make)

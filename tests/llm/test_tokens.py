@@ -1,8 +1,10 @@
 """Token counts against the tokenizers library, n-best segmentation against all segmentations."""
 
+import hashlib
 import itertools
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -112,3 +114,22 @@ def test_odd_tables(spark):
     for run in (lambda d: token_counts.count_tokens(d, BPE), lambda d: pieces.segmented(d, PIECES), lambda d: pieces.digests(d, PIECES)):
         assert run(odd(spark, extra=True)).count() == len(ODD)
         assert run(odd(spark).limit(0)).collect() == []
+
+
+def test_the_n_segmentations_are_in_the_result(spark, lattice):
+    texts = ["nationality of things", "a", "", "zxqv unbelievable  words\nand 漢字", "x y x y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    found = {r.doc_id: r for r in pieces.segmented(docs, PIECES).collect()}
+    digest = {r.doc_id: r for r in pieces.digests(docs, PIECES).collect()}
+    for k, text in enumerate(texts):
+        row = found[k]
+        own = [pieces.changed(np.array(row.ids, np.int32), [(c.first, c.n_old, c.ids) for c in changes]) for changes in row.nbest]
+        assert [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in own] == digest[k].nbest_sha256
+        assert own[0].tolist() == row.ids and len({tuple(x) for x in own}) == len(own) == len(row.scores)
+        assert all(lattice.decode(x.tolist()) == text for x in own)
+        if text:
+            words = pieces._words.findall((pieces.SPACE + text).replace(" ", pieces.SPACE))
+            every = {}
+            for c in itertools.product(*[all_segmentations(lattice, w)[:6] for w in words]):
+                every[tuple(i for p in c for i in p[1])] = sum(p[0] for p in c) / pieces.UNIT
+            assert [every[tuple(x)] for x in own] == row.scores == sorted(every.values(), reverse=True)[: pieces.BEST]
