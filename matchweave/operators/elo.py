@@ -3,7 +3,8 @@
 The sequential rating of a match needs both clubs' ratings after all their earlier
 matches, so it is no window. ``elo`` has two methods with the same results; the caller names one:
 
-* ``grouped``: a competition is one grouped-map group of six slim columns. Its length is a calendar's;
+* ``grouped``: a slice of a competition's calendar is one grouped-map group of six slim columns, of about ``SLICE`` matches
+  at most. A competition of more is rated slice after slice, with the ratings handed on in a written table;
 * ``levels``: for a competition that no task should hold. Matches of a level share no club, so a level
   is a join of its matches with the ratings they wait for, spread over the cluster. The number
   of levels follows the calendar, the work per level follows its matches.
@@ -12,9 +13,10 @@ matches, so it is no window. ``elo`` has two methods with the same results; the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from matchweave.functions.numeric import half_up
 from matchweave.functions.scoring import AWAY, DRAW, HOME
@@ -27,6 +29,9 @@ K_FACTOR = 32
 START_RATING = 1500.0
 SCALE = 400.0
 
+#: Matches of a competition that one task holds.
+SLICE = 500_000
+
 PRE = ("elo_casa", "elo_vis")
 POST = ("elo_casa_depois", "elo_vis_depois")
 LINE = "_linha"
@@ -63,10 +68,10 @@ def _moved(k: float) -> tuple[Column, Column]:
     return home + k * (score - expected), away + k * ((1 - score) - (1 - expected))
 
 
-def _grouped(facts: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
-    def rate(pdf: pd.DataFrame) -> pd.DataFrame:
+def _rater(k: float, start: float):
+    def rate(pdf: pd.DataFrame, ratings: dict[int, float]) -> pd.DataFrame:
+        """Ratings before each match; ``ratings`` holds those before the first and then those after the last."""
         pdf = pdf.sort_values(ORDER, ignore_index=True, na_position="last")
-        ratings: dict[int, float] = {}
         before: list[tuple[float, float]] = []
         scores = pdf["resultado"].map({HOME: 1.0, DRAW: 0.5, AWAY: 0.0})
         for home, away, score in zip(pdf["clube_casa_id"].tolist(), pdf["clube_vis_id"].tolist(), scores.tolist()):
@@ -77,7 +82,56 @@ def _grouped(facts: DataFrame, key: Sequence[str], k: float, start: float) -> Da
             ratings[away] = pair[1] + k * ((1 - score) - (1 - expected))
         return pd.DataFrame({LINE: pdf[LINE], PRE[0]: [p[0] for p in before], PRE[1]: [p[1] for p in before]})
 
-    return facts.groupBy(*key).applyInPandas(rate, f"{LINE} bigint, {PRE[0]} double, {PRE[1]} double")
+    return rate
+
+
+def _grouped(facts: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
+    rate = _rater(k, start)
+    rated_schema = f"{LINE} bigint, {PRE[0]} double, {PRE[1]} double"
+    most = facts.groupBy(*key).count().agg(F.max("count"), F.sum("count")).first()
+    if (most[0] or 0) <= SLICE:
+        return facts.groupBy(*key).applyInPandas(lambda pdf: rate(pdf, {}), rated_schema)
+    return _by_slice(facts, key, rate, -(-most[1] // SLICE)).select(LINE, *PRE)
+
+
+def _by_slice(facts: DataFrame, key: Sequence[str], rate, slices: int) -> DataFrame:
+    """Ranges of (competition, order) are slices; pass n rates the n-th of every competition, from the ratings of the passes before.
+
+    A task gets a slice's matches and the ratings of its clubs. The passes are as many as the slices of the longest competition.
+    """
+    order = [F.asc_nulls_last(c) for c in (*key, *ORDER)]
+    ranged = stage(facts.repartitionByRange(slices, *order).withColumn("_faixa", F.spark_partition_id()), "elo_ranges")
+    first = ranged.groupBy(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(key)]).agg(F.min("_faixa").alias("_primeira"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k{n}")) for n, c in enumerate(key)]
+    numbered = ranged.join(first, same).withColumn("_fatia", F.col("_faixa") - F.col("_primeira"))
+    numbered = stage(numbered.select(*facts.columns, "_fatia"), "elo_slices")
+    held = T.StructType([facts.schema[c] for c in key]).add("_clube", "long").add("_elo", "double")
+    out = T.StructType([facts.schema[c] for c in key]).add(LINE, "long").add("_clube", "long").add(PRE[0], "double").add(PRE[1], "double")
+
+    def step(pdf: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        ratings = dict(zip(before["_clube"].tolist(), before["_elo"].tolist()))
+        if not len(pdf):
+            return pd.DataFrame(columns=out.names)
+        rows = rate(pdf, ratings).assign(_clube=-1)
+        after = pd.DataFrame({LINE: -1, "_clube": list(ratings), PRE[0]: list(ratings.values()), PRE[1]: 0.0})
+        both = pd.concat([rows, after], ignore_index=True)
+        for c in key:
+            both[c] = pdf[c].iloc[0]
+        return both[out.names]
+
+    ratings = facts.sparkSession.createDataFrame([], held)
+    passes = numbered.agg(F.max("_fatia")).first()[0] + 1
+    done = []
+    for n in range(passes):
+        todo = numbered.filter(F.col("_fatia") == n)
+        clubs = todo.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.explode(F.array(F.col("clube_casa_id").cast("bigint"), F.col("clube_vis_id").cast("bigint"))).alias("_c"))
+        own = ratings.join(clubs, [*same, F.col("_clube") == F.col("_c")], "left_semi")
+        rated = stage(todo.groupBy(*key).cogroup(own.groupBy(*key)).applyInPandas(step, out), "elo_slice")
+        done.append(rated.filter(F.col(LINE) >= 0))
+        new = rated.filter(F.col(LINE) < 0).select(*key, "_clube", F.col(PRE[0]).alias("_elo"))
+        moved = new.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.col("_clube").alias("_c"))
+        ratings = stage(ratings.join(moved, [*same, F.col("_clube") == F.col("_c")], "left_anti").unionByName(new), "elo_ratings")
+    return reduce(DataFrame.unionByName, done)
 
 
 def levels(facts: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

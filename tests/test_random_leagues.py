@@ -290,3 +290,34 @@ def test_clock_order_ignores_the_session_zone(spark):
 def test_half_up(spark):
     values = spark.createDataFrame([(2.675,), (-0.125,), (50.15,), (None,)], "x double")
     assert [r[0] for r in values.select(half_up(F.col("x"), 2)).collect()] == [2.68, -0.13, 50.15, None]
+
+
+def test_slices_hand_ratings_on(spark, monkeypatch):
+    """No task gets more than a slice of a competition, and ratings are those of the whole calendar."""
+    dice = random.Random(7)
+    rows = []
+    for k in range(400):
+        home, away = dice.sample(range(1, 9), 2)
+        league = dice.choice(["a", "a", "a", "b", None])
+        day = None if dice.random() < 0.05 else datetime(2024, 1, 1) + timedelta(days=dice.randrange(60))
+        rows.append((league, k, home, away, dice.choice(["H", "D", "A"]), day))
+    matches = spark.createDataFrame(rows, "competicao string, partida_id bigint, clube_casa_id bigint, clube_vis_id bigint, resultado string, data_partida timestamp_ntz")
+    matches = matches.replace({"H": elo.HOME, "D": elo.DRAW, "A": elo.AWAY}, subset=["resultado"])
+    ratings = lambda: {r.partida_id: (r.elo_casa, r.elo_vis) for r in elo.elo(matches).collect()}
+    whole = ratings()
+    monkeypatch.setattr(elo, "SLICE", 25)
+    sizes, rater = spark.sparkContext.accumulator(0), elo._rater
+
+    def watched(k, start):
+        rate = rater(k, start)
+
+        def run(pdf, known):
+            sizes.add(int(len(pdf) > 100))
+            return rate(pdf, known)
+
+        return run
+
+    monkeypatch.setattr(elo, "_rater", watched)
+    sliced = ratings()
+    assert sizes.value == 0 and set(sliced) == set(whole) and len(whole) == 400
+    assert all(sliced[k] == pytest.approx(whole[k], abs=1e-9) for k in whole)
