@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchweave.llm import crf, decontaminate, html_main, pieces, pii, rules, simhash, suffix_dedup, token_counts, toxicity
+from matchweave.llm import crf, decontaminate, html_main, pieces, pii, rules, simhash, suffix_dedup, token_counts, toxicity, va_clusters
 from matchweave.llm.common import table
 
 
@@ -50,4 +50,8 @@ def op10_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+def op13_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {name: make for name, make in globals().items() if name.startswith("op")}
