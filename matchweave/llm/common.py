@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,31 @@ def arrow_columns(df: DataFrame, text: str, fields: list[T.StructField], make: C
     return df.mapInArrow(run, T.StructType(kept + fields))
 
 
+#: Bytes of text that a function over Arrow batches gets at once; a longer single text comes alone.
+BATCH_BYTES = 8 << 20
+
+
+def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``limit`` bytes of text, or of one row."""
+    column = batch.column(text)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = done = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(sizes.searchsorted(done + limit, side="right")))
+        yield batch.slice(at, stop - at)
+        at, done = stop, int(sizes[stop - 1])
+
+
+def bounded_batches(make: Callable[[pa.RecordBatch], pa.RecordBatch], text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``make`` over slices of bounded size, for mapInArrow."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                yield make(part)
+
+    return run
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(_arrow(kind.elementType))
