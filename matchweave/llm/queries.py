@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchweave.llm import crf, decontaminate, fm_dedup, html_main, pieces, pii, rules, simhash, suffix_dedup, token_counts, toxicity, va_clusters
+from matchweave.llm import crf, decontaminate, fm_dedup, html_main, phrases, pieces, pii, rules, simhash, suffix_dedup, token_counts, toxicity, va_clusters
 from matchweave.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+def op11_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_shard_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("spans")
 

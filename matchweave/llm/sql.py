@@ -54,4 +54,88 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN n USING (r) LEFT JOIN s USING (r)
 """
 
-ORACLES = {"op1_rule_ledger": RULES, "op6_winnowing": WINNOWING}
+PHRASES = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS k))
+  GROUP BY lang, k, phrase HAVING count(*) >= 30
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS b
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k) GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE b IS NULL OR 100 * b < 80 * a
+), cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, j, ((2000000 * a::HUGEINT) // (x.f + y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+PASSAGES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents
+), windows AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)
+), again AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY g) > 1
+), gone AS (
+  SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM again) GROUP BY r
+), numbered AS (
+  SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM numbered WHERE NOT EXISTS (SELECT 1 FROM (SELECT r AS gr, unnest(ps) AS gp FROM gone) WHERE gr = r AND gp = p) GROUP BY r
+), spans AS (
+  SELECT r, count(*) AS n_spans FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM again) WHERE before IS NULL OR i > before + 35 GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN spans USING (r)
+"""
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Rounds of assigning and averaging, each a pair of table expressions."""
+    steps = []
+    for k in range(rounds):
+        steps.append(f"a{k} AS (SELECT row, v, arg_min(cluster, (distance, cluster)) AS cluster FROM (SELECT row, v, cluster, {_DISTANCE} AS distance FROM kept, c{k}) GROUP BY row, v)")
+        steps.append(f"s{k} AS (SELECT cluster, d, floor(sum(x) / count(*)) AS est, sum(x)::HUGEINT AS total, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS d FROM a{k}) GROUP BY cluster, d)")
+        floor = "(CASE WHEN total >= 0 THEN total // n ELSE -((-total + n - 1) // n) END)::BIGINT"
+        steps.append(f"m{k} AS (SELECT cluster, list({floor} ORDER BY d) AS c FROM s{k} GROUP BY cluster)")
+        steps.append(f"c{k + 1} AS (SELECT cluster, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (cluster))")
+    return ",\n".join(steps)
+
+
+_DISTANCE = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+
+CLUSTERS = rf"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS v
+  FROM whole WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, v) - 1)::INTEGER AS cluster, v AS c FROM kept QUALIFY cluster < 8
+),
+{_clusters()},
+done AS (
+  SELECT row, vec_id, min((distance, cluster)) AS best FROM (SELECT row, vec_id, cluster, {_DISTANCE} AS distance FROM kept, c10) GROUP BY row, vec_id
+), flat AS (
+  SELECT vec_id, best[2] AS cluster, best[1] AS distance FROM done
+)
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM flat JOIN c10 USING (cluster)
+"""
+
+ORACLES = {"op1_rule_ledger": RULES, "op6_winnowing": WINNOWING, "op11_phrase_graph": PHRASES, "op12_shard_fm_index": PASSAGES, "op13_va_file_clusters": CLUSTERS}
