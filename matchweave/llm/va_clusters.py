@@ -28,6 +28,8 @@ DIMENSIONS, CLUSTERS, ROUNDS, SCALE, SEED = 64, 8, 10, 1024, 3
 BITS = 8
 #: Integers are at most so large, so that squared distances fit 64 bits.
 LARGEST = 1 << 27
+#: Vectors that the borders of cells are taken from.
+SAMPLE = 10_000
 #: Vectors of a bucket.
 BUCKET = 50_000
 
@@ -96,15 +98,20 @@ def _arrays(frame: DataFrame, schema: str, make: Callable[[pa.RecordBatch], list
 
 
 def cell_borders(v: DataFrame, dimensions: int, bits: int) -> Cells:
-    """Borders at the quantiles of each dimension, from mergeable sketches over all vectors."""
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    each = [F.col("v")[d] for d in range(dimensions)]
-    row = v.agg(
-        F.array(*[F.percentile_approx(c, shares, 4 << bits) for c in each]).alias("borders"),
-        F.array(*[F.min(c) for c in each]).alias("least"),
-        F.array(*[F.max(c) for c in each]).alias("greatest"),
-    ).first()
-    return Cells(row.borders, row.least, row.greatest)
+    """Borders at the quantiles of ``SAMPLE`` vectors of the least hash, between the least and the greatest of all vectors.
+
+    Borders say how narrow the intervals are, not what they decide, so a bounded sample does.
+    """
+    sample = v.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("v").collect()
+    borders = np.quantile(np.array([r.v for r in sample], np.int64), np.arange(1, 1 << bits) / (1 << bits), axis=0, method="lower")
+
+    def ends(batch: pa.RecordBatch) -> list:
+        x = _matrix(batch.column("v"), dimensions)
+        return [pa.array(np.arange(dimensions), pa.int32()), pa.array(x.min(axis=0)), pa.array(x.max(axis=0))]
+
+    ranges = _arrays(v.select("v"), "d int, least bigint, greatest bigint", ends, ["d", "least", "greatest"])
+    rows = ranges.groupBy("d").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest")).orderBy("d").collect()
+    return Cells(list(borders.T), [r.least for r in rows], [r.greatest for r in rows])
 
 
 def _bucketed(df: DataFrame, buckets: int, folder: str) -> tuple[str, DataFrame]:
@@ -114,37 +121,36 @@ def _bucketed(df: DataFrame, buckets: int, folder: str) -> tuple[str, DataFrame]
     return name, spark.table(name)
 
 
-OUT = "row bigint, cluster int, n bigint, sums array<bigint>"
+OUT = "row bigint, cluster int, sums array<bigint>"
 
 
 def _moves(centroids: np.ndarray) -> Callable[[pa.RecordBatch], list]:
-    """Exact clusters of fetched vectors (row, v, old), and in lines without a row what clusters gain and lose by them."""
+    """Exact clusters of fetched vectors (row, v, old), and in lines without a row what clusters gain and lose by them: sums, then vectors."""
     k, width = centroids.shape
 
     def make(batch: pa.RecordBatch) -> list:
         x, old = _matrix(batch.column("v"), width), batch.column("old").to_numpy()
         new, _ = nearest(x, centroids)
-        n, sums = np.zeros(k, np.int64), np.zeros((k, width), np.int64)
+        sums = np.zeros((k, width + 1), np.int64)
         for sign, at in ((1, new), (-1, old)):
             for c in range(k):
                 rows = (at == c) & (new != old)
-                n[c] += sign * rows.sum()
-                sums[c] += sign * x[rows].sum(axis=0)
+                sums[c, :width] += sign * x[rows].sum(axis=0)
+                sums[c, width] += sign * rows.sum()
         rows = pa.concat_arrays([batch.column("row").cast(pa.int64()), pa.nulls(k, pa.int64())])
         clusters = pa.array(np.concatenate([new, np.arange(k)]), pa.int32())
-        counts = pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(n)])
-        return [rows, clusters, counts, pa.concat_arrays([pa.nulls(len(x), pa.list_(pa.int64())), pa.array(sums.tolist(), pa.list_(pa.int64()))])]
+        return [rows, clusters, pa.concat_arrays([pa.nulls(len(x), pa.list_(pa.int64())), pa.array(sums.tolist(), pa.list_(pa.int64()))])]
 
     return make
 
 
-def _gains(out: DataFrame, k: int, dimensions: int) -> tuple[list[int], list[list[int]]]:
-    """What each cluster gains in vectors and in sums: k lines of exact numbers come to the driver."""
-    exact = [F.sum(F.col("sums")[d].cast("decimal(38,0)")).alias(f"s{d}") for d in range(dimensions)]
-    n, sums = [0] * k, [[0] * dimensions for _ in range(k)]
-    for r in out.where("row IS NULL").groupBy("cluster").agg(F.sum("n").alias("n"), *exact).collect():
-        n[r.cluster], sums[r.cluster] = r.n, [int(r[f"s{d}"]) for d in range(dimensions)]
-    return n, sums
+def _gains(out: DataFrame, k: int, dimensions: int) -> list[list[int]]:
+    """What each cluster gains, by dimension and last in vectors: that many exact numbers for each cluster come to the driver."""
+    gained = [[0] * (dimensions + 1) for _ in range(k)]
+    each = out.where("row IS NULL").select("cluster", F.posexplode("sums").alias("d", "x"))
+    for r in each.groupBy("cluster", "d").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect():
+        gained[r.cluster][r.d] = int(r.x)
+    return gained
 
 
 def clusters(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dimensions: int = DIMENSIONS, scale: int = SCALE, seed: int = SEED, bits: int = BITS) -> DataFrame:
@@ -170,8 +176,7 @@ def clusters(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dimens
     approximate = _arrays(kept.select("row", "v"), "row bigint, cells binary", lambda b: [b.column("row"), pa.array([c.tobytes() for c in cells.of(_matrix(b.column("v"), dimensions))], pa.binary())], ["row", "cells"])
     small_name, small = _bucketed(approximate, buckets, folder)
 
-    names = ["row", "cluster", "n", "sums"]
-    counts, sums = [0] * k, [[0] * dimensions for _ in range(k)]
+    sums = [[0] * (dimensions + 1) for _ in range(k)]
     state: DataFrame | None = None
     for _ in range(rounds):
         if state is None:  # the first sums need every vector
@@ -187,14 +192,12 @@ def clusters(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dimens
             guess = stage(_arrays(known.select("row", "cells", "old"), "row bigint, old int, cluster int", decided, ["row", "old", "cluster"]), "decided")
             sure = guess.where("cluster = old").select("row", "cluster")
             fetched = full.join(guess.where("cluster <> old").select("row", "old"), "row").select("row", "v", "old")
-        out = stage(_arrays(fetched, OUT, _moves(centroids), names), "fetched")
-        more, gained = _gains(out, k, dimensions)
-        counts = [a + b for a, b in zip(counts, more)]
-        sums = [[a + b for a, b in zip(x, y)] for x, y in zip(sums, gained)]
+        out = stage(_arrays(fetched, OUT, _moves(centroids), ["row", "cluster", "sums"]), "fetched")
+        sums = [[a + b for a, b in zip(x, y)] for x, y in zip(sums, _gains(out, k, dimensions))]
         placed = out.where("row IS NOT NULL").select("row", "cluster")
         state = placed if sure is None else placed.union(sure)
         before = centroids
-        centroids = np.array([[s // n for s in x] if n else c.tolist() for n, x, c in zip(counts, sums, centroids)], np.int64)
+        centroids = np.array([[s // x[-1] for s in x[:-1]] if x[-1] else c.tolist() for x, c in zip(sums, centroids)], np.int64)
         if (before == centroids).all():
             break  # further rounds change nothing
 
