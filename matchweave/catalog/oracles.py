@@ -539,5 +539,9 @@ _BODIES = {
 }
 
 
+#: The same ratings over windows of time.
+_BODIES |= dict.fromkeys(["elo_by_window", "elo_rerated"], _BODIES["elo"])
+
+
 def oracles() -> dict[str, str]:
     return {name: sql(body) for name, body in _BODIES.items()}

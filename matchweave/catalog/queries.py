@@ -12,7 +12,7 @@ from matchweave.catalog import layers as T
 from matchweave.functions import labels, numeric, scoring
 from matchweave.operators import (
     accuracy as A, clean, clubrows as C, dataset, elo as E, features as FE, forest, joins as J, latest, quality as Q,
-    reads as R, standings as ST,
+    rating_store as RS, reads as R, standings as ST,
 )
 from matchweave.plans import marts
 from matchweave.session import shared_folder
@@ -515,6 +515,28 @@ def elo(s, d):
     return rated.select("competicao", "partida_id", *[F.round(c, 6).alias(c) for c in E.PRE])
 
 
+def _by_window(rated: DataFrame) -> DataFrame:
+    return rated.select("competicao", "partida_id", *[F.round(c, 6).alias(c) for c in E.PRE])
+
+
+@query
+def elo_by_window(s, d):
+    """Half-year windows, each one's components in parallel."""
+    return _by_window(RS.elo_by_window(T.matches(s, d), _new_folder(s, "elo"), days=182))
+
+
+@query
+def elo_rerated(s, d):
+    """A store of what was known in mid-2000, with the results of that year the other way round, brought up to date."""
+    matches, year = T.matches(s, d), F.lit("2000-01-01").cast("timestamp_ntz")
+    turned = F.when(F.col("data_partida") < year, F.col("resultado")).when(F.col("resultado") == "casa", "visitante").when(F.col("resultado") == "visitante", "casa").otherwise(F.col("resultado"))
+    known = matches.filter(F.col("data_partida") < F.lit("2000-07-01").cast("timestamp_ntz")).withColumn("resultado", turned)
+    store = RS.RatingStore(s, _new_folder(s, "elo"), days=182, every=4)
+    store.update(known)
+    store.update(matches)
+    return _by_window(store.rated())
+
+
 @query
 def elo_additive(s, d):
     return E.elo_additive(_rows(s, d), L.base_ratings(s, d), ROW)
