@@ -124,32 +124,43 @@ def _bucketed(df: DataFrame, buckets: int, folder: str) -> tuple[str, DataFrame]
 OUT = "row bigint, cluster int, sums array<bigint>"
 
 
-def _moves(centroids: np.ndarray) -> Callable[[pa.RecordBatch], list]:
-    """Exact clusters of fetched vectors (row, v, old), and in lines without a row what clusters gain and lose by them: sums, then vectors."""
+def _moves(centroids: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Exact clusters of fetched vectors (row, v, old), and at a task's end, in lines without a row, what clusters gain and lose by them: sums, then vectors."""
     k, width = centroids.shape
 
-    def make(batch: pa.RecordBatch) -> list:
-        x, old = _matrix(batch.column("v"), width), batch.column("old").to_numpy()
-        new, _ = nearest(x, centroids)
-        sums = np.zeros((k, width + 1), np.int64)
-        for sign, at in ((1, new), (-1, old)):
-            for c in range(k):
-                rows = (at == c) & (new != old)
-                sums[c, :width] += sign * x[rows].sum(axis=0)
-                sums[c, width] += sign * rows.sum()
-        rows = pa.concat_arrays([batch.column("row").cast(pa.int64()), pa.nulls(k, pa.int64())])
-        clusters = pa.array(np.concatenate([new, np.arange(k)]), pa.int32())
-        return [rows, clusters, pa.concat_arrays([pa.nulls(len(x), pa.list_(pa.int64())), pa.array(sums.tolist(), pa.list_(pa.int64()))])]
-
-    return make
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gained = np.zeros((k, width + 1), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, old = _matrix(batch.column("v"), width), batch.column("old").to_numpy()
+            new, _ = nearest(x, centroids)
+            for sign, at in ((1, new), (-1, old)):
+                for c in range(k):
+                    rows = (at == c) & (new != old)
+                    gained[c, :width] += sign * x[rows].sum(axis=0)
+                    gained[c, width] += sign * rows.sum()
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.int32()), pa.nulls(len(x), pa.list_(pa.int64()))], ["row", "cluster", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.array(np.arange(k), pa.int32()), pa.array(gained.tolist(), pa.list_(pa.int64()))], ["row", "cluster", "sums"])
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of (cluster, sums) added up in whole numbers of any size, as text."""
+    total: dict[int, list[int]] = {}
+    for batch in batches:
+        for cluster, sums in zip(batch.column("cluster").to_pylist(), batch.column("sums").to_pylist()):
+            total[cluster] = [a + b for a, b in zip(total[cluster], sums)] if cluster in total else sums
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([",".join(map(str, x)) for x in total.values()], pa.string())], ["cluster", "sums"])
 
 
 def _gains(out: DataFrame, k: int, dimensions: int) -> list[list[int]]:
-    """What each cluster gains, by dimension and last in vectors: that many exact numbers for each cluster come to the driver."""
+    """What each cluster gains, by dimension and last in vectors: one line for each cluster comes to the driver."""
     gained = [[0] * (dimensions + 1) for _ in range(k)]
-    each = out.where("row IS NULL").select("cluster", F.posexplode("sums").alias("d", "x"))
-    for r in each.groupBy("cluster", "d").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect():
-        gained[r.cluster][r.d] = int(r.x)
+    lines = out.where("row IS NULL").select("cluster", "sums").repartition("cluster").mapInArrow(_added, "cluster int, sums string")
+    for r in lines.collect():
+        gained[r.cluster] = [int(x) for x in r.sums.split(",")]
     return gained
 
 
@@ -192,7 +203,7 @@ def clusters(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dimens
             guess = stage(_arrays(known.select("row", "cells", "old"), "row bigint, old int, cluster int", decided, ["row", "old", "cluster"]), "decided")
             sure = guess.where("cluster = old").select("row", "cluster")
             fetched = full.join(guess.where("cluster <> old").select("row", "old"), "row").select("row", "v", "old")
-        out = stage(_arrays(fetched, OUT, _moves(centroids), ["row", "cluster", "sums"]), "fetched")
+        out = stage(fetched.mapInArrow(_moves(centroids), OUT), "fetched")
         sums = [[a + b for a, b in zip(x, y)] for x, y in zip(sums, _gains(out, k, dimensions))]
         placed = out.where("row IS NOT NULL").select("row", "cluster")
         state = placed if sure is None else placed.union(sure)
