@@ -541,6 +541,8 @@ _BODIES = {
 
 #: The same ratings over windows of time.
 _BODIES |= dict.fromkeys(["elo_by_window", "elo_rerated"], _BODIES["elo"])
+#: The same rows from the partitions that hold or get them.
+_BODIES["upsert_partitions"] = _BODIES["upsert"]
 
 
 def oracles() -> dict[str, str]:

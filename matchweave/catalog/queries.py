@@ -103,12 +103,27 @@ def write_guard(s, d):
     return tables.read_table(s, path)
 
 
-@query
-def upsert(s, d):
+def _upsert(s, d):
+    """A table, and changed and added rows for it."""
     target = T.matches(s, d).select(*MATCH)
     changed = target.filter("rodada % 2 = 0").withColumn("placar_casa", F.col("placar_casa") + 1)
     added = target.filter("rodada % 50 = 0").withColumn("rodada", F.col("rodada") + 1000)
-    return tables.upsert(target, changed.unionByName(added), ["competicao", *latest.MATCH_KEY])
+    return target, changed.unionByName(added)
+
+
+@query
+def upsert(s, d):
+    return tables.upsert(*_upsert(s, d), ["competicao", *latest.MATCH_KEY])
+
+
+@query
+def upsert_partitions(s, d):
+    """Into a table by competition and year; a year without changes keeps its files."""
+    target, source = (df.withColumn("ano", F.year("data_partida")) for df in _upsert(s, d))
+    path = _new_folder(s, "partidas")
+    tables.write_table(target.repartition("competicao", "ano"), path, partition_by=["competicao", "ano"])
+    tables.upsert_partitions(source, path, ["competicao", *latest.MATCH_KEY], ["competicao", "ano"])
+    return s.read.schema(source.schema).parquet(path).select(*MATCH)
 
 
 @query

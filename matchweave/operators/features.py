@@ -57,21 +57,20 @@ def _known(key: Sequence[str], last: int) -> dict[str, Column]:
     return {n: c.cast("double") for n, c in form.items()}
 
 
-def features_job(matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, **elo_options) -> DataFrame:
-    """Sequential Elo and form before each match, both by date."""
-    rows = C.club_rows(elo(matches, key, **elo_options), key, carry={"elo_rating": PRE})
+def features_job(matches: DataFrame, key: Sequence[str] = KEY, per_round: bool = False, rated: bool = False, **elo_options) -> DataFrame:
+    """Sequential Elo and form before each match, both by date. ``rated`` matches have their ratings already."""
+    rows = C.club_rows(matches if rated else elo(matches, key, **elo_options), key, carry={"elo_rating": PRE})
     values = {"elo_rating": F.col("elo_rating")} | _known(key, -1)
     return _store(rows, {n: values[n] for n in ENHANCED}, key, per_round, C.DATE_ORDER)
 
 
-def model_state(matches: DataFrame, key: Sequence[str] = KEY, ahead: bool = False, **elo_options) -> DataFrame:
+def model_state(matches: DataFrame, key: Sequence[str] = KEY, ahead: bool = False, rated: bool = False, **elo_options) -> DataFrame:
     """What is known of a club by date: before each of its matches, or with ``ahead`` after its last, for the next one.
 
     The same quantities both times, so that a model meets at prediction what it was trained on. Keyed by
-    (partida_id, club), or with ``ahead`` by club.
+    (partida_id, club), or with ``ahead`` by club. ``rated`` matches have the ratings before and after each already.
     """
-    rated = elo(matches, key, after=ahead, **elo_options)
-    rows = C.club_rows(rated, key, carry={"elo_rating": POST if ahead else PRE})
+    rows = C.club_rows(matches if rated else elo(matches, key, after=ahead, **elo_options), key, carry={"elo_rating": POST if ahead else PRE})
     last = 0 if ahead else -1
     goals = C.goal_diff_double(key, C.DATE_ORDER, last)["saldo_gols_double"]
     values = {"elo_rating": F.col("elo_rating")} | _known(key, last) | {"saldo_gols": goals}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from matchweave.functions.scoring import AWAY, DRAW, HOME
 from matchweave.operators.latest import KEY, MATCH_KEY
@@ -26,6 +26,29 @@ def conditions(df: DataFrame, table: str, failing: dict[str, Column], severity:
     return _report(totals.select("_n", F.inline(rows)), table, severity)
 
 
+class Observed:
+    """Conditions of a table counted while it is written, so that no check reads it again.
+
+    ``rules`` are (severity, name -> failing condition). Wrap what is written in ``of``; after the write ``report`` has the rows that
+    ``conditions`` would give. ``unique`` names keys whose failed values come from one count over the keys alone.
+    """
+
+    def __init__(self, table: str, rules: Sequence[tuple[str, dict[str, Column]]], unique: Sequence[Sequence[str]] = ()):
+        self.table, self.unique, self.seen = table, unique, Observation()
+        self.rules = [(severity, name, failing) for severity, named in rules for name, failing in named.items()]
+
+    def of(self, df: DataFrame) -> DataFrame:
+        sums = [F.coalesce(F.sum(F.when(failing, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"r{n}") for n, (_, _, failing) in enumerate(self.rules)]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("n"), *sums)
+
+    def report(self, written: DataFrame) -> DataFrame:
+        """The rows of all conditions, from the numbers observed, and of the unique keys of what was ``written``."""
+        got, spark = self.seen.get, written.sparkSession
+        rows = [(name, self.table, "success" if not got[f"r{n}"] else severity, got["n"], got[f"r{n}"], f"{got[f'r{n}']} de {got['n']}") for n, (severity, name, _) in enumerate(self.rules)]
+        counted = spark.createDataFrame(rows, "check_name string, tabela string, status string, records_checked bigint, records_failed bigint, detalhe string")
+        return union_reports(counted, *[dq_unique(written, self.table, keys) for keys in self.unique])
+
+
 def _report(counts: DataFrame, table: str, severity: str) -> DataFrame:
     failed = F.col("records_failed")
     return counts.select(
@@ -51,8 +74,12 @@ def dq_row_count(df: DataFrame, table: str, name: str) -> DataFrame:
     )
 
 
+def not_null(columns: Sequence[str]) -> dict[str, Column]:
+    return {f"not_null_{c}": F.col(c).isNull() for c in columns}
+
+
 def dq_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    return conditions(df, table, {f"not_null_{c}": F.col(c).isNull() for c in columns})
+    return conditions(df, table, not_null(columns))
 
 
 def dq_unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -65,23 +92,32 @@ def dq_unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     return _report(counts.withColumn("check_name", F.lit("unique_" + "_".join(columns))), table, "failed")
 
 
+def accepted(column: str, values: Sequence[str]) -> dict[str, Column]:
+    return {f"accepted_values_{column}": F.coalesce(~F.col(column).isin(*values), F.lit(False))}
+
+
 def dq_accepted(df: DataFrame, table: str, column: str, values: Sequence[str], where: Column | None = None) -> DataFrame:
-    checked = df if where is None else df.filter(where)
-    outside = F.coalesce(~F.col(column).isin(*values), F.lit(False))
-    return conditions(checked, table, {f"accepted_values_{column}": outside})
+    return conditions(df if where is None else df.filter(where), table, accepted(column, values))
+
+
+def in_range(column: str, low: float, high: float) -> dict[str, Column]:
+    return {f"accepted_range_{column}": F.coalesce(~F.col(column).between(low, high), F.lit(False))}
 
 
 def dq_range(df: DataFrame, table: str, column: str, low: float, high: float, severity: str = "warning") -> DataFrame:
-    outside = F.coalesce(~F.col(column).between(low, high), F.lit(False))
-    return conditions(df, table, {f"accepted_range_{column}": outside}, severity)
+    return conditions(df, table, in_range(column, low, high), severity)
 
 
-def dq_prob_sum(predictions: DataFrame, table: str, tolerance: float = 0.01) -> DataFrame:
+def prob_sum(tolerance: float = 0.01) -> dict[str, Column]:
     total = F.col("prob_casa") + F.col("prob_empate") + F.col("prob_visitante")
-    return conditions(predictions, table, {"prob_soma_1": F.abs(total - 1.0) > tolerance})
+    return {"prob_soma_1": F.abs(total - 1.0) > tolerance}
 
 
-def dq_bounds(df: DataFrame, table: str, rules: dict[str, tuple[float | None, float | None]]) -> DataFrame:
+def dq_prob_sum(predictions: DataFrame, table: str, tolerance: float = 0.01) -> DataFrame:
+    return conditions(predictions, table, prob_sum(tolerance))
+
+
+def bounds(rules: dict[str, tuple[float | None, float | None]]) -> dict[str, Column]:
     """Rules: column -> (least, greatest), either open."""
     failing = {}
     for column, (low, high) in rules.items():
@@ -89,7 +125,11 @@ def dq_bounds(df: DataFrame, table: str, rules: dict[str, tuple[float | None, fl
         bad = bad if low is None else bad | (F.col(column) < low)
         bad = bad if high is None else bad | (F.col(column) > high)
         failing[f"limites_{column}"] = F.coalesce(bad, F.lit(False))
-    return conditions(df, table, failing)
+    return failing
+
+
+def dq_bounds(df: DataFrame, table: str, rules: dict[str, tuple[float | None, float | None]]) -> DataFrame:
+    return conditions(df, table, bounds(rules))
 
 
 def dq_positions(table: DataFrame, key: Sequence[str] = KEY, expected_clubs: int | None = None) -> DataFrame:

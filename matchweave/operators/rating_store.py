@@ -140,6 +140,10 @@ class RatingStore:
         rated = lines.filter(F.col(WINDOW) == window).join(out.filter(F.col(LINE) >= 0).select(LINE, *PRE), LINE).drop(LINE, WINDOW)
         rated.withColumns(dict(zip(POST, _moved(self.k)))).write.parquet(self._path("partidas", window))
 
+    def marked(self) -> bool:
+        """Whether any match has been rated."""
+        return bool(self._marks())
+
     def rated(self) -> DataFrame:
         """Played matches with both clubs' ratings before and after each."""
         marks = sorted(self._marks())
@@ -152,4 +156,4 @@ def elo_by_window(matches: DataFrame, root: str, key: Sequence[str] = KEY, days:
     """Played matches with the ratings before and after each, from the store under ``root``, which is brought up to date first."""
     store = RatingStore(matches.sparkSession, root, key, days=days, every=every)
     store.update(matches)
-    return store.rated() if store._marks() else played(matches).limit(0).withColumns({c: F.lit(None).cast("double") for c in (*PRE, *POST)})
+    return store.rated() if store.marked() else played(matches).limit(0).withColumns({c: F.lit(None).cast("double") for c in (*PRE, *POST)})

@@ -19,7 +19,8 @@ from matchweave import session
 from matchweave.plans.marts import mart_predictions, standard_views
 from matchweave.session import stage as staged
 from matchweave.sources import audit, feeds, views
-from matchweave.sources.tables import read_table, write_if_nonempty, write_table
+from matchweave.operators.rating_store import RatingStore
+from matchweave.sources.tables import consume, read_version, replace_table, version_exists, write_if_nonempty
 
 log = logging.getLogger("matchweave")
 
@@ -34,30 +35,34 @@ class Lake:
     root: str
     key: Sequence[str] = KEY
     forest_options: dict = field(default_factory=dict)
+    #: Days of a window of ratings.
+    window: int = 7
+    #: Check rows of the stage that runs, written together at its end; None outside of one, where each is written at once.
+    reports: list[DataFrame] | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return session.exists(self.spark, self.path(name))
+        return version_exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name))
+        return read_version(self.spark, self.path(name))
 
-    def write(self, name: str, df: DataFrame) -> int:
-        return write_table(self._clustered(df), self.path(name))
+    def consume(self, name: str, reader: str, work: Callable[[DataFrame], None]) -> None:
+        """Hand ``work`` what ``reader`` has not seen of an append log."""
+        consume(self.spark, self.path(name), self.path(f"{reader}.lido"), work)
 
-    def unread(self, name: str, reader: str) -> tuple[DataFrame, object]:
-        """Rows of an append log that ``reader`` has not seen, and the mark to leave once it has."""
-        rows = self.read(name)
-        mark = f"{reader}.lido"
-        if self.exists(mark):
-            rows = rows.filter(F.col("ingested_at") > self.read(mark).first()[0])
-        return rows, rows.agg(F.max("ingested_at").alias("lido")).filter("lido IS NOT NULL")
+    def replace(self, name: str, df: DataFrame, checks: quality.Observed | None = None, allow_empty: bool = False) -> int:
+        """New version unless ``df`` is empty; ``df`` may read the table itself. ``checks`` are counted on the way."""
+        clustered = self._clustered(df)
+        count = replace_table(clustered if checks is None else checks.of(clustered), self.path(name), allow_empty=allow_empty)
+        if checks is not None and (count or allow_empty):
+            self.check(checks.report(self.read(name)))
+        return count
 
-    def replace(self, name: str, df: DataFrame) -> int:
-        """Overwrite unless ``df`` is empty; ``df`` may read the table itself."""
-        return write_if_nonempty(self._clustered(df), self.path(name))
+    def ratings(self) -> RatingStore:
+        return RatingStore(self.spark, self.path("gold.elo"), self.key, days=self.window)
 
     def _clustered(self, df: DataFrame) -> DataFrame:
         """Rows of a competition together, so that a read of one skips the other files.
@@ -75,7 +80,16 @@ class Lake:
         return self.path("modelo")
 
     def check(self, report: DataFrame) -> None:
-        audit.log_check(report, self.path(CHECKS))
+        if self.reports is None:
+            audit.log_check(report, self.path(CHECKS))
+        else:
+            self.reports.append(report)
+
+    def flush(self) -> None:
+        """Append all check rows gathered so far, in one write."""
+        gathered, self.reports = self.reports, None
+        if gathered:
+            audit.log_check(quality.union_reports(*[r.select(*audit.CHECKS.names) for r in gathered]).coalesce(1), self.path(CHECKS))
 
     def check_count(self, name: str, table: str, count: int) -> None:
         status = "success" if count > 0 else "warning"
@@ -89,9 +103,12 @@ def _now() -> datetime:
 
 def run_stage(lake: Lake, name: str, work: Callable[[Lake], tuple[str, int, str | None]]) -> str:
     """Run ``work`` and write its audit row; a failure is recorded, then raised."""
-    started = _now()
+    started, lake.reports = _now(), []
     try:
-        status, records, reason = work(lake)
+        try:
+            status, records, reason = work(lake)
+        finally:
+            lake.flush()
     except Exception as error:
         audit.log_run(lake.spark, lake.path(RUNS), name, "failed", started, _now(), error=str(error)[:1000])
         raise
@@ -126,27 +143,34 @@ def silver(lake: Lake) -> tuple[str, int, str | None]:
     """Clean tables. Rows already there survive a feed that no longer carries them."""
     total = 0
     if lake.exists("bronze.partidas_raw"):
-        rows, mark = lake.unread("bronze.partidas_raw", "silver.partidas")
-        new = clean.silver_matches(rows, lake.key, order=["ingested_at", "data_partida", "partida_id"])
-        mark = staged(mark, "lido")
-        total += _merge(lake, "silver.partidas", new, [*lake.key, *MATCH_KEY])
-        lake.replace("silver.partidas.lido", mark)
+        counts = []
+
+        def merge(rows: DataFrame) -> None:
+            new = clean.silver_matches(rows, lake.key, order=["ingested_at", "data_partida", "partida_id"])
+            played = [*MATCH_KEY]
+            classes = F.col("resultado").isNotNull()
+            failing = {n: classes & c for n, c in quality.accepted("resultado", ["casa", "empate", "visitante"]).items()}
+            checks = quality.Observed("silver.partidas", [("failed", quality.not_null(played) | failing)], [["partida_id"]])
+            counts.append(_merge(lake, "silver.partidas", new, [*lake.key, *MATCH_KEY], checks))
+
+        lake.consume("bronze.partidas_raw", "silver.partidas", merge)
+        total += counts[-1] if counts else 0
     if lake.exists("bronze.clubes_info_raw"):
         clubs = clean.silver_clubs(lake.read("bronze.clubes_info_raw"), order=["ingested_at"])
         total += _merge(lake, "silver.clubes", clubs, ["clube_id"])
     if lake.exists("bronze.pontuacoes_historico_raw") and lake.exists("bronze.jogadores_status_raw"):
         scores, athletes = lake.read("bronze.pontuacoes_historico_raw"), lake.read("bronze.jogadores_status_raw")
         name = "silver.estatisticas_jogador_partida"
-        count = lake.write(name, clean.silver_player_scores(scores, athletes, dedupe=True))
+        count = lake.replace(name, clean.silver_player_scores(scores, athletes, dedupe=True), allow_empty=True)
         lake.check_count("silver_estatisticas_count", name, count)
         total += count
     return "success", total, None
 
 
-def _merge(lake: Lake, name: str, new: DataFrame, keys: list[str]) -> int:
+def _merge(lake: Lake, name: str, new: DataFrame, keys: list[str], checks: quality.Observed | None = None) -> int:
     """Add ``new`` to the table, the row added last winning per key; the count is the table's."""
     merged = append_dedupe(lake.read(name), new, keys, []) if lake.exists(name) else new
-    count = lake.replace(name, merged)
+    count = lake.replace(name, merged, checks)
     lake.check_count(f"{name.replace('.', '_')}_count", name, count)
     return count
 
@@ -156,24 +180,28 @@ def gold(lake: Lake) -> tuple[str, int, str | None]:
     if not lake.exists("silver.partidas"):
         return "skipped", 0, "silver.partidas vazia"
     matches = lake.read("silver.partidas")
+    lake.ratings().update(matches)  # the one rating of the day, from the first match that changed
+    rated = lake.ratings().rated()
+    keys, Q = [[*lake.key, "rodada", "clube_id"]], quality
+    sound = [("warning", Q.in_range("aproveitamento_pct", 0, 100)), ("failed", Q.bounds({"pontos_acumulados": (0, None)}))]
     tables = {
-        "gold.feature_store": features.feature_store(matches, lake.key, per_round=True),
-        "gold.feature_store_model": features.feature_store(matches, lake.key, variant="job", per_round=True),
-        "gold.feature_store_enhanced": features.features_job(matches, lake.key, per_round=True),
+        "gold.feature_store": (features.feature_store(matches, lake.key, per_round=True), sound),
+        "gold.feature_store_model": (features.feature_store(matches, lake.key, variant="job", per_round=True), []),
+        "gold.feature_store_enhanced": (features.features_job(rated, lake.key, per_round=True, rated=True), [("failed", Q.bounds({"elo_rating": (1300, 1800)}))]),
     }
     total = 0
-    for name, df in tables.items():
-        count = lake.replace(name, df)
+    for name, (df, rules) in tables.items():
+        count = lake.replace(name, df, Q.Observed(name, rules, keys))
         lake.check_count(f"{name.replace('.', '_')}_count", name, count)
-        if count:
-            lake.check(quality.dq_feature_keys(lake.read(name), name, lake.key))
         total += count
     return "success", total, None
 
 
 def train(lake: Lake) -> tuple[str, int, str | None]:
     matches = lake.read("silver.partidas")
-    rows = staged(dataset.training_rows(matches, features.model_state(matches, lake.key), lake.key), "treino")
+    marked = lake.ratings().marked()
+    state = features.model_state(lake.ratings().rated() if marked else matches, lake.key, rated=marked)
+    rows = staged(dataset.training_rows(matches, state, lake.key), "treino")
     if not dataset.enough_rows(rows):
         return "skipped", 0, "Dados insuficientes"
     split = staged(dataset.time_split(rows), "treino_dividido")
@@ -202,14 +230,16 @@ def infer(lake: Lake) -> tuple[str, int, str | None]:
         total += lake.replace("gold.previsoes_validadas", accuracy.validate_predictions(joined, lake.key))
     version = audit.active_version(lake.read("gold.modelos_registry")).first()[0]
     fixtures = clean.upcoming(matches).select(*lake.key, "partida_id", *MATCH_KEY)
-    with_state = joins.features_ahead(fixtures, features.model_state(matches, lake.key, ahead=True), lake.key)
+    with_state = joins.features_ahead(fixtures, features.model_state(lake.ratings().rated(), lake.key, ahead=True, rated=True), lake.key)
     named = joins.join_club_names(with_state, clubs)
     predicted = forest.predict(audit.load_model(lake.model_path), named, version, lake.key)
     predicted = predicted.withColumnRenamed("partida_id", "id").withColumn("processed_at", F.lit(_now()))
-    count = lake.replace(ahead_name, predicted)
+    count = lake.replace(ahead_name, predicted, quality.Observed(ahead_name, [("failed", quality.prob_sum())]))
     lake.check_count("inferencia_previsoes", ahead_name, count)
     risk = standings.relegation_risk(lake.read("gold.feature_store"), clubs, lake.key)
-    return "success", total + count + lake.write("gold.analise_rebaixamento", risk), None
+    name = "gold.analise_rebaixamento"
+    checks = quality.Observed(name, [("failed", quality.bounds({"prob_rebaixamento": (0, 1)}))])
+    return "success", total + count + lake.replace(name, risk, checks, allow_empty=True), None
 
 
 def publish(lake: Lake) -> tuple[str, int, str | None]:
@@ -217,16 +247,16 @@ def publish(lake: Lake) -> tuple[str, int, str | None]:
     total = 0
     if lake.exists("gold.analise_rebaixamento"):
         risk = lake.read("gold.analise_rebaixamento")
-        total += lake.write("gold.mart_tabela_classificacao", standings.mart_standings(store, clubs, risk, lake.key))
+        total += lake.replace("gold.mart_tabela_classificacao", standings.mart_standings(store, clubs, risk, lake.key), allow_empty=True)
     if lake.exists("gold.previsoes_proximas_partidas"):
         ahead, enhanced = lake.read("gold.previsoes_proximas_partidas"), lake.read("gold.feature_store_enhanced")
-        total += lake.write("gold.mart_previsoes_proximas", mart_predictions(ahead, clubs, store, enhanced, lake.key))
+        total += lake.replace("gold.mart_previsoes_proximas", mart_predictions(ahead, clubs, store, enhanced, lake.key), allow_empty=True)
     if lake.exists("gold.previsoes_validadas"):
         performance = accuracy.mart_performance(lake.read("gold.previsoes_validadas"), lake.key)
-        total += lake.write("gold.mart_desempenho_modelo", performance)
+        total += lake.replace("gold.mart_desempenho_modelo", performance, allow_empty=True)
     _views(lake, store, clubs)
-    for report in _checks(lake):
-        lake.check(report)
+    places = quality.dq_positions(lake.spark.table("gold_vw_classificacao"), lake.key)
+    lake.check(quality.conditions(places, "gold.vw_classificacao", {"posicoes_sequenciais": F.col("status") == "failed"}))
     return "success", total, None
 
 
@@ -242,34 +272,6 @@ def _views(lake: Lake, store: DataFrame, clubs: DataFrame) -> None:
     views.register_views(standard_views(store, clubs, *tables, lake.key))
 
 
-def _checks(lake: Lake) -> list[DataFrame]:
-    """The declared checks of the clean and published tables (D2 to D8)."""
-    Q, reports = quality, []
-    if lake.exists("silver.partidas"):
-        name = "silver.partidas"
-        matches = lake.read(name)
-        reports += [
-            Q.dq_not_null(matches, name, [*MATCH_KEY]),
-            Q.dq_unique(matches, name, ["partida_id"]),
-            Q.dq_accepted(matches, name, "resultado", ["casa", "empate", "visitante"], F.col("resultado").isNotNull()),
-        ]
-    name = "gold.feature_store"
-    store = lake.read(name)
-    reports += [Q.dq_range(store, name, "aproveitamento_pct", 0, 100), Q.dq_bounds(store, name, {"pontos_acumulados": (0, None)})]
-    name = "gold.feature_store_enhanced"
-    if lake.exists(name):
-        reports.append(Q.dq_elo_range(lake.read(name), name))
-    name = "gold.previsoes_proximas_partidas"
-    if lake.exists(name):
-        reports.append(Q.dq_prob_sum(lake.read(name), name))
-    name = "gold.analise_rebaixamento"
-    if lake.exists(name):
-        reports.append(Q.dq_bounds(lake.read(name), name, {"prob_rebaixamento": (0, 1)}))
-    places = Q.dq_positions(lake.spark.table("gold_vw_classificacao"), lake.key)
-    reports.append(Q.conditions(places, "gold.vw_classificacao", {"posicoes_sequenciais": F.col("status") == "failed"}))
-    return reports
-
-
 def run_day(lake: Lake, landed: dict[str, DataFrame]) -> dict[str, str]:
     """All stages in order; the status of each."""
     stages = {

@@ -93,6 +93,54 @@ def swap(spark: SparkSession, new: str, path: str) -> None:
         system.delete(old, True)
 
 
+#: The file that names the valid version of a versioned table, and the beginning of version folders.
+POINTER, VERSION = "_atual", "versao-"
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: an atomic rename over the old one, or on an object store, where a rename is a copy, one put."""
+    system, where = _file_system(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs
+    is_store = system.getScheme() in ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "oss", "cos")
+    to = where if is_store else make.Path(f"{path}.{uuid.uuid4().hex}")
+    out = system.create(to, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not is_store:
+        options = spark.sparkContext._gateway.new_array(make.Options.Rename, 1)
+        options[0] = make.Options.Rename.OVERWRITE
+        make.FileContext.getFileContext(where.toUri(), spark._jsc.hadoopConfiguration()).rename(to, where, options)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if there is none."""
+    system, where = _file_system(spark, path)
+    if not system.exists(where):
+        return None
+    source = system.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder to read a table from: its valid version, or the folder itself if it has no versions."""
+    version = get_text(spark, f"{path}/{POINTER}")
+    return path if version is None else f"{path}/{version}"
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Version folders of a table, the oldest first."""
+    system, where = _file_system(spark, path)
+    if not system.exists(where):
+        return []
+    found = [(f.getModificationTime(), f.getPath().getName()) for f in system.listStatus(where)]
+    return [name for _, name in sorted(found) if name.startswith(VERSION)]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
