@@ -11,7 +11,6 @@ import hashlib
 import heapq
 import math
 import re
-from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,8 +20,8 @@ from matchweave.llm.common import arrow_columns, long
 
 SPACE = "▁"
 BEST = 4
-#: Words that a worker remembers, each of at most so many letters; beyond it the memory starts anew.
-REMEMBERED, SHORT = 400_000, 40
+#: Words that a worker remembers; beyond it the memory starts anew. Words of more letters than ``LONG`` are searched alone.
+REMEMBERED, LONG = 400_000, 1000
 #: Scores are whole multiples of this part of one, so that sums are exact and equal paths are equal.
 UNIT = 1 << 32
 #: What a byte of a letter without a piece costs below the rarest piece.
@@ -33,6 +32,7 @@ _words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 BASE = 0x9E3779B97F4A7C15
 LOWEST = -(1 << 62)
+NONE = 1 << 62
 
 
 def _hash(text: str) -> int:
@@ -71,6 +71,8 @@ class Lattice:
         self.hashes = np.array([h for h, _, _ in table], np.uint64)
         self.ids_at, self.scores_at = np.array([i for _, i, _ in table], np.int64), np.array([s for _, _, s in table], np.int64)
         self.byte_score = round((min(scores.values(), default=0.0) - BYTE_COST) * UNIT)
+        self.letters = np.frombuffer("".join(self.texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.letters_at = np.cumsum([0, *map(len, self.texts)])
 
     def arcs(self, word: str) -> list[tuple[int, int, tuple[int, ...], int]]:
         """The pieces in a word by start: start, end, ids (several for bytes) and score in units. Every letter has its piece or its bytes."""
@@ -120,11 +122,11 @@ class Lattice:
         second = max((ahead[arc[0]] + arc[3] + behind[arc[1]] for arc in arcs if id(arc) not in own), default=None)
         return ahead[n], [i for arc in reversed(path) for i in arc[2]], None if second is None else ahead[n] - second
 
-    def best_many(self, words: list[str]) -> list[tuple[int, bytes, int | None]]:
-        """``best`` of many words at once, ids as bytes: all their letters in one array, arcs by start in step.
+    def best_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``best`` of many words at once: scores, losses of the second best (``NONE`` without one), ids of all words in a row,
+        their number for each word, and whether they decode to the word. All letters are in one array, arcs by start in step.
 
-        Parts are looked up by hash; each path's pieces are held against the letters, and words that need bytes
-        (or were misled by a hash) are done alone.
+        Parts are looked up by hash; each path's pieces are held against the letters, and words that were misled by a hash are done alone.
         """
         sizes = np.array([len(w) for w in words], np.int64)
         letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -184,20 +186,36 @@ class Lattice:
         np.maximum.at(second, word[begin[rest]], (ahead[start] + score + behind[end])[rest])
         path = np.flatnonzero(on_path)
         path = path[np.argsort(begin[path], kind="stable")]
-        ids = np.where(at[path] >= 0, self.ids_at[at[path]], -1)
-        text, texts = "".join(words), self.texts
-        bad = {w for w, i, a, n in zip(word[begin[path]].tolist(), ids.tolist(), begin[path].tolist(), size[path].tolist()) if i < 0 or texts[i] != text[a : a + n]}
-        raw = ids.astype(np.int32).tobytes()
-        stop = np.cumsum(np.bincount(word[begin[path]], minlength=len(words))) * 4
-        out, before = [], 0
-        for k, (total, other, until) in enumerate(zip(ahead[tails].tolist(), second.tolist(), stop.tolist())):
-            if k in bad:
-                total, own_ids, gap = self.best(words[k])
-                out.append((total, np.array(own_ids, np.int32).tobytes(), gap))
-            else:
-                out.append((total, raw[before:until], total - other if other > LOWEST // 2 else None))
-            before = until
-        return out
+        ids, width = np.where(at[path] >= 0, self.ids_at[at[path]], -1), size[path]
+        # the pieces' letters against the words'; a letter of its own bytes is right by itself
+        plain = np.flatnonzero(ids >= 0)
+        length = width[plain]
+        step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        wrong = self.letters[np.repeat(self.letters_at[ids[plain]], length) + step] != letters[np.repeat(begin[path][plain], length) + step]
+        misled = set(word[begin[path][plain]][np.repeat(np.arange(len(plain)), length)[wrong]].tolist())
+        # letters without a piece become their bytes' ids
+        count = np.ones(len(ids), np.int64)
+        lone_at = np.flatnonzero(ids < 0)
+        raws = [chr(c).encode("utf-8", "surrogatepass") for c in letters[begin[path][lone_at]].tolist()]
+        count[lone_at] = [len(r) for r in raws]
+        out = np.repeat(ids, count).astype(np.int32)
+        if raws:
+            out[out < 0] = [self.bytes.get(b, self.unknown) for r in raws for b in r]
+        number = np.bincount(word[begin[path]], count, len(words)).astype(np.int64)
+        total = ahead[tails]
+        loss = np.where(second > LOWEST // 2, total - second, NONE)
+        right = np.ones(len(words), bool)
+        for k in set(word[begin[path][lone_at]].tolist()) - misled:
+            stop = int(number[: k + 1].sum())
+            right[k] = self.decode(out[stop - int(number[k]) : stop].tolist(), whole=False) == words[k].replace(SPACE, " ")
+        if misled:
+            parts = np.split(out, np.cumsum(number)[:-1])
+            for k in misled:
+                total[k], own, gap = self.best(words[k])
+                parts[k], loss[k] = np.array(own, np.int32), NONE if gap is None else gap
+                number[k], right[k] = len(own), self.decode(own, whole=False) == words[k].replace(SPACE, " ")
+            out = np.concatenate(parts)
+        return total, loss, out, number, right
 
     def search(self, word: str, n: int = BEST) -> list[tuple[int, list[int]]]:
         """The ``n`` best segmentations (all, if there are fewer) with their scores in units, best first.
@@ -225,8 +243,8 @@ class Lattice:
                 heapq.heappush(heap, (-(behind + s + ahead[start]), start, made, behind + s, (ids_, path)))
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of pieces: bytes joined to letters, space marks turned to spaces, the one put before the text taken off."""
+    def decode(self, ids: list[int], whole: bool = True) -> str:
+        """Text of pieces: bytes joined to letters, space marks turned to spaces, the one put before a ``whole`` text taken off."""
         parts, raw = [], bytearray()
         for i in ids:
             if (b := self.byte_of.get(i)) is not None:
@@ -238,59 +256,99 @@ class Lattice:
             parts.append(self.texts[i])
         if raw:
             parts.append(raw.decode("utf-8", "replace"))
-        return "".join(parts).replace(SPACE, " ")[1:]
+        return "".join(parts).replace(SPACE, " ")[1 if whole else 0 :]
 
 
 class Segmenter:
-    """Whole texts over a lattice, with the words seen so far."""
+    """Whole texts over a lattice. The words seen so far are slots of arrays, so that a text is its words' slots."""
 
     def __init__(self, lattice: Lattice, n: int = BEST):
-        self.lattice, self.n, self.memory = lattice, n, {}
-
-    def _found(self, words: list[str]) -> dict[str, tuple[int, bytes, int | None]]:
-        short = [w for w in words if len(w) <= SHORT]
-        out = dict(zip(short, self.lattice.best_many(short))) if short else {}
-        for w in words:
-            if len(w) > SHORT:
-                score, ids, gap = self.lattice.best(w)
-                out[w] = score, np.array(ids, np.int32).tobytes(), gap
-        return out
-
-    def prepare(self, texts: list[str]) -> None:
-        """Search the new words of many texts together."""
-        new = {w for t in texts if t for w in _words.findall((SPACE + t).replace(" ", SPACE)) if len(w) <= SHORT}.difference(self.memory)
-        if len(self.memory) + len(new) > REMEMBERED:
-            self.memory = {}
-        self.memory.update(self._found(list(new)))
+        self.lattice, self.n = lattice, n
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memory: dict[str, int] = {}
+        self.found: dict[str, list[tuple[int, list[int]]]] = {}
+        self.scores, self.losses, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.begin, self.number, self.right = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        """Search new words together; very long ones alone."""
+        short, long_ = [w for w in words if len(w) <= LONG], [w for w in words if len(w) > LONG]
+        parts = [self.lattice.best_many(short)] if short else []
+        for w in long_:
+            score, ids, gap = self.lattice.best(w)
+            right = self.lattice.decode(ids, whole=False) == w.replace(SPACE, " ")
+            parts.append(tuple(np.array(x, t) for x, t in (([score], np.int64), ([NONE if gap is None else gap], np.int64), (ids, np.int32), ([len(ids)], np.int64), ([right], bool))))
+        for score, loss, ids, number, right in parts:
+            self.begin = np.concatenate([self.begin, np.cumsum(number) - number + len(self.ids)])
+            self.scores, self.losses, self.ids = np.concatenate([self.scores, score]), np.concatenate([self.losses, loss]), np.concatenate([self.ids, ids])
+            self.number, self.right = np.concatenate([self.number, number]), np.concatenate([self.right, right])
+        self.memory.update(zip(short + long_, range(len(self.memory), len(self.scores))))
+
+    def split(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The slots of each text's words; new words of all of them are searched together."""
+        words = [_words.findall((SPACE + t).replace(" ", SPACE)) if t else [] for t in texts]
+        new = set().union(*words)
+        if len(self.memory) + len(new) > REMEMBERED or len(self.ids) > 16 * REMEMBERED:
+            self._forget()
+        if new := new.difference(self.memory):
+            self._learn(list(new))
+        slot = self.memory.__getitem__
+        return [np.fromiter(map(slot, own), np.int64, len(own)) for own in words]
+
+    def ids_of(self, slots: np.ndarray) -> np.ndarray:
+        number = self.number[slots]
+        return self.ids[np.repeat(self.begin[slots] - np.cumsum(number) + number, number) + np.arange(int(number.sum()))]
+
+    def decodes(self, text: str | None, slots: np.ndarray) -> bool:
+        """Whether the best ids decode to the text: each word's do, and it has no space marks of its own, which read as spaces."""
+        return SPACE not in (text or "") and bool(self.right[slots].all())
+
+    def _others(self, word: str) -> list[tuple[int, list[int]]]:
+        if word not in self.found:
+            self.found[word] = self.lattice.search(word, self.n)
+        return self.found[word]
 
     def best(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, list[int]]]]]:
         """Piece ids of the best segmentation, scores of the ``n`` best, and for each what it changes: (word, ids)."""
-        return self._best(text)[:3]
+        slots = self.split([text])[0]
+        scores, changes = self._best(text, slots)
+        return self.ids_of(slots), scores, changes
 
-    def nbest(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, int, list[int]]]]]:
+    def nbest(self, text: str | None, slots: np.ndarray | None = None) -> tuple[np.ndarray, list[float], list[list[tuple[int, int, list[int]]]]]:
         """The same with changes as (first, n_old, ids): the ids that stand for ``n_old`` ids of the best from place ``first`` on, by place."""
-        ids, scores, changes, sizes = self._best(text)
-        ends = list(accumulate(sizes)) if any(changes) else []
-        return ids, scores, [[(ends[k] - sizes[k], sizes[k], new) for k, new in sorted(c)] for c in changes]
-
-    def _best(self, text: str) -> tuple[np.ndarray, list[float], list[list[tuple[int, list[int]]]], list[int]]:
+        slots = self.split([text])[0] if slots is None else slots
+        scores, changes = self._best(text, slots)
+        ends = np.cumsum(self.number[slots]).tolist() if any(changes) else []
+        number = self.number
+        return self.ids_of(slots), scores, [[(ends[k] - int(number[slots[k]]), int(number[slots[k]]), new) for k, new in sorted(c)] for c in changes]
+
+    def _nearest(self, slots: np.ndarray) -> list[int]:
+        """Places of the words whose second best loses least, by loss, then place."""
+        losses, n = self.losses[slots], self.n - 1
+        if len(losses) > n > 0:
+            at = np.flatnonzero(losses <= np.partition(losses, n - 1)[n - 1])
+            at = at[np.argsort(losses[at], kind="stable")][:n]
+        else:
+            at = np.argsort(losses, kind="stable")[:n]
+        return at[losses[at] < NONE].tolist()
+
+    def _best(self, text: str | None, slots: np.ndarray) -> tuple[list[float], list[list[tuple[int, list[int]]]]]:
         if not text:
-            return np.zeros(0, np.int32), [0.0], [[]], []
-        words = _words.findall((SPACE + text).replace(" ", SPACE))
-        memory = self.memory
-        own = self._found([w for w in dict.fromkeys(words) if w not in memory])
-        found = [memory[w] if w in memory else own[w] for w in words]
-        total = sum([x[0] for x in found])
-        near = heapq.nsmallest(self.n - 1, [(x[2], k) for k, x in enumerate(found) if x[2] is not None])
+            return [0.0], [[]]
+        own = self.scores[slots]
+        total = sum(int(own[a : a + (1 << 20)].sum()) for a in range(0, len(own), 1 << 20))
+        near = self._nearest(slots)
         # a segmentation among the best changes only words among those that lose least, and these are searched
+        words = _words.findall((SPACE + text).replace(" ", SPACE)) if near else []
         combos: list[tuple[int, list]] = [(0, [])]
-        for _, k in near:
-            own_ids = np.frombuffer(found[k][1], np.int32).tolist()
-            others = [(found[k][0] - s, [(k, ids)]) for s, ids in self.lattice.search(words[k], self.n) if ids != own_ids]
+        for k in near:
+            own_ids = self.ids_of(slots[k : k + 1]).tolist()
+            others = [(int(own[k]) - s, [(k, ids)]) for s, ids in self._others(words[k]) if ids != own_ids]
             options = [(0, []), *others[: self.n - 1]]
             combos = heapq.nsmallest(self.n, [(loss + more, changes + change) for loss, changes in combos for more, change in options], key=lambda x: x[0])
-        ids = np.frombuffer(b"".join([x[1] for x in found]), np.int32)
-        return ids, [(total - loss) / UNIT for loss, _ in combos], [changes for _, changes in combos], [len(x[1]) // 4 for x in found]
+        return [(total - loss) / UNIT for loss, _ in combos], [changes for _, changes in combos]
 
 
 def changed(ids: np.ndarray, changes: list[tuple[int, int, list[int]]]) -> np.ndarray:
@@ -328,14 +386,13 @@ def segmented(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
     """
     def make():
         segmenter = _segmenter(model, n)
-        lattice = segmenter.lattice
 
         def compute(texts):
-            segmenter.prepare(texts)
-            found = [segmenter.nbest(t or "") for t in texts]
+            slots = segmenter.split(texts)
+            found = [segmenter.nbest(t, own) for t, own in zip(texts, slots)]
             lists = [x[0].tolist() for x in found]
             nbest = [[[dict(zip(("first", "n_old", "ids"), c)) for c in changes] for changes in x[2]] for x in found]
-            return [lists, [x[1] for x in found], [lattice.decode(i) == (t or "") for i, t in zip(lists, texts)], nbest]
+            return [lists, [x[1] for x in found], [segmenter.decodes(t, own) for t, own in zip(texts, slots)], nbest]
 
         return compute
 
@@ -347,15 +404,13 @@ def digests(docs: DataFrame, model: str, n: int = BEST) -> DataFrame:
     """The same with the ids as their number and the sha256 of their 32-bit little-endian bytes, for the best and for each of the ``n`` best."""
     def make():
         segmenter = _segmenter(model, n)
-        lattice = segmenter.lattice
 
         def compute(texts):
             out = []
-            segmenter.prepare(texts)
-            for t in texts:
-                ids, scores, changes = segmenter.nbest(t or "")
+            for t, own in zip(texts, segmenter.split(texts)):
+                ids, scores, changes = segmenter.nbest(t, own)
                 shas = [hashlib.sha256(changed(ids, c).astype("<i4").tobytes()).hexdigest() for c in changes]
-                out.append((len((t or "").encode()), len(ids), shas[0], scores[0], scores, lattice.decode(ids.tolist()) == (t or ""), shas))
+                out.append((len((t or "").encode()), len(ids), shas[0], scores[0], scores, segmenter.decodes(t, own), shas))
             return [list(x) for x in zip(*out)] or [[]] * 7
 
         return compute

@@ -72,10 +72,27 @@ def test_the_best_of_a_word(lattice, word):
 def test_many_words_at_once(lattice):
     words = sorted({w for t in strange(5) for w in pieces._words.findall((pieces.SPACE + t).replace(" ", pieces.SPACE)) if len(w) < 300})
     assert len(words) > 100
-    for word, (score, ids, gap) in zip(words, lattice.best_many(words)):
+    scores, losses, ids, number, right = lattice.best_many(words)
+    for word, score, loss, own, fits in zip(words, scores.tolist(), losses.tolist(), np.split(ids, np.cumsum(number)[:-1]), right.tolist()):
         alone = lattice.best(word)
-        assert (score, gap) == (alone[0], alone[2])
-        assert [i for i in memoryview(ids).cast("i")] == alone[1]
+        assert (score, loss) == (alone[0], pieces.NONE if alone[2] is None else alone[2])
+        assert own.tolist() == alone[1] and fits == (lattice.decode(alone[1], whole=False) == word.replace(pieces.SPACE, " "))
+
+
+def test_words_misled_by_a_hash_and_very_long_ones(lattice, monkeypatch):
+    words = ["▁the", "▁nation", "漢é", "abab", "▁unbelievable"]
+    plain = lattice.best_many(words)
+    monkeypatch.setattr(lattice, "letters", np.zeros_like(lattice.letters))  # every piece looks misled
+    assert all((a == b).all() for a, b in zip(plain, lattice.best_many(words)))
+    monkeypatch.undo()
+    texts = ["the nation and the rest", "a" * 300, "x y", None]
+    whole = [pieces.Segmenter(lattice).nbest(t) for t in texts]
+    monkeypatch.setattr(pieces, "LONG", 5)
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    segmenter = pieces.Segmenter(lattice)
+    for t, (ids, scores, changes) in zip(texts * 2, whole * 2):
+        own = segmenter.nbest(t)
+        assert own[0].tolist() == ids.tolist() and own[1] == scores and own[2] == changes
 
 
 @pytest.mark.parametrize("text", ["to be or", "the the the", "a b", " x", "it is it"])
