@@ -69,11 +69,11 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterat
         at, done = stop, int(sizes[stop - 1])
 
 
-def bounded_batches(make: Callable[[pa.RecordBatch], pa.RecordBatch], text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def bounded_batches(make: Callable[[pa.RecordBatch], pa.RecordBatch], text: str, limit: int = BATCH_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``make`` over slices of bounded size, for mapInArrow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 yield make(part)
 
     return run

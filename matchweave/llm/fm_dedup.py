@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchweave.llm import wordbytes
+from matchweave.llm import sieve, wordbytes
 from matchweave.llm.common import bounded_batches
 from matchweave.llm.fm_index import DEPTH, FMIndex, repeated_windows
 from matchweave.session import stage
@@ -71,12 +71,48 @@ def contexts(words: wordbytes.Words, window: int = WINDOW, gram: int = GRAM) ->
 CONTEXTS = "row bigint, h bigint, c bigint, first int, n int"
 
 
-def _contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    text, h, c, first, n = contexts(wordbytes.words(*wordbytes.flat(batch.column("text"))))
+def _anchors(batch: pa.RecordBatch) -> np.ndarray:
+    return contexts(wordbytes.words(*wordbytes.flat(batch.column("text"))))[1].view(np.uint64)
+
+
+def _contexts(known):
+    """Contexts whose anchor the filter ``known`` lets through."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = contexts(wordbytes.words(*wordbytes.flat(batch.column("text"))))
+        return _lines(batch, *(x[sieve.passes(known.value, found[1].view(np.uint64))] for x in found))
+
+    return run
+
+
+def _lines(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray, c: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     rows = batch.column("row").to_numpy()[text]
     return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(h), pa.array(c), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))], ["row", "h", "c", "first", "n"])
 
 
+def _touched(known, wanted: bool):
+    """The rows of a batch whose number the filter ``known`` lets through, or the others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside = sieve.passes(known.value, wordbytes.mixed(batch.column("row").to_numpy().view(np.uint64)))
+            yield batch.filter(pa.array(inside if wanted else ~inside))
+
+    return run
+
+
+def _rows_of(known, docs: DataFrame, wanted: bool = True) -> DataFrame:
+    return docs.mapInArrow(_touched(known, wanted), docs.schema)
+
+
+def _mixed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(wordbytes.mixed(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["h"])
+
+
+def _row_filter(rows: DataFrame):
+    """Filter of the row numbers of the written table ``rows``: texts without any need not travel."""
+    return rows.sparkSession.sparkContext.broadcast(sieve.filter_of(stage(rows.select("row").distinct().mapInArrow(_mixed_rows, "h bigint"), "rows")))
+
+
 def _split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()  # bytes split at the same six separators
 
@@ -174,8 +210,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     occurrences. Reads doc_id and text only; null counts as empty; texts of fewer words stay whole; an empty table gives none.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    # 1. contexts, equal ones counted
-    places = stage(docs.select("row", "text").mapInArrow(bounded_batches(_contexts, "text"), CONTEXTS), "contexts")
+    spark = docs.sparkSession
+    # 1. contexts of anchors that occur twice, equal ones counted
+    known = spark.sparkContext.broadcast(sieve.frequent_filter(docs.select("text"), "text", _anchors, 2))
+    places = stage(docs.select("row", "text").mapInArrow(bounded_batches(_contexts(known), "text", sieve.TEXT_BYTES), CONTEXTS), "contexts")
     classes = places.groupBy("h", "c", "n").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "first")).alias("one"))
     classes = stage(classes.select("h", "c", "n", "copies", "one.row", "one.first"), "classes")
     # 2. anchors of few contexts and of crowds; a class is repeated by its copies alone or has others to be held against
@@ -186,22 +224,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     several = sliced.where("crowd IS NULL").join(per_anchor.where(F.col("kinds") <= CROWD).select("h"), "h", "left_semi")
     several = several.select("row", F.struct(F.col("h").alias("key"), "h", "c", "first", F.lit(0).alias("a"), "n").alias("w"))
     # 3. windows of crowds whose hash another one has
-    crowded = sliced.where("crowd").select("row", F.struct("h", "c", "row", "first", "n").alias("w"))
-    by_row = docs.select("row", "text").join(crowded.groupBy("row").agg(F.collect_set("w").alias("wanted")), "row").select("text", "wanted")
+    crowded = stage(sliced.where("crowd").select("row", F.struct("h", "c", "row", "first", "n").alias("w")), "crowded")
+    by_row = _rows_of(_row_filter(crowded), docs.select("row", "text")).join(crowded.groupBy("row").agg(F.collect_set("w").alias("wanted")), "row").select("text", "wanted")
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
     hashes = by_row.mapInArrow(bounded_batches(_each_wanted(_window_hashes, kinds, ["key", "h", "c", "a", "row", "first"]), "text"), "key bigint, h bigint, c bigint, a int, row bigint, first int")
     hashes = stage(hashes, "windows")
     met = hashes.groupBy("key").agg(F.min(F.struct("h", "c", "a")).alias("one"), F.max(F.struct("h", "c", "a")).alias("other")).where("one <> other").select("key")
     alone = hashes.join(met, "key", "left_semi").select("row", F.struct("key", "h", "c", "first", "a", F.lit(1).alias("n")).alias("w"))
     # 4. the words that are needed travel to the shards and are searched there
-    asked = several.union(alone).groupBy("row").agg(F.collect_set("w").alias("wanted"))
-    sent = docs.select("row", "text").join(asked, "row").select("text", "wanted")
+    asked = stage(several.union(alone).groupBy("row").agg(F.collect_set("w").alias("wanted")), "asked")
+    sent = _rows_of(_row_filter(asked), docs.select("row", "text")).join(asked, "row").select("text", "wanted")
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     sent = sent.mapInArrow(bounded_batches(_each_wanted(_sent, kinds, ["key", "h", "c", "a", "ctx"]), "text"), "key bigint, h bigint, c bigint, a int, ctx binary")
     found = sent.repartition("key").sortWithinPartitions("key", "h", "c", "a").mapInArrow(_searched, HITS)
     # 5. back to every row that has the context
     hits = stage(whole.union(found).groupBy("h", "c").agg(F.collect_set(F.struct("a", "b")).alias("runs")), "hits")
     of_row = places.select("row", "h", "c", "first").join(hits, ["h", "c"]).select("row", F.explode(F.transform("runs", lambda r: F.struct((F.col("first") + r["a"]).alias("a"), (F.col("first") + r["b"]).alias("b")))).alias("hit"))
-    joined = docs.join(of_row.groupBy("row").agg(F.collect_set("hit").alias("hits")), "row", "left").select("doc_id", "text", "hits")
+    of_row = stage(of_row.groupBy("row").agg(F.collect_set("hit").alias("hits")), "removed")
+    touched = _row_filter(of_row)
+    joined = _rows_of(touched, docs).join(of_row, "row", "left").select("doc_id", "text", "hits")
+    clean = _rows_of(touched, docs, False).select("doc_id", "text", F.lit(None).cast("array<struct<a: int, b: int>>").alias("hits"))
     kind = dict(docs.dtypes)["doc_id"]
-    return joined.mapInArrow(bounded_batches(_removed, "text"), f"doc_id {kind}, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>")
+    return joined.union(clean).mapInArrow(bounded_batches(_removed, "text"), f"doc_id {kind}, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>")

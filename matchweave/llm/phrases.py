@@ -22,17 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchweave.llm import wordbytes
+from matchweave.llm import sieve, wordbytes
 from matchweave.llm.common import slices
 from matchweave.session import stage
 
 LONGEST, LEAST, TOP, SHARE, SCALE = 4, 30, 2000, 80, 2_000_000
-#: Slots that pair hashes are dealt over: of a hundred terabytes of text one holds about a gigabyte.
-SLOT_BITS = 16
-#: Pair hashes, and grams, that a task holds before it sends them.
-HELD_PAIRS, HELD_GRAMS = 4_000_000, 1_000_000
-#: Bits of the filter by frequent pair, and the bounds of its size in bits, as powers of two.
-BITS_EACH, SMALLEST, LARGEST = 16, 18, 28
+#: Grams that a task holds before it sends them.
+HELD_GRAMS = 500_000
 #: Copies of each count that candidates meet, so that a part of very many of them is not one task's work.
 SALT = 8
 
@@ -59,101 +55,14 @@ class _Tokens:
             self.pairs[:-1] = wordbytes.mixed(h[:-1] * np.uint64(wordbytes.MULTIPLIER) + h[1:] + own[self.lang[:-1]])
 
 
-PAIRS = "slot int, hashes binary, counts binary"
-
-
-def _pair_counts(least: int):
-    """Counts of the pairs of a task: by slot, sorted hashes and their counts, which stop at ``least``."""
-    def send(held: list[np.ndarray]) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(held), return_counts=True)
-        slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(h)), bool), slot[1:] != slot[:-1])))
-        ends = np.append(cut[1:], len(h))
-        few = np.minimum(n, least).astype("<u4")
-        raw = h.astype("<u8")
-        return pa.RecordBatch.from_arrays([pa.array(slot[cut], pa.int32()), pa.array([raw[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()), pa.array([few[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())], ["slot", "hashes", "counts"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for part in slices(batch, "text"):
-                tokens = _Tokens(part)
-                own = tokens.pairs[tokens.follows]
-                held.append(own)
-                size += len(own)
-                if size >= HELD_PAIRS:
-                    yield send(held)
-                    held, size = [], 0
-        if size:
-            yield send(held)
-
-    return run
-
-
-def _frequent(least: int):
-    """Hashes of pairs of ``least`` or more, from the rows of slots in order."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def merged() -> pa.RecordBatch:
-            h = np.frombuffer(b"".join(x for x, _ in held), "<u8")
-            n = np.frombuffer(b"".join(x for _, x in held), "<u4")
-            order = np.argsort(h, kind="stable")
-            h, n = h[order], n[order].astype(np.int64)
-            cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(h)), bool), h[1:] != h[:-1])))
-            total = np.add.reduceat(n, cut) if len(cut) else n
-            return pa.RecordBatch.from_arrays([pa.array(h[cut][total >= least].view(np.int64))], ["pair"])
-
-        slot, held = None, []
-        for batch in batches:
-            for s, h, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if s != slot and held:
-                    yield merged()
-                    held = []
-                slot = s
-                held.append((h, n))
-        if held:
-            yield merged()
-
-    return run
-
-
-def _positions(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of each hash in a filter of 2^bits."""
-    return h & np.uint64((1 << bits) - 1), wordbytes.mixed(h) & np.uint64((1 << bits) - 1)
-
-
-def _filter_blocks(bits: int):
-    """Blocks of the filter (a page of bytes each) with the bits of a task's pairs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << (bits - 3), np.uint8)
-        for batch in batches:
-            for at in _positions(batch.column(0).to_numpy().view(np.uint64), bits):
-                np.bitwise_or.at(own, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        blocks = own.reshape(-1, 4096)
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["block", "bits"])
-
-    return run
-
-
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = np.frombuffer(raw, np.uint8)
-            seen[block] = seen[block] | own if block in seen else own
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([x.tobytes() for x in seen.values()], pa.binary())], ["block", "bits"])
+def _pairs(batch: pa.RecordBatch) -> np.ndarray:
+    tokens = _Tokens(batch)
+    return tokens.pairs[tokens.follows]
 
 
 def pair_filter(texts: DataFrame, least: int) -> np.ndarray:
-    """Bloom filter, as bytes, of the pairs of neighbours that occur ``least`` times or more in their language: 32 MB at most."""
-    counted = texts.mapInArrow(_pair_counts(least), PAIRS).repartition("slot").sortWithinPartitions("slot")
-    pairs = stage(counted.mapInArrow(_frequent(least), "pair bigint"), "pairs")
-    bits = min(max((pairs.count() * BITS_EACH).bit_length(), SMALLEST), LARGEST)
-    blocks = pairs.mapInArrow(_filter_blocks(bits), "block int, bits binary").repartition("block").mapInArrow(_together, "block int, bits binary")
-    out = np.zeros((1 << (bits - 3 - 12), 4096), np.uint8)
-    for r in blocks.toLocalIterator():
-        out[r.block] = np.frombuffer(r.bits, np.uint8)
-    return out.ravel()
+    """Filter of the pairs of neighbours that occur ``least`` times or more in their language."""
+    return sieve.frequent_filter(texts, "text", _pairs, least)
 
 
 GRAMS = "lang string, gram string, size int, n bigint"
@@ -163,10 +72,8 @@ def _grams(known, longest: int = LONGEST):
     """Counts of the longest gram from each word of a task's texts."""
     def of(batch: pa.RecordBatch) -> pa.Table:
         tokens, table = _Tokens(batch), known.value
-        words, bits = tokens.words, (len(table) * 8).bit_length() - 1
-        link = tokens.follows.copy()
-        for at in _positions(tokens.pairs, bits):
-            link &= (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        words = tokens.words
+        link = tokens.follows & sieve.passes(table, tokens.pairs)
         size, reach = np.ones(len(link), np.int64), link.copy()
         for step in range(1, longest):
             size += reach
@@ -197,7 +104,7 @@ def _grams(known, longest: int = LONGEST):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", sieve.TEXT_BYTES):
                 held.append(of(part))
                 if sum(map(len, held)) > HELD_GRAMS:
                     held = [added(held)]

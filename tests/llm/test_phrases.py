@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from matchweave.llm import phrases
+from matchweave.llm import phrases, sieve
 from tests.llm.helpers import ODD, odd
 
 SCHEMA = "doc_id bigint, text string, lang string"
@@ -72,16 +72,15 @@ def test_a_filter_that_lets_all_through_and_tasks_that_send_early(spark, monkeyp
 
 
 def test_the_filter_has_all_frequent_pairs(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "HELD_PAIRS", 100)
+    monkeypatch.setattr(sieve, "HELD", 100)
     rows = corpus(5, 80)
     texts = spark.createDataFrame(rows, SCHEMA).selectExpr("text", "coalesce(lang, 'und') AS lang")
     table = phrases.pair_filter(texts, 5)
-    bits = (len(table) * 8).bit_length() - 1
     import pyarrow as pa
 
     tokens = phrases._Tokens(pa.record_batch({"text": [r[1] for r in rows], "lang": ["und" if r[2] is None else r[2] for r in rows]}))
     seen = Counter(tokens.pairs[tokens.follows].tolist())
-    through = {h for h in seen if all(table[int(at) >> 3] >> (int(at) & 7) & 1 for at in phrases._positions(np.uint64(h), bits))}
+    through = {h for h, ok in zip(seen, sieve.passes(table, np.array(list(seen), np.uint64))) if ok}
     frequent = {h for h, n in seen.items() if n >= 5}
     assert frequent and frequent <= through and len(through) < len(frequent) + len(seen) / 20
 
