@@ -45,64 +45,97 @@ _noise = regex.compile(
 #: Those whose articles are not the page's own.
 _foreign = regex.compile(r"(?:^|[-_])(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|promo(?:tion)?|newsletter|comments?|replies|disqus|respond|related|recommended)(?:[-_]|$)")
 _tag = regex.compile(r"<!--.*?(?:-->|\z)|<![^>]*+(?:>|\z)|<\?[^>]*+(?:>|\z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))*+)(?:>|\z)", regex.S)
-_named = regex.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", regex.I)
-_space = regex.compile(r"[\s​﻿]+")
-
-
-def _names(attributes: str) -> list[str]:
-    """The words of class, id and role that name something other than the article."""
-    words = [w for m in _named.findall(attributes) for w in next(filter(None, m), "").lower().split()]
+_attribute = regex.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*+)(?:\"|\z)|'([^']*+)(?:'|\z)|([^\s>]*+)))?", regex.S)
+_space = regex.compile(r"\s+")
+_separators = regex.compile(r"[\x1c-\x1f]")
+_ends = {name: regex.compile(rf"</{name}", regex.I) for name in RAW}
+_parts = regex.compile(r"[-_]+")
+
+
+def _one_space(text: str) -> str:
+    """White space as one space, none at the ends. ``str.split`` takes four control characters for spaces as well."""
+    return _space.sub(" ", text).strip(" ") if _separators.search(text) else " ".join(text.split())
+
+
+def _names(attributes: str, inside: bool) -> list[str]:
+    """The words of class, id and role that name something other than the article. ``inside`` an article a header is its own."""
+    words: list[str] = []
+    for name, *values in _attribute.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            words += "".join(values).lower().split()
+    if inside:
+        words = ["-".join(p for p in _parts.split(w) if p not in ("header", "masthead")) for w in words]
     return [w for w in words if _noise.fullmatch(w)]
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
-    """Text blocks of a page in order, with 2 for those in an article, 1 for undecided ones, 0 for those the markup rules out."""
+    """Text blocks of a page in order, with 2 for those in an article, 1 for undecided ones, 0 for those the markup rules out.
+
+    A block ends where a block element begins or ends, and where what the text is changes.
+    """
     out: list[tuple[str, int]] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements and what their text is
+    stack: list[tuple[str, int]] = []  # open elements and what the text around them is
+    open_: dict[str, int] = {}  # how many of each name are open
     kind, at = 1, 0
 
     def close() -> None:
-        text = _space.sub(" ", html.unescape("".join(held))).strip()
-        held.clear()
-        if text and kind >= 0:
-            out.append((text, 0 if kind == WRAPPED else kind))
+        if held:
+            text = "".join(held)
+            held.clear()
+            if kind >= 0 and (text := _one_space(html.unescape(text))):
+                out.append((text, 0 if kind == WRAPPED else kind))
+
+    def pop() -> str:
+        nonlocal kind
+        name, before = stack.pop()
+        open_[name] -= 1
+        if before != kind:
+            close()
+            kind = before
+        return name
 
+    for_tag = _tag.search
     while at < len(page):
-        found = _tag.search(page, at)
+        found = for_tag(page, at)
         if found is None:
             held.append(page[at:])
             break
-        held.append(page[at : found.start()])
+        if found.start() > at:
+            held.append(page[at : found.start()])
         at = found.end()
-        if found[2] is None:
+        ended, name, attributes = found.groups()
+        if name is None:
             continue
-        name, ends = found[2].lower(), bool(found[1])
+        name = name.lower()
         if name in BLOCKS or name in SKIPPED:
             close()
-        if ends:
-            if any(n == name for n, _ in stack):
-                while stack:
-                    n, kind = stack.pop()  # kind was what held outside of it
-                    if n == name:
-                        break
+        if ended:
+            if open_.get(name):
+                while pop() != name:
+                    pass
             continue
-        if name in VOID or found[3].rstrip().endswith("/") and name not in BLOCKS:
+        if name in VOID or attributes.rstrip().endswith("/") and name not in BLOCKS:
             continue
-        if name in ("p", "li", "td", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
-            kind = stack.pop()[1]  # an element of its kind ends with the next one
+        if name in _ended_by_next and stack and stack[-1][0] == name:
+            pop()
         stack.append((name, kind))
+        open_[name] = open_.get(name, 0) + 1
+        now = kind
         if name in SKIPPED or kind < 0:
-            kind = -1
+            now = -1
         elif name in OTHER and not (name == "header" and kind == 2):
-            kind = WRAPPED if name == "form" and kind in (1, WRAPPED) else 0
+            now = WRAPPED if name == "form" and kind in (1, WRAPPED) else 0
         elif name in MAIN and kind in (1, WRAPPED):
-            kind = 2  # whatever it is named
-        elif name not in ("html", "body") and found[3] and (named := _names(found[3])):
-            kind = WRAPPED if kind in (1, WRAPPED) and not any(map(_foreign.search, named)) else 0
+            now = 2  # whatever it is named
+        elif name not in ("html", "body") and attributes and (named := _names(attributes, kind == 2)):
+            now = WRAPPED if kind in (1, WRAPPED) and not any(map(_foreign.search, named)) else 0
+        if now != kind:
+            close()
+            kind = now
         if name in RAW:  # no markup inside
-            end = page.lower().find(f"</{name}", at) if len(page) < 1 << 16 else _find_end(page, name, at)
-            stop = len(page) if end < 0 else end
+            end = _ends[name].search(page, at)
+            stop = end.start() if end else len(page)
             held.append(page[at:stop])
             close()
             at = stop
@@ -110,9 +143,8 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
-def _find_end(page: str, name: str, at: int) -> int:
-    found = regex.compile(rf"</{name}", regex.I).search(page, at)
-    return found.start() if found else -1
+#: Elements that end with the next one of their kind.
+_ended_by_next = frozenset(("p", "li", "td", "tr", "dd", "dt", "option"))
 
 
 BLOCK = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("kind", T.IntegerType())]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import regex
@@ -17,18 +18,19 @@ from matchweave.session import stage
 
 #: Labelled rows of each class that the lexicon and the calibration are learned from, together.
 PER_CLASS = 8000
-#: Tokens the lexicon holds at most, those with the clearest log-odds first.
-LEXICON = 50_000
-#: Standard errors a token's log-odds must have; what every other token costs.
-CLEAR, DRIFT = 4.0, 0.05
+#: Share of false tokens that the lexicon may hold, the standard errors a token's log-odds must have in any case, and what every other token costs.
+FALSE, CLEAR, DRIFT = 0.01, 2.0, 0.05
 #: A word without a score of its own takes that of its longest prefix of so many letters that has one.
 PREFIXES = (8, 7, 6, 5)
+#: Folds of the sample: each one's texts are scored by the lexicon of the others, for the calibration; pull of its weights to zero.
+FOLDS, RIDGE = 5, 0.1
 #: Words whose scores a worker remembers before it starts anew.
 REMEMBERED = 500_000
 #: Expected chance segments in a text below which a segment counts as a passage.
 SIGNIFICANT = 0.01
 
-TOKEN = r"[^\W\d_]+"
+#: A token, for Spark's counts and for the scan.
+TOKEN = r"[\p{L}\p{M}]+"
 _token = regex.compile(TOKEN)
 
 
@@ -36,13 +38,16 @@ def tokens(text: str) -> list[str]:
     return _token.findall(text.lower())
 
 
+
+
 def segments(scores: list[tuple[int, float]], gap: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end exclusive, score), in one pass.
 
     ``scores`` are the places with a score of their own; each other place costs ``gap``. A stack holds
     candidates with the sums before and after them; one that follows a lower start is merged into it.
     """
-    stack: list[tuple[int, int, float, float]] = []
+    stack: list[tuple[int, int, float, float, int]] = []  # start, end, sums before and after, last on the stack with a lower sum before
+    done: list[tuple[int, int, float]] = []
     total, at = 0.0, 0
     for place, score in scores:
         total -= gap * (place - at)
@@ -51,16 +56,22 @@ def segments(scores: list[tuple[int, float]], gap: float) -> list[tuple[int, int
         if score <= 0:
             continue
         start, low, end, high = place, before, place + 1, total
+        j = len(stack) - 1
         while True:
-            j = len(stack) - 1
             while j >= 0 and stack[j][2] >= low:
-                j -= 1
-            if j < 0 or stack[j][3] >= high:
+                j = stack[j][4]  # those between have sums no lower
+            if j < 0:  # nothing later can reach further back than here
+                done += [(a, b, y - x) for a, b, x, y, _ in stack]
+                stack.clear()
+                break
+            if stack[j][3] >= high:
                 break
             start, low = stack[j][0], stack[j][2]
+            lower = stack[j][4]
             del stack[j:]
-        stack.append((start, end, low, high))
-    return [(start, end, high - low) for start, end, low, high in stack]
+            j = lower
+        stack.append((start, end, low, high, j))
+    return done + [(a, b, y - x) for a, b, x, y, _ in stack]
 
 
 @dataclass
@@ -92,30 +103,30 @@ class Lexicon:
         """Chance segments of at least this score in a clean text of ``n`` tokens."""
         return self.scale * max(n, 1) * math.exp(-self.rate * min(score, 700 / self.rate))
 
-    def evidence(self, words: list[str]) -> tuple[float, float, int]:
-        """Surprise of the best segment, of all significant ones together, and their number."""
-        found = [self.expected(s, len(words)) for _, _, s in self.passages(words)]
+    def weigh(self, scores: list[float], n: int) -> tuple[float, float, int]:
+        """Surprise of the best of a text's segments, of all significant ones together, and their number."""
+        found = [self.expected(s, n) for s in scores]
         surprise = [max(0.0, -math.log(max(e, 1e-300))) for e in found]
         clear = [x for x, e in zip(surprise, found) if e <= SIGNIFICANT]
         return max(surprise, default=0.0), sum(clear), len(clear)
 
-    def score(self, words: list[str]) -> float:
-        best, total, _ = self.evidence(words)
+    def score(self, words: list[str], passages: list[tuple[int, int, float]] | None = None) -> float:
+        best, total, _ = self.weigh([s for _, _, s in (self.passages(words) if passages is None else passages)], len(words))
         return probability(self.weights[0] * math.log1p(best) + self.weights[1] * math.log1p(total) + self.weights[2])
 
 
 def _context_counts(sample: DataFrame) -> DataFrame:
-    """(w, toxic0, clean0, toxic1, clean1): contexts of each token in either half. Prefixes of words count as tokens, marked ^.
+    """(w, clean0, toxic0, clean1, ...): contexts of each token in each fold. Prefixes of words count as tokens, marked ^.
 
     A token counts once for each pair of neighbours, so copies of a text count as one text.
     """
-    words = sample.select("y", "half", F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0)).alias("w"))
-    seen = words.select("y", "half", F.explode(F.transform("w", lambda x, i: F.struct(x.alias("w"), F.get("w", i - 1).alias("l"), F.get("w", i + 1).alias("r")))).alias("t"))
-    seen = seen.select("half", "y", "t.*").distinct()
+    words = sample.select("y", "fold", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("w"))
+    seen = words.select("y", "fold", F.explode(F.transform("w", lambda x, i: F.struct(x.alias("w"), F.get("w", i - 1).alias("l"), F.get("w", i + 1).alias("r")))).alias("t"))
+    seen = seen.select("fold", "y", "t.*").distinct()
     keys = F.array(F.col("w"), *[F.when(F.length("w") > k, F.concat(F.substring("w", 1, k), F.lit("^"))) for k in PREFIXES])
-    each = seen.select("half", "y", F.explode(keys).alias("w")).where(F.col("w").isNotNull())
-    count = lambda half, y: F.sum(((F.col("half") == half) & (F.col("y") == y)).cast("double")).alias(f"{('clean', 'toxic')[y]}{half}")
-    return each.groupBy("w").agg(*[count(h, y) for h in (0, 1) for y in (0, 1)])
+    each = seen.select("fold", "y", F.explode(keys).alias("w")).where(F.col("w").isNotNull())
+    count = lambda fold, y: F.sum(((F.col("fold") == fold) & (F.col("y") == y)).cast("double")).alias(f"{('clean', 'toxic')[y]}{fold}")
+    return each.groupBy("w").agg(*[count(f, y) for f in range(FOLDS) for y in (0, 1)])
 
 
 def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float, weight: dict[int, float]) -> Lexicon:
@@ -128,7 +139,8 @@ def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float, we
     odds = logit(toxic, n_toxic) - logit(clean, n_clean)
     error = F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
     some = counts.where(toxic + clean > 0).select("w", odds.alias("s"), (odds / error).alias("z"), (clean / n_clean).alias("p"))
-    top = some.where(F.abs("z") >= CLEAR).orderBy(F.abs("z").desc(), "w").limit(LEXICON).collect()
+    some = stage(some, "odds")
+    top = some.where(F.abs("z") >= clear_from(some)).collect()  # of the words of the sample, whose rows are bounded
     lexicon = Lexicon({r.w: float(r.s) for r in top}, DRIFT)
     # the rate of chance scores: the mean of exp(rate * score) over the tokens of clean text is one
     own = [r for r in top if not r.w.endswith("^")]
@@ -139,49 +151,66 @@ def _lexicon(counts: DataFrame, toxic, clean, n_toxic: float, n_clean: float, we
         for _ in range(80):
             mid = (low + high) / 2
             low, high = (mid, high) if (p * np.exp(np.clip(mid * s, None, 500))).sum() < 1 else (low, mid)
-        lexicon.rate = min(max(low, 0.2), 2.0)
+        lexicon.rate = low
     return lexicon
 
 
+def clear_from(odds: DataFrame, false: float = FALSE) -> float:
+    """The standard errors from which tokens are clear: of those beyond, by chance, a share of ``false`` would be there anyway.
+
+    With few labels the bound falls, so that a small sample has a lexicon too, but not below ``CLEAR``. Spark counts tokens by hundredths.
+    """
+    steps = odds.groupBy(F.floor(F.least(F.abs("z"), F.lit(40.0)) * 100).alias("step")).count().orderBy(F.desc("step")).collect()
+    n, beyond, found = sum(r["count"] for r in steps), 0, math.inf
+    for r in steps:
+        beyond += r["count"]
+        z = r.step / 100
+        if z < CLEAR:
+            break
+        if n * math.erfc(z / math.sqrt(2)) <= false * beyond:
+            found = z
+    return found
+
+
 def learn(sample: DataFrame) -> Lexicon:
-    """Lexicon from the sample (doc_id, text, y, weight); its calibration from texts that a lexicon of the other half scored.
+    """Lexicon from the sample (doc_id, text, y, weight); its calibration from texts that lexicons of the other folds scored.
 
-    Contexts are counted by Spark; of the counts only the clearest ``LEXICON`` tokens come to the driver.
+    Contexts are counted by Spark; of the counts only the clear tokens come to the driver, and of each sampled text the scores of its segments.
     """
-    sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int"))
+    sample = sample.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int"))
     counts = stage(_context_counts(sample), "counts")
-    n = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("clean0", "toxic0", "clean1", "toxic1")]).first()
+    names = [f"{kind}{f}" for f in range(FOLDS) for kind in ("clean", "toxic")]
+    n = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in names]).first()
     weight = {0: 1.0, 1: 1.0, **{r.y: r.weight for r in sample.groupBy("y").agg(F.max("weight").alias("weight")).collect()}}
-    half = _lexicon(counts, F.col("toxic0"), F.col("clean0"), n.toxic0, n.clean0, weight)
-    whole = _lexicon(counts, F.col("toxic0") + F.col("toxic1"), F.col("clean0") + F.col("clean1"), n.toxic0 + n.toxic1, n.clean0 + n.clean1, weight)
-    other = sample.where("half = 1")
-    rest = _raw(other, half).select("y", "n_words", "best").toPandas()
-    clean = rest[(rest.y == 0) & (rest.n_words > 0)]
-    if len(clean):  # the scale that makes the observed maxima of clean texts the expected ones
-        chance = np.exp(-half.rate * clean.best.to_numpy()) * clean.n_words.to_numpy()
-        half.scale = float(1 / max(np.median(chance), 1e-9))
-    raw = _evidence(other, half).select("y", "weight", "best", "total").toPandas()
-    whole.rate, whole.scale = half.rate, half.scale
-    whole.weights = tuple(float(x) for x in logistic(np.log1p(raw[["best", "total"]].to_numpy()), raw.y.to_numpy(), weight=raw.weight.to_numpy()))
+
+    def of(folds: list[int]) -> Lexicon:
+        own = lambda kind: sum((F.col(f"{kind}{f}") for f in folds), F.lit(0.0))
+        return _lexicon(counts, own("toxic"), own("clean"), sum(n[f"toxic{f}"] for f in folds), sum(n[f"clean{f}"] for f in folds), weight)
+
+    whole = of(list(range(FOLDS)))
+    others = [of([f for f in range(FOLDS) if f != fold]) for fold in range(FOLDS)]
+    found = reduce(DataFrame.unionByName, [_raw(sample.where(F.col("fold") == fold), lexicon) for fold, lexicon in enumerate(others)]).toPandas()
+    best = [max(x, default=0.0) for x in found.scores]
+    for fold, lexicon in enumerate(others):
+        clean = [(s, m) for s, m, f, y in zip(best, found.n_words, found.fold, found.y) if f == fold and y == 0 and m > 0]
+        if clean:  # the scale that makes the observed maxima of clean texts the expected ones
+            lexicon.scale = float(1 / max(np.median([math.exp(-lexicon.rate * min(s, 700 / lexicon.rate)) * m for s, m in clean]), 1e-9))
+    whole.rate, whole.scale = (float(np.median([getattr(x, name) for x in others])) for name in ("rate", "scale"))
+    raw = np.array([others[f].weigh(s, m)[:2] for s, m, f in zip(found.scores, found.n_words, found.fold)]).reshape(-1, 2)
+    whole.weights = tuple(float(x) for x in logistic(np.log1p(raw), found.y.to_numpy(), RIDGE, weight=found.weight.to_numpy()))
     return whole
 
 
 def _raw(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(doc_id, y, weight, fold, n_words, scores): the segments' scores of each text."""
     def make():
         def compute(texts):
             split = [tokens(t or "") for t in texts]
-            return [[len(w) for w in split], [max((s for _, _, s in lexicon.passages(w)), default=0.0) for w in split]]
+            return [[len(w) for w in split], [[s for _, _, s in lexicon.passages(w)] for w in split]]
 
         return compute
 
-    return arrow_columns(docs.select("doc_id", "y", "text"), "text", [long("n_words"), T.StructField("best", T.DoubleType())], make)
-
-
-def _evidence(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    def make():
-        return lambda texts: [list(x) for x in zip(*[lexicon.evidence(tokens(t or "")) for t in texts])] if texts else [[], [], []]
-
-    return arrow_columns(docs.select("doc_id", "y", "weight", "text"), "text", [T.StructField("best", T.DoubleType()), T.StructField("total", T.DoubleType()), long("n")], make)
+    return arrow_columns(docs.select("doc_id", "y", "weight", "fold", "text"), "text", [long("n_words"), T.StructField("scores", T.ArrayType(T.DoubleType()))], make)
 
 
 PASSAGE = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("expected", T.DoubleType())])
@@ -198,8 +227,9 @@ def score_documents(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             for text in texts:
                 words = tokens(text or "")
                 n = len(words)
-                own = [(a, b, s, e) for a, b, s in lexicon.passages(words) if (e := lexicon.expected(s, n)) <= SIGNIFICANT]
-                scores.append(lexicon.score(words))
+                all_ = lexicon.passages(words)
+                own = [(a, b, s, e) for a, b, s in all_ if (e := lexicon.expected(s, n)) <= SIGNIFICANT]
+                scores.append(lexicon.score(words, all_))
                 numbers.append(len(own))
                 found.append([dict(zip(("start", "end", "score", "expected"), p)) for p in own])
             return [scores, numbers, found]

@@ -33,6 +33,47 @@ def test_broken_markup(spark):
     assert found[4] == "T\nt" and found[5] == "m\nn\no"
 
 
+def test_letters_whose_lower_case_is_longer_do_not_move_the_end_of_a_script(spark):
+    page = "<article><p>\u0130\u0130\u0130stanbul</p><script>if (a </ b) {}</SCRIPT><p>After the script</p></article>"
+    long = page.replace("After", "x " * 40_000 + "After")
+    found = text_of(spark, page, long)
+    assert found[0] == "\u0130\u0130\u0130stanbul\nAfter the script" and found[1].endswith("x After the script")
+
+
+def test_only_class_id_and_role_name_an_element(spark):
+    page = "<article><a href=\"/x?id=related\"><h2>Title</h2></a><p data-id='search'>One</p><p title=\"class=ad\">Two</p><p data-class=ad id = 'body'>Three</p><p CLASS=ad>no</p><p role='search'>no</p></article>"
+    assert text_of(spark, page)[0] == "Title\nOne\nTwo\nThree"
+
+
+def test_a_block_ends_where_its_kind_changes(spark):
+    pages = [
+        "<article>Loose words <span class=\"ad\"><p>buy</p></span></article>",
+        "<article><p>Before <a class='share'>Share this</a> and after</p></article>",
+        "<article><p>kept <span class='ad'>buy <b>now</b></span></p><p>more</p></article>",
+    ]
+    assert list(text_of(spark, *pages).values()) == ["Loose words", "Before\nand after", "kept\nmore"]
+
+
+def test_headlines_in_an_articles_header(spark):
+    page = "<div class='header'>Site</div><article><div class=\"header\"><h1>Headline</h1></div><div class='post-header masthead'>By A</div><div class='header-ad'>buy</div><p>Text</p></article>"
+    assert text_of(spark, page)[0] == "Headline\nBy A\nText"
+
+
+def test_a_zero_width_space_stays(spark):
+    assert text_of(spark, "<article><p>a\u200bb \ufeffc&#8203;d</p></article>")[0] == "a\u200bb \ufeffc\u200bd"
+
+
+def test_unmatched_end_tags_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 40_000):
+        start = time.perf_counter()
+        html_main.blocks("<b>" * n + "</i>" * n + "x")
+        took.append(time.perf_counter() - start)
+    assert took[1] < 4 * took[0] + 0.2
+
+
 def test_a_long_broken_page_takes_linear_time():
     assert html_main.blocks("<" * 200_000) and html_main.blocks("<a " * 60_000) is not None and html_main.blocks("<p>" * 50_000 + "x") == [("x", 1)]
 

@@ -65,6 +65,36 @@ def test_segments_are_all_maximal_ones(seed):
     assert [(a, b, pytest.approx(s)) for a, b, s in brute_segments(values)] == found
 
 
+def test_many_segments_take_linear_time():
+    import time
+
+    dice = random.Random(3)
+    scores = [(i, dice.choice([1.5, 2.0, -1.9, -1.6])) for i in range(500_000)]
+    start = time.perf_counter()
+    found = toxicity.segments(scores, 0.05)
+    assert found and time.perf_counter() - start < 20
+    falling = toxicity.segments([(2 * i, 1.0) for i in range(200_000)], 5.0)  # each one's start is lower than all before
+    assert len(falling) == 200_000
+
+
+def test_one_definition_of_a_token(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["Ünï_code é x1y 漢字 a\u0301b \u0939\u093f\u0902 don't", "a\u200db ⅷ ² ١٢ x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    counted = [r[0] for r in df.select(F.regexp_extract_all(F.lower("t"), F.lit(toxicity.TOKEN), F.lit(0))).collect()]
+    assert counted == [toxicity.tokens(t) for t in texts]
+
+
+def test_the_bound_of_clear_tokens_follows_their_number(spark):
+    make = lambda zs: spark.createDataFrame([(float(z),) for z in zs], "z double")
+    dice = random.Random(5)
+    noise = [dice.gauss(0, 1) for _ in range(3000)]
+    assert toxicity.clear_from(make(noise)) > 3.5
+    assert 2 <= toxicity.clear_from(make(noise[:50] + [4.0] * 20)) < 4.0
+    assert toxicity.clear_from(make([])) == float("inf")
+
+
 def sample_tables(spark, seed=1, n=600):
     """Clean and toxic, good and junk texts of invented words."""
     dice = random.Random(seed)
