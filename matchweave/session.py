@@ -55,11 +55,12 @@ def scratch_mark() -> int:
     return len(_written)
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Remove the intermediate data written after ``since``; nothing may read it any more."""
-    for folder in _written[since:]:
+def clear_scratch(spark: SparkSession, since: int = 0, but: int = 0) -> None:
+    """Remove the intermediate data written after ``since``, all but the last ``but``; nothing may read it any more."""
+    stop = len(_written) - but
+    for folder in _written[since:stop]:
         remove(spark, folder)
-    del _written[since:]
+    del _written[since:stop]
 
 
 def _file_system(spark: SparkSession, path: str):
