@@ -40,6 +40,7 @@ def arrow_columns(df: DataFrame, text: str, fields: list[T.StructField], make: C
     to one list for each field. The other columns pass as they are, so ids keep their type.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    small_batches(df.sparkSession)
     kept = [f for f in df.schema.fields if keep_text or f.name != text]
     at, order = df.columns.index(text), [df.columns.index(f.name) for f in kept]
     names = [f.name for f in kept] + [f.name for f in fields]
@@ -58,6 +59,11 @@ def arrow_columns(df: DataFrame, text: str, fields: list[T.StructField], make: C
 BATCH_BYTES = 8 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: Spark's own bound is 64 MB, several times over in each worker. Results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``limit`` bytes of text, or of one row."""
     column = batch.column(text)

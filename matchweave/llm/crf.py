@@ -19,23 +19,16 @@ from pyspark.sql import types as T
 from matchweave.llm.common import arrow_columns
 from matchweave.llm.fitting import id_remainder, labelled_sample, logistic, probability
 
-#: Labelled rows of each class for the fit, and lines of each that the chain is fitted on (the scores use all lines).
-PER_CLASS, FIT_LINES = 4000, 60
+#: Labelled rows of each class for the fit; all their lines are used.
+PER_CLASS = 4000
 STEPS, RATE, RIDGE = 150, 0.1, 1e-3
-#: A line longer than this many words is measured in pieces, each a line.
-LONGEST = 2000
 SYMBOLS = "#*$%&|<>"
 OWN = 10
 
 
 def lines(text: str) -> list[list[str]]:
-    """Words of each line with any, long lines in pieces; one line without words for a text without."""
-    out = []
-    for line in text.split("\n"):
-        words = line.split()
-        for at in range(0, len(words), LONGEST):
-            out.append(words[at : at + LONGEST])
-    return out or [[]]
+    """Words of each line with any; one line without words for a text without."""
+    return [words for line in text.split("\n") if (words := line.split())] or [[]]
 
 
 def measures(rows: list[list[str]]) -> np.ndarray:
@@ -105,6 +98,8 @@ class Chain:
     weights: np.ndarray
     stay: tuple[float, float, float, float]
     final: np.ndarray | None = None
+    #: Whether it has learned from labels of both kinds; without them it rejects nothing.
+    learned: bool = False
 
     def document(self, text: str) -> list[float]:
         """Document features: length-weighted bad marginal as a logit, the worst line's, the share of bad length, and size."""
@@ -121,7 +116,7 @@ class Chain:
 
 
 def fit_chain(documents: list[np.ndarray], bad: np.ndarray, steps: int = STEPS) -> Chain:
-    """Weights that make the labels of all lines likely, by gradient steps over padded sequences.
+    """Weights that make the labels of all lines likely, by gradient steps over all sequences at once.
 
     A document's label stands for each of its lines.
     """
@@ -135,41 +130,45 @@ def fit_chain(documents: list[np.ndarray], bad: np.ndarray, steps: int = STEPS)
     order = np.argsort(-sizes)
     sizes, bad = sizes[order], bad[order].astype(float)
     longest = int(sizes[0])
-    x = np.zeros((longest, len(documents), width))
-    for k, i in enumerate(order):
-        x[: sizes[k], k] = (documents[i] - mean) / scale
+    # lines by their place in the text, at each place those of the documents that reach it, the longest documents first
     there = np.arange(longest)[:, None] < sizes
     alive = there.sum(axis=1)
+    first = np.concatenate(([0], np.cumsum(alive)))
+    own = np.concatenate([np.arange(n) for n in alive])  # the document of each line
+    x = np.empty((int(first[-1]), width))
+    for k, i in enumerate(order):
+        x[first[: sizes[k]] + k] = (documents[i] - mean) / scale
     y = np.where(bad > 0.5, 1, 0)
     # equal weight for the classes, and for documents whatever their number of lines
     weight = np.where(bad > 0.5, 0.5 / max(bad.sum(), 1), 0.5 / max((1 - bad).sum(), 1)) / sizes
+    later = np.arange(first[1], first[-1])  # lines with one before them, and those
+    earlier = first[:-1][np.repeat(np.arange(1, longest), alive[1:]) - 1] + own[later] if longest > 1 else later
     w, a = np.zeros(width), np.zeros((2, 2))
     m, v, t = np.zeros(width + 4), np.zeros(width + 4), 0
     for _ in range(steps):
         lead = x @ w
-        e = np.stack([np.zeros_like(lead), lead], axis=2)
-        f, b = np.zeros_like(e), np.zeros_like(e)
-        f[0] = e[0]
+        # messages are the lead of bad over good, as in ``marginals``
+        f, b = lead.copy(), np.zeros(len(lead))
         for k in range(1, longest):
-            n = alive[k]
-            f[k, :n] = e[k, :n] + np.logaddexp(f[k - 1, :n, :1] + a[0], f[k - 1, :n, 1:] + a[1])
+            now, before = slice(first[k], first[k + 1]), f[first[k - 1] : first[k - 1] + alive[k]]
+            f[now] += np.logaddexp(a[0, 1], before + a[1, 1]) - np.logaddexp(a[0, 0], before + a[1, 0])
         for k in range(longest - 2, -1, -1):
-            n = alive[k + 1]
-            z = e[k + 1, :n] + b[k + 1, :n]
-            b[k, :n] = np.logaddexp(a[:, 0] + z[:, :1], a[:, 1] + z[:, 1:])
-        both = f + b
-        total = np.logaddexp(both[..., 0], both[..., 1])
-        p = np.where(there, np.exp(both[..., 1] - total), 0)
-        error = np.where(there, y - p, 0) * weight
-        gw = np.tensordot(error, x, axes=([0, 1], [0, 1])) - RIDGE * w
+            ahead = slice(first[k + 1], first[k + 2])
+            z = lead[ahead] + b[ahead]
+            b[first[k] : first[k] + alive[k + 1]] = np.logaddexp(a[1, 0], z + a[1, 1]) - np.logaddexp(a[0, 0], z + a[0, 1])
+        p = 1 / (1 + np.exp(-np.clip(f + b, -500, 500)))
+        error = (y[own] - p) * weight[own]
+        gw = error @ x - RIDGE * w
         ga = np.zeros((2, 2))
         if longest > 1:
-            pair = f[:-1, :, :, None] + a + (e[1:] + b[1:])[:, :, None, :] - total[:-1, :, None, None]
-            expected = np.where(there[1:, :, None, None], np.exp(np.minimum(pair, 0)), 0) * weight[None, :, None, None]
-            ga = -expected.sum(axis=(0, 1))
-            own = (np.maximum(sizes - 1, 0) * weight)
-            ga[0, 0] += own[y == 0].sum()
-            ga[1, 1] += own[y == 1].sum()
+            # the chance of each pair of labels: that of the four, made to sum to one
+            z = lead[later] + b[later]
+            pair = np.stack([np.full(len(later), a[0, 0]), a[0, 1] + z, a[1, 0] + f[earlier], a[1, 1] + f[earlier] + z])
+            pair = np.exp(pair - np.logaddexp.reduce(pair, axis=0)) @ weight[own[later]]
+            ga = -pair.reshape(2, 2)
+            each = np.maximum(sizes - 1, 0) * weight
+            ga[0, 0] += each[y == 0].sum()
+            ga[1, 1] += each[y == 1].sum()
             ga -= RIDGE * a
         g, t = np.concatenate([gw, ga.ravel()]), t + 1
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -181,13 +180,13 @@ def fit_chain(documents: list[np.ndarray], bad: np.ndarray, steps: int = STEPS)
 def learn(sample: DataFrame) -> Chain:
     """Chain from one half of the sample (doc_id, text, y, weight), the final fit from the other half.
 
-    Lines are measured on the executors; the driver gets at most ``FIT_LINES`` lines of each sampled text, and four numbers of it.
+    Lines are measured on the executors; the driver gets the measures of all lines of one half of the sampled texts, and four numbers of each of the other.
     """
     sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)))
     flat = T.ArrayType(T.DoubleType())
 
     def make():
-        return lambda texts: [[features(lines(t or ""))[:FIT_LINES].ravel().tolist() for t in texts]]
+        return lambda texts: [[features(lines(t or "")).ravel().tolist() for t in texts]]
 
     first = arrow_columns(sample.where("half = 0").select("y", "text"), "text", [T.StructField("x", flat)], make).toPandas()
     chain = fit_chain([np.array(x).reshape(-1, 2 * OWN + 1) for x in first.x], 1 - first.y.to_numpy(float))
@@ -197,6 +196,7 @@ def learn(sample: DataFrame) -> Chain:
 
     rest = arrow_columns(sample.where("half = 1").select("y", "weight", "text"), "text", [T.StructField("x", flat)], make_documents).toPandas()
     chain.final = logistic(np.array(rest.x.tolist()).reshape(-1, 4), rest.y.to_numpy(float), weight=rest.weight.to_numpy(float))
+    chain.learned = set(rest.y) == {0, 1}
     return chain
 
 

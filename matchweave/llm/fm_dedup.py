@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchweave.llm import sieve, wordbytes
-from matchweave.llm.common import bounded_batches
+from matchweave.llm.common import bounded_batches, small_batches
 from matchweave.llm.fm_index import DEPTH, FMIndex, repeated_windows
 from matchweave.session import stage
 
 WINDOW, GRAM = 35, 8
 #: Contexts of a shard's index, at the ends of groups.
-SHARD = 30_000
+SHARD = 15_000
 #: An anchor with more different contexts than this is dealt by window.
 CROWD = 2_000
 #: Slices that a crowd's contexts are dealt over when they are told that they are one.
@@ -211,6 +211,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     spark = docs.sparkSession
+    small_batches(spark)
     # 1. contexts of anchors that occur twice, equal ones counted
     known = spark.sparkContext.broadcast(sieve.frequent_filter(docs.select("text"), "text", _anchors, 2))
     places = stage(docs.select("row", "text").mapInArrow(bounded_batches(_contexts(known), "text", sieve.TEXT_BYTES), CONTEXTS), "contexts")

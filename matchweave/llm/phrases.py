@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchweave.llm import sieve, wordbytes
-from matchweave.llm.common import slices
+from matchweave.llm.common import slices, small_batches
 from matchweave.session import stage
 
 LONGEST, LEAST, TOP, SHARE, SCALE = 4, 30, 2000, 80, 2_000_000
@@ -119,6 +119,7 @@ def _grams(known, longest: int = LONGEST):
 
 def counted_grams(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, gram, size, n): counts of the longest gram from each word; lang ``und`` for null, words in lower case, joined by spaces."""
+    small_batches(docs.sparkSession)
     lang = F.coalesce("lang", F.lit("und")) if "lang" in docs.columns else F.lit("und")
     texts = docs.select(lang.cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     known = docs.sparkSession.sparkContext.broadcast(pair_filter(texts, least))

@@ -62,9 +62,9 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of each row, the fingerprint as a signed long; zero for no words."""
+    """(doc_id, text_hash, fp) of each row, the fingerprint as a signed long; zero for no words."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    hashed = docs.select("doc_id", shingle_hashes(F.col("text")).alias("h"))
+    hashed = docs.select("doc_id", shingle_hashes(F.col("text")).alias("h"), F.xxhash64("text").alias("text_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,9 +72,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             offsets = lists.offsets.to_numpy()
             values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]]
             prints = majority(values, offsets[1:].astype(np.int64) - offsets[0]) if len(batch) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    return hashed.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp bigint")
+    return hashed.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash bigint, fp bigint")
 
 
 def _signed(x: int) -> int:
@@ -157,6 +157,18 @@ def links(prints: DataFrame) -> DataFrame:
     return found
 
 
+def members(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id) of each document row; ``root`` is the component's least fingerprint."""
+    prints = stage(fingerprints(docs.select("doc_id", "text")), "prints")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(nodes)).select(F.col("node").alias("fp"), "root")
+    nodes = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    nodes = stage(nodes, "nodes")
+    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = nodes.join(ids, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) of each document row.
 
@@ -165,11 +177,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     any other; rows repeat as given; a null doc_id counts only if its component has no other (then null);
     an empty table gives none.
     """
-    prints = stage(fingerprints(docs.select("doc_id", "text")), "prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(nodes)).select(F.col("node").alias("fp"), "root")
-    nodes = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    nodes = stage(nodes, "nodes")
-    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = nodes.join(ids, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return members(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import sys
 
 import numpy as np
 import regex
@@ -50,7 +51,8 @@ class Merger:
         self.whole = {bytes(letters[c] for c in token) for token in self.vocab if all(c in letters for c in token)} if model.get("ignore_merges") else set()
         specials = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True))) if specials else None
-        self.prefix, self.pattern = _splitting(spec["pre_tokenizer"])
+        self.prefix = _splitting(spec["pre_tokenizer"])
+        self.plain, self.older, self.newer = splitting_patterns()
         self.table: dict[tuple[int, int], tuple[int, int]] | None = None
 
     def pretokens(self, text: str) -> tuple[list[str], int]:
@@ -59,9 +61,10 @@ class Merger:
         if self.special is not None and (found := self.special.findall(text)):
             parts, specials = self.special.split(text), len(found)
         pieces: list[str] = []
+        pattern = self.plain if text.isascii() or not self.newer.search(text) else self.older
         for part in parts:
             if part:
-                pieces += self.pattern.findall(" " + part if self.prefix and not part[0].isspace() else part)
+                pieces += pattern.findall(" " + part if self.prefix and not part[0].isspace() else part)
         return pieces, specials
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,13 +166,49 @@ class Merger:
         return left
 
 
-def _splitting(spec: dict) -> tuple[bool, regex.Pattern]:
-    """Whether a space is put first, and the pattern of the pieces."""
-    import public_tokenizers
+_patterns: tuple | None = None
 
+
+def newer_letters() -> list[int]:
+    """Letters and numbers of ``regex`` that the library's own tables do not have, since it knows an older version of Unicode.
+
+    Its splitter is asked once: between a letter and a number a code point goes with the one that it is like.
+    """
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    known = regex.compile(r"[\p{L}\p{N}]")
+    asked = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and known.match(chr(c))]
+    found = ByteLevel(add_prefix_space=False).pre_tokenize_str("".join(f"a{chr(c)}1\n" for c in asked))
+    ends = {end for _, (_, end) in found}
+    return [c for n, c in enumerate(asked) if 4 * n + 1 in ends and 4 * n + 2 in ends]
+
+
+def splitting_patterns() -> tuple[regex.Pattern, regex.Pattern, regex.Pattern]:
+    """The published pattern, the same with the library's letters and numbers, and what finds a text that needs the second."""
+    global _patterns
+    if _patterns is None:
+        import public_tokenizers
+
+        pattern, newer = public_tokenizers.PATTERN, newer_letters()
+        runs: list[list[int]] = []
+        for c in newer:
+            if runs and c == runs[-1][1] + 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+        out = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+        older = pattern
+        for kind in (r"\p{L}", r"\p{N}"):
+            older = older.replace(kind, f"[{kind}--[{out}]]") if newer else older
+        _patterns = regex.compile(pattern), regex.compile(older, regex.V1), regex.compile(f"[{out}]" if newer else r"(?!)")
+    return _patterns
+
+
+def _splitting(spec: dict) -> bool:
+    """Whether a space is put first; the pieces are those of the published pattern."""
     if spec["type"] != "ByteLevel" or not spec.get("use_regex", True):
         raise ValueError("only byte-level splitting is known")
-    return bool(spec.get("add_prefix_space")), regex.compile(public_tokenizers.PATTERN)
+    return bool(spec.get("add_prefix_space"))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFrame:

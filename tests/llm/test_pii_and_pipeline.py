@@ -134,6 +134,23 @@ def test_the_whole_pipeline(spark, folder):
     assert found >= {k for k in range(240) if k % 8 != 3} - {1, 4, 5}
 
 
+def test_unlike_texts_under_one_id_both_stay(spark, folder):
+    dice = random.Random(9)
+    words = [f"w{k}" for k in range(900)]
+    one, two, three = (prose(dice, 60, words) for _ in range(3))
+    rows = [(1, one), (1, two), (2, one), (3, two), (4, three), (1, one), (None, three), (None, prose(dice, 60, words)), (None, prose(dice, 60, words))]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = sorted(((r.doc_id or 0), r.text) for r in corpus_pipeline.one_of_each(spark, docs, folder).collect())
+    assert kept == sorted([(1, one), (1, two), (4, three), (0, rows[7][1]), (0, rows[8][1])])
+
+
+def test_without_labels_no_document_goes(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"text number {k}") for k in range(9)], SCHEMA)
+    for labels in ([], [(1, 1, 0), (2, 1, 0)], [(3, 0, 0)]):
+        spark.createDataFrame(labels, "doc_id bigint, quality bigint, toxic bigint").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        assert corpus_pipeline.good_quality(spark, docs, str(tmp_path)).count() == 9
+
+
 def test_stages_on_odd_rows(spark, folder):
     docs = odd(spark).selectExpr("doc_id", "text", "'en' lang", "cast(null as string) source", "cast(null as bigint) n_chars", "1 as ids")
     for _, step in corpus_pipeline.STAGES[:-1]:

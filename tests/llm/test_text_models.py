@@ -39,7 +39,7 @@ def test_neighbours_move_a_line():
 
 def test_long_lines_and_empty_texts():
     assert crf.lines("") == crf.lines(" \n ") == [[]]
-    assert sum(map(len, crf.lines("w " * 4500))) == 4500 and len(crf.lines("w " * 4500)) == 3
+    assert sum(map(len, crf.lines("w " * 4500))) == 4500 and len(crf.lines("w " * 4500)) == len(crf.lines("w " * 2001)) == 1
 
 
 def brute_segments(values):
@@ -91,7 +91,7 @@ def test_the_bound_of_clear_tokens_follows_their_number(spark):
     dice = random.Random(5)
     noise = [dice.gauss(0, 1) for _ in range(3000)]
     assert toxicity.clear_from(make(noise)) > 3.5
-    assert 2 <= toxicity.clear_from(make(noise[:50] + [4.0] * 20)) < 4.0
+    assert 2 <= toxicity.clear_from(make(noise[:50] + [3.2] * 20)) <= 3.2
     assert toxicity.clear_from(make([])) == float("inf")
 
 

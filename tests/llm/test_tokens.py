@@ -32,6 +32,16 @@ def test_counts_are_the_libraries(spark):
         assert (found[k].n_tokens, found[k].n_bytes, found[k].over_limit) == (n, len((text or "").encode()), n > 1024)
 
 
+def test_every_code_point_is_split_as_by_the_library():
+    library, merger = Tokenizer.from_file(public_tokenizers.path(BPE)), token_counts.Merger(public_tokenizers.path(BPE))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 100_000):
+        text = "".join(f"a{chr(c)}1 {chr(c)}'s " for c in points[at : at + 100_000])
+        ends = [end for _, (_, end) in library.pre_tokenizer.pre_tokenize_str(text)]
+        own = list(itertools.accumulate(map(len, merger.pretokens(text)[0])))
+        assert own == ends
+
+
 def test_both_ways_of_merging_agree(monkeypatch):
     merger = token_counts.Merger(public_tokenizers.path(BPE))
     tokens = [p.encode() for t in strange(2) for p in merger.pretokens(t)[0]]
