@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from matchweave.llm import crf, decontaminate, pieces, pii, simhash
 from matchweave.llm.common import arrow_columns, table
-from matchweave.session import stage
+from matchweave.session import clear_scratch, scratch_mark, stage
 
 MODEL = "piece_bpe_32k.model"
 #: Documents whose chance of good quality is lower go.
@@ -16,8 +16,13 @@ QUALITY = 0.7
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line chain does not reject. Rows keep all columns; null and empty texts are scored like any other."""
+    """Documents that the line chain does not reject: all, if there are no labels of both kinds to learn from.
+
+    Rows keep all columns; null and empty texts are scored like any other.
+    """
     chain = crf.quality_chain(docs, table(spark, sf_dir, "labels"))
+    if not chain.learned:
+        return docs
 
     def make():
         return lambda texts: [[chain.score(t or "") for t in texts]]
@@ -27,12 +32,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates. Of rows with one id one stays; of those without an id, one of each text."""
-    groups = simhash.near_duplicates(docs)
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    left = docs.join(stays, docs["doc_id"].eqNullSafe(stays["_stays"]), "left_semi")
-    other = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return left.withColumn("_other", other).dropDuplicates(["doc_id", "_other"]).select(*docs.columns)
+    """Of each group of near-duplicates the document with the smallest id, a null one last; of rows with that id and text one.
+
+    A document is an id with a text, so unlike texts under one id are different documents, and each stays if its own group has it as the first.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    stays = simhash.members(docs).groupBy("root").agg(first).select(F.col("first.doc_id").alias("_stays"), F.col("first.text_hash").alias("_stays_hash")).distinct()
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    left = hashed.join(stays, hashed["doc_id"].eqNullSafe(stays["_stays"]) & (hashed["_hash"] == stays["_stays_hash"]), "left_semi")
+    return left.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,11 +73,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's rows written and read again by the next.
+    """All stages over ``documents``, each one's rows written and read again by the next; then the tables before are removed.
 
     Null columns, empty texts and tables pass as each stage says; extra columns stay until the last stage.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
+        clear_scratch(spark, mark, but=1)
     return docs
