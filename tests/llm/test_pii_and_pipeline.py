@@ -1,6 +1,7 @@
 """Personal data against plain patterns, found identifiers, and the pipeline's stages on a small corpus."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -73,6 +74,86 @@ def test_patterns_find_unseen_identifiers(spark):
     assert not any(found[k] for k in [*range(60), *range(310, 360)])
 
 
+def plain_discovered(places):
+    """The rounds of ``discovered`` in plain Python."""
+    edges = {(p["instance"], q) for p in places for q in p["patterns"]}
+    known = {}
+    for p in places:
+        if p["kind"] is not None:
+            known[p["instance"]] = (min(p["kind"], known.get(p["instance"], (p["kind"],))[0]), 1.0)
+    seeds, kinds = set(known), pii.KINDS + pii.MORE
+    while True:
+        sure = {}
+        for pattern in {q for _, q in edges}:
+            own = [i for i, q in edges if q == pattern]
+            sums = {k: sum(known[i][1] for i in own if i in known and known[i][0] == k) for k in kinds}
+            best = max(sums.values())
+            if best >= pii.SUPPORT and best >= pii.CONFIDENT * len(own):
+                sure[pattern] = (best / len(own), next(k for k in kinds if sums[k] == best))
+        new = {}
+        for i in {i for i, q in edges if q in sure} - set(known):
+            near = [sure[q] for j, q in edges if j == i and q in sure]
+            score = 1 - math.prod(max(1 - c, 0.02) for c, _ in near)
+            if score >= pii.ACCEPTED:
+                new[i] = (max(near)[1], score)
+        if not new:
+            return {i: v for i, v in known.items() if i not in seeds}
+        known |= new
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_the_graph_against_plain_python(spark, seed):
+    dice = random.Random(seed)
+    instances = [f"i{k}" for k in range(60)]
+    places = [{"instance": dice.choice(instances), "kind": None, "patterns": [f"p{dice.randrange(12)}", f"q{dice.randrange(40)}"]} for _ in range(300)]
+    kind = {i: dice.choice(["email", "phone", "secret"]) for i in dice.sample(instances, 35)}
+    for p in places:
+        group = int(p["patterns"][0][1:])
+        if group < 6 and p["instance"] not in kind and dice.random() < 0.8:
+            p["patterns"] = ["q99"]
+        p["kind"] = kind.get(p["instance"])
+    rows = [(p["instance"], p["kind"], p["patterns"]) for p in places]
+    found = {r.instance: (r.kind, r.score) for r in pii.discovered(spark.createDataFrame(rows, "instance string, kind string, patterns array<string>")).collect()}
+    plain = plain_discovered(places)
+    assert {i: k for i, (k, _) in found.items()} == {i: k for i, (k, _) in plain.items()}
+    assert all(found[i][1] == pytest.approx(plain[i][1]) for i in plain)
+
+
+def test_rounds_until_nothing_new(spark):
+    """Each pattern becomes confident only by what the round before has found."""
+    rows, known = [], [f"seed{k}" for k in range(9)]
+    for step in range(6):
+        fresh = [f"n{step}_{k}" for k in range(9)]
+        rows += [(x, "email" if x.startswith("seed") else None, [f"p{step}"]) for x in known]
+        rows += [(f"s{step}_{k}", "email", [f"p{step}"]) for k in range(200)]
+        rows += [(x, None, [f"p{step}"]) for x in fresh]
+        known = fresh
+    places = spark.createDataFrame(rows, "instance string, kind string, patterns array<string>")
+    found = {r.instance for r in pii.discovered(places).collect()}
+    assert found == set(plain_discovered([dict(zip(("instance", "kind", "patterns"), r)) for r in rows])) and {f"n{step}_0" for step in range(6)} <= found
+
+
+def test_numbers_over_spaces_long_identifiers_and_secrets(spark):
+    dice = random.Random(4)
+    rows = [f"{prose(dice, 4)} my number is +1 ({200 + k}) 555-38{k % 90 + 10} thanks {prose(dice, 3)}" for k in range(80)]
+    rows += ["so my number is (743) 555 3824 thanks a lot", f"and my number is {'12345678' * 25} thanks again"]
+    rows += [f"{prose(dice, 3)} token = \"{dice.getrandbits(160) | 1 << 159:040x}\" {prose(dice, 2)}" for _ in range(40)]
+    rows += ["here token = \"zk_live_77aa-X9\" is set", f"plain {'7' * 40} and {'a' * 40}", "in 2019 we had 12 of 13"]
+    docs = spark.createDataFrame(list(enumerate(rows)), SCHEMA)
+    found = {r.doc_id: {s.kind: rows[r.doc_id][s.start : s.end] for s in r.spans} for r in pii.personal_data(docs).collect()}
+    assert all("phone" in found[k] for k in range(80))
+    assert found[80] == {"like_phone": "(743) 555 3824"} and found[81] == {"like_phone": "12345678" * 25}
+    assert all(len(found[82 + k]["secret"]) == 40 for k in range(40)) and found[122] == {"like_secret": "zk_live_77aa-X9"}
+    assert found[123] == {} and found[124] == {}
+
+
+def test_contexts_are_whole_words():
+    long = "w" * 500
+    assert pii._before(f"a {long} {long} x", len(f"a {long} {long} "), 2) == [long, long]
+    assert pii.patterns(f"x {long} 5 {long}y z", 503, 504)[1].startswith("1 sha256:")
+    assert pii._after("  ", 0) == [] and pii._before("", 0, 2) == []
+
+
 def test_scrubbing_keeps_all_else(spark):
     docs, rows = contextual(spark)
     wide = docs.selectExpr("doc_id", "text", "length(text) n_chars", "1 as spans", "'x' as text_hash").union(spark.createDataFrame([(None, None, None, 1, "x")], "a bigint, b string, c int, d int, e string"))
