@@ -569,6 +569,16 @@ def round_club_grid(s, d):
     return FE.round_club_grid(T.matches(s, d))
 
 
+def _last_rounds(s, d):
+    return T.matches(s, d).filter("resultado IS NOT NULL").groupBy("competicao").agg(F.max("rodada").alias("rodada"))
+
+
+@query
+def grid_last_round(s, d):
+    """Every club in the last round of its competition, looked up in the intervals."""
+    return FE.round_club_grid(T.matches(s, d), rounds=_last_rounds(s, d))
+
+
 @query
 def standings_rank(s, d):
     return _table_places(s, d)
@@ -704,6 +714,11 @@ def features_seed(s, d):
     return FE.features_seed(T.matches(s, d), L.base_ratings(s, d))
 
 
+@query
+def seed_last_round(s, d):
+    return FE.features_seed(T.matches(s, d), L.base_ratings(s, d), rounds=_last_rounds(s, d))
+
+
 @query
 def mart_standings(s, d):
     return _mart_standings(s, d)

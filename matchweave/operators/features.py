@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from matchweave.functions.numeric import half_up
 from matchweave.operators import clubrows as C
 from matchweave.operators.elo import POST, PRE, START_RATING, additive_delta, additive_total, elo, elo_simplified
-from matchweave.operators.grid import carry_forward
+from matchweave.operators.grid import cells, intervals
 from matchweave.operators.latest import KEY, latest_per_key
 
 STORE = [name for name, _ in C.CUMULATIVE] + ["saldo_gols", "aproveitamento_pct"]
@@ -100,26 +100,35 @@ def combine_sql(raw: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     )
 
 
-def features_seed(
-    matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30
-) -> DataFrame:
-    """Additive rating and venue points on the grid of all clubs and rounds."""
+def seed_intervals(matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30) -> DataFrame:
+    """Additive rating and venue points as intervals of rounds: the table to publish, since its size follows the matches."""
     form = {n: half_up(c, 4) for n, c in C.form_incl(key, points_over=()).items()}
     moved = {"_moved": additive_total(key)}
     values = form | C.venue_points_pct(key) | C.momentum_weighted(key) | moved
     rows = C.club_rows(matches, key).withColumn("_delta", additive_delta(k))
     states = _store(rows, values, key, True)
     before = {n: 0.0 for n in values} | {"momentum": 0.5}
-    grid = carry_forward(states, before, key).join(base.select("clube_id", "elo_base"), "clube_id", "left")
+    spans = intervals(states, before, key).join(base.select("clube_id", "elo_base"), "clube_id", "left")
     rating = half_up(F.coalesce("elo_base", F.lit(START_RATING)) + F.col("_moved"), 2)
-    return grid.withColumn("elo_rating", rating).select(*key, *ROW, *ENHANCED)
+    return spans.withColumn("elo_rating", rating).select(*key, "clube_id", "de", "ate", *ENHANCED)
+
+
+def features_seed(
+    matches: DataFrame, base: DataFrame, key: Sequence[str] = KEY, k: float = 30, rounds: DataFrame | None = None
+) -> DataFrame:
+    """Additive rating and venue points on the grid of all clubs and rounds, or of the ``rounds`` (key, rodada) asked for."""
+    return cells(seed_intervals(matches, base, key, k), rounds, key).select(*key, *ROW, *ENHANCED)
 
 
-def round_club_grid(matches: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Cumulative statistics of every club in every round."""
+def grid_intervals(matches: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Cumulative statistics of every club as intervals of rounds."""
     values = C.cum_stats(key) | C.games(key)
-    states = _store(C.club_rows(matches, key), values, key, True)
-    grid = carry_forward(states, dict.fromkeys(values, 0), key)
+    return intervals(_store(C.club_rows(matches, key), values, key, True), dict.fromkeys(values, 0), key)
+
+
+def round_club_grid(matches: DataFrame, key: Sequence[str] = KEY, rounds: DataFrame | None = None) -> DataFrame:
+    """Cumulative statistics of every club in every round, or in the ``rounds`` (key, rodada) asked for."""
+    grid = cells(grid_intervals(matches, key), rounds, key)
     return grid.select(
         *key, *ROW, *[n for n, _ in C.CUMULATIVE],
         (F.col("gols_marcados") - F.col("gols_sofridos")).alias("saldo_gols"),

@@ -107,6 +107,19 @@ def test_one_row_per_round_holds_the_state_after_it(spark):
         assert r.pontos_acumulados == sum(g[2] for g in history[r.clube_id] if g[0] <= r.rodada)
 
 
+def test_intervals_follow_matches_and_hold_the_grid(spark, season):
+    """A club that plays twice in a hundred rounds has three intervals, and rounds looked up are those of the grid."""
+    rows = [(None, k, 1 + 49 * k, 1 + k, 9, "casa", 1, 0, datetime(2024, 1, 1) + timedelta(days=k)) for k in range(3)] + [("b", 7, 4, 1, 2, "empate", 1, 1, None)]
+    schema = "competicao string, partida_id bigint, rodada int, clube_casa_id bigint, clube_vis_id bigint, resultado string, placar_casa int, placar_vis int, data_partida timestamp_ntz"
+    matches = spark.createDataFrame(rows, schema)
+    spans, grid = features.grid_intervals(matches), features.round_club_grid(matches)
+    assert spans.count() <= 2 * 4 * 2 and grid.count() == 4 * 99 + 2 * 4
+    asked = spark.createDataFrame([(None, 1), (None, 60), (None, 60), ("b", 2), ("b", 50), ("c", 1)], "competicao string, rodada int")
+    whole = {tuple(r) for r in grid.filter("competicao IS NULL AND rodada IN (1, 60) OR competicao = 'b' AND rodada = 2").collect()}
+    found = features.round_club_grid(matches, rounds=asked).collect()
+    assert len(found) == len(whole) == 10 and {tuple(r) for r in found} == whole
+
+
 def test_grid_carries_every_club_through_every_round(spark):
     rows = league(5, clubs=7)
     matches = golden.matches(spark, rows)
