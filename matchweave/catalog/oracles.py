@@ -169,7 +169,7 @@ DERIVED = {
     "club": "SELECT s_suppkey AS clube_id, s_name AS nome, upper(substr(n_name, 1, 3)) AS abreviacao, s_name || '/' || n_name AS escudo_url FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "base": "SELECT s_suppkey AS clube_id, 1400.0::DOUBLE + (s_suppkey % 15) * 20 AS elo_base FROM supplier",
     "preds": f"""SELECT *, greatest(prob_casa, prob_empate, prob_visitante) AS confianca, 'v1' AS modelo_versao FROM (
-        SELECT *, {PROB.format(0.55, 0.28, 0.19)} AS prob_casa, {PROB.format(0.26, 0.45, 0.26)} AS prob_empate, {PROB.format(0.19, 0.27, 0.55)} AS prob_visitante FROM (
+        SELECT *, {PROB.format(0.61, 0.31, 0.16)} AS prob_casa, {PROB.format(0.22, 0.41, 0.24)} AS prob_empate, {PROB.format(0.17, 0.28, 0.6)} AS prob_visitante FROM (
         SELECT competicao, partida_id AS id, rodada, clube_casa_id, clube_vis_id, resultado, data_partida AS processed_at,
             CASE WHEN partida_id % 5 <> 0 THEN 'Time ' || clube_casa_id END AS nome_casa, CASE WHEN partida_id % 5 <> 0 THEN 'Time ' || clube_vis_id END AS nome_vis,
             CASE partida_id % 3 WHEN 0 THEN 'casa' WHEN 1 THEN 'empate' ELSE 'visitante' END AS previsao FROM silver))""",

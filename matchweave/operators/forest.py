@@ -15,6 +15,7 @@ from matchweave.operators.accuracy import CLASSES
 from matchweave.operators.dataset import class_weights
 from matchweave.operators.joins import FEATURES
 from matchweave.operators.latest import KEY
+from matchweave.session import stage
 
 LABEL = "resultado"
 
@@ -62,8 +63,8 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def model_metrics(model: PipelineModel, test: DataFrame) -> dict[str, float]:
-    """Accuracy, weighted F1 and log loss on ``test``."""
-    scored = model.transform(test)
+    """Accuracy, weighted F1 and log loss on ``test``, which is scored once."""
+    scored = stage(model.transform(test).select("label", "prediction", "probability"), "avaliadas")
     names = {"acuracia": "accuracy", "f1_score": "f1", "log_loss": "logLoss"}
     return {
         name: MulticlassClassificationEvaluator(metricName=metric, labelCol="label").evaluate(scored)

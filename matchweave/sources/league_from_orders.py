@@ -117,8 +117,8 @@ def athletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-# Probabilities (casa, empate, visitante) by predicted class.
-PROBABILITIES = {HOME: (0.55, 0.26, 0.19), DRAW: (0.28, 0.45, 0.27), AWAY: (0.19, 0.26, 0.55)}
+#: Made-up probabilities (casa, empate, visitante) by predicted class; each row sums to one.
+PROBABILITIES = {HOME: (0.61, 0.22, 0.17), DRAW: (0.31, 0.41, 0.28), AWAY: (0.16, 0.24, 0.6)}
 CLASS_BY_REMAINDER = (HOME, DRAW, AWAY)
 
 
