@@ -62,4 +62,8 @@ def op13_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_clusters.clusters(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {name: make for name, make in globals().items() if name.startswith("op")}
+def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.ablation(rules.ledger(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {name: make for name, make in globals().items() if name.startswith(("op", "rule_"))}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from matchweave.llm.rules import POLICIES, mask
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 RULES = rf"""
@@ -30,6 +32,17 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+ABLATION = f"""
+WITH marked AS ({RULES}), rules AS (
+  SELECT unnest({list(POLICIES["v2"])}) AS rule, unnest({[mask([name]) for name in POLICIES["v2"]]}) AS bit
+), failed AS (
+  SELECT fail_bits & {mask(POLICIES["v2"])} AS bits FROM marked
+)
+SELECT rule, (count(*) FILTER (bits & bit <> 0))::BIGINT AS n_failed, (count(*) FILTER (bits = bit))::BIGINT AS n_only,
+  (count(*) FILTER (bits = 0 OR bits = bit))::BIGINT AS n_kept_without
+FROM rules, failed GROUP BY rule
+"""
+
 _NORMAL = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 WINNOWING = rf"""
@@ -138,4 +151,4 @@ SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::B
 FROM flat JOIN c10 USING (cluster)
 """
 
-ORACLES = {"op1_rule_ledger": RULES, "op6_winnowing": WINNOWING, "op11_phrase_graph": PHRASES, "op12_shard_fm_index": PASSAGES, "op13_va_file_clusters": CLUSTERS}
+ORACLES = {"op1_rule_ledger": RULES, "rule_ablation": ABLATION, "op6_winnowing": WINNOWING, "op11_phrase_graph": PHRASES, "op12_shard_fm_index": PASSAGES, "op13_va_file_clusters": CLUSTERS}
