@@ -543,6 +543,7 @@ _BODIES = {
 _BODIES |= dict.fromkeys(["elo_by_window", "elo_rerated"], _BODIES["elo"])
 #: The same rows from the partitions that hold or get them.
 _BODIES["upsert_partitions"] = _BODIES["upsert"]
+_BODIES["performance_from_counts"] = _BODIES["mart_performance"]
 #: The last round of each competition out of the whole grid.
 _BODIES |= {
     name: f"SELECT * FROM ({_BODIES[whole]}) QUALIFY rodada = max(rodada) OVER (PARTITION BY competicao)"

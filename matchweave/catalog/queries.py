@@ -734,6 +734,15 @@ def mart_predictions(s, d):
     return _mart_predictions(s, d)
 
 
+@query
+def performance_from_counts(s, d):
+    """Counts of the first seasons, the last of their rounds counted wrongly, brought up to date by those of that round and after."""
+    validated, last = _validated(s, d), F.lit(170)
+    wrong = validated.filter(F.col("rodada") <= last).withColumn("acerto", F.col("acerto") & (F.col("rodada") < last))
+    counts = A.merge_counts(A.round_counts(wrong), A.round_counts(validated.filter(F.col("rodada") >= last)))
+    return A.performance_from_counts(counts)
+
+
 @query
 def mart_performance(s, d):
     return A.mart_performance(_validated(s, d))

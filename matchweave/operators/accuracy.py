@@ -92,6 +92,50 @@ def mart_performance(validated: DataFrame, key: Sequence[str] = KEY) -> DataFram
     return accuracy_moving(_by_round(validated, key, measures), key)
 
 
+def round_counts(validated: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Counts and exact sums by round and result, from which every measure of a round follows: the table to keep.
+
+    Counts of disjoint sets of predictions add up, and a round's counts replace its old ones (``merge_counts``).
+    """
+    sure = F.col("prob_casa").cast("decimal(18,10)")
+    sums = {}
+    for name, condition in (("acerto", F.col("acerto")), ("erro", ~F.col("acerto"))):
+        value = F.when(condition, sure)
+        sums |= {f"soma_{name}": F.sum(value), f"n_{name}": F.count(value)}
+    hits = {"n": F.count("*"), "acertos": F.coalesce(_hits(), F.lit(0))}
+    return _by_round_and(validated, key, "resultado_real", hits | sums)
+
+
+def _by_round_and(rows: DataFrame, key: Sequence[str], column: str, measures: dict[str, Column]) -> DataFrame:
+    return rows.groupBy(*key, "rodada", column).agg(*[c.alias(n) for n, c in measures.items()])
+
+
+def merge_counts(old: DataFrame, new: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """``old`` with the rounds of ``new`` in the place of its own; no other round is touched."""
+    on = [*key, "rodada"]
+    renamed = new.select(*[F.col(c).alias(f"_n_{c}") for c in on]).distinct()
+    kept = old.join(renamed, [F.col(c).eqNullSafe(F.col(f"_n_{c}")) for c in on], "left_anti")
+    return kept.unionByName(new.select(*old.columns))
+
+
+def performance_from_counts(counts: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """``mart_performance`` from the counts of each round."""
+    def total(name: str, where: Column | None = None) -> Column:
+        return F.coalesce(F.sum(F.col(name) if where is None else F.when(where, F.col(name))), F.lit(0))
+
+    measures = {
+        "total_jogos": total("n"),
+        "acertos": total("acertos"),
+        "acuracia_pct": ratio_pct(total("acertos"), total("n"), 1),
+    }
+    for c in CLASSES:
+        own = F.col("resultado_real") == c
+        measures[f"acuracia_{c}_pct"] = pct(total("acertos", own) / F.nullif(total("n", own), F.lit(0)))
+    for name in ("acerto", "erro"):
+        measures[f"conf_media_{name}"] = half_up(F.sum(f"soma_{name}").cast("double") / F.nullif(total(f"n_{name}"), F.lit(0)) * 100, 1)
+    return accuracy_moving(_by_round(counts, key, measures), key)
+
+
 def validate_predictions(joined: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Published shape of predictions joined with their results."""
     return joined.withColumn("acerto", hit()).select(
