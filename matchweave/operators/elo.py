@@ -3,8 +3,8 @@
 The sequential rating of a match needs both clubs' ratings after all their earlier
 matches, so it is no window. ``elo`` has two methods with the same results; the caller names one:
 
-* ``grouped``: a slice of a competition's calendar is one grouped-map group of six slim columns, of about ``SLICE`` matches
-  at most. A competition of more is rated slice after slice, with the ratings handed on in a written table;
+* ``grouped``: a task reads a competition's calendar in order, batch by batch, about ``SLICE`` matches at most.
+  A competition of more is rated slice after slice, with the ratings handed on in a written table;
 * ``levels``: for a competition that no task should hold. Matches of a level share no club, so a level
   is a join of its matches with the ratings they wait for, spread over the cluster. The number
   of levels follows the calendar, the work per level follows its matches.
@@ -12,10 +12,14 @@ matches, so it is no window. ``elo`` has two methods with the same results; the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import pairwise
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from matchweave.functions.numeric import half_up
@@ -29,8 +33,9 @@ K_FACTOR = 32
 START_RATING = 1500.0
 SCALE = 400.0
 
-#: Matches of a competition that one task holds.
-SLICE = 500_000
+#: Matches of a competition that one task sorts.
+SLICE = 2_000_000
+SCORES = {HOME: 1.0, DRAW: 0.5, AWAY: 0.0}
 
 PRE = ("elo_casa", "elo_vis")
 POST = ("elo_casa_depois", "elo_vis_depois")
@@ -69,66 +74,113 @@ def _moved(k: float) -> tuple[Column, Column]:
 
 
 def _rater(k: float, start: float):
-    def rate(pdf: pd.DataFrame, ratings: dict[int, float]) -> pd.DataFrame:
-        """Ratings before each match; ``ratings`` holds those before the first and then those after the last."""
-        pdf = pdf.sort_values(ORDER, ignore_index=True, na_position="last")
+    def rate(matches: Sequence[tuple], ratings: dict[int, float]) -> list[tuple[float, float]]:
+        """Ratings before each match (home, away, result) in order; ``ratings`` holds those before the first and then those after the last."""
         before: list[tuple[float, float]] = []
-        scores = pdf["resultado"].map({HOME: 1.0, DRAW: 0.5, AWAY: 0.0})
-        for home, away, score in zip(pdf["clube_casa_id"].tolist(), pdf["clube_vis_id"].tolist(), scores.tolist()):
+        for home, away, result in matches:
             pair = ratings.get(home, start), ratings.get(away, start)
             before.append(pair)
+            score = SCORES.get(result, math.nan)
             expected = 1 / (1 + 10 ** ((pair[1] - pair[0]) / SCALE))
             ratings[home] = pair[0] + k * (score - expected)
             ratings[away] = pair[1] + k * ((1 - score) - (1 - expected))
-        return pd.DataFrame({LINE: pdf[LINE], PRE[0]: [p[0] for p in before], PRE[1]: [p[1] for p in before]})
+            if home is None or away is None:
+                ratings.pop(None, None)  # an unknown club is no one's equal
+        return before
 
     return rate
 
 
+def _runs(batch: pa.RecordBatch, group: Sequence[str]) -> Iterator[tuple[list, int, int]]:
+    """(key, first row, end) of each run of rows of one group."""
+    codes = [batch.column(c).dictionary_encode("encode").indices.to_numpy() for c in group]
+    cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in codes])) + 1
+    for first, end in pairwise([0, *cuts.tolist(), batch.num_rows]):
+        yield [batch.column(c)[first].as_py() for c in group], first, end
+
+
+def in_order(facts: DataFrame, group: Sequence[str], k: float, start: float, held: DataFrame | None = None) -> DataFrame:
+    """(group, line, both ratings before the match) of each match, the matches of a group one after the other.
+
+    Spark sorts a group, spilling where it must, and hands its rows over in batches, so Python holds a batch and the ratings of one
+    group's clubs, whatever the number of matches or of groups. ``held`` has the ratings before the first match (group, _clube, _elo);
+    with it those after the last follow, as rows without a line (group, _clube, the rating as that of the home club).
+    """
+    rate, handed_on = _rater(k, start), held is not None
+    rows = facts.select(*group, *[F.col(c).cast("bigint") if c.startswith("clube_") else c for c in ORDER], "resultado")
+    if handed_on:
+        rows = rows.unionByName(held.select(*group, F.col("_clube").alias("clube_casa_id"), "_elo"), allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("_elo", F.lit(None).cast("double"))
+    out = T.StructType([facts.schema[c] for c in group]).add(LINE, "long").add("_clube", "long").add(PRE[0], "double").add(PRE[1], "double")
+
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ratings, kinds = None, {}, []
+
+        def after(ended: list[tuple[list, dict[int, float]]]) -> Iterator[pa.RecordBatch]:
+            ended = [(key, known) for key, known in ended if known]
+            if handed_on and ended:
+                keys = [pa.array([key[i] for key, known in ended for _ in known], kind) for i, kind in enumerate(kinds)]
+                clubs, values = ([x for _, known in ended for x in part(known)] for part in (dict.keys, dict.values))
+                yield pa.RecordBatch.from_arrays([*keys, pa.nulls(len(clubs), pa.int64()), pa.array(clubs, pa.int64()), pa.array(values, pa.float64()), pa.nulls(len(clubs), pa.float64())], names=out.names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = [batch.schema.field(c).type for c in group]
+            line, home, away, result, elo_held = (batch.column(c).to_pylist() for c in (LINE, "clube_casa_id", "clube_vis_id", "resultado", "_elo"))
+            before, ended = [], []
+            for key, at, end in _runs(batch, group):
+                if now is None or repr(now) != repr(key):
+                    ended.append((now, ratings))
+                    now, ratings = key, {}
+                while at < end and line[at] is None:
+                    ratings[home[at]] = elo_held[at]
+                    at += 1
+                before += rate(list(zip(home[at:end], away[at:end], result[at:end])), ratings)
+            matches = batch.filter(pc.is_valid(batch.column(LINE)))
+            pairs = [pa.array([pair[side] for pair in before], pa.float64()) for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*[matches.column(c) for c in (*group, LINE)], pa.nulls(len(before), pa.int64()), *pairs], names=out.names)
+            yield from after(ended)
+        yield from after([(now, ratings)])
+
+    dealt = rows.repartition(*group) if group else rows.repartition(1)
+    ordered = dealt.sortWithinPartitions(*[F.asc_nulls_last(c) for c in group], F.col(LINE).isNotNull(), *[F.asc_nulls_last(c) for c in ORDER])
+    return ordered.select(*group, LINE, "clube_casa_id", "clube_vis_id", "resultado", "_elo").mapInArrow(rated, out)
+
+
 def _grouped(facts: DataFrame, key: Sequence[str], k: float, start: float) -> DataFrame:
-    rate = _rater(k, start)
-    rated_schema = f"{LINE} bigint, {PRE[0]} double, {PRE[1]} double"
     most = facts.groupBy(*key).count().agg(F.max("count"), F.sum("count")).first()
     if (most[0] or 0) <= SLICE:
-        return facts.groupBy(*key).applyInPandas(lambda pdf: rate(pdf, {}), rated_schema)
-    return _by_slice(facts, key, rate, -(-most[1] // SLICE)).select(LINE, *PRE)
+        return in_order(facts, key, k, start).select(LINE, *PRE)
+    return _by_slice(facts, key, k, start, -(-most[1] // SLICE)).select(LINE, *PRE)
 
 
-def _by_slice(facts: DataFrame, key: Sequence[str], rate, slices: int) -> DataFrame:
+def _by_slice(facts: DataFrame, key: Sequence[str], k: float, start: float, slices: int) -> DataFrame:
     """Ranges of (competition, order) are slices; pass n rates the n-th of every competition, from the ratings of the passes before.
 
-    A task gets a slice's matches and the ratings of its clubs. The passes are as many as the slices of the longest competition.
+    A task gets a slice's matches and the ratings of its clubs. The passes are as many as the slices of the longest competition, and
+    each reads its own slices only.
     """
+    spark = facts.sparkSession
     order = [F.asc_nulls_last(c) for c in (*key, *ORDER)]
     ranged = stage(facts.repartitionByRange(slices, *order).withColumn("_faixa", F.spark_partition_id()), "elo_ranges")
     first = ranged.groupBy(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(key)]).agg(F.min("_faixa").alias("_primeira"))
     same = [F.col(c).eqNullSafe(F.col(f"_k{n}")) for n, c in enumerate(key)]
-    numbered = ranged.join(first, same).withColumn("_fatia", F.col("_faixa") - F.col("_primeira"))
-    numbered = stage(numbered.select(*facts.columns, "_fatia"), "elo_slices")
-    held = T.StructType([facts.schema[c] for c in key]).add("_clube", "long").add("_elo", "double")
-    out = T.StructType([facts.schema[c] for c in key]).add(LINE, "long").add("_clube", "long").add(PRE[0], "double").add(PRE[1], "double")
-
-    def step(pdf: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
-        ratings = dict(zip(before["_clube"].tolist(), before["_elo"].tolist()))
-        if not len(pdf):
-            return pd.DataFrame(columns=out.names)
-        rows = rate(pdf, ratings).assign(_clube=-1)
-        after = pd.DataFrame({LINE: -1, "_clube": list(ratings), PRE[0]: list(ratings.values()), PRE[1]: 0.0})
-        both = pd.concat([rows, after], ignore_index=True)
-        for c in key:
-            both[c] = pdf[c].iloc[0]
-        return both[out.names]
-
-    ratings = facts.sparkSession.createDataFrame([], held)
+    numbered = ranged.join(first, same).withColumn("_fatia", F.col("_faixa") - F.col("_primeira")).select(*facts.columns, "_fatia")
+    path = scratch_path(spark, "elo_slices")
+    numbered.write.partitionBy("_fatia").parquet(path)
     passes = numbered.agg(F.max("_fatia")).first()[0] + 1
+    held = T.StructType([facts.schema[c] for c in key]).add("_clube", "long").add("_elo", "double")
+    ratings = spark.createDataFrame([], held)
     done = []
     for n in range(passes):
-        todo = numbered.filter(F.col("_fatia") == n)
+        todo = spark.read.schema(facts.schema).parquet(f"{path}/_fatia={n}")
         clubs = todo.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.explode(F.array(F.col("clube_casa_id").cast("bigint"), F.col("clube_vis_id").cast("bigint"))).alias("_c"))
         own = ratings.join(clubs, [*same, F.col("_clube") == F.col("_c")], "left_semi")
-        rated = stage(todo.groupBy(*key).cogroup(own.groupBy(*key)).applyInPandas(step, out), "elo_slice")
-        done.append(rated.filter(F.col(LINE) >= 0))
-        new = rated.filter(F.col(LINE) < 0).select(*key, "_clube", F.col(PRE[0]).alias("_elo"))
+        rated = stage(in_order(todo, key, k, start, own), "elo_slice")
+        done.append(rated.filter(F.col(LINE).isNotNull()))
+        new = rated.filter(F.col(LINE).isNull()).select(*key, "_clube", F.col(PRE[0]).alias("_elo"))
         moved = new.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.col("_clube").alias("_c"))
         ratings = stage(ratings.join(moved, [*same, F.col("_clube") == F.col("_c")], "left_anti").unionByName(new), "elo_ratings")
     return reduce(DataFrame.unionByName, done)

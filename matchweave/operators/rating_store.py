@@ -13,12 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from matchweave.operators.clean import played
 from matchweave.operators.components import components
-from matchweave.operators.elo import K_FACTOR, LINE, POST, PRE, START_RATING, _moved, _rater
+from matchweave.operators.elo import K_FACTOR, LINE, POST, PRE, START_RATING, _moved, in_order
 from matchweave.operators.latest import KEY
 from matchweave.session import exists, remove, stage
 
@@ -115,29 +114,17 @@ class RatingStore:
         return todo
 
     def _rate(self, lines: DataFrame, facts: DataFrame, before: DataFrame, window: int) -> None:
-        """One window: a group gets its component's matches and the ratings of its clubs."""
+        """One window: the matches of a component in order, from the ratings of its clubs."""
         own = facts.filter(F.col(WINDOW) == window)
         sides = own.select(*self.key, F.col("_grupo").alias("_do"), F.explode(F.array(F.col("clube_casa_id").cast("bigint"), F.col("clube_vis_id").cast("bigint"))).alias("clube_id")).distinct()
         named = sides.select("_do", "clube_id", *[F.col(c).alias(f"_k{n}") for n, c in enumerate(self.key)])
         same = [F.col(c).eqNullSafe(F.col(f"_k{n}")) for n, c in enumerate(self.key)]
-        known = before.withColumnRenamed("clube_id", "_clube").join(named, [*same, F.col("_clube") == F.col("clube_id")]).select("_do", "_clube", "elo")
-        rate, key = _rater(self.k, self.start), self.key
-        schema = T.StructType([facts.schema[c] for c in key]).add(LINE, T.LongType()).add("clube_id", T.LongType()).add(PRE[0], T.DoubleType()).add(PRE[1], T.DoubleType())
-
-        def step(pdf: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            if not len(pdf):
-                return pd.DataFrame(columns=schema.names)
-            ratings = dict(zip(held["_clube"].tolist(), held["elo"].tolist()))
-            rows = rate(pdf, ratings).assign(clube_id=-1)
-            after = pd.DataFrame({LINE: -1, "clube_id": list(ratings), PRE[0]: list(ratings.values()), PRE[1]: 0.0})
-            out = pd.concat([rows, after], ignore_index=True)
-            for c in key:
-                out[c] = pdf[c].iloc[0]
-            return out[schema.names]
-
-        out = stage(own.groupBy("_grupo").cogroup(known.groupBy("_do")).applyInPandas(step, schema), "elo_janela")
-        out.filter(F.col(LINE) < 0).select(*key, "clube_id", F.col(PRE[0]).alias("elo")).write.parquet(self._path("notas", window))
-        rated = lines.filter(F.col(WINDOW) == window).join(out.filter(F.col(LINE) >= 0).select(LINE, *PRE), LINE).drop(LINE, WINDOW)
+        met = before.withColumnRenamed("clube_id", "_clube").join(named, [*same, F.col("_clube") == F.col("clube_id")])
+        known = met.select(F.col("_do").alias("_grupo"), *self.key, "_clube", F.col("elo").alias("_elo"))
+        out = stage(in_order(own, ["_grupo", *self.key], self.k, self.start, known), "elo_janela")
+        new = out.filter(F.col(LINE).isNull())
+        new.select(*self.key, F.col("_clube").alias("clube_id"), F.col(PRE[0]).alias("elo")).write.parquet(self._path("notas", window))
+        rated = lines.filter(F.col(WINDOW) == window).join(out.filter(F.col(LINE).isNotNull()).select(LINE, *PRE), LINE).drop(LINE, WINDOW)
         rated.withColumns(dict(zip(POST, _moved(self.k)))).write.parquet(self._path("partidas", window))
 
     def marked(self) -> bool:
