@@ -182,10 +182,21 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield run(held)
 
 
+def _untouched(known):
+    """The rows of a batch that have nothing to remove, in one pass of Python: a second one would be another worker for each task."""
+    keep = _touched(known, False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return bounded_batches(_removed, "text")(keep(batches))
+
+    return run
+
+
 def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Apply the repeated windows, (first, last) by words of the text, to each text."""
+    """Apply the repeated windows, (first, last) by words of the text, to each text; a batch without ``hits`` has none."""
     out: list[list] = [[], [], [], [], []]
-    for text, own in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist()):
+    hits = batch.column("hits").to_pylist() if "hits" in batch.schema.names else [None] * batch.num_rows
+    for text, own in zip(batch.column("text").to_pylist(), hits):
         words, cover = _split(text), []
         for x in sorted((x["a"], x["b"] + WINDOW) for x in own or ()):
             if cover and x[0] <= cover[-1][1]:
@@ -212,6 +223,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     spark = docs.sparkSession
     small_batches(spark)
+    # Joins with texts are merge joins: a broadcast one would run the filter of rows and what follows the join in one task, with two Python workers at once.
     # 1. contexts of anchors that occur twice, equal ones counted
     known = spark.sparkContext.broadcast(sieve.frequent_filter(docs.select("text"), "text", _anchors, 2))
     places = stage(docs.select("row", "text").mapInArrow(bounded_batches(_contexts(known), "text", sieve.TEXT_BYTES), CONTEXTS), "contexts")
@@ -226,7 +238,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     several = several.select("row", F.struct(F.col("h").alias("key"), "h", "c", "first", F.lit(0).alias("a"), "n").alias("w"))
     # 3. windows of crowds whose hash another one has
     crowded = stage(sliced.where("crowd").select("row", F.struct("h", "c", "row", "first", "n").alias("w")), "crowded")
-    by_row = _rows_of(_row_filter(crowded), docs.select("row", "text")).join(crowded.groupBy("row").agg(F.collect_set("w").alias("wanted")), "row").select("text", "wanted")
+    by_row = _rows_of(_row_filter(crowded), docs.select("row", "text")).join(crowded.groupBy("row").agg(F.collect_set("w").alias("wanted")).hint("merge"), "row").select("text", "wanted")
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
     hashes = by_row.mapInArrow(bounded_batches(_each_wanted(_window_hashes, kinds, ["key", "h", "c", "a", "row", "first"]), "text"), "key bigint, h bigint, c bigint, a int, row bigint, first int")
     hashes = stage(hashes, "windows")
@@ -234,7 +246,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     alone = hashes.join(met, "key", "left_semi").select("row", F.struct("key", "h", "c", "first", "a", F.lit(1).alias("n")).alias("w"))
     # 4. the words that are needed travel to the shards and are searched there
     asked = stage(several.union(alone).groupBy("row").agg(F.collect_set("w").alias("wanted")), "asked")
-    sent = _rows_of(_row_filter(asked), docs.select("row", "text")).join(asked, "row").select("text", "wanted")
+    sent = _rows_of(_row_filter(asked), docs.select("row", "text")).join(asked.hint("merge"), "row").select("text", "wanted")
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     sent = sent.mapInArrow(bounded_batches(_each_wanted(_sent, kinds, ["key", "h", "c", "a", "ctx"]), "text"), "key bigint, h bigint, c bigint, a int, ctx binary")
     found = sent.repartition("key").sortWithinPartitions("key", "h", "c", "a").mapInArrow(_searched, HITS)
@@ -243,7 +255,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     of_row = places.select("row", "h", "c", "first").join(hits, ["h", "c"]).select("row", F.explode(F.transform("runs", lambda r: F.struct((F.col("first") + r["a"]).alias("a"), (F.col("first") + r["b"]).alias("b")))).alias("hit"))
     of_row = stage(of_row.groupBy("row").agg(F.collect_set("hit").alias("hits")), "removed")
     touched = _row_filter(of_row)
-    joined = _rows_of(touched, docs).join(of_row, "row", "left").select("doc_id", "text", "hits")
-    clean = _rows_of(touched, docs, False).select("doc_id", "text", F.lit(None).cast("array<struct<a: int, b: int>>").alias("hits"))
+    joined = _rows_of(touched, docs).join(of_row.hint("merge"), "row", "left").select("doc_id", "text", "hits")
     kind = dict(docs.dtypes)["doc_id"]
-    return joined.union(clean).mapInArrow(bounded_batches(_removed, "text"), f"doc_id {kind}, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>")
+    result = f"doc_id {kind}, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>"
+    return joined.mapInArrow(bounded_batches(_removed, "text"), result).union(docs.mapInArrow(_untouched(touched), result))
