@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from matchweave.operators import elo
+from matchweave.operators import elo, forest
 from matchweave.sources import league_from_orders
 
 MATCHES = "competicao string, partida_id bigint, clube_casa_id bigint, clube_vis_id bigint, resultado string, data_partida timestamp_ntz"
@@ -66,3 +66,14 @@ def test_tasks_of_the_raw_matches_follow_the_lines(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(league_from_orders, "LINES", 50)
     many = league_from_orders.raw_matches(spark, str(tmp_path))
     assert many.rdd.getNumPartitions() == 40 and {tuple(r) for r in many.collect()} == few and len(few) == 500
+
+
+def test_forest_trains_in_equal_tasks(spark, monkeypatch):
+    """Tasks follow the cores and then the rows, not the files of the training set, and none holds most rows."""
+    monkeypatch.setattr(forest, "TASK_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 10, 1, 50).select(F.col("id").alias("rodada"))
+    uneven = spark.range(0, 900 * cores, 1, 3).filter("id >= 300 * 2 OR id % 5 = 0")
+    assert forest.spread(few).rdd.getNumPartitions() == cores
+    sizes = [len(p) for p in forest.spread(uneven).rdd.glom().collect()]
+    assert len(sizes) == max(cores, -(-sum(sizes) // 100)) and max(sizes) <= 2 * 100
