@@ -54,6 +54,15 @@ def test_positions(spark):
     assert short.first()["status"] == "failed"
 
 
+def test_positions_with_the_sum_of_a_sequence(spark):
+    """A repeat and a gap that leave first, last, count and sum of the places as they should be; a place that is missing."""
+    places = {"A": (1, 1, 4, 4, 5), "B": (1, 3, 3, 3, 5), "C": (1, 2, 3, 4, 5), "D": (1, 2, None, 6, 6, 6), "E": (None,)}
+    rows = [(c, p) for c, own in places.items() for p in own]
+    report = Q.dq_positions(spark.createDataFrame(rows, "competicao string, posicao int"))
+    found = {r.competicao: (r.primeira, r.ultima, r.clubes, r.status) for r in report.collect()}
+    assert found == {"A": (1, 5, 5, "failed"), "B": (1, 5, 5, "failed"), "C": (1, 5, 5, "success"), "D": (1, 6, 6, "failed"), "E": (None, None, 1, "failed")}
+
+
 def test_status(spark):
     runs = spark.createDataFrame([("failed",), ("skipped",)], "status string")
     checks = spark.createDataFrame([("failed",), ("success",), ("warning",)], "status string")
