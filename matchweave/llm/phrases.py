@@ -126,6 +126,15 @@ def counted_grams(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return stage(texts.mapInArrow(_grams(known), GRAMS).groupBy("lang", "gram", "size").agg(F.sum("n").alias("n")), "grams")
 
 
+def _meet(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A merge join: both sides grow with the texts.
+
+    Spark sizes a written table by its compressed file and an explode by the rows that go in, so it would broadcast tables that need many times
+    that on the driver, as long as they seem to be under its threshold.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def _first(phrase: Column | str, k: int | Column) -> Column:
     return F.substring_index(phrase, " ", k) if isinstance(k, int) else F.expr(f"substring_index({phrase}, ' ', {k})")
 
@@ -152,13 +161,13 @@ def compacted(frequent: DataFrame, longest: int = LONGEST) -> DataFrame:
     nodes = frequent.where(F.col("size") == longest - 1).select("lang", F.col("phrase").alias("node"), "f")
     into = edges.select("lang", F.col("edge"), F.substring_index("edge", " ", 1 - longest).alias("node"), "f")
     out_of = edges.select("lang", F.col("edge").alias("next"), _first("edge", longest - 1).alias("node"), "f")
-    links = nodes.join(into, ["lang", "node", "f"]).join(out_of, ["lang", "node", "f"]).select("lang", "edge", "next")
-    now = stage(edges.join(links, ["lang", "edge"], "left").select("lang", "edge", "f", F.coalesce("next", "edge").alias("last"), F.col("next").isNotNull().cast("bigint").alias("steps")), "paths")
+    links = _meet(_meet(nodes, into, ["lang", "node", "f"]), out_of, ["lang", "node", "f"]).select("lang", "edge", "next")
+    now = stage(_meet(edges, links, ["lang", "edge"], "left").select("lang", "edge", "f", F.coalesce("next", "edge").alias("last"), F.col("next").isNotNull().cast("bigint").alias("steps")), "paths")
     seen = None
     while (state := now.agg(F.sum("steps")).first()[0]) != seen:
         seen = state
         ahead = now.where("steps > 0").select("lang", F.col("edge").alias("last"), F.col("last").alias("further"), F.col("steps").alias("more"))
-        now = stage(now.join(ahead, ["lang", "last"], "left").select("lang", "edge", "f", F.coalesce("further", "last").alias("last"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), "paths")
+        now = stage(_meet(now, ahead, ["lang", "last"], "left").select("lang", "edge", "f", F.coalesce("further", "last").alias("last"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), "paths")
     heads = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), _first("edge", 1).alias("w")))), lambda x: x["w"])
     tail = F.split(F.substring_index("last", " ", 1 - longest), " ")
     return now.groupBy("lang", "last").agg(heads.alias("heads"), F.min("f").alias("f")).select("lang", F.concat("heads", tail).alias("words"), "f")
@@ -187,18 +196,18 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int
     candidates = paths.select("lang", F.explode(_parts(F.col("words"), LONGEST)).alias("phrase"), F.col("f").alias("a")).withColumn("size", F.lit(LONGEST))
     inside = paths.where(F.size("words") > LONGEST).select("lang", F.explode(_parts(F.col("words"), LONGEST - 1, 1)).alias("phrase"))
     for k in range(LONGEST - 1, 1, -1):
-        own = size(k).join(inside, ["lang", "phrase"], "left_anti") if k == LONGEST - 1 else size(k)
+        own = _meet(size(k), inside, ["lang", "phrase"], "left_anti") if k == LONGEST - 1 else size(k)
         # the phrase of one more word that has it and is most frequent: a still longer one is no more frequent than that
         longer = size(k + 1).select("lang", F.explode(F.array(_first("phrase", k), F.substring_index("phrase", " ", -k))).alias("phrase"), F.col("a").alias("b"))
         longer = longer.groupBy("lang", "phrase").agg(F.max("b").alias("b"))
         wide = lambda c: F.col(c).cast("decimal(38,0)")
-        kept = own.join(longer, ["lang", "phrase"], "left").where(F.col("b").isNull() | (wide("b") * 100 < wide("a") * share))
+        kept = _meet(own, longer, ["lang", "phrase"], "left").where(F.col("b").isNull() | (wide("b") * 100 < wide("a") * share))
         candidates = candidates.unionByName(kept.select("lang", "phrase", "a").withColumn("size", F.lit(k)))
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).withColumn("salt", F.pmod(F.xxhash64("phrase", "k"), F.lit(SALT)).cast("int"))
     cuts = cuts.withColumns({"left": F.expr("substring_index(phrase, ' ', k)"), "right": F.expr("substring_index(phrase, ' ', k - size)")})
     counts = frequent.select("lang", "phrase", "f", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     for part, name in (("left", "l"), ("right", "r")):
-        cuts = cuts.join(counts.select("lang", F.col("phrase").alias(part), "salt", F.col("f").alias(name)), ["lang", part, "salt"])
+        cuts = _meet(cuts, counts.select("lang", F.col("phrase").alias(part), "salt", F.col("f").alias(name)), ["lang", part, "salt"])
     score = F.expr(f"CAST(CAST({scale} AS DECIMAL(10,0)) * CAST(a AS DECIMAL(20,0)) div (CAST(l AS DECIMAL(20,0)) + CAST(r AS DECIMAL(20,0))) AS BIGINT)")
     least_cut = cuts.select("lang", "phrase", F.struct(score.alias("score"), "k", "a", "l", "r").alias("cut")).groupBy("lang", "phrase").agg(F.min("cut").alias("cut"))
     scored = stage(least_cut.select("lang", "phrase", "cut.*"), "scored")

@@ -105,3 +105,18 @@ def test_odd_tables(spark):
     assert phrases.collocations(odd(spark).limit(0)).collect() == []
     twice = odd(spark).select("doc_id", "text")
     assert {r.phrase for r in phrases.collocations(twice, least=2).collect()} == {"again again"}
+
+
+def test_no_table_that_grows_with_the_texts_is_broadcast(spark, monkeypatch):
+    """Tables this small would all be broadcast; at size, one sized too low (compressed, or before an explode) would fill the driver."""
+    plans, write = [], phrases.stage
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(phrases, "stage", seen)
+    rows = [(i, "a b c d e f. a b c x. b c d", "en") for i in range(4)]
+    assert phrases.collocations(spark.createDataFrame(rows, SCHEMA), least=3).count() > 0
+    assert sum(text.count("SortMergeJoin") for _, text in plans) >= 8
+    assert [name for name, text in plans if "BroadcastExchange" in text] == []
