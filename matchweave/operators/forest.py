@@ -11,6 +11,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from matchweave.operators import trees
 from matchweave.operators.accuracy import CLASSES
 from matchweave.operators.dataset import class_weights
 from matchweave.operators.joins import FEATURES
@@ -26,28 +27,44 @@ ALGORITHM = "RandomForestClassifier"
 #: Memory that a task counts nodes in at once, which the forest does not depend on but for its random draws: what
 #: stays in a core's cache is counted faster than MLlib's 256 MB, and a task holds less.
 WORKING = {"maxMemoryInMB": 4}
-#: Training rows of a task beyond one for each core. Each task sends counts of every node of every tree, whatever its
-#: rows, so many small tasks cost more than the rows; a row held for 200 trees takes about a kilobyte.
+#: Training rows of a file of blocks beyond one for each core. Each task sends counts of every node of every tree, whatever its
+#: rows, so many small tasks cost more than the rows.
 TASK_ROWS = 500_000
 
 
+def tasks(train: DataFrame) -> int:
+    """One for each core, more only from ``TASK_ROWS`` rows each on."""
+    return max(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // TASK_ROWS))
+
+
 def spread(train: DataFrame) -> DataFrame:
-    """``train`` in equal tasks: one for each core, more only from ``TASK_ROWS`` rows each on."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(max(cores, -(-train.count() // TASK_ROWS)))
+    """``train`` in equal tasks."""
+    return train.repartition(tasks(train))
 
 
 def train_forest(train: DataFrame, **options) -> PipelineModel:
-    """Alphabetical labels, standardised features, balanced forest. ``train`` is read several times; pass a written table."""
-    weights = F.broadcast(class_weights(train, LABEL).select(LABEL, "peso"))  # one row per class
-    weighted = spread(train.select(LABEL, *FEATURES)).join(weights, LABEL)
-    stages = [
-        StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="alphabetAsc"),
+    """Alphabetical labels, standardised features, balanced forest. ``train`` is read several times; pass a written table.
+
+    The forest is grown by ``trees.grown``; settings that it does not know are left to MLlib's own training.
+    """
+    weights = class_weights(train, LABEL).select(LABEL, "peso")  # one row per class
+    indexer = StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="alphabetAsc")
+    first = Pipeline(stages=[
+        indexer,
         VectorAssembler(inputCols=FEATURES, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        RandomForestClassifier(weightCol="peso", **(FOREST | WORKING | options)),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
+    ])
+    forest = RandomForestClassifier(weightCol="peso", **(FOREST | WORKING | options))
+    rows = train.select(LABEL, *FEATURES).where(F.col(LABEL).isNotNull())
+    prepared = first.fit(rows)
+    known = list(prepared.stages[0].labels)
+    if trees.can_grow(forest, len(known)):
+        by_class = {r[LABEL]: r["peso"] for r in weights.collect()}
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        grown = trees.grown(prepared.transform(rows), forest, [by_class[c] for c in known], -(-tasks(rows) // cores) * cores)  # as many for each core
+    else:
+        grown = forest.fit(prepared.transform(spread(rows).join(F.broadcast(weights), LABEL)))
+    return PipelineModel([*prepared.stages, grown])
 
 
 def labels(model: PipelineModel) -> list[str]:
